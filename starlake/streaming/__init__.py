@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference has no streaming surface (no stream sources, watermarks or
+stateful operators), so this package intentionally defines no operators; every
+job in the library is a bounded batch plan.
+"""
