@@ -228,7 +228,7 @@ fact_web_events AS (
          CASE WHEN event_type IN ('view', 'click', 'purchase')
               THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS product_sk,
          CAST(CASE WHEN {u(['user_id', '_day'], 'chan')} < 0.6 THEN 2 ELSE 3 END AS BIGINT) AS channel_sk,
-         ts AS event_ts, event_type,
+         ts AS event_ts, event_type, CAST(NULL AS VARCHAR) AS search_term,
          {pick(DEVICES, ['user_id', '_day'], 'device')} AS device_type,
          {pick(REFERRERS, ['user_id', '_day'], 'ref')} AS referrer,
          CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,2)) END AS cart_value

@@ -27,3 +27,132 @@ def sales_by_year_category(w):
 def dim_date_calendar(w):
     """CAL1-CAL7: the full fiscal date dimension over the data's date range."""
     return w.dim_date
+
+
+# ----------------------------------------------------------------- tables
+from ..oracle import facts_sql  # noqa: E402
+from ..sources import specs as S  # noqa: E402
+
+_DEC = {"money", "qty2", "dec1", "dec4"}
+
+
+def _sel(spec, alias: str | None = None) -> str:
+    cols = []
+    for c in spec.columns:
+        ref = f"{alias}.{c.name}" if alias else c.name
+        cols.append(f"CAST({ref} AS DOUBLE) AS {c.name}" if c.dtype in _DEC else ref)
+    return ", ".join(cols)
+
+
+def _full(cte: str, spec) -> str:
+    return with_star(*facts_sql.ALL) + f"\nSELECT {_sel(spec)} FROM {cte}"
+
+
+def _table_query(name: str, attr: str, spec, cte: str | None = None, doc: str = ""):
+    def fn(w):
+        return getattr(w, attr)
+    fn.__doc__ = doc
+    register(name, _full(cte or attr, spec))(fn)
+
+
+_table_query("fact_sales_line", "fact_sales_line", S.FACT_SALES_LINE,
+             doc="FC1/SRC4/JN2/RS4: sales lines with dense skew-safe line numbers and the exact measure chain.")
+_table_query("fact_inventory_movement", "fact_inventory_movement", S.FACT_INVENTORY_MOVEMENT,
+             doc="FC3/FN6/FN14: one signed movement per sales line, weighted type pick.")
+_table_query("fact_web_events", "fact_web_events", S.FACT_WEB_EVENTS,
+             doc="FC7: sessions (user x day), skew-safe event numbering, JSON product key.")
+_table_query("fact_returns", "fact_returns", S.FACT_RETURNS, "fact_returns_f",
+             doc="FC4/PR9/FN3: keyed 8 % return sample, clamped return dates, exact refunds.")
+_table_query("fact_fulfillment", "fact_fulfillment", S.FACT_FULFILLMENT, "fact_fulfillment_f",
+             doc="FC5/PR8: online lines with promise/ship/delivery dates and SLA.")
+_table_query("fact_loyalty_activity", "fact_loyalty_activity", S.FACT_LOYALTY_ACTIVITY,
+             doc="FC6/AG2/RS1/WN1: Earn + spin-off ledger with a skew-safe running balance.")
+_table_query("fact_gl_actuals", "fact_gl_actuals", S.FACT_GL_ACTUALS,
+             doc="FC8/JN10/RS6/WN2/WN3: GL actuals with the conserved timing shift.")
+_table_query("fact_inventory_valuation", "fact_inventory_valuation", S.FACT_INVENTORY_VALUATION,
+             doc="FC10/JN13/JN14: period-end valuation with COGS, markdown, shrink, GMROI.")
+_table_query("fact_sales_forecast", "fact_sales_forecast", S.FACT_SALES_FORECAST,
+             doc="FC11/TK3/RS5/PR15: baseline and improved forecasts over the latest 26 weeks.")
+_table_query("ai_anomaly_catalog", "ai_anomaly_catalog", S.AI_ANOMALY_CATALOG,
+             doc="FC12/AG11/SRC2: anomaly catalog with calendar-derived windows.")
+_table_query("product_review_staging", "product_review_staging", S.PRODUCT_REVIEW_STAGING,
+             doc="FC13/TK1/SC7: deterministic bounded review sample with prompts.")
+_table_query("service_case_staging", "service_case_staging", S.SERVICE_CASE_STAGING,
+             doc="FC14/TK1/SC7: deterministic bounded service-case sample with prompts.")
+_table_query("replenishment_order", "replenishment_order", S.REPLENISHMENT_ORDER,
+             doc="FC16/PR10/PR11/TK2/SC11: low-stock suggestions at the latest snapshot.")
+_table_query("forecast_override", "forecast_override", S.FORECAST_OVERRIDE,
+             doc="FC17/TK2/SC11: planner overrides of the improved forecast.")
+
+
+@register("inventory_snapshot_by_period", with_star(*facts_sql.ALL) + """
+SELECT date_sk, COUNT(*) AS cells, CAST(SUM(on_hand_qty) AS BIGINT) AS on_hand_qty,
+       CAST(SUM(on_order_qty) AS BIGINT) AS on_order_qty, CAST(SUM(in_transit_qty) AS BIGINT) AS in_transit_qty,
+       CAST(SUM(reserved_qty) AS BIGINT) AS reserved_qty, CAST(SUM(available_qty) AS BIGINT) AS available_qty,
+       CAST(SUM(safety_stock_qty) AS BIGINT) AS safety_stock_qty, CAST(SUM(reorder_point) AS BIGINT) AS reorder_point,
+       CAST(SUM(on_hand_retail_value) AS DOUBLE) AS on_hand_retail_value,
+       CAST(SUM(on_hand_cost_value) AS DOUBLE) AS on_hand_cost_value,
+       CAST(SUM(days_of_supply) AS DOUBLE) AS days_of_supply,
+       COUNT(*) FILTER (WHERE is_out_of_stock) AS out_of_stock_cells
+FROM fact_inventory_snapshot GROUP BY date_sk""")
+def inventory_snapshot_by_period(w):
+    """FC2/JN8/JN9/AG3/AG4: every snapshot column rolled up per period-end (2.4M cells at sf0.01)."""
+    s = w.fact_inventory_snapshot
+    sums = ["on_hand_qty", "on_order_qty", "in_transit_qty", "reserved_qty", "available_qty", "safety_stock_qty",
+            "reorder_point"]
+    return s.groupBy("date_sk").agg(
+        F.count(F.lit(1)).alias("cells"),
+        *[F.sum(c).cast("long").alias(c) for c in sums],
+        *[F.sum(c).alias(c) for c in ("on_hand_retail_value", "on_hand_cost_value", "days_of_supply")],
+        F.count(F.when(F.col("is_out_of_stock"), 1)).alias("out_of_stock_cells"),
+    )
+
+
+@register("budget_plan_by_period", with_star(*facts_sql.ALL) + """
+SELECT fiscal_year, fiscal_period, gl_account_sk, plan_version, COUNT(*) AS lines,
+       CAST(SUM(plan_amount) AS DOUBLE) AS plan_amount, CAST(SUM(plan_units) AS BIGINT) AS plan_units,
+       COUNT(DISTINCT store_sk) AS stores
+FROM fact_budget_plan GROUP BY ALL""")
+def budget_plan_by_period(w):
+    """FC9/JN5/RS5: budget lines rolled up per period x account x version."""
+    return w.fact_budget_plan.groupBy("fiscal_year", "fiscal_period", "gl_account_sk", "plan_version").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("plan_amount").alias("plan_amount"),
+        F.sum("plan_units").cast("long").alias("plan_units"), F.countDistinct("store_sk").alias("stores"))
+
+
+@register("dim_product_attributes", with_star() + """
+SELECT product_sk, sku, product_name, brand_id, brand_name, division_id, division_name, department_id,
+       department_name, category_id, category_name, subcategory_id, subcategory_name, primary_vendor_sk,
+       private_label_flag, is_marketplace, size, CAST(list_price AS DOUBLE) AS list_price,
+       CAST(standard_cost AS DOUBLE) AS standard_cost
+FROM dim_product""")
+def dim_product_attributes(w):
+    """DM7/JN3/SC1/SC4/FN12: product dimension with taxonomy, keys and prices."""
+    return w.dim_product.select(
+        "product_sk", "sku", "product_name", "brand_id", "brand_name", "division_id", "division_name",
+        "department_id", "department_name", "category_id", "category_name", "subcategory_id", "subcategory_name",
+        "primary_vendor_sk", "private_label_flag", "is_marketplace", "size", "list_price", "standard_cost")
+
+
+@register("dim_store_attributes", with_star() + """
+SELECT store_sk, store_id, store_name, store_format, region_id, region_name, district_id, district_name, state,
+       square_footage FROM dim_store""")
+def dim_store_attributes(w):
+    """DM2/FN2/SC1: store dimension from supplier x nation x region."""
+    return w.dim_store.select("store_sk", "store_id", "store_name", "store_format", "region_id", "region_name",
+                              "district_id", "district_name", "state", "square_footage")
+
+
+@register("dim_customer_attributes", with_star() + """
+SELECT customer_sk, customer_type, state, loyalty_member_flag, loyalty_tier, segment FROM dim_customer""")
+def dim_customer_attributes(w):
+    """DM6/FN6/SC14: customer dimension with keyed loyalty membership and tier."""
+    return w.dim_customer.select("customer_sk", "customer_type", "state", "loyalty_member_flag", "loyalty_tier",
+                                 "segment")
+
+
+@register("dim_promotion_attributes", with_star() + """
+SELECT promotion_sk, promo_type, funding_source FROM dim_promotion""")
+def dim_promotion_attributes(w):
+    """DM4: one promotion per distinct discount rate."""
+    return w.dim_promotion.select("promotion_sk", "promo_type", "funding_source")
