@@ -156,3 +156,28 @@ SELECT promotion_sk, promo_type, funding_source FROM dim_promotion""")
 def dim_promotion_attributes(w):
     """DM4: one promotion per distinct discount rate."""
     return w.dim_promotion.select("promotion_sk", "promo_type", "funding_source")
+
+
+# --------------------------------------------------------------- datasets
+from ..oracle import datasets_sql as D  # noqa: E402
+from . import datasets as ds  # noqa: E402
+
+for _name, _fn, _sql in (
+    ("sales_performance", ds.sales_performance, D.SALES_PERFORMANCE),
+    ("inventory_position", ds.inventory_position, D.INVENTORY_POSITION),
+    ("sales_inventory_bridge", ds.bridge, D.BRIDGE),
+    ("lost_sales_risk", ds.lost_sales, D.LOST_SALES),
+    ("takeaway_prompt", ds.takeaway_prompt, D.TAKEAWAY),
+    ("kpi_counters", ds.kpis, D.KPIS),
+    ("net_sales_trend", ds.sales_trend, D.SALES_TREND),
+    ("net_sales_by_department", ds.net_sales_by_department, D.NET_SALES_BY_DEPARTMENT),
+    ("oos_by_region", ds.oos_by_region, D.OOS_BY_REGION),
+    ("category_hierarchy", ds.hierarchy_matrix, D.HIERARCHY),
+    ("forecast_series", ds.forecast_series, D.FORECAST_SERIES),
+    ("forecast_summary", ds.forecast_summary, D.FORECAST_SUMMARY),
+    ("forecast_pivot", ds.forecast_pivot, D.FORECAST_PIVOT),
+    ("forecast_product_picker", ds.product_picker, D.PRODUCT_PICKER),
+    ("forecast_week_bounds", ds.week_bounds, D.WEEK_BOUNDS),
+    ("overrides_page", ds.overrides_page, D.OVERRIDES_PAGE),
+):
+    register(_name, _sql)(_fn)
