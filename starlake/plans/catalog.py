@@ -181,3 +181,16 @@ for _name, _fn, _sql in (
     ("overrides_page", ds.overrides_page, D.OVERRIDES_PAGE),
 ):
     register(_name, _sql)(_fn)
+
+
+# ----------------------------------------------------------------- checks
+from ..operators.checks import integrity_report as _integrity  # noqa: E402
+from ..oracle.checks_sql import INTEGRITY_REPORT  # noqa: E402
+
+
+@register("integrity_report", INTEGRITY_REPORT)
+def integrity_report(w):
+    """CHK1-CHK17/SEM6-SEM8: keys, orphans, measure identities, tie-outs over the whole warehouse."""
+    w.pin("dim_date", "dim_product", "dim_store", "dim_customer", "fact_sales_line", "fact_returns",
+          "fact_inventory_movement", "fact_inventory_snapshot", "fact_gl_actuals", "fact_sales_forecast")
+    return _integrity(w.frames)

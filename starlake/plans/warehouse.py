@@ -12,6 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from ..session import ensure_checkpoint_dir
 from ..sources.star import Star
 from . import ai, facts, finance, ops
 
@@ -51,6 +52,18 @@ class Warehouse(Star):
     def frames(self) -> Frames:
         return Frames(self)
 
+    def pin(self, *names: str) -> "Warehouse":
+        """SRC5: materialize tables once (reliable checkpoint in ``spark.checkpoint.dir``).
+
+        Later tables derived from a pinned one read the checkpoint instead of
+        recomputing its lineage; a lost executor re-reads the files rather than
+        replaying the whole derivation. Pin in dependency order.
+        """
+        ensure_checkpoint_dir(self.spark)
+        for name in names:
+            self.__dict__[name] = getattr(self, name).checkpoint(eager=True)
+        return self
+
     # finance dims (literal tables)
     @cached_property
     def dim_gl_account(self) -> DataFrame:
