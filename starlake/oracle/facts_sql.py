@@ -13,7 +13,7 @@ from ..plans.ops import NUM_OVERRIDES, NUM_REPLEN, OVERRIDE_REASONS, PLANNERS, R
 from .sqlfn import bnd, bounded_by, id64, pct, pick, sk, u, weighted
 
 K = ["transaction_id", "line_number"]
-MAXD = "(SELECT max(date) FROM dim_date)"
+MAXD = "(SELECT max(date) FROM sales_cal)"
 
 
 def _shift(date: str, lag: str) -> str:
@@ -32,7 +32,7 @@ fact_returns AS (
          CAST(CAST((2 * CAST(net_sales_amount * 100 AS BIGINT) * {bounded_by(K, 'rq', 'quantity')} + quantity)
                    // (2 * CAST(quantity AS BIGINT)) AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS refund_amount,
          {u(K, 'fraud')} < 0.02 AS is_fraud_suspected
-  FROM fact_sales_line s JOIN dim_date d USING (date_sk)
+  FROM fact_sales_line s JOIN sales_cal d USING (date_sk)
   WHERE {u(K, 'ret')} < 0.08
 ),
 fact_returns_f AS (
@@ -51,7 +51,7 @@ fact_fulfillment AS (
          {_shift('d.date', bnd(K, 'sl', 0, 3) + ' + ' + bnd(K, 'dl', 1, 6))} AS delivery_date_sk,
          CASE WHEN {pick(FULFILLMENT_TYPES, K, 'ft')} IN ('BOPIS', 'Curbside') THEN CAST(0 AS DECIMAL(18,2))
               ELSE CAST(round(4.99 + {u(K, 'sc')} * 10, 2) AS DECIMAL(18,2)) END AS shipping_cost
-  FROM fact_sales_line s JOIN dim_date d USING (date_sk)
+  FROM fact_sales_line s JOIN sales_cal d USING (date_sk)
   WHERE channel_sk IN (2, 3, 4)
 ),
 fact_fulfillment_f AS (SELECT *, delivery_date_sk <= promised_date_sk AS sla_met_flag FROM fact_fulfillment)"""
@@ -74,7 +74,7 @@ loy_events AS (
          CASE {bnd(_LK, 'ekind', 0, 2)} WHEN 0 THEN 'Redeem' WHEN 1 THEN 'Expire' ELSE 'Adjust' END,
          CAST(CASE {bnd(_LK, 'ekind', 0, 2)} WHEN 0 THEN -least(points, 500)
               WHEN 1 THEN -floor(points * 0.25) ELSE {bnd(_LK, 'adj', -50, 50)} END AS BIGINT)
-  FROM receipts JOIN dim_date d USING (date_sk)
+  FROM receipts JOIN sales_cal d USING (date_sk)
   WHERE {u(_LK, 'extra')} < 0.15
 ),
 loy_ids AS (
@@ -94,12 +94,12 @@ _CELL = ["store_sk", "product_sk", "date_sk"]
 SNAPSHOT = f"""
 periods AS (
   SELECT date_sk, fiscal_year, fiscal_period, fiscal_week, CAST(fiscal_year * 12 + fiscal_period - 1 AS INTEGER) AS pidx
-  FROM dim_date
+  FROM sales_cal
 ),
 pe AS (
   SELECT fiscal_year, fiscal_period, max(date_sk) AS period_end_date_sk, max(fiscal_week) AS period_max_week,
          CAST(fiscal_year * 12 + fiscal_period - 1 AS INTEGER) AS pidx
-  FROM dim_date GROUP BY fiscal_year, fiscal_period
+  FROM sales_cal GROUP BY fiscal_year, fiscal_period
 ),
 sp AS (SELECT s.store_sk, s.product_sk, s.quantity, p.pidx FROM fact_sales_line s JOIN periods p USING (date_sk)),
 seasonal AS (
@@ -110,7 +110,7 @@ pairs AS (
   SELECT store_sk, product_sk, CAST(SUM(quantity) AS BIGINT) AS units, min(pidx) AS first_pidx
   FROM sp GROUP BY store_sk, product_sk
 ),
-nd AS (SELECT CAST(count(*) AS BIGINT) AS nd FROM dim_date),
+nd AS (SELECT CAST(count(*) AS BIGINT) AS nd FROM sales_cal),
 grid AS (
   SELECT g.store_sk, g.product_sk, g.units, pe.period_end_date_sk AS date_sk, seasonal.season,
          p.list_price, p.standard_cost AS unit_cost, nd.nd AS _nd, g.units * 20 < nd.nd AS slow
@@ -286,20 +286,20 @@ FORECAST = f"""
 wc AS (
   SELECT fiscal_year, fiscal_week, max(date_sk) AS date_sk, max(fiscal_period) AS fiscal_period,
          bool_or(selling_season = 'Holiday') AS is_holiday_week
-  FROM dim_date GROUP BY fiscal_year, fiscal_week
+  FROM sales_cal GROUP BY fiscal_year, fiscal_week
 ),
 weekly AS (
   SELECT product_sk, store_sk, d.fiscal_year, d.fiscal_week, CAST(SUM(quantity) AS BIGINT) AS actual_qty,
          CAST(SUM(net_sales_amount) AS DECIMAL(18,2)) AS actual_net
-  FROM fact_sales_line s JOIN dim_date d USING (date_sk) GROUP BY ALL
+  FROM fact_sales_line s JOIN sales_cal d USING (date_sk) GROUP BY ALL
 ),
 fweeks AS (
   SELECT DISTINCT fiscal_year, fiscal_week FROM weekly ORDER BY fiscal_year DESC, fiscal_week DESC LIMIT {HORIZON_WEEKS}
 ),
 fbase AS (
   SELECT w.*, wc.date_sk, wc.fiscal_period, wc.is_holiday_week,
-         CASE WHEN is_holiday_week AND w.fiscal_year = (SELECT max(fiscal_year) FROM dim_date) THEN 0.6
-              WHEN wc.fiscal_period = {SUPPLY_PERIOD} AND w.fiscal_year = (SELECT max(fiscal_year) FROM dim_date)
+         CASE WHEN is_holiday_week AND w.fiscal_year = (SELECT max(fiscal_year) FROM sales_cal) THEN 0.6
+              WHEN wc.fiscal_period = {SUPPLY_PERIOD} AND w.fiscal_year = (SELECT max(fiscal_year) FROM sales_cal)
                    AND {pct(['product_sk'], 'supply_band', 25)} THEN 1.4 ELSE 1.0 END AS _mult,
          {u(_BK, 'bias')} * 0.10 - 0.05 AS _bias
   FROM weekly w JOIN fweeks USING (fiscal_year, fiscal_week) JOIN wc USING (fiscal_year, fiscal_week)
@@ -319,7 +319,7 @@ fact_sales_forecast AS (
          CAST(round(forecast_qty * 0.85, 2) AS DECIMAL(18,2)) AS lower_bound,
          CAST(round(forecast_qty * 1.15, 2) AS DECIMAL(18,2)) AS upper_bound,
          CASE WHEN forecast_version = 'baseline' THEN 'seasonal_naive_v1' ELSE 'gbt_v2' END AS model_name,
-         (SELECT max(date) FROM dim_date) AS forecast_generated_date
+         (SELECT max(date) FROM sales_cal) AS forecast_generated_date
   FROM fv
 )"""
 
@@ -333,11 +333,11 @@ _REV = ["transaction_id", "line_number"]
 AI = f"""
 anom_rows AS ({_ANOM}),
 anom_win AS (
-  SELECT 'holiday' AS win, min(date_sk) AS start_date_sk, max(date_sk) AS end_date_sk FROM dim_date
-  WHERE fiscal_year = (SELECT max(fiscal_year) FROM dim_date) AND selling_season = 'Holiday'
+  SELECT 'holiday' AS win, min(date_sk) AS start_date_sk, max(date_sk) AS end_date_sk FROM sales_cal
+  WHERE fiscal_year = (SELECT max(fiscal_year) FROM sales_cal) AND selling_season = 'Holiday'
   UNION ALL
-  SELECT 'supply', min(date_sk), max(date_sk) FROM dim_date
-  WHERE fiscal_year = (SELECT max(fiscal_year) FROM dim_date) AND fiscal_period = {SUPPLY_PERIOD}
+  SELECT 'supply', min(date_sk), max(date_sk) FROM sales_cal
+  WHERE fiscal_year = (SELECT max(fiscal_year) FROM sales_cal) AND fiscal_period = {SUPPLY_PERIOD}
 ),
 ai_anomaly_catalog AS (
   SELECT anomaly_id, anomaly_type, description, start_date_sk, end_date_sk, affected_dimension, expected_signal,
@@ -397,7 +397,7 @@ replen_cand AS (
 replen0 AS (
   SELECT c.*, d.date, CAST(greatest(reorder_point + safety_stock_qty - available_qty, 0) AS INTEGER) AS suggested_qty,
          {weighted(u(_RK, 'status'), [s for s, _ in REPLEN_STATUSES], [w for _, w in REPLEN_STATUSES])} AS status
-  FROM replen_cand c JOIN dim_date d USING (date_sk)
+  FROM replen_cand c JOIN sales_cal d USING (date_sk)
 ),
 replenishment_order AS (
   SELECT {id64(['product_sk', 'store_sk', 'date_sk'], 'replen')} AS replen_id, product_sk, store_sk, suggested_qty,
@@ -422,7 +422,7 @@ forecast_override AS (
                   CAST(0 AS DECIMAL(18,2))) AS override_qty,
          {pick(OVERRIDE_REASONS, _OK, 'reason')} AS override_reason, {pick(PLANNERS, _OK, 'planner')} AS planner_id,
          CAST(d.date AS TIMESTAMP) AS created_at, CAST(d.date AS TIMESTAMP) + INTERVAL 1 DAY AS updated_at
-  FROM ovr_cand JOIN dim_date d USING (date_sk)
+  FROM ovr_cand JOIN sales_cal d USING (date_sk)
 )"""
 
 ALL = [RETURNS, FULFILLMENT, LOYALTY, SNAPSHOT, GL, VALUATION, FORECAST, AI, OPS]

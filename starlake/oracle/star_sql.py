@@ -34,10 +34,17 @@ _SEASON = " ".join(
 )
 
 DIM_DATE = f"""
+hist AS (
+  SELECT (SELECT make_date(CAST(year(min(o_orderdate)) AS BIGINT), 1, 1) FROM orders) AS hs,
+         (SELECT make_date(CAST(year(max(l_shipdate)) AS BIGINT), 12, 31) FROM lineitem) AS he
+),
 dd_days AS (
+  SELECT CAST(unnest(generate_series(CAST((SELECT hs FROM hist) AS TIMESTAMP), CAST((SELECT he FROM hist) AS TIMESTAMP),
+    INTERVAL 1 DAY)) AS DATE) AS d
+  UNION
   SELECT CAST(unnest(generate_series(
-    CAST((SELECT make_date(CAST(year(min(o_orderdate)) AS BIGINT), 1, 1) FROM orders) AS TIMESTAMP),
-    CAST((SELECT make_date(CAST(year(max(l_shipdate)) AS BIGINT), 12, 31) FROM lineitem) AS TIMESTAMP),
+    CAST((SELECT make_date(CAST(year(min(ts)) AS BIGINT), 1, 1) FROM events) AS TIMESTAMP),
+    CAST((SELECT make_date(CAST(year(max(ts)) AS BIGINT), 12, 31) FROM events) AS TIMESTAMP),
     INTERVAL 1 DAY)) AS DATE) AS d
 ),
 dd_fy AS (
@@ -79,7 +86,8 @@ dim_date AS (
          fiscal_period, CAST((fiscal_period - 1) // 3 + 1 AS INTEGER) AS fiscal_quarter, is_weekend,
          holiday_name IS NOT NULL AS is_holiday, holiday_name, selling_season
   FROM dim_date0
-)"""
+),
+sales_cal AS (SELECT * FROM dim_date WHERE date BETWEEN (SELECT hs FROM hist) AND (SELECT he FROM hist))"""
 
 _TAX = " UNION ALL ".join(f"SELECT '{c}' AS p_type, '{d}' AS department_name, '{v}' AS division_name"
                           for c, d, v in TAXONOMY)

@@ -27,7 +27,7 @@ def _latest_snapshot_date(w):
 
 
 def _latest_fy(w):
-    return w.fact_sales_line.join(w.dim_date, "date_sk").agg(F.max("fiscal_year")).scalar()
+    return w.fact_sales_line.join(w.sales_calendar, "date_sk").agg(F.max("fiscal_year")).scalar()
 
 
 def sales_performance(w, where: str | None = None) -> DataFrame:
@@ -78,7 +78,7 @@ def bridge(w) -> DataFrame:
 def lost_sales(w, top: int = 25) -> DataFrame:
     """DS4: categories with high out-of-stock and high velocity in the latest period (top 25)."""
     fy = _latest_fy(w)
-    fp = w.fact_sales_line.join(w.dim_date, "date_sk").filter(F.col("fiscal_year") == fy) \
+    fp = w.fact_sales_line.join(w.sales_calendar, "date_sk").filter(F.col("fiscal_year") == fy) \
         .agg(F.max("fiscal_period")).scalar()
     s = compile_query(MV_SALES, w.frames, CAT, ["units", "net_sales"],
                       where_col=(F.col("fiscal_year") == fy) & (F.col("fiscal_period") == fp))

@@ -76,27 +76,27 @@ class Warehouse(Star):
     # core derived facts
     @cached_property
     def fact_returns(self) -> DataFrame:
-        return facts.build_fact_returns(self.fact_sales_line, self.dim_date, family=self.family)
+        return facts.build_fact_returns(self.fact_sales_line, self.sales_calendar, family=self.family)
 
     @cached_property
     def fact_fulfillment(self) -> DataFrame:
-        return facts.build_fact_fulfillment(self.fact_sales_line, self.dim_date, family=self.family)
+        return facts.build_fact_fulfillment(self.fact_sales_line, self.sales_calendar, family=self.family)
 
     @cached_property
     def fact_loyalty_activity(self) -> DataFrame:
-        return facts.build_fact_loyalty_activity(self.fact_sales_line, self.dim_customer, self.dim_date,
+        return facts.build_fact_loyalty_activity(self.fact_sales_line, self.dim_customer, self.sales_calendar,
                                                  family=self.family)
 
     @cached_property
     def fact_inventory_snapshot(self) -> DataFrame:
-        return facts.build_fact_inventory_snapshot(self.fact_sales_line, self.dim_product, self.dim_date,
+        return facts.build_fact_inventory_snapshot(self.fact_sales_line, self.dim_product, self.sales_calendar,
                                                    family=self.family)
 
     # finance
     @cached_property
     def fact_gl_actuals(self) -> DataFrame:
         return finance.build_fact_gl_actuals(
-            self.fact_sales_line, self.fact_returns, self.fact_inventory_movement, self.dim_date,
+            self.fact_sales_line, self.fact_returns, self.fact_inventory_movement, self.sales_calendar,
             self.dim_gl_account, self.dim_department, family=self.family)
 
     @cached_property
@@ -106,16 +106,16 @@ class Warehouse(Star):
     @cached_property
     def fact_inventory_valuation(self) -> DataFrame:
         return finance.build_fact_inventory_valuation(self.fact_inventory_snapshot, self.fact_sales_line,
-                                                      self.dim_product, self.dim_date)
+                                                      self.dim_product, self.sales_calendar)
 
     # ai
     @cached_property
     def fact_sales_forecast(self) -> DataFrame:
-        return ai.build_fact_sales_forecast(self.fact_sales_line, self.dim_date, family=self.family)
+        return ai.build_fact_sales_forecast(self.fact_sales_line, self.sales_calendar, family=self.family)
 
     @cached_property
     def ai_anomaly_catalog(self) -> DataFrame:
-        return ai.build_anomaly_catalog(self.spark, self.dim_date)
+        return ai.build_anomaly_catalog(self.spark, self.sales_calendar)
 
     @cached_property
     def product_review_staging(self) -> DataFrame:
@@ -128,8 +128,8 @@ class Warehouse(Star):
     # ops
     @cached_property
     def replenishment_order(self) -> DataFrame:
-        return ops.build_replenishment_order(self.fact_inventory_snapshot, self.dim_date, family=self.family)
+        return ops.build_replenishment_order(self.fact_inventory_snapshot, self.sales_calendar, family=self.family)
 
     @cached_property
     def forecast_override(self) -> DataFrame:
-        return ops.build_forecast_override(self.fact_sales_forecast, self.dim_date, family=self.family)
+        return ops.build_forecast_override(self.fact_sales_forecast, self.sales_calendar, family=self.family)

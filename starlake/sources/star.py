@@ -89,12 +89,25 @@ class Star:
 
     # ------------------------------------------------------------------ dims
     @cached_property
-    def dim_date(self) -> DataFrame:
-        """DM8/CAL7: contiguous calendar covering every order and ship date."""
+    def history_bounds(self) -> DataFrame:
+        """One row: first and last day of the sales history (whole calendar years)."""
         start = self.t("orders").agg(F.make_date(F.year(F.min("o_orderdate")), F.lit(1), F.lit(1))).scalar()
         end = self.t("lineitem").agg(F.make_date(F.year(F.max("l_shipdate")), F.lit(12), F.lit(31))).scalar()
-        bounds = self.spark.range(1).select(start.alias("start"), end.alias("end"))
-        return cal.date_attributes(cal.day_range(bounds))
+        return self.spark.range(1).select(start.alias("start"), end.alias("end"))
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        """DM8/CAL7: calendar days covering the sales history and the click-event years."""
+        ev = self.t("events").agg(F.make_date(F.year(F.min("ts")), F.lit(1), F.lit(1)).alias("start"),
+                                  F.make_date(F.year(F.max("ts")), F.lit(12), F.lit(31)).alias("end"))
+        days = cal.day_range(self.history_bounds).unionByName(cal.day_range(ev)).distinct()
+        return cal.date_attributes(days)
+
+    @cached_property
+    def sales_calendar(self) -> DataFrame:
+        """The contiguous sales-history part of the calendar (periods, clamps, latest year)."""
+        b = self.history_bounds
+        return self.dim_date.filter(F.col("date").between(b.select("start").scalar(), b.select("end").scalar()))
 
     @cached_property
     def max_date(self):
