@@ -23,6 +23,8 @@ def _d(x):
 
 
 def _latest_snapshot_date(w):
+    if hasattr(w, "latest_snapshot_date_sk"):
+        return sk_to_date(w.latest_snapshot_date_sk)
     return sk_to_date(w.fact_inventory_snapshot.agg(F.max("date_sk")).scalar())
 
 

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..sources.star import Star
@@ -64,6 +65,17 @@ class Warehouse(Star):
             self.__dict__[name] = getattr(self, name).checkpoint(eager=True)
         return self
 
+    @cached_property
+    def latest_snapshot_date_sk(self):
+        """Scalar: the snapshot's latest period-end.
+
+        Every carried (store, SKU) pair runs to the calendar's last period, so the
+        latest snapshot date is the last day of the sales calendar: a scalar over
+        the small calendar instead of a scan of the whole snapshot, and an equality
+        filter Catalyst pushes into the snapshot's period join.
+        """
+        return self.sales_calendar.agg(F.max("date_sk")).scalar()
+
     # finance dims (literal tables)
     @cached_property
     def dim_gl_account(self) -> DataFrame:
@@ -128,7 +140,8 @@ class Warehouse(Star):
     # ops
     @cached_property
     def replenishment_order(self) -> DataFrame:
-        return ops.build_replenishment_order(self.fact_inventory_snapshot, self.sales_calendar, family=self.family)
+        return ops.build_replenishment_order(self.fact_inventory_snapshot, self.sales_calendar, family=self.family,
+                                             latest=self.latest_snapshot_date_sk)
 
     @cached_property
     def forecast_override(self) -> DataFrame:

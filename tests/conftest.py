@@ -10,8 +10,11 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from starlake.session import local_session
-    s = local_session("*", app="starlake-tests", extra={"spark.sql.shuffle.partitions": "8"})
+    wh_dir = tempfile.mkdtemp(prefix="starlake-warehouse-")
+    s = local_session("*", app="starlake-tests", extra={"spark.sql.shuffle.partitions": "8",
+                                                        "spark.sql.warehouse.dir": wh_dir})
     yield s
     s.stop()
 
