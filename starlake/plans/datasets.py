@@ -32,6 +32,20 @@ def _latest_fy(w):
     return w.fact_sales_line.join(w.sales_calendar, "date_sk").agg(F.max("fiscal_year")).scalar()
 
 
+def _latest_frames(w):
+    """Frames whose snapshot is already restricted to the latest period-end.
+
+    The equality on ``date_sk`` sits directly on the snapshot, so Catalyst pushes
+    it into the snapshot's period join and only the latest period's cells are
+    ever drawn; the dimension-level filter stays as the semantic definition.
+    """
+    from .warehouse import Frames
+    if not hasattr(w, "latest_snapshot_date_sk"):
+        return w.frames
+    snap = w.fact_inventory_snapshot.filter(F.col("date_sk") == w.latest_snapshot_date_sk)
+    return Frames(w, {"fact_inventory_snapshot": snap})
+
+
 def sales_performance(w, where: str | None = None) -> DataFrame:
     """DS1: eight measures by year, quarter, period, division, department, category, region, channel type."""
     return compile_query(
@@ -45,7 +59,7 @@ def sales_performance(w, where: str | None = None) -> DataFrame:
 def inventory_position(w, where: str | None = None) -> DataFrame:
     """DS2: latest snapshot only (stock is never summed over dates)."""
     return compile_query(
-        MV_INVENTORY, w.frames, ["division", "department", "category", "region"],
+        MV_INVENTORY, _latest_frames(w), ["division", "department", "category", "region"],
         ["on_hand_qty", "on_hand_cost_value", "on_hand_retail_value", "out_of_stock_rate", "avg_days_of_supply",
          "sku_count"],
         where=where, where_col=F.col("date") == _latest_snapshot_date(w))
@@ -55,7 +69,7 @@ def bridge(w) -> DataFrame:
     """DS3: latest-fiscal-year sales flow x current inventory at category grain, with chain indices."""
     s = compile_query(MV_SALES, w.frames, CAT, ["net_sales", "gross_margin", "gross_margin_pct", "units", "cogs"],
                       where_col=F.col("fiscal_year") == _latest_fy(w))
-    i = compile_query(MV_INVENTORY, w.frames, CAT, ["on_hand_qty", "on_hand_cost_value", "out_of_stock_rate"],
+    i = compile_query(MV_INVENTORY, _latest_frames(w), CAT, ["on_hand_qty", "on_hand_cost_value", "out_of_stock_rate"],
                       where_col=F.col("date") == _latest_snapshot_date(w))
     j = s.join(i, CAT, "left")
     j = j.withColumns({
@@ -84,7 +98,7 @@ def lost_sales(w, top: int = 25) -> DataFrame:
         .agg(F.max("fiscal_period")).scalar()
     s = compile_query(MV_SALES, w.frames, CAT, ["units", "net_sales"],
                       where_col=(F.col("fiscal_year") == fy) & (F.col("fiscal_period") == fp))
-    i = compile_query(MV_INVENTORY, w.frames, CAT, ["out_of_stock_rate"],
+    i = compile_query(MV_INVENTORY, _latest_frames(w), CAT, ["out_of_stock_rate"],
                       where_col=F.col("date") == _latest_snapshot_date(w))
     j = s.join(i, CAT)
     return (j.withColumn("risk_score", F.col("out_of_stock_rate") * _d("units"))
