@@ -3,10 +3,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import secrets, simhash
 from .common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,28 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return run
 
 
+def _spans_sha(spans: Column) -> Column:
+    return F.sha2(F.array_join(spans, ","), 256)
+
+
+def _span_strings(found: str | Column) -> Column:
+    return F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"]))
+
+
+def _count_kind(found: str, kind: str) -> Column:
+    return F.size(F.filter(found, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@register
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, each distinct text scanned once through a new ledger."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.BASE]
+    return found.select("doc_id", *[_count_kind("found", k) for k in base],
+                        _spans_sha(_span_strings(F.filter("found", lambda x: x["kind"].isin(base)))).alias("base_sha256"),
+                        F.array_join(_span_strings("found"), ",").alias("spans"))
+
+
 @register
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents: 3-word shingles, links at 3 bits or fewer."""
