@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, secrets, simhash
+from . import decontam, packing, quality, secrets, simhash
 from .common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,13 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(_span_strings("found"), ",").alias("spans"))
 
 
+@register
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, tail probability and selection of every document, by a model fitted on ``labels``."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, quality.ratings(table(spark, sf_dir, "labels"))))
+
+
 @register
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents: 3-word shingles, links at 3 bits or fewer."""
@@ -57,3 +64,9 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of all documents that are copies, edited ones included, of a benchmark item."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
