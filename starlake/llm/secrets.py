@@ -114,7 +114,7 @@ def scan(versions: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     update_ledger(versions, text_col, path, rules)
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.key), F.lit(i))])
     kind = F.create_map(*[x for r in rules for x in (F.lit(r.key), F.lit(r.kind))])
-    known = (read_ledger(spark, path).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"))
+    known = cut(read_ledger(spark, path).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"))
              .withColumn("found", F.filter("found", lambda x: x["rule"].isin([r.key for r in rules])))
              .where(F.size("found") > 0)
              .withColumn("found", F.array_sort(F.transform("found", lambda x: F.struct(
