@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, packing, quality, secrets, simhash
+from . import decontam, embed, packing, quality, secrets, simhash
 from .common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return run
 
 
+@register
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.95."""
+    return embed.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 def _spans_sha(spans: Column) -> Column:
     return F.sha2(F.array_join(spans, ","), 256)
 
