@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embed, packing, quality, secrets, simhash
+from . import decontam, embed, packing, pii, quality, secrets, simhash
 from .common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,15 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@register
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents, and the terms that reveal it by corpus co-occurrence."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[_count_kind("found", k) for k in pii.KINDS],
+                        _spans_sha(_span_strings(F.filter("found", lambda x: x["kind"].isin(*pii.KINDS)))).alias("base_sha256"),
+                        F.array_join(_span_strings("found"), ",").alias("spans"))
+
+
 @register
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
