@@ -121,10 +121,10 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     one longer than ``capacity`` is cut, into full pieces and a last one that may be shorter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
-        for b in text_slices(batches, 1, 8 << 20):
+        for b in text_slices(batches, 1):
             row, piece, start, size, crc, parts = [], [], [], [], [], []
-            for i, text in enumerate(b.column(1).to_pylist()):
-                ids = np.append(encoder.ids(text or "").astype("<u4"), np.uint32(end_id))
+            for i, ids in enumerate(encoder.column(b.column(1))):
+                ids = np.append(ids.astype("<u4"), np.uint32(end_id))
                 for k, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at:at + capacity]
                     row.append(i)

@@ -4,64 +4,132 @@ from __future__ import annotations
 import base64
 
 import numpy as np
+import pyarrow as pa
+
+from .words import column_data, lower, segments, span_hashes, spans
 
 _WORD: dict[str, "WordEncoder"] = {}
 _BYTE: dict[str, "ByteEncoder"] = {}
 
 
+_INNER = np.ones(256, dtype=bool)  # what is not a space or a line feed
+_INNER[[10, 32]] = False
+_ASCII_LETTER = np.zeros(256, dtype=bool)
+_ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
+
+
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes are part of a letter of ASCII, Latin-1 or Latin Extended-A (less U+0130)."""
+    out = _ASCII_LETTER[data]
+    lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC5))
+    a, b = data[lead], data[lead + 1]
+    lead = lead[~((a == 0xC3) & ((b == 0x97) | (b == 0xB7))) & ~((a == 0xC4) & (b == 0xB0))]
+    out[lead] = out[lead + 1] = True
+    return out
+
+
 class WordEncoder:
     """Ids of a ``tokenizers`` file whose model sees each white-space word by itself.
 
     Texts are split at spaces and line feeds only (any other white space stays inside a word and is
     the tokenizer's business), each distinct word is encoded once, and a text's ids are its words' ids
-    in order. That equals encoding the whole text as long as the tokenizer drops white space and never
-    joins across it. The caches are emptied when full, so memory is bounded whatever the vocabulary.
+    in order. That equals encoding the whole text as long as the tokenizer lower-cases, drops white
+    space, never joins across it and keeps letters apart from what follows them. A plain word (letters,
+    and perhaps a comma or full stop after them) is looked up in lower case and its tail by itself;
+    new plain words are encoded as one line and told apart by the tokens that end a word. Words are
+    known by a 64-bit hash; the store is emptied when it holds ``limit`` words.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    END = "</w>"
+
+    def __init__(self, path: str, limit: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.dtype = np.dtype("<u2") if max(vocabulary.values()) < 1 << 16 else np.dtype("<u4")
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(self.END)]] = True
         self.limit = limit
-        self.words: dict[str, bytes] = {"": b""}
-        self.cores: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    @staticmethod
-    def _simple(word: str) -> tuple[str, str]:
-        """(core, tail): a plain Latin word in lower case and the comma or full stop after it, which
-        the tokenizer splits off and lower-cases anyway; other words stay as they are."""
-        core, tail = (word[:-1], word[-1]) if word[-1] in ",." else (word, "")
-        low = core.lower()
-        return (low, tail) if core.isalpha() and low.isalpha() and max(core) < "ƀ" else (word, "")
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > self.limit:
-            self.words = {"": b""}
-        if len(self.cores) > self.limit // 2:
-            self.cores = {}
-        split = {w: self._simple(w) for w in words}
-        new = list({part for pair in split.values() for part in pair if part and part not in self.cores})
-        self.cores.update(zip(new, self._encode(new)))
-        self.words.update((w, self.cores[core] + (self.cores[tail] if tail else b"")) for w, (core, tail) in split.items())
-
-    def ids(self, text: str) -> np.ndarray:
-        out = []
-        words = text.replace("\n", " ").split(" ")
-        for at in range(0, len(words), 1 << 16):
-            part = words[at:at + (1 << 16)]
-            try:
-                out.append(b"".join([self.words[w] for w in part]))
-            except KeyError:
-                distinct = set(part)
-                known = {w: self.words[w] for w in distinct if w in self.words}
-                self._learn(distinct - known.keys())
-                self.words.update(known)
-                out.append(b"".join([self.words[w] for w in part]))
-        return np.frombuffer(b"".join(out), dtype=self.dtype)
+        self.tails = self._any([",", "."])
+        self._reset()
+
+    def _reset(self) -> None:
+        self.slots: dict[int, int] = {}
+        self.pool = np.concatenate(self.tails)
+        self.first = np.array([0, *np.cumsum([len(t) for t in self.tails])], dtype=np.int64)  # slots 0, 1: the tails
+
+    def _any(self, words: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _plain(self, cores: list[str]) -> list[np.ndarray]:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+        last = np.flatnonzero(self.ends[ids]) + 1
+        if len(last) != len(cores) or last[-1] != len(ids):
+            return self._any(cores)
+        return np.split(ids, last[:-1])
+
+    def _learn(self, keys: list[int], parts: list[np.ndarray]) -> None:
+        at = len(self.first) - 1
+        self.slots.update(zip(keys, range(at, at + len(keys))))
+        size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(size)))
+        self.pool = np.concatenate((self.pool, *parts))
+
+    def _elements(self, data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, slot) of each word and tail of a segment, in order."""
+        start, end = spans(_INNER[data], breaks)
+        if not len(start):
+            return start, start
+        last = data[end - 1]
+        tail = ((last == 44) | (last == 46)) & (end - start > 1)
+        stop = end - tail
+        letters = np.concatenate(([0], np.cumsum(_letters(data), dtype=np.int32)))
+        plain = letters[stop] - letters[start] == stop - start
+        tail &= plain
+        stop = np.where(plain, stop, end)
+        low = lower(data)
+        key = span_hashes(low, start, stop)
+        other = np.flatnonzero(~plain)
+        if len(other):
+            key[other] = ~span_hashes(data, start, end)[other]
+        distinct, at, inverse = np.unique(key, return_index=True, return_inverse=True)
+        if len(self.slots) + len(distinct) > self.limit:
+            self._reset()
+        keys = distinct.tolist()
+        slot = np.array([self.slots.get(k, -1) for k in keys], dtype=np.int64)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            known = plain[at[new]]
+            for group, raw, encode in ((new[known], low, self._plain), (new[~known], data, self._any)):
+                if len(group):
+                    text = raw.tobytes()
+                    self._learn([keys[i] for i in group.tolist()],
+                                encode([text[i:j].decode() for i, j in zip(start[at[group]].tolist(), stop[at[group]].tolist())]))
+            slot[new] = [self.slots[keys[i]] for i in new.tolist()]
+        place = np.arange(len(start)) + np.cumsum(tail) - tail
+        out_start, out_slot = (np.empty(len(start) + int(tail.sum()), dtype=np.int64) for _ in range(2))
+        out_start[place], out_slot[place] = start, slot[inverse]
+        out_start[place[tail] + 1], out_slot[place[tail] + 1] = start[tail], np.where(last[tail] == 44, 0, 1)
+        return out_start, out_slot
+
+    def column(self, column: pa.Array) -> list[np.ndarray]:
+        """Ids of each row of a string column; null rows have none."""
+        data, offsets = column_data(column)
+        rows: list[list[np.ndarray]] = [[] for _ in range(len(column))]
+        for at, to, breaks in segments(data, offsets, _INNER):
+            start, slot = self._elements(data[at:to], breaks)
+            if not len(start):
+                continue
+            size = self.first[slot + 1] - self.first[slot]
+            total = np.cumsum(size)
+            ids = self.pool[np.repeat(self.first[slot] - (total - size), size) + np.arange(total[-1])]
+            row = np.searchsorted(offsets, start + at, side="right") - 1
+            edges = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1], [True])))
+            bounds = np.concatenate(([0], total))[edges]
+            for k, r in enumerate(row[edges[:-1]].tolist()):
+                rows[r].append(ids[bounds[k]:bounds[k + 1]])
+        return [np.concatenate(r) if r else np.zeros(0, dtype=self.dtype) for r in rows]
 
 
 class ByteEncoder:

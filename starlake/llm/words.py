@@ -6,6 +6,7 @@ and moved to exponent 0, so it does not depend on where the word stands.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,9 +19,10 @@ _POWERS: dict[str, np.ndarray] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS["up"]) < n:
+    if not _POWERS or len(_POWERS["up"]) <= n:
+        size = max(n, SEGMENT) + 1
         for name, base in (("up", BASE), ("down", INVERSE)):
-            steps = np.full(max(n, SEGMENT + 4096), base, dtype=np.uint64)
+            steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1
             _POWERS[name] = np.cumprod(steps)
     return _POWERS["up"], _POWERS["down"]
@@ -51,44 +53,66 @@ class Words:
         return seen[at] - seen[self.offsets[row]]
 
 
-def _segment(data: np.ndarray, breaks: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = len(data)
-    mask = _IS_WORD[data]
-    edge = np.zeros(n + 1, dtype=bool)
+def column_data(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all bytes of a string or binary column, each row's place in them); null rows are empty."""
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = column.fill_null(b"")
+    _, offs, values = column.buffers()
+    offsets = np.frombuffer(offs, dtype=np.int64)[column.offset: column.offset + len(column) + 1]
+    return np.frombuffer(values or b"", dtype=np.uint8)[offsets[0]: offsets[-1]], offsets - offsets[0]
+
+
+def segments(data: np.ndarray, offsets: np.ndarray, inner: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(from, to, row starts relative to from) of about SEGMENT bytes; ``inner`` says which bytes are
+    part of words, and no word is cut."""
+    at = 0
+    while at < len(data):
+        to = min(len(data), at + SEGMENT)
+        while to < len(data) and inner[data[to - 1]] and inner[data[to]]:
+            tail = ~inner[data[to: to + SEGMENT]]
+            to += int(tail.argmax()) if tail.any() else len(tail)
+        yield at, to, offsets[np.searchsorted(offsets, at): np.searchsorted(offsets, to, side="right")] - at
+        at = to
+
+
+def spans(inside: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the runs of ``inside`` bytes, also cut at ``breaks``."""
+    edge = np.zeros(len(inside) + 1, dtype=bool)
     edge[breaks] = True
-    edge[0] = edge[n] = True
-    start = np.flatnonzero(mask & (edge[:-1] | np.concatenate(([True], ~mask[:-1]))))
-    end = np.flatnonzero(mask & (edge[1:] | np.concatenate((~mask[1:], [True])))) + 1
+    edge[0] = edge[-1] = True
+    return (np.flatnonzero(inside & (edge[:-1] | np.concatenate(([True], ~inside[:-1])))),
+            np.flatnonzero(inside & (edge[1:] | np.concatenate((~inside[1:], [True])))) + 1)
+
+
+def lower(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z and the capitals of Latin-1 in lower case."""
     low = _LOWER[data]
     capital = np.concatenate(([False], data[:-1] == 0xC3)) & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
     low[capital] += 0x20
+    return low
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The 64-bit hash of each span of bytes."""
+    n = len(data)
     up, down = _powers(n)
     total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
     h = (total[end] - total[start]) * down[start]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    return start + base, end + base, h ^ (h >> np.uint64(32))
+    return h ^ (h >> np.uint64(32))
 
 
 def words(column: pa.Array) -> Words:
     """The words of a string or binary column; null rows have none."""
-    column = column.cast(pa.large_binary())
-    if column.null_count:
-        column = column.fill_null(b"")
-    _, offs, values = column.buffers()
-    offsets = np.frombuffer(offs, dtype=np.int64)[column.offset: column.offset + len(column) + 1]
-    data = np.frombuffer(values or b"", dtype=np.uint8)[offsets[0]: offsets[-1]]
-    offsets = offsets - offsets[0]
-    parts, at = [], 0
-    while at < len(data):
-        to = min(len(data), at + SEGMENT)
-        while to < len(data) and _IS_WORD[data[to - 1]] and _IS_WORD[data[to]]:
-            tail = ~_IS_WORD[data[to: to + SEGMENT]]
-            to += int(tail.argmax()) if tail.any() else len(tail)
-        inside = offsets[(offsets >= at) & (offsets <= to)] - at
-        parts.append(_segment(data[at:to], inside, at))
-        at = to
+    data, offsets = column_data(column)
+    parts = []
+    for at, to, breaks in segments(data, offsets, _IS_WORD):
+        part = data[at:to]
+        start, end = spans(_IS_WORD[part], breaks)
+        parts.append((start + at, end + at, span_hashes(lower(part), start, end)))
     if parts:
         start, end, h = (np.concatenate(x) for x in zip(*parts))
     else:
