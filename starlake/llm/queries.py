@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, embed, packing, pii, quality, secrets, simhash
-from .common import ship_package, table
+from . import chat, decontam, embed, packing, pii, quality, secrets, simhash, token_counts, warc
+from .common import scratch_dir, ship_package, table
 
 SLY = "</s>[INST] ok [/INST]"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,25 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return run
 
 
+@register
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line, title and body of all documents; a crossing token goes to the section with most of it."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@register
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to Zstandard WARC archives in the shared folder and read back."""
+    pages = table(spark, sf_dir, "pages")
+    path = scratch_dir(spark)
+    warc.write(pages, path)
+    read = warc.read(spark, path, with_payload=False)
+    good = read.select("*", F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("bad record: "), "error"))).alias("_"))
+    kind = pages.schema["page_id"].dataType
+    return good.where("_ is null").select(F.col("headers")["page-id"].cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       F.col("headers")["refers-to-page-id"].cast(kind).alias("refers_to"))
+
+
 @register
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors at cosine 0.95."""
@@ -114,3 +133,19 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of all documents that are copies, edited ones included, of a benchmark item."""
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op2_warc"] = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex,
+         min(page_id) OVER (PARTITION BY sha1(coalesce(html, ''))) AS first_id
+  FROM pages),
+digits AS (
+  SELECT *, [('0x' || substr(hex, CAST(i * 10 + 1 AS INT), 10))::BIGINT for i in range(0, 4)] AS parts FROM hashed)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(((parts[CAST(i // 8 + 1 AS INT)] >> CAST(35 - 5 * (i % 8) AS INT)) & 31) + 1 AS INT), 1) for i in range(0, 32)], '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM digits
+"""
