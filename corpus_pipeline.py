@@ -4,8 +4,8 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writ
 as Parquet to the shared folder and hands the reread table to the next stage. All stages but the last
 return the columns of ``documents``; a stage keeps whole rows, texts are changed by the secret scan only.
 
-Documents without a doc_id cannot be named in a stage's decisions, so they are kept by the stages that
-drop documents. Repeated rows of one doc_id are decided together: one of them is enough to drop or keep.
+The quality and decontamination stages decide row by row. The near-duplicate stage names documents by
+doc_id: rows without one stay, and rows that repeat the doc_id of the group's smallest stay together.
 """
 from __future__ import annotations
 
@@ -14,29 +14,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlake.llm import decontam, packing, quality, secrets, simhash
-from starlake.llm.common import cut, ship_package, table
-
-
-def _drop(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` less those whose doc_id is in ``rejected``."""
-    return docs.join(cut(rejected.select("doc_id").where("doc_id is not null").distinct()), "doc_id", "left_anti").select(docs.columns)
+from starlake.llm.common import cut, ship_package, small, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose tail probability of the best grade is below one half go."""
     model = quality.fit(docs, quality.ratings(table(spark, sf_dir, "labels")))
-    return _drop(docs, quality.score(docs, model).where("not kept"))
+    return quality.keep(docs, model)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest doc_id."""
     found = simhash.near_duplicates(docs, k=3, max_bits=3)
-    return _drop(docs, found.where("doc_id <> component_id"))
+    others = cut(found.where("doc_id <> component_id").select("doc_id").distinct())
+    return docs.join(small(others, 1_000_000), "doc_id", "left_anti").select(docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a copy, edited or not, of a benchmark item go."""
-    return _drop(docs, decontam.find_leaks(docs, table(spark, sf_dir, "benchmark")))
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

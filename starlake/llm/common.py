@@ -11,7 +11,8 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(written: DataFrame, rows: int, weight: Column | None = None) -> DataFrame:
+    """``written`` (a table that ``cut`` returned) with a broadcast hint if its rows, or the sum of
+    ``weight`` over them, are ``rows`` at most; beyond that Spark joins it by shuffle."""
+    n = written.agg(F.coalesce(F.sum(weight if weight is not None else F.lit(1)), F.lit(0)).alias("n")).first()["n"]
+    return F.broadcast(written) if n <= rows else written
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], col: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Split record batches so that the strings of column ``col`` take about ``limit`` bytes at most;
     a single longer string stays whole in a batch of its own."""

@@ -12,7 +12,7 @@ small array in every task; the corpus is read twice per block and never shuffled
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructType
 
 from .common import text_slices
 from .words import grams, words
@@ -45,6 +44,8 @@ class Items:
     first: np.ndarray
     word: np.ndarray
     gram: np.ndarray  # distinct, sorted
+    at: np.ndarray  # of each n-gram occurrence, its first word
+    slots: np.ndarray  # and its index in ``gram``
 
     def slot(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions in ``g`` that are n-grams of the block, their index in ``gram``)."""
@@ -58,13 +59,12 @@ class Items:
         self.map[self.gram >> np.uint64(64 - MAP_BITS)] = True
 
 
-def _items(ids: list, texts: list[str | None], n: int) -> tuple[Items, np.ndarray, np.ndarray]:
-    """The block, and of each n-gram occurrence its item and its index in ``gram`` (in item order)."""
+def _items(ids: list, texts: list[str | None], n: int) -> Items:
     w = words(pa.array(texts, pa.string()))
     at, g = grams(w, n)
     gram, inverse = np.unique(g, return_inverse=True)
     first = np.searchsorted(w.row, np.arange(len(ids) + 1))
-    return Items(ids, first, w.hash, gram), at, inverse
+    return Items(ids, first, w.hash, gram, at, inverse)
 
 
 def _document_counts(docs: DataFrame, block: Items, n: int) -> np.ndarray:
@@ -153,74 +153,111 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     be told from chance and match nothing; repeated rows repeat; null ids are kept as null. Columns other
     than those named are ignored; an empty table on either side gives an empty result.
     """
-    s = settings
-    tests = items.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
-    size = tests.agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).first()["n"] or 0
-    blocks = max(1, -(-size // s.block_words))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kinds = (docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString())
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, similarity double, start long, `end` long, seeds long"
-    found = [_leaks_of_block(texts, tests.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b), s, schema) for b in range(blocks)]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
+    out = docs.sparkSession.createDataFrame([], schema)
+    item_type = to_arrow_type(items.schema[item_col].dataType)
+    for block in _blocks(items, item_col, item_text, settings):
+        found = _passages_of(texts, "text", block, settings)
+
+        def run(batches: Iterator[pa.RecordBatch], found=found, ids=block.ids) -> Iterator[pa.RecordBatch]:
+            for b in text_slices(batches, 1, 2 << 20):
+                x = found(b.column(1))
+                if len(x.row):
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0).take(pa.array(x.row)), pa.array([ids[i] for i in x.item.tolist()], item_type), pa.array(x.share),
+                         pa.array(x.start), pa.array(x.end), pa.array(x.seeds)], names=["doc_id", "item_id", "similarity", "start", "end", "seeds"])
+
+        out = out.unionByName(texts.mapInArrow(run, schema))
     return out
 
 
-def _leaks_of_block(texts: DataFrame, tests: DataFrame, s: Settings, schema: str) -> DataFrame:
-    got = tests.toPandas()  # at most about block_words words
-    block, at, slot = _items(got["item_id"].tolist(), got["text"].tolist(), s.n)
-    if not len(block.gram):
-        return texts.sparkSession.createDataFrame([], schema)
-    counts = _document_counts(texts.select("text"), block, s.n)
+def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+          settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs``, all columns, without a leak; nothing is shuffled."""
+    at = docs.columns.index(text_col)
+    for block in _blocks(items, item_col, item_text, settings):
+        found = _passages_of(docs, text_col, block, settings)
+
+        def run(batches: Iterator[pa.RecordBatch], found=found) -> Iterator[pa.RecordBatch]:
+            for b in text_slices(batches, at, 2 << 20):
+                stays = np.ones(b.num_rows, dtype=bool)
+                stays[found(b.column(at)).row] = False
+                yield b.filter(pa.array(stays))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
+def _blocks(items: DataFrame, item_col: str, item_text: str, s: Settings) -> Iterator[Items]:
+    """The test items, dealt by the hash of their text into blocks of about ``block_words`` words."""
+    tests = items.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
+    size = tests.agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).first()["n"] or 0
+    blocks = max(1, -(-size // s.block_words))
+    for k in range(blocks):
+        got = tests.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect()  # about block_words words
+        block = _items([r.item_id for r in got], [r.text for r in got], s.n)
+        if len(block.gram):
+            yield block
+
+
+@dataclass
+class Passages:
+    """Leaks of a batch: row, item, similarity, code points, seed hits."""
+
+    row: np.ndarray
+    item: np.ndarray
+    share: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    seeds: np.ndarray
+
+
+def _passages_of(docs: DataFrame, text_col: str, block: Items, s: Settings) -> Callable[[pa.Array], Passages]:
+    """Count the block's n-grams over ``docs`` and choose the seeds; a function that finds a text column's leaks."""
+    counts = _document_counts(docs.select(text_col), block, s.n)
+    at, slot = block.at, block.slots
     owner = np.searchsorted(block.first, at, side="right") - 1
     seed = np.zeros(len(at), dtype=bool)
-    for k in np.unique(owner).tolist():
-        mine = np.flatnonzero(owner == k)
-        seed[mine] = counts[slot[mine]] <= np.median(counts[np.unique(slot[mine])])
+    edges = np.searchsorted(owner, np.arange(len(block.ids) + 1))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        if b > a:
+            seed[a:b] = counts[slot[a:b]] <= np.median(counts[np.unique(slot[a:b])])
     order = np.argsort(slot[seed], kind="stable")
     seed_slot, seed_item, seed_pos = slot[seed][order], owner[seed][order], (at - block.first[owner])[seed][order]
     bounds = np.searchsorted(seed_slot, np.arange(len(block.gram) + 1))
     sizes = np.diff(block.first)
-    item_type = to_arrow_type(StructType.fromDDL(schema)["item_id"].dataType)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches, 1, 2 << 20):
-            w = words(b.column(1))
-            where, g = grams(w, s.n)
-            hit, k = block.slot(g)
-            n = bounds[k + 1] - bounds[k]
-            which = np.repeat(bounds[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            word = np.repeat(where[hit], n)
-            if not len(word):
-                continue
-            item, pos = seed_item[which], seed_pos[which]
-            diagonal = word - pos
-            o = np.lexsort((word, diagonal, item, w.row[word]))
-            word, item, pos, diagonal = word[o], item[o], pos[o], diagonal[o]
-            row = w.row[word]
-            first, last = _passages(row, item, diagonal, sizes[item])
-            row_from, row_to = np.searchsorted(w.row, row[first]), np.searchsorted(w.row, row[first], side="right")
-            length = sizes[item[first]]
-            margin = length // 4 + 2
-            lo = np.maximum(row_from, diagonal[first] - margin)
-            hi = np.minimum(row_to, diagonal[last - 1] + length + margin)
-            whose = item[first]
-            score, a, e = align([block.word[block.first[i]:block.first[i + 1]] for i in whose],
-                                [w.hash[x:y] for x, y in zip(lo, hi)], s.batch)
-            share = score / (MATCH * length)
-            ok = np.flatnonzero(share >= s.least)
-            if not len(ok):
-                continue
-            start, end = w.start[lo[ok] + a[ok]], w.end[lo[ok] + e[ok] - 1]
-            key = np.stack([row[first][ok], whose[ok], start])
-            _, one = np.unique(key, axis=1, return_index=True)  # passages that met in the margin
+    none = np.zeros(0, dtype=np.int64)
+
+    def find(column: pa.Array) -> Passages:
+        w = words(column)
+        where, g = grams(w, s.n)
+        hit, k = block.slot(g)
+        n = bounds[k + 1] - bounds[k]
+        which = np.repeat(bounds[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        word = np.repeat(where[hit], n)
+        if not len(word):
+            return Passages(none, none, none, none, none, none)
+        item, pos = seed_item[which], seed_pos[which]
+        diagonal = word - pos
+        o = np.lexsort((word, diagonal, item, w.row[word]))
+        word, item, diagonal = word[o], item[o], diagonal[o]
+        row = w.row[word]
+        first, last = _passages(row, item, diagonal, sizes[item])
+        row_from, row_to = np.searchsorted(w.row, row[first]), np.searchsorted(w.row, row[first], side="right")
+        length, whose = sizes[item[first]], item[first]
+        margin = length // 4 + 2
+        lo = np.maximum(row_from, diagonal[first] - margin)
+        hi = np.minimum(row_to, diagonal[last - 1] + length + margin)
+        score, a, e = align([block.word[block.first[i]:block.first[i + 1]] for i in whose], [w.hash[x:y] for x, y in zip(lo, hi)], s.batch)
+        share = score / (MATCH * length)
+        ok = np.flatnonzero(share >= s.least)
+        start, end = w.start[lo[ok] + a[ok]], w.end[lo[ok] + e[ok] - 1]
+        if len(ok):  # passages that met in the margin are one
+            _, one = np.unique(np.stack([row[first][ok], whose[ok], start]), axis=1, return_index=True)
             ok, start, end = ok[one], start[one], end[one]
-            r = row[first][ok]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(r)), pa.array([block.ids[i] for i in whose[ok]], item_type), pa.array(share[ok]),
-                 pa.array(w.points(start, r)), pa.array(w.points(end, r)), pa.array((last - first)[ok].astype(np.int64))],
-                names=["doc_id", "item_id", "similarity", "start", "end", "seeds"])
-
-    return texts.mapInArrow(run, schema)
+        r = row[first][ok]
+        return Passages(r, whose[ok], share[ok], w.points(start, r), w.points(end, r), (last - first)[ok].astype(np.int64))
 
+    return find

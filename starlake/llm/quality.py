@@ -177,6 +177,18 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
     return Model(names[used], w, thresholds(), s)
 
 
+def _judge(model: Model):
+    """A function from a text column to its scores and tails."""
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    f = Features(model.settings.bits, set(weight))
+
+    def judge(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        s = np.array([sum(weight[x] * log1p(c) for x, c in Counter(f.text(t)).items()) for t in column_bytes(column)], dtype=float)
+        return s, model.tails(s)
+
+    return judge
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, score, expected_grade, tail, kept)``: one row per row of ``docs``.
 
@@ -185,11 +197,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     other columns are ignored; an empty table gives an empty result.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = dict(zip(model.features.tolist(), model.weights.tolist()))
-        f = Features(model.settings.bits, set(weight))
+        judge = _judge(model)
         for b in text_slices(batches, 1):
-            s = np.array([sum(weight[x] * log1p(c) for x, c in Counter(f.text(t)).items()) for t in column_bytes(b.column(1))])
-            tails = model.tails(s)
+            s, tails = judge(b.column(1))
             tail = tails[:, model.settings.grade - 1]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array(tails.sum(axis=1)), pa.array(tail), pa.array(tail >= model.settings.least)],
                                              names=["doc_id", "score", "expected_grade", "tail", "kept"])
@@ -199,6 +209,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         run, f"doc_id {kind}, score double, expected_grade double, tail double, kept boolean")
 
 
+def keep(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that ``score`` would mark kept; nothing is shuffled."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _judge(model)
+        for b in text_slices(batches, at):
+            tails = judge(b.column(at))[1]
+            yield b.filter(pa.array(tails[:, model.settings.grade - 1] >= model.settings.least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def ratings(labels: DataFrame) -> DataFrame:
     """Grades of the label table: 0 toxic, 1 of low quality, 2 good; a null flag counts as not set."""
     return labels.select("doc_id", F.when(F.coalesce("toxic", F.lit(0)) != 0, 0).otherwise(

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, scratch_dir
+from .common import cut, scratch_dir, small
 
 
 @dataclass(frozen=True)
@@ -142,7 +142,7 @@ def redact(docs: DataFrame, text_col: str = "text", ledger: str | None = None, r
                      F.slice(done, F.lit(1), F.size(done) - 1),
                      F.array(F.struct(F.element_at(done, -1)["s"].alias("s"), F.greatest(F.element_at(done, -1)["e"], x["e"]).alias("e")))))
                  .otherwise(F.concat(done, F.array(x))))))
-    known = cut(known.select(F.col("blob").alias("_blob"), F.col("f").alias("_found")))
+    known = small(cut(known.select(F.col("blob").alias("_blob"), F.col("f").alias("_found"))), 500_000, F.size("_found"))
     text = F.col(text_col)
     clean = F.concat(
         F.array_join(F.transform(F.sequence(F.lit(0), F.size("_found") - 1), lambda i: F.concat(
