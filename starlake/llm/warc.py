@@ -93,7 +93,7 @@ def _archives(date: str, target: int, samples: int, dictionary: int, level: int)
             frames, held = first + [compressor.compress(r) for r in held], []
             return frames
 
-        for b in text_slices(batches, 2):
+        for b in text_slices(batches, 2, min(target, 4 << 20)):
             frames = []
             for page_id, url, html, first_id in zip(*(c.to_pylist() for c in b.columns)):
                 r = record(page_id, url, (html or "").encode(), first_id, date)
