@@ -6,27 +6,32 @@ only what the verifier returns leaves the task, never the pairs.
 """
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut, small
+
 INDEX, PROBE = 0, 1
 
 
+HOT_KEYS = 200_000  # as many oversized buckets may be broadcast
+
+
 def grid(rows: DataFrame, spread: str, block: int) -> DataFrame:
     """Deal ``rows(key, role, ...)`` into cells of about ``block`` rows a side.
 
     A bucket with at most ``block`` rows of each role is one cell. In a larger one every row goes to
     one block of its role (by the hash of column ``spread``) and meets all blocks of the other.
     """
-    sizes = (rows.groupBy("key").agg(F.sum(F.expr(f"if(role = {INDEX}, 1, 0)")).alias("n_i"),
-                                     F.sum(F.expr(f"if(role = {PROBE}, 1, 0)")).alias("n_p"))
-             .where(f"n_i > {block} or n_p > {block}")
-             .select("key", F.ceil(F.col("n_i") / block).cast("int").alias("g_i"),
-                     F.ceil(F.col("n_p") / block).cast("int").alias("g_p")))
+    sizes = cut(rows.groupBy("key").agg(F.sum(F.expr(f"if(role = {INDEX}, 1, 0)")).alias("n_i"),
+                                        F.sum(F.expr(f"if(role = {PROBE}, 1, 0)")).alias("n_p"))
+                .where(f"n_i > {block} or n_p > {block}")
+                .select("key", F.ceil(F.col("n_i") / block).cast("int").alias("g_i"),
+                        F.ceil(F.col("n_p") / block).cast("int").alias("g_p")))
     one = F.array(F.lit(0))
     gi, gp = F.greatest(F.col("g_i"), F.lit(1)), F.greatest(F.col("g_p"), F.lit(1))
     own = F.xxhash64(F.lit(7), F.col(spread))
@@ -34,7 +39,23 @@ def grid(rows: DataFrame, spread: str, block: int) -> DataFrame:
              .when(F.col("role") == INDEX, F.transform(F.sequence(F.lit(0), gp - 1), lambda p: F.pmod(own, gi).cast("int") * gp + p))
              .otherwise(F.transform(F.sequence(F.lit(0), gi - 1), lambda i: i * gp + F.pmod(own, gp).cast("int"))))
     kept = [c for c in rows.columns]
-    dealt = rows.join(sizes, "key", "left").withColumn("cell", F.explode(cells)).select(*kept, "cell")
+    dealt = rows.join(small(sizes, HOT_KEYS), "key", "left").withColumn("cell", F.explode(cells)).select(*kept, "cell")
+    return dealt.repartition("key", "cell").sortWithinPartitions("key", "cell", "role")
+
+
+def self_grid(rows: DataFrame, spread: str, block: int) -> DataFrame:
+    """Deal ``rows(key, ...)``, each both found and searching, into cells; adds ``role`` and ``cell``.
+
+    A bucket of at most ``block`` rows is one cell of index rows, to be compared with each other. In a
+    larger one a row's block meets every block once: cell (x, y) has block x as index and y as probe
+    rows, cell (x, x) index rows only.
+    """
+    sizes = cut(rows.groupBy("key").count().where(F.col("count") > block).select("key", F.ceil(F.col("count") / block).cast("int").alias("g")))
+    own = F.pmod(F.xxhash64(F.lit(7), F.col(spread)), F.col("g")).cast("int")
+    cells = F.when(F.col("g").isNull(), F.array(F.struct(F.lit(0).alias("cell"), F.lit(INDEX).alias("role")))).otherwise(
+        F.transform(F.sequence(F.lit(0), F.coalesce("g", F.lit(1)) - 1), lambda j: F.struct(
+            (F.least(own, j) * F.col("g") + F.greatest(own, j)).alias("cell"), F.when(j < own, PROBE).otherwise(INDEX).alias("role"))))
+    dealt = rows.join(small(sizes, HOT_KEYS), "key", "left").withColumn("c", F.explode(cells)).select(*rows.columns, "c.cell", "c.role")
     return dealt.repartition("key", "cell").sortWithinPartitions("key", "cell", "role")
 
 
@@ -116,5 +137,3 @@ def group_ids(t: pa.Table) -> np.ndarray:
     new[1:] = (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])
     return np.cumsum(new)
 
-
-Verifier = Callable[[pa.Table], Iterator[pa.RecordBatch]]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import INDEX, PROBE, Forest, grid, group_ids, large_groups, runs
+from .blocks import INDEX, PROBE, Forest, group_ids, large_groups, runs, self_grid
 from .common import cut
 from .components import connected_components
 
@@ -74,12 +74,10 @@ def _cells(classes: DataFrame, bits: int, tables: int) -> DataFrame:
                     n = part.num_rows
                     for t in range(tables):
                         key = (sig[:, t] * np.uint64(0x9E3779B97F4A7C15) + np.uint64((t * 0x632BE59BD9B4E019 + dim * 0xD6E8FEB86659FD93) % 2**64)).view(np.int64)
-                        for role in (INDEX, PROBE):
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(key), pa.array(np.full(n, t, np.int32)), pa.array(np.full(n, role, np.int32)),
-                                 part.column(0), part.column(1), part.column(2)], names=["key", "turn", "role", "node", "unit", "n"])
+                        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(n, t, np.int32)), part.column(0), part.column(1), part.column(2)],
+                                                         names=["key", "turn", "node", "unit", "n"])
 
-    return grid(classes.select("node", "unit", "n").mapInArrow(run, "key long, turn int, role int, node long, unit array<double>, n long"), "node", BLOCK)
+    return self_grid(classes.select("node", "unit", "n").mapInArrow(run, "key long, turn int, node long, unit array<double>, n long"), "node", BLOCK)
 
 
 def _links(cells: DataFrame, bits: int, tables: int, least: float) -> DataFrame:
@@ -91,29 +89,26 @@ def _links(cells: DataFrame, bits: int, tables: int, least: float) -> DataFrame:
             group, units = group_ids(t), t.column("unit").combine_chunks()
             ends = []
             for s, e in large_groups(group, 1):
-                if role[s] == role[e - 1]:
-                    continue
-                x = _matrix(units.slice(s, e - s))
-                left, right = np.flatnonzero(role[s:e] == INDEX), np.flatnonzero(role[s:e] == PROBE)
+                x, who = _matrix(units.slice(s, e - s)), role[s:e]
+                left, right = np.flatnonzero(who == INDEX), np.flatnonzero(who == PROBE)
+                alone = not len(right)  # the cell's rows are compared with each other
                 sig = _signatures(x, bits, int(turn[s])) if turn[s] else np.zeros((e - s, 0), np.uint64)
-                distinct, slot = np.unique(node[s:e], return_inverse=True)
-                forest = Forest(len(distinct))
+                forest, others = Forest(e - s), np.zeros(e - s)
                 for at in range(0, len(left), 256):
                     i = left[at:at + 256]
-                    near = (x[i] @ x[right].T >= least) & (node[s + i][:, None] != node[s + right][None, :])
-                    p, q = np.nonzero(near)
-                    if not len(p):
-                        continue
-                    a, b = i[p], right[q]
-                    first = ~(sig[a] == sig[b]).any(axis=1)
+                    j = left[at:] if alone else right
+                    p, q = np.nonzero(x[i] @ x[j].T >= least)
+                    a, b = i[p], j[q]
+                    first = ~(sig[a] == sig[b]).any(axis=1) & ((a < b) | (not alone))
                     a, b = a[first], b[first]
-                    forest.add(slot[a], slot[b])
-                    got = np.bincount(a, weights=n[s + b], minlength=e - s)
-                    some = np.flatnonzero(got)
-                    ends.append((node[s + some], np.full(len(some), -1), got[some].astype(np.int64)))
+                    forest.add(a, b)
+                    others += np.bincount(a, weights=n[s + b], minlength=e - s) + np.bincount(b, weights=n[s + a], minlength=e - s)
+                some = np.flatnonzero(others)
+                if len(some):
+                    ends.append((node[s + some], np.full(len(some), -1), others[some].astype(np.int64)))
                 if forest.edges:
-                    u, v = np.array(forest.edges).T
-                    ends.append((distinct[u], distinct[v], np.zeros(len(u), np.int64)))
+                    u, v = np.array(forest.edges).T + s
+                    ends.append((node[u], node[v], np.zeros(len(u), np.int64)))
             if ends:
                 a, b, c = (np.concatenate(z) for z in zip(*ends))
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, mask=c > 0), pa.array(c)], names=["a", "b", "n"])
