@@ -154,8 +154,6 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
     def thresholds() -> np.ndarray:
         return gap[0] + np.concatenate(([0.0], np.cumsum(np.exp(gap[1:]))))
 
-    share = np.bincount(y, minlength=kinds) + 1.0
-    balance = (share.sum() / kinds / share)[y]
     mw, vw, mg, vg = np.zeros_like(w), np.zeros_like(w), np.zeros_like(gap), np.zeros_like(gap)
     for step in range(1, s.steps + 1):
         score = np.bincount(doc, weights=w[at] * value, minlength=len(y))
@@ -163,10 +161,10 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
         hi, lo = 1 / (1 + np.exp(np.clip(score - t[y + 1], -500, 500))), 1 / (1 + np.exp(np.clip(score - t[y], -500, 500)))
         p = np.maximum(hi - lo, 1e-12)
         d_hi, d_lo = hi * (1 - hi), lo * (1 - lo)
-        d_score = balance * (d_hi - d_lo) / p  # of the negative log-likelihood
+        d_score = (d_hi - d_lo) / p  # of the negative log-likelihood
         g_t = np.zeros(kinds + 1)
-        np.add.at(g_t, y + 1, -balance * d_hi / p)
-        np.add.at(g_t, y, balance * d_lo / p)
+        np.add.at(g_t, y + 1, -d_hi / p)
+        np.add.at(g_t, y, d_lo / p)
         g_t = g_t[1:-1]
         g_gap = np.concatenate(([g_t.sum()], [np.exp(gap[k]) * g_t[k:].sum() for k in range(1, kinds - 1)])) / len(y) + 1e-4 * gap
         g_w = (np.bincount(at, weights=d_score[doc] * value, minlength=len(w)) + s.l2 * w) / len(y)
