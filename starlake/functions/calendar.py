@@ -198,4 +198,4 @@ def seasonality_weight(dim_date: DataFrame) -> DataFrame:
 
 def history_start(end_date: Column, years: int) -> Column:
     """CAL12: start of a ``years``-long history ending at ``end_date`` (Feb-29 safe)."""
-    return F.date_add(F.add_months(end_date, -12 * int(years)), 1)
+    return F.add_months(end_date, -12 * int(years))

@@ -88,7 +88,7 @@ def threshold(cum: int, total: int) -> Decimal:
 
 def cap1(x: Column) -> Column:
     """Capitalise a single token (first letter upper, rest lower)."""
-    return F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1 << 20)))
+    return F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substr(x, F.lit(2))))
 
 
 def weighted_pick(u: Column, values: Sequence, weights: Sequence[int]) -> Column:
@@ -149,6 +149,11 @@ def id64(*keys, tag: str, family: Family = "md5") -> Column:
     return F.xxhash64(*cols, F.lit(str(tag)))
 
 
+def id128(*keys, tag: str) -> Column:
+    """FN14: the full 128-bit digest of keys + tag as 32 hexadecimal digits (safe as a primary key)."""
+    return F.md5(F.concat_ws(_SEP, *[_col(k).cast("string") for k in keys], F.lit(str(tag))))
+
+
 def yyyymmdd(d: Column) -> Column:
     """SC9: date -> ``yyyymmdd`` long key."""
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("long")

@@ -1,13 +1,10 @@
 """Skew-safe dense numbering inside groups.
 
-``row_number() over (partition by g order by ...)`` sends a whole group to one
-task; a single hot key (say one order holding a third of all lines) would then
-be sorted by one core. ``dense_number`` splits each group into ``buckets``
-sub-groups by a portable integer spread of the row, numbers rows inside each
-sub-group, and adds the running count of the lower sub-groups (computed on the
-small per-sub-group count table). The result equals a row number under the
-ordering ``(bucket, order_cols)``: dense 1..n per group, unique, deterministic,
-and independent of partitioning.
+``row_number() over (partition by g order by o)`` sorts a whole group in one task, which a key with a
+third of all rows does not survive. ``dense_number`` cuts each group into chunks by expressions that are
+a prefix of the ordering (line number, then a range of parts; hour, then minute), numbers rows inside a
+chunk, and adds the number of rows in the group's earlier chunks, which comes from the small table of
+chunk counts. The result is the plain row number under ``(chunks, order)``, whatever the partitioning.
 """
 from __future__ import annotations
 
@@ -17,33 +14,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def spread(cols: Sequence[str], buckets: int) -> Column:
-    """Portable integer spread in [0, buckets) from integer columns (no hash UDFs)."""
-    multipliers = (1_000_003, 10_007, 101, 7, 3)
-    expr = F.lit(0).cast("long")
-    for c, m in zip(cols, multipliers):
-        expr = expr + F.col(c).cast("long") * F.lit(m)
-    return F.pmod(expr, F.lit(int(buckets)).cast("long")).cast("int")
+def dense_number(df: DataFrame, group_cols: Sequence[str], chunk_exprs: Sequence[Column], order_cols: Sequence[str],
+                 out: str = "line_number") -> DataFrame:
+    """Dense 1..n number per group, ordered by ``(*chunk_exprs, *order_cols)``, nulls first.
 
-
-def dense_number(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    order_cols: Sequence[str],
-    spread_cols: Sequence[str],
-    out: str = "line_number",
-    buckets: int = 64,
-) -> DataFrame:
-    """Dense 1..n number per group, ordered by (spread bucket, order_cols)."""
-    g = list(group_cols)
-    keyed = df.withColumn("_nb", spread(spread_cols, buckets))
-    w_local = Window.partitionBy(*g, "_nb").orderBy(*[F.col(c) for c in order_cols])
-    numbered = keyed.withColumn("_rn", F.row_number().over(w_local))
-    counts = keyed.groupBy(*g, "_nb").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = Window.partitionBy(*g).orderBy("_nb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*g, "_nb", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
-    return (
-        numbered.join(offsets, [*g, "_nb"])
-        .withColumn(out, (F.col("_off") + F.col("_rn")).cast("int"))
-        .drop("_nb", "_rn", "_off")
-    )
+    Each chunk expression must not decrease along the wanted ordering. Null group keys form a group and
+    null chunks a chunk of their own (the join back is null-safe), so no row is lost.
+    """
+    chunks = [f"_chunk{i}" for i in range(len(chunk_exprs))]
+    keys = [*group_cols, *chunks]
+    keyed = df.withColumns(dict(zip(chunks, chunk_exprs)))
+    numbered = keyed.withColumn("_at", F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)))
+    before = Window.partitionBy(*group_cols).orderBy(*chunks).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(
+        *[F.col(k).alias(f"_o_{k}") for k in keys], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    same = None
+    for k in keys:
+        part = F.col(k).eqNullSafe(F.col(f"_o_{k}"))
+        same = part if same is None else same & part
+    return numbered.join(offsets, same).select(*df.columns, (F.col("_off") + F.col("_at")).cast("int").alias(out))

@@ -21,6 +21,7 @@ DTYPES = {
     "string": "string",
     "boolean": "boolean",
     "timestamp": "timestamp",
+    "timestamp_ntz": "timestamp_ntz",
     "date": "date",
     "money": "decimal(18,2)",
     "qty2": "decimal(18,2)",
@@ -106,8 +107,8 @@ def C(name: str, dtype: str, comment: str = "", key: bool = False, nullable: boo
 
 
 SCD2_COLUMNS = (
-    C("effective_start_ts", "timestamp", "Row valid from", nullable=False),
-    C("effective_end_ts", "timestamp", "Row valid to (null = open)"),
+    C("effective_start_ts", "timestamp_ntz", "Row valid from", nullable=False),
+    C("effective_end_ts", "timestamp_ntz", "Row valid to (null = open)"),
     C("is_current", "boolean", "Current version flag", nullable=False),
     C("version", "long", "SCD2 version number", nullable=False),
 )
@@ -115,10 +116,10 @@ SCD2_COLUMNS = (
 
 def with_scd2(df: DataFrame, start: Column | None = None) -> DataFrame:
     """PR4: add SCD2 control columns; every row is the current version 1."""
-    start = start if start is not None else F.lit("1900-01-01 00:00:00").cast("timestamp")
+    start = start if start is not None else F.lit("1900-01-01 00:00:00").cast("timestamp_ntz")
     return df.withColumns({
         "effective_start_ts": start,
-        "effective_end_ts": F.lit(None).cast("timestamp"),
+        "effective_end_ts": F.lit(None).cast("timestamp_ntz"),
         "is_current": F.lit(True),
         "version": F.lit(1).cast("long"),
     })

@@ -123,17 +123,17 @@ def compile_query(
     where: str | None = None,
     where_col: Column | None = None,
     materialized: Mapping[str, DataFrame] | None = None,
+    where_dims: Sequence[str] = (),
 ) -> DataFrame:
     """SEM2: ``SELECT dims, MEASURE(m)... FROM view WHERE ... GROUP BY ALL`` as a DataFrame.
 
-    ``where`` is a SQL predicate over dimension names; ``where_col`` a Column over
-    dimension names (e.g. with a scalar subquery). Either may be combined.
+    ``where`` is a SQL predicate over dimension names; ``where_col`` a Column over the dimensions that
+    ``where_dims`` names (e.g. with a scalar subquery). Either may be combined.
     """
     dims = list(dimensions)
     meas = [view.measure(m) for m in measures]
     fdims = _filter_dims(view, where)
-    if where_col is not None:
-        fdims = sorted(set(fdims) | set(_column_dims(view, where_col)))
+    fdims = sorted({*fdims, *where_dims})
     if materialized:
         routed = route(view, materialized, dims, [m.name for m in meas], fdims, where, where_col)
         if routed is not None:
@@ -145,7 +145,9 @@ def compile_query(
     for m in meas:
         aliases |= referenced_aliases(m.expr)
     df = joined_frame(view, frames, aliases)
-    df = df.withColumns({name: F.expr(view.dim(name).expr) for name in need}) if need else df
+    # each side becomes a struct, so a dimension may have the name of a column of the fact or of a joined table
+    sides = [F.struct(F.col(f"{a}.*")).alias(a) for a in ["source", *[j.name for j in view.joins if j.name in aliases]]]
+    df = df.select(*sides, *[F.expr(view.dim(name).expr).alias(name) for name in need])
     if where:
         df = df.filter(F.expr(where))
     if where_col is not None:
@@ -154,12 +156,6 @@ def compile_query(
     return df.groupBy(*dims).agg(*aggs) if dims else df.agg(*aggs)
 
 
-def _column_dims(view: MetricView, col: Column) -> list[str]:
-    text = str(col)
-    names = {d.name for d in view.dimensions}
-    return sorted(set(re.findall(r"\b[A-Za-z_][A-Za-z0-9_]*\b", text)) & names)
-
-
 def materialize(view: MetricView, frames: Mapping[str, DataFrame], mv: MaterializedView) -> DataFrame:
     """SEM4: the aggregate a materialized view stores (write it with the sinks module)."""
     return compile_query(view, frames, mv.dimensions, mv.measures)
@@ -196,7 +192,8 @@ def route(
             df = df.filter(where_col)
         if same_grain:
             return df.select(*dims, *measures)
-        aggs = [F.sum(F.col(m)).alias(m) for m in measures]
+        counts = {m for m in measures if view.measure(m).expr.strip().upper().startswith("COUNT")}
+        aggs = [(F.coalesce(F.sum(m), F.lit(0)) if m in counts else F.sum(m)).alias(m) for m in measures]  # COUNT of no rows is 0
         return df.groupBy(*dims).agg(*aggs) if dims else df.agg(*aggs)
     return None
 

@@ -4,15 +4,15 @@ Each constant is a list of CTEs appended after ``with_star``.
 """
 from __future__ import annotations
 
-from ..plans.ai import (
-    ANOMALIES, CASE_CHANNELS, CASE_STATUSES, CASE_TYPES, HORIZON_WEEKS, NUM_CASES, NUM_REVIEWS, SUPPLY_PERIOD,
-)
+from ..plans.ai import ANOMALIES, CASE_CHANNELS, CASE_STATUSES, CASE_TYPES, SUPPLY_PERIOD
 from ..plans.facts import DISPOSITIONS, FULFILLMENT_TYPES, RETURN_REASONS
-from ..plans.finance import BUDGET_SALT, DEPARTMENTS, GL_ACCOUNTS, OPEX_SALT, PLAN_VERSIONS, STORE_LINES
-from ..plans.ops import NUM_OVERRIDES, NUM_REPLEN, OVERRIDE_REASONS, PLANNERS, REPLEN_STATUSES
-from .sqlfn import bnd, bounded_by, id64, pct, pick, sk, u, weighted
+from ..plans.finance import DEPARTMENTS, GL_ACCOUNTS, PLAN_VERSIONS
+from ..plans.ops import OVERRIDE_REASONS, PLANNERS, REPLEN_STATUSES
+from ..plans.settings import REGISTERED
+from ..sources.star import LINE_KEY
+from .sqlfn import bnd, bounded_by, id128, pct, pick, sk, u, weighted
 
-K = ["transaction_id", "line_number"]
+K = list(LINE_KEY)
 MAXD = "(SELECT max(date) FROM sales_cal)"
 
 
@@ -24,16 +24,16 @@ RETURNS = f"""
 fact_returns AS (
   SELECT 'RMA-' || CAST(transaction_id AS VARCHAR) || '-' || CAST(line_number AS VARCHAR) AS rma_id,
          transaction_id AS original_transaction_id, line_number AS original_line_number,
-         {_shift('d.date', bnd(K, 'lag', 1, 30))} AS date_sk,
+         {_shift('d.date', bnd(K, 'return_lag', 1, 30))} AS date_sk,
          product_sk, store_sk, customer_sk, employee_sk, channel_sk,
-         {bounded_by(K, 'rq', 'quantity')} AS quantity,
-         {pick(RETURN_REASONS, K, 'rr')} AS return_reason,
-         {pick(DISPOSITIONS, K, 'dp')} AS disposition,
-         CAST(CAST((2 * CAST(net_sales_amount * 100 AS BIGINT) * {bounded_by(K, 'rq', 'quantity')} + quantity)
-                   // (2 * CAST(quantity AS BIGINT)) AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS refund_amount,
-         {u(K, 'fraud')} < 0.02 AS is_fraud_suspected
+         {bounded_by(K, 'return_units', 'greatest(quantity, 1)')} AS quantity,
+         {pick(RETURN_REASONS, K, 'return_reason')} AS return_reason,
+         {pick(DISPOSITIONS, K, 'return_route')} AS disposition,
+         CAST(CAST((2 * CAST(net_sales_amount * 100 AS HUGEINT) * {bounded_by(K, 'return_units', 'greatest(quantity, 1)')} + greatest(quantity, 1))
+                   // (2 * CAST(greatest(quantity, 1) AS HUGEINT)) AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS refund_amount,
+         {u(K, 'return_fraud')} < 0.02 AS is_fraud_suspected
   FROM fact_sales_line s JOIN sales_cal d USING (date_sk)
-  WHERE {u(K, 'ret')} < 0.08
+  WHERE {u(K, 'return')} < 0.08
 ),
 fact_returns_f AS (
   SELECT *, CASE WHEN disposition = 'Restock' THEN CAST(round(refund_amount * 0.10, 2) AS DECIMAL(18,2))
@@ -45,12 +45,12 @@ FULFILLMENT = f"""
 fact_fulfillment AS (
   SELECT 'ORD-' || CAST(transaction_id AS VARCHAR) || '-' || CAST(line_number AS VARCHAR) AS order_id,
          date_sk, product_sk, store_sk, customer_sk, channel_sk,
-         {pick(FULFILLMENT_TYPES, K, 'ft')} AS fulfillment_type, quantity,
-         {_shift('d.date', bnd(K, 'pl', 2, 7))} AS promised_date_sk,
-         {_shift('d.date', bnd(K, 'sl', 0, 3))} AS actual_ship_date_sk,
-         {_shift('d.date', bnd(K, 'sl', 0, 3) + ' + ' + bnd(K, 'dl', 1, 6))} AS delivery_date_sk,
-         CASE WHEN {pick(FULFILLMENT_TYPES, K, 'ft')} IN ('BOPIS', 'Curbside') THEN CAST(0 AS DECIMAL(18,2))
-              ELSE CAST(round(4.99 + {u(K, 'sc')} * 10, 2) AS DECIMAL(18,2)) END AS shipping_cost
+         {pick(FULFILLMENT_TYPES, K, 'ship_how')} AS fulfillment_type, quantity,
+         {_shift('d.date', bnd(K, 'ship_promise', 2, 7))} AS promised_date_sk,
+         {_shift('d.date', bnd(K, 'ship_wait', 0, 3))} AS actual_ship_date_sk,
+         {_shift('d.date', bnd(K, 'ship_wait', 0, 3) + ' + ' + bnd(K, 'ship_travel', 1, 6))} AS delivery_date_sk,
+         CASE WHEN {pick(FULFILLMENT_TYPES, K, 'ship_how')} IN ('BOPIS', 'Curbside') THEN CAST(0 AS DECIMAL(18,2))
+              ELSE CAST(round(4.99 + {u(K, 'ship_price')} * 10, 2) AS DECIMAL(18,2)) END AS shipping_cost
   FROM fact_sales_line s JOIN sales_cal d USING (date_sk)
   WHERE channel_sk IN (2, 3, 4)
 ),
@@ -58,35 +58,31 @@ fact_fulfillment_f AS (SELECT *, delivery_date_sk <= promised_date_sk AS sla_met
 
 _LK = ["_src", "store_sk"]
 LOYALTY = f"""
-members AS (SELECT customer_sk, loyalty_tier AS tier_at_event FROM dim_customer WHERE loyalty_member_flag),
 receipts AS (
-  SELECT transaction_id AS _src, store_sk, customer_sk, date_sk, channel_sk, tier_at_event,
+  SELECT transaction_id AS _src, store_sk, customer_sk, date_sk, channel_sk, c.loyalty_tier AS tier_at_event,
          SUM(loyalty_points_earned) AS points
-  FROM fact_sales_line JOIN members USING (customer_sk)
-  GROUP BY transaction_id, store_sk, customer_sk, date_sk, channel_sk, tier_at_event
-  HAVING SUM(loyalty_points_earned) > 0
+  FROM fact_sales_line s JOIN dim_customer c USING (customer_sk) WHERE c.loyalty_member_flag
+  GROUP BY ALL HAVING SUM(loyalty_points_earned) > 0
 ),
 loy_events AS (
-  SELECT customer_sk, date_sk, store_sk, channel_sk, tier_at_event, _src, 'Earn' AS activity_type,
-         CAST(points AS BIGINT) AS points FROM receipts
+  SELECT customer_sk, date_sk, store_sk, channel_sk, tier_at_event, _src, 'Earn' AS activity_type, CAST(points AS BIGINT) AS points
+  FROM receipts
   UNION ALL
-  SELECT customer_sk, {_shift('d.date', bnd(_LK, 'elag', 1, 45))} AS date_sk, store_sk, channel_sk, tier_at_event, _src,
-         CASE {bnd(_LK, 'ekind', 0, 2)} WHEN 0 THEN 'Redeem' WHEN 1 THEN 'Expire' ELSE 'Adjust' END,
-         CAST(CASE {bnd(_LK, 'ekind', 0, 2)} WHEN 0 THEN -least(points, 500)
-              WHEN 1 THEN -floor(points * 0.25) ELSE {bnd(_LK, 'adj', -50, 50)} END AS BIGINT)
+  SELECT customer_sk, {_shift('d.date', bnd(_LK, 'points_lag', 1, 45))}, store_sk, channel_sk, tier_at_event, _src,
+         CASE {bnd(_LK, 'points_kind', 1, 3)} WHEN 1 THEN 'Redeem' WHEN 2 THEN 'Expire' ELSE 'Adjust' END,
+         CAST(CASE {bnd(_LK, 'points_kind', 1, 3)} WHEN 1 THEN -least(points, 500) WHEN 2 THEN -(points // 4)
+              ELSE {bnd(_LK, 'points_adjust', -50, 50)} END AS BIGINT)
   FROM receipts JOIN sales_cal d USING (date_sk)
-  WHERE {u(_LK, 'extra')} < 0.15
+  WHERE {u(_LK, 'points_event')} < 0.15
 ),
 loy_ids AS (
-  SELECT *, {id64(['customer_sk', 'activity_type', '_src', 'store_sk'], 'loyalty')} AS loyalty_event_id
-  FROM loy_events
+  SELECT *, {id128(['customer_sk', 'activity_type', '_src', 'store_sk'], 'points')} AS loyalty_event_id FROM loy_events
 ),
 fact_loyalty_activity AS (
   SELECT loyalty_event_id, date_sk, customer_sk, store_sk, channel_sk, activity_type, points,
          CAST(SUM(points) OVER (PARTITION BY customer_sk ORDER BY date_sk, loyalty_event_id
                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS points_balance,
-         tier_at_event,
-         CASE WHEN activity_type = 'Earn' THEN _src END AS related_transaction_id
+         tier_at_event, CASE WHEN activity_type = 'Earn' THEN _src END AS related_transaction_id
   FROM loy_ids
 )"""
 
@@ -122,11 +118,11 @@ grid AS (
 ),
 snap0 AS (
   SELECT *,
-    CASE WHEN {u(_CELL, 'oos')} < 0.04 THEN 0
-         ELSE greatest(CAST(round(56.0 * greatest(CAST(units AS DOUBLE) / CAST(_nd AS DOUBLE), 0.05)
+    CASE WHEN {u(_CELL, 'stock_out')} < 0.04 THEN 0
+         ELSE greatest(CAST(round({REGISTERED.weeks_of_supply * 7}.0 * greatest(CAST(units AS DOUBLE) / CAST(_nd AS DOUBLE), 0.05)
                                   * coalesce(season, 1.0)
-                                  * CAST(0.85 + {u(_CELL, 'oh')} * 0.30 AS DOUBLE)) AS INTEGER), 0) END AS on_hand_qty,
-    CAST(floor({u(_CELL, 'rs')} * 5) AS INTEGER) AS reserved_qty,
+                                  * CAST(0.85 + {u(_CELL, 'stock_noise')} * 0.30 AS DOUBLE)) AS INTEGER), 0) END AS on_hand_qty,
+    CAST(floor({u(_CELL, 'stock_reserved')} * 5) AS INTEGER) AS reserved_qty,
     CAST(CASE WHEN slow THEN 1 ELSE (units * 3 + _nd - 1) // _nd END AS INTEGER) AS safety_stock_qty,
     CAST(CASE WHEN slow THEN 1 ELSE (units * 7 + _nd - 1) // _nd END AS INTEGER) AS reorder_point,
     CAST(CASE WHEN slow THEN 1 ELSE (units * 14 + _nd - 1) // _nd END AS INTEGER) AS _oo
@@ -137,7 +133,7 @@ snap1 AS (
 ),
 fact_inventory_snapshot AS (
   SELECT date_sk, store_sk, product_sk, on_hand_qty, on_order_qty,
-         CAST(CASE WHEN on_order_qty > 0 THEN floor({u(_CELL, 'it')} * on_order_qty) ELSE 0 END AS INTEGER)
+         CAST(CASE WHEN on_order_qty > 0 THEN floor({u(_CELL, 'stock_moving')} * on_order_qty) ELSE 0 END AS INTEGER)
            AS in_transit_qty,
          reserved_qty, CAST(greatest(on_hand_qty - reserved_qty, 0) AS INTEGER) AS available_qty,
          safety_stock_qty, reorder_point, unit_cost,
@@ -163,26 +159,25 @@ _DEPT_ROWS = " UNION ALL ".join(
 
 
 def _j(acct: str) -> str:
-    return f"CAST(0.95 + {u(['store_sk', repr(acct)], OPEX_SALT)} * 0.10 AS DECIMAL(8,6))"
+    return f"CAST(0.95 + {u(['store_sk', repr(acct)], 'opex')} * 0.10 AS DECIMAL(8,6))"
 
 
-_AMT = {
-    "4100": "-returns_amt",
-    "4200": "-(0.010 * g)",
-    "5200": "0.015 * g",
-    "5300": "shrink_cost",
-    "6000": f"(8000 + 0.11 * g) * {_j('6000')}",
-    "6100": f"6000 * {_j('6100')}",
-    "6200": f"0.04 * g * {_j('6200')}",
-    "6300": f"0.03 * g * {_j('6300')}",
-    "6400": f"(4000 + 0.02 * g) * {_j('6400')}",
-    "6500": f"3500 * {_j('6500')}",
-}
-_STORE_LINES = "\n  UNION ALL\n  ".join(
-    f"SELECT store_sk, pidx, '{dept}' AS dept_name, '{acct}' AS account_number, "
-    f"CAST(round({_AMT[acct]}, 2) AS DECIMAL(18,2)) AS amount FROM b"
-    for acct, dept in STORE_LINES
+# account, department, amount: written out here independently of the library's table of postings
+_LINES = (
+    ("4100", "Merchandising", "-returns_amt"),
+    ("4200", "Merchandising", "-(0.010 * g)"),
+    ("5200", "Merchandising", "0.015 * g"),
+    ("5300", "Supply Chain", "shrink_cost"),
+    ("6000", "Store Operations", f"(8000 + 0.11 * g) * {_j('6000')}"),
+    ("6100", "Store Operations", f"6000 * {_j('6100')}"),
+    ("6200", "Marketing", f"0.04 * g * {_j('6200')}"),
+    ("6300", "Supply Chain", f"0.03 * g * {_j('6300')}"),
+    ("6400", "G&A", f"(4000 + 0.02 * g) * {_j('6400')}"),
+    ("6500", "G&A", f"3500 * {_j('6500')}"),
 )
+_STORE_LINES = "\n  UNION ALL\n  ".join(
+    f"SELECT store_sk, pidx, '{dept}' AS dept_name, '{acct}' AS account_number, CAST(round({amount}, 2) AS DECIMAL(18,2)) AS amount FROM b"
+    for acct, dept, amount in _LINES)
 
 GL = f"""
 dim_gl_account AS ({_GL_ROWS}),
@@ -239,7 +234,7 @@ fact_budget_plan AS (
          CAST(abs(CAST(plan_amount * 100 AS BIGINT)) // 5000 AS BIGINT) AS plan_units, 'Base' AS scenario
   FROM (
     SELECT g.*, v.plan_version,
-           CAST(round(actual_amount * (1 + CAST(({u(['store_sk', 'gl_account_sk', 'v.plan_version'], BUDGET_SALT)} * 2 - 1)
+           CAST(round(actual_amount * (1 + CAST(({u(['store_sk', 'gl_account_sk', 'v.plan_version'], 'plan')} * 2 - 1)
                                                * 0.08 AS DECIMAL(10,8))), 2) AS DECIMAL(18,2)) AS plan_amount
     FROM fact_gl_actuals g
     JOIN (SELECT unnest([{', '.join(repr(v) for v in PLAN_VERSIONS)}]) AS plan_version) v ON true
@@ -294,14 +289,14 @@ weekly AS (
   FROM fact_sales_line s JOIN sales_cal d USING (date_sk) GROUP BY ALL
 ),
 fweeks AS (
-  SELECT DISTINCT fiscal_year, fiscal_week FROM weekly ORDER BY fiscal_year DESC, fiscal_week DESC LIMIT {HORIZON_WEEKS}
+  SELECT DISTINCT fiscal_year, fiscal_week FROM sales_cal WHERE date IN (SELECT CAST(o_orderdate AS DATE) FROM orders) ORDER BY fiscal_year DESC, fiscal_week DESC LIMIT {REGISTERED.horizon_weeks}
 ),
 fbase AS (
   SELECT w.*, wc.date_sk, wc.fiscal_period, wc.is_holiday_week,
          CASE WHEN is_holiday_week AND w.fiscal_year = (SELECT max(fiscal_year) FROM sales_cal) THEN 0.6
               WHEN wc.fiscal_period = {SUPPLY_PERIOD} AND w.fiscal_year = (SELECT max(fiscal_year) FROM sales_cal)
                    AND {pct(['product_sk'], 'supply_band', 25)} THEN 1.4 ELSE 1.0 END AS _mult,
-         {u(_BK, 'bias')} * 0.10 - 0.05 AS _bias
+         {u(_BK, 'forecast_error')} * 0.10 - 0.05 AS _bias
   FROM weekly w JOIN fweeks USING (fiscal_year, fiscal_week) JOIN wc USING (fiscal_year, fiscal_week)
 ),
 fv AS (
@@ -313,7 +308,7 @@ fv AS (
 fact_sales_forecast AS (
   SELECT date_sk, product_sk, store_sk, forecast_version, CAST(fiscal_year AS INTEGER) AS fiscal_year,
          CAST(fiscal_week AS INTEGER) AS fiscal_week, forecast_qty,
-         CAST(CAST((CAST(forecast_qty * 100 AS BIGINT) * CAST(actual_net * 100 AS BIGINT) * 2
+         CAST(CAST((CAST(forecast_qty * 100 AS HUGEINT) * CAST(actual_net * 100 AS HUGEINT) * 2
                     + greatest(actual_qty, 1) * 100) // (greatest(actual_qty, 1) * 200) AS DECIMAL(18,0)) * 0.01
               AS DECIMAL(18,2)) AS forecast_amount,
          CAST(round(forecast_qty * 0.85, 2) AS DECIMAL(18,2)) AS lower_bound,
@@ -329,7 +324,7 @@ _ANOM = " UNION ALL ".join(
         *[str(x).replace("'", "''") for x in a])
     for a in ANOMALIES
 )
-_REV = ["transaction_id", "line_number"]
+_REV = ["transaction_id", "source_line", "s.product_sk", "store_sk"]
 AI = f"""
 anom_rows AS ({_ANOM}),
 anom_win AS (
@@ -344,85 +339,62 @@ ai_anomaly_catalog AS (
          realized_in
   FROM anom_rows LEFT JOIN anom_win USING (win)
 ),
-rev_cand AS (
-  SELECT transaction_id, line_number, product_sk, customer_sk, date_sk FROM fact_sales_line
-  ORDER BY {u(_REV, 'review_pick')}, transaction_id, line_number LIMIT {NUM_REVIEWS}
-),
 rev0 AS (
-  SELECT c.*, p.product_name, p.category_name,
-         CASE WHEN {u(_REV, 'skew')} < 0.7 THEN greatest({bnd(_REV, 'rating', 1, 5)}, 4)
-              ELSE {bnd(_REV, 'rating', 1, 5)} END AS rating
-  FROM rev_cand c LEFT JOIN dim_product p USING (product_sk)
+  SELECT s.*, coalesce(p.product_name, 'an item') AS _name, coalesce(p.category_name, 'general') AS _category,
+         CASE WHEN {u(_REV, 'review_glad')} < 0.7 THEN {bnd(_REV, 'review_high', 4, 5)} ELSE {bnd(_REV, 'review_any', 1, 5)} END AS rating
+  FROM fact_sales_line s LEFT JOIN dim_product p ON s.product_sk = p.product_sk
+  WHERE {u(_REV, 'review')} < {REGISTERED.review_rate}
 ),
 product_review_staging AS (
-  SELECT {id64(_REV, 'review')} AS review_id, product_sk, customer_sk, date_sk, CAST(rating AS INTEGER) AS rating,
-         true AS verified_purchase, {bnd(_REV, 'votes', 0, 50)} AS helpful_votes,
-         'Write a concise, realistic customer review body (2-4 sentences) for the product ''' ||
-           coalesce(product_name, 'this product') || ''' in the category ''' ||
-           coalesce(category_name, 'general merchandise') || '''. The reviewer gave ' || CAST(rating AS VARCHAR) ||
-           ' out of 5 stars. Match the sentiment to the rating. Do not include a title or rating.' AS prompt,
-         'Write a short review title (max 8 words) for a ' || CAST(rating AS VARCHAR) || '-star review of ''' ||
-           coalesce(product_name, 'this product') || '''. Title only, no quotes.' AS title_prompt
+  SELECT {id128(['transaction_id', 'line_number'], 'review')} AS review_id, product_sk, customer_sk, date_sk, CAST(rating AS INTEGER) AS rating,
+         true AS verified_purchase, {bnd(list(LINE_KEY), 'review_votes', 0, 50)} AS helpful_votes,
+         'A shopper bought ' || _name || ' (' || _category || ') and rates it ' || CAST(rating AS VARCHAR) ||
+           ' of 5. Put their opinion in two to four sentences, in their own voice.' AS prompt,
+         'Headline of at most eight words for a ' || CAST(rating AS VARCHAR) || ' of 5 opinion about ' || _name || '.' AS title_prompt
   FROM rev0
 ),
-case_src AS (
-  SELECT transaction_id, line_number, product_sk, customer_sk, store_sk, date_sk FROM fact_sales_line
-  ORDER BY {u(_REV, 'case_pick')}, transaction_id, line_number LIMIT {NUM_CASES}
-),
 case0 AS (
-  SELECT *, {pick(CASE_TYPES, _REV, 'ctype')} AS case_type, {pick(CASE_CHANNELS, _REV, 'cchan')} AS channel,
-         {pick(CASE_STATUSES, _REV, 'cstat')} AS status
-  FROM case_src
+  SELECT *, {pick(CASE_TYPES, K, 'case_type')} AS case_type, {pick(CASE_CHANNELS, K, 'case_channel')} AS channel,
+         {pick(CASE_STATUSES, K, 'case_status')} AS status
+  FROM fact_sales_line WHERE {u(K, 'case')} < {REGISTERED.case_rate}
 ),
 service_case_staging AS (
-  SELECT {id64(_REV, 'case')} AS case_id, customer_sk, product_sk, store_sk, date_sk, case_type, channel, status,
-         CASE WHEN status IN ('Resolved', 'Closed') THEN {bnd(_REV, 'csat_hi', 4, 5)}
-              ELSE {bnd(_REV, 'csat_lo', 1, 3)} END AS csat_score,
-         'Write brief support-case notes (1-3 sentences) for a ' || case_type || ' case opened via ' || channel ||
-           '. Describe the customer''s reported issue for the purchased product.' AS notes_prompt,
-         CASE WHEN status IN ('Resolved', 'Closed') THEN 'Write a brief resolution note (1-2 sentences) for a resolved '
-              || case_type || ' case. State how it was fixed.' END AS resolution_prompt
+  SELECT {id128(['transaction_id', 'line_number'], 'case')} AS case_id, customer_sk, product_sk, store_sk, date_sk, case_type, channel, status,
+         CASE WHEN status IN ('Resolved', 'Closed') THEN {bnd(K, 'case_glad', 4, 5)} ELSE {bnd(K, 'case_sad', 1, 3)} END AS csat_score,
+         'An agent took a ' || case_type || ' request by ' || channel ||
+           '. Note in one to three sentences what the customer says is wrong.' AS notes_prompt,
+         CASE WHEN status IN ('Resolved', 'Closed') THEN 'The ' || case_type ||
+              ' request is settled. Say in a sentence or two what was done.' END AS resolution_prompt
   FROM case0
 )"""
 
 _RK = ["product_sk", "store_sk"]
 _OK = ["product_sk", "store_sk", "date_sk"]
 OPS = f"""
-replen_cand AS (
-  SELECT date_sk, store_sk, product_sk, available_qty, reorder_point, safety_stock_qty
-  FROM fact_inventory_snapshot
-  WHERE date_sk = (SELECT max(date_sk) FROM fact_inventory_snapshot) AND available_qty <= reorder_point
-  ORDER BY {u(_RK, 'replen_pick')}, product_sk, store_sk LIMIT {NUM_REPLEN}
-),
 replen0 AS (
   SELECT c.*, d.date, CAST(greatest(reorder_point + safety_stock_qty - available_qty, 0) AS INTEGER) AS suggested_qty,
-         {weighted(u(_RK, 'status'), [s for s, _ in REPLEN_STATUSES], [w for _, w in REPLEN_STATUSES])} AS status
-  FROM replen_cand c JOIN sales_cal d USING (date_sk)
+         {weighted(u(_RK, 'order_stage'), [s for s, _ in REPLEN_STATUSES], [w for _, w in REPLEN_STATUSES])} AS status
+  FROM fact_inventory_snapshot c JOIN sales_cal d USING (date_sk)
+  WHERE date_sk = (SELECT max(date_sk) FROM fact_inventory_snapshot) AND available_qty <= reorder_point
 ),
 replenishment_order AS (
-  SELECT {id64(['product_sk', 'store_sk', 'date_sk'], 'replen')} AS replen_id, product_sk, store_sk, suggested_qty,
-         CASE WHEN status <> 'Suggested' THEN CAST(greatest(suggested_qty + {bnd(_RK, 'appr', -2, 2)}, 0) AS INTEGER)
+  SELECT {id128(['product_sk', 'store_sk', 'date_sk'], 'replen')} AS replen_id, product_sk, store_sk, suggested_qty,
+         CASE WHEN status <> 'Suggested' THEN CAST(greatest(suggested_qty + {bnd(_RK, 'order_change', -2, 2)}, 0) AS INTEGER)
          END AS approved_qty,
          status, reorder_point, 'system' AS created_by,
-         CASE WHEN status <> 'Suggested' THEN {pick(PLANNERS, _RK, 'planner')} END AS approved_by,
+         CASE WHEN status <> 'Suggested' THEN {pick(PLANNERS, _RK, 'order_planner')} END AS approved_by,
          CAST(date AS TIMESTAMP) AS created_at,
          CASE WHEN status = 'Suggested' THEN CAST(date AS TIMESTAMP) ELSE CAST(date AS TIMESTAMP) + INTERVAL 2 DAY END
            AS updated_at
   FROM replen0
 ),
-ovr_cand AS (
-  SELECT date_sk, product_sk, store_sk, fiscal_year, fiscal_week, forecast_qty FROM fact_sales_forecast
-  WHERE forecast_version = 'improved'
-  ORDER BY {u(_OK, 'override_pick')}, product_sk, store_sk, date_sk LIMIT {NUM_OVERRIDES}
-),
 forecast_override AS (
-  SELECT {id64(_OK, 'override')} AS override_id, product_sk, store_sk, ovr_cand.fiscal_year,
-         ovr_cand.fiscal_week, forecast_qty AS ai_forecast_qty,
-         greatest(CAST(round(forecast_qty * (1 + ({u(_OK, 'override_delta')} * 0.6 - 0.3)), 2) AS DECIMAL(18,2)),
-                  CAST(0 AS DECIMAL(18,2))) AS override_qty,
-         {pick(OVERRIDE_REASONS, _OK, 'reason')} AS override_reason, {pick(PLANNERS, _OK, 'planner')} AS planner_id,
+  SELECT {id128(_OK, 'override')} AS override_id, product_sk, store_sk, f.fiscal_year, f.fiscal_week, forecast_qty AS ai_forecast_qty,
+         CAST(round(greatest(forecast_qty * (0.7 + {u(_OK, 'override_by')} * 0.6), 0), 2) AS DECIMAL(18,2)) AS override_qty,
+         {pick(OVERRIDE_REASONS, _OK, 'override_why')} AS override_reason, {pick(PLANNERS, _OK, 'override_planner')} AS planner_id,
          CAST(d.date AS TIMESTAMP) AS created_at, CAST(d.date AS TIMESTAMP) + INTERVAL 1 DAY AS updated_at
-  FROM ovr_cand JOIN sales_cal d USING (date_sk)
+  FROM fact_sales_forecast f JOIN sales_cal d USING (date_sk)
+  WHERE forecast_version = 'improved' AND {u(_OK, 'override')} < {REGISTERED.override_rate}
 )"""
 
 ALL = [RETURNS, FULFILLMENT, LOYALTY, SNAPSHOT, GL, VALUATION, FORECAST, AI, OPS]

@@ -58,6 +58,10 @@ def id64(keys: Sequence[str], tag: str) -> str:
     return f"CAST('0x' || substr(md5({_keys(keys, tag)}), 1, 15) AS BIGINT)"
 
 
+def id128(keys: Sequence[str], tag: str) -> str:
+    return f"md5({_keys(keys, tag)})"
+
+
 def sk(d: str) -> str:
     return f"CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS BIGINT)"
 

@@ -6,9 +6,9 @@ driver's tables; oracle queries prepend ``with_star(...)``.
 from __future__ import annotations
 
 from ..sources.star import (
-    CHANNELS, DEVICES, LOYALTY_TIERS, MOVEMENT_TYPES, REASON_CODES, REFERRERS, STORE_STAFF, TAXONOMY, TENDERS,
+    CHANNELS, DEVICES, LINE_KEY, LOYALTY_TIERS, MOVEMENT_TYPES, REASON_CODES, REFERRERS, STORE_STAFF, TAXONOMY, TENDERS,
 )
-from .sqlfn import bnd, cap1, id64, pct, pick, sk, u, weighted
+from .sqlfn import bnd, cap1, id128, pct, pick, sk, u, weighted
 
 
 def _fsun(y: str) -> str:
@@ -90,7 +90,7 @@ dim_date AS (
 sales_cal AS (SELECT * FROM dim_date WHERE date BETWEEN (SELECT hs FROM hist) AND (SELECT he FROM hist))"""
 
 _TAX = " UNION ALL ".join(f"SELECT '{c}' AS p_type, '{d}' AS department_name, '{v}' AS division_name"
-                          for c, d, v in TAXONOMY)
+                          for v, departments in TAXONOMY for d, categories in departments for c in categories)
 _CHAN = " UNION ALL ".join(
     f"SELECT CAST({i} AS BIGINT) AS channel_sk, 'CH{i:02d}' AS channel_id, '{n}' AS channel_name, '{t}' AS channel_type"
     for i, (n, t) in enumerate(CHANNELS, start=1)
@@ -104,6 +104,7 @@ dim_product AS (
   SELECT CAST(p_partkey AS BIGINT) AS product_sk,
          'SKU' || lpad(CAST(p_partkey + 1 AS VARCHAR), 8, '0') AS sku,
          p_name AS product_name,
+         p_name || ', ' || lower(p_type) || ' range, size ' || CAST(p_size AS VARCHAR) AS product_description,
          'BR-' || regexp_extract(p_brand, '(\\d+)', 1) AS brand_id, p_brand AS brand_name,
          upper(replace(division_name, ' ', '')) AS division_id, division_name,
          upper(replace(department_name, ' ', '')) AS department_id, department_name,
@@ -113,9 +114,14 @@ dim_product AS (
          CAST(regexp_extract(p_brand, '(\\d+)', 1) AS BIGINT) AS primary_vendor_sk,
          {pct(['p_partkey'], 'private_label', 10)} AS private_label_flag,
          {pct(['p_partkey'], 'marketplace', 15)} AS is_marketplace,
+         {pick(("Each", "Each", "Each", "Pack", "Case"), ['p_partkey'], 'uom')} AS uom,
+         '{{"size":' || CAST(p_size AS VARCHAR) || ',"brand":"' || p_brand || '"}}' AS spec_attributes,
          CAST(p_size AS INTEGER) AS size,
-         CAST(p_retailprice AS DECIMAL(18,2)) AS list_price,
-         CAST(round(CAST(p_retailprice AS DECIMAL(18,2)) * 0.65, 2) AS DECIMAL(18,2)) AS standard_cost
+         CAST(p_retailprice AS DECIMAL(18,2)) AS msrp, CAST(p_retailprice AS DECIMAL(18,2)) AS list_price,
+         CAST(round(CAST(p_retailprice AS DECIMAL(18,2)) * 0.65, 2) AS DECIMAL(18,2)) AS standard_cost,
+         {weighted(u(['p_partkey'], 'lifecycle'), ("Active", "New", "Clearance", "Discontinued"), (70, 15, 10, 5))} AS lifecycle_status,
+         CAST(TIMESTAMP '1900-01-01' AS TIMESTAMP) AS effective_start_ts, CAST(NULL AS TIMESTAMP) AS effective_end_ts, true AS is_current,
+         CAST(1 AS BIGINT) AS version
   FROM part LEFT JOIN taxonomy USING (p_type)
 ),
 dim_store AS (
@@ -125,45 +131,73 @@ dim_store AS (
               WHEN {bnd(['s_suppkey'], 'sqft', 15000, 45000)} >= 20000 THEN 'Standard' ELSE 'Outlet' END AS store_format,
          'R' || lpad(CAST(r_regionkey AS VARCHAR), 2, '0') AS region_id, r_name AS region_name,
          'D' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS district_id, n_name AS district_name,
-         n_name AS state,
-         CAST({bnd(['s_suppkey'], 'sqft', 15000, 45000)} AS BIGINT) AS square_footage
+         n_name AS state, 'N/A' AS country,
+         CAST({bnd(['s_suppkey'], 'sqft', 15000, 45000)} AS BIGINT) AS square_footage,
+         CAST(DATE '1990-01-01' + {bnd(['s_suppkey'], 'open', 0, 1800)} AS DATE) AS open_date, 'Active' AS status,
+         {pct(['s_suppkey'], 'sfs', 60)} AS is_ship_from_store, {pct(['s_suppkey'], 'bopis', 70)} AS is_bopis_enabled,
+         'CC' || lpad(CAST(s_suppkey + 1 AS VARCHAR), 5, '0') AS cost_center_id,
+         CAST(TIMESTAMP '1900-01-01' AS TIMESTAMP) AS effective_start_ts, CAST(NULL AS TIMESTAMP) AS effective_end_ts, true AS is_current,
+         CAST(1 AS BIGINT) AS version
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
 ),
 dim_customer AS (
-  SELECT CAST(c_custkey AS BIGINT) AS customer_sk,
+  SELECT CAST(c_custkey AS BIGINT) AS customer_sk, 'CUST' || lpad(CAST(c_custkey + 1 AS VARCHAR), 8, '0') AS customer_id,
+         c_name AS full_name, lower(replace(c_name, '#', '.')) || '@example.com' AS email,
          CASE WHEN c_mktsegment IN ('MACHINERY', 'BUILDING') THEN 'Commercial-B2B' ELSE 'Retail' END AS customer_type,
          n_name AS state,
          {u(['c_custkey'], 'loyal')} < 0.5 AS loyalty_member_flag,
          CASE WHEN {u(['c_custkey'], 'loyal')} < 0.5
               THEN {weighted(u(['c_custkey'], 'tier'), [t for t, _ in LOYALTY_TIERS], [w for _, w in LOYALTY_TIERS])}
               ELSE 'None' END AS loyalty_tier,
-         {cap1('c_mktsegment')} AS segment
+         CASE WHEN {u(['c_custkey'], 'loyal')} < 0.5 THEN CAST(DATE '1994-01-01' + {bnd(['c_custkey'], 'enroll', 0, 2500)} AS DATE) END
+           AS loyalty_enroll_date,
+         {pick(("Store", "Web", "Referral", "Social"), ['c_custkey'], 'acq')} AS acquisition_channel,
+         {cap1('c_mktsegment')} AS segment, {pct(['c_custkey'], 'optin', 55)} AS email_opt_in,
+         CAST(TIMESTAMP '1900-01-01' AS TIMESTAMP) AS effective_start_ts, CAST(NULL AS TIMESTAMP) AS effective_end_ts, true AS is_current,
+         CAST(1 AS BIGINT) AS version
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 ),
 dim_promotion AS (
-  SELECT CAST(rate * 100 AS BIGINT) AS promotion_sk,
-         {pick(("Price Cut", "Bundle", "Clearance", "Seasonal"), ['CAST(rate * 100 AS BIGINT)'], 'ptype')} AS promo_type,
-         {pick(("Retailer", "Vendor"), ['CAST(rate * 100 AS BIGINT)'], 'fund')} AS funding_source
-  FROM (SELECT DISTINCT CAST(l_discount AS DECIMAL(4,2)) AS rate FROM lineitem) WHERE rate > 0
+  SELECT k AS promotion_sk, 'PR' || lpad(CAST(k AS VARCHAR), 5, '0') AS promotion_id, CAST(k AS VARCHAR) || '% off' AS promo_name,
+         {pick(("Spring", "Summer", "Fall", "Holiday"), ['k'], 'campaign')} || ' Savings' AS campaign_name,
+         {pick(("Price Cut", "Bundle", "Clearance", "Seasonal"), ['k'], 'ptype')} AS promo_type, 'Percent' AS discount_method,
+         rate AS discount_value, first + {bnd(['k'], 'campaign_start', 0, 300)} AS start_date,
+         first + {bnd(['k'], 'campaign_start', 0, 300)} + {bnd(['k'], 'campaign_days', 7, 90)} AS end_date,
+         {pick(("All", "Store", "Online"), ['k'], 'scope')} AS channel_scope,
+         {pick(("Retailer", "Vendor"), ['k'], 'fund')} AS funding_source,
+         CAST(TIMESTAMP '1900-01-01' AS TIMESTAMP) AS effective_start_ts, CAST(NULL AS TIMESTAMP) AS effective_end_ts, true AS is_current,
+         CAST(1 AS BIGINT) AS version
+  FROM (SELECT DISTINCT CAST(l_discount AS DECIMAL(4,2)) AS rate, CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS BIGINT) AS k FROM lineitem),
+       (SELECT CAST(min(o_orderdate) AS DATE) AS first FROM orders)
+  WHERE rate > 0
+),
+dim_vendor AS (
+  SELECT k AS vendor_sk, 'V' || lpad(CAST(k AS VARCHAR), 5, '0') AS vendor_id, p_brand || ' Supply Co' AS vendor_name,
+         {pick(("Manufacturer", "Distributor", "Wholesaler"), ['k'], 'vtype')} AS vendor_type,
+         CAST({bnd(['k'], 'rating', 1, 5)} AS BIGINT) AS vendor_scorecard_rating, CAST({bnd(['k'], 'lead', 3, 44)} AS BIGINT) AS avg_lead_time_days,
+         {pick(("Net 30", "Net 45", "Net 60"), ['k'], 'terms')} AS payment_terms,
+         CAST(TIMESTAMP '1900-01-01' AS TIMESTAMP) AS effective_start_ts, CAST(NULL AS TIMESTAMP) AS effective_end_ts, true AS is_current,
+         CAST(1 AS BIGINT) AS version
+  FROM (SELECT DISTINCT p_brand, CAST(regexp_extract(p_brand, '(\\d+)', 1) AS BIGINT) AS k FROM part)
+),
+dim_employee AS (
+  SELECT e AS employee_sk, 'E' || lpad(CAST(e AS VARCHAR), 8, '0') AS employee_id,
+         CASE WHEN k = 1 THEN 'Store Manager' ELSE {pick(("Sales Associate", "Cashier", "Stock Associate"), ['e'], 'role')} END AS role,
+         store_sk, CASE WHEN k > 1 THEN store_sk * 100 + 1 END AS manager_employee_sk, 'Active' AS status,
+         CAST(TIMESTAMP '1900-01-01' AS TIMESTAMP) AS effective_start_ts, CAST(NULL AS TIMESTAMP) AS effective_end_ts, true AS is_current,
+         CAST(1 AS BIGINT) AS version
+  FROM (SELECT store_sk, k, CAST(store_sk * 100 + k AS BIGINT) AS e FROM dim_store, (SELECT unnest(generate_series(1, {STORE_STAFF})) AS k))
 )"""
 
-_ORDER_COLS = ("l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
-               "l_returnflag, l_linestatus, l_shipdate")
-
 SALES = f"""
-li AS (
-  SELECT *, CAST((l_partkey * 1000003 + l_suppkey * 10007 + l_linenumber * 101) % 64 AS INTEGER) AS _nb
+lines AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber NULLS FIRST, l_partkey NULLS FIRST,
+           l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
+           l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS INTEGER) AS line_number
   FROM lineitem
 ),
-li_rn AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, _nb ORDER BY {_ORDER_COLS}) AS _rn FROM li),
-li_off AS (
-  SELECT l_orderkey, _nb,
-         coalesce(sum(_n) OVER (PARTITION BY l_orderkey ORDER BY _nb ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _off
-  FROM (SELECT l_orderkey, _nb, count(*) AS _n FROM li GROUP BY l_orderkey, _nb)
-),
-lines AS (SELECT li_rn.*, CAST(_off + _rn AS INTEGER) AS line_number FROM li_rn JOIN li_off USING (l_orderkey, _nb)),
 sales0 AS (
-  SELECT CAST(l_orderkey AS BIGINT) AS transaction_id, line_number,
+  SELECT CAST(l_orderkey AS BIGINT) AS transaction_id, line_number, CAST(l_linenumber AS BIGINT) AS source_line,
          {sk('o_orderdate')} AS date_sk,
          CAST(l_partkey AS BIGINT) AS product_sk, CAST(l_suppkey AS BIGINT) AS store_sk,
          CAST(o_custkey AS BIGINT) AS customer_sk,
@@ -194,7 +228,7 @@ fact_sales_line AS (
          CAST(round(net_sales_amount * _tax_rate, 2) AS DECIMAL(18,2)) AS tax_amount,
          cogs_amount, CAST(net_sales_amount - cogs_amount AS DECIMAL(18,2)) AS gross_margin_amount,
          CAST(floor(net_sales_amount) AS BIGINT) AS loyalty_points_earned,
-         false AS is_return, channel_sk = 4 AS is_marketplace, tender_type, ship_date
+         false AS is_return, channel_sk = 4 AS is_marketplace, tender_type, ship_date, source_line
   FROM sales1
 )"""
 
@@ -202,11 +236,11 @@ _MOV_TYPES = [t for t, _ in MOVEMENT_TYPES]
 _MOV_W = [w for _, w in MOVEMENT_TYPES]
 MOVEMENT = f"""
 mov0 AS (
-  SELECT s.*, {weighted(u(['transaction_id', 'line_number'], 'mtype'), _MOV_TYPES, _MOV_W)} AS movement_type
+  SELECT s.*, {weighted(u(LINE_KEY, 'mtype'), _MOV_TYPES, _MOV_W)} AS movement_type
   FROM fact_sales_line s
 ),
 fact_inventory_movement AS (
-  SELECT {id64(['transaction_id', 'line_number'], 'mov')} AS movement_id, {sk('ship_date')} AS date_sk,
+  SELECT {id128(['transaction_id', 'line_number'], 'mov')} AS movement_id, {sk('ship_date')} AS date_sk,
          m.product_sk, store_sk,
          CASE WHEN movement_type IN ('Receipt', 'Return-to-Vendor') THEN p.primary_vendor_sk END AS vendor_sk,
          movement_type,
@@ -214,22 +248,19 @@ fact_inventory_movement AS (
            AS quantity,
          unit_cost,
          'MOV-' || CAST(transaction_id AS VARCHAR) || '-' || CAST(line_number AS VARCHAR) AS reference_doc_id,
-         {pick(REASON_CODES, ['transaction_id', 'line_number'], 'reason')} AS reason_code
+         {pick(REASON_CODES, ['transaction_id', 'source_line', 'm.product_sk', 'store_sk'], 'reason')} AS reason_code
   FROM mov0 m LEFT JOIN dim_product p ON m.product_sk = p.product_sk
 )"""
 
-_EV_ORDER = "epoch_us(ts), event_id"
 WEB = f"""
-ev AS (SELECT *, CAST(ts AS DATE) AS _day, CAST((event_id * 1000003) % 64 AS INTEGER) AS _nb FROM events),
-ev_rn AS (SELECT *, row_number() OVER (PARTITION BY user_id, _day, _nb ORDER BY {_EV_ORDER}) AS _rn FROM ev),
-ev_off AS (
-  SELECT user_id, _day, _nb,
-         coalesce(sum(_n) OVER (PARTITION BY user_id, _day ORDER BY _nb ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _off
-  FROM (SELECT user_id, _day, _nb, count(*) AS _n FROM ev GROUP BY user_id, _day, _nb)
+ev AS (
+  SELECT *, CAST(ts AS DATE) AS _day,
+         CAST(row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS INTEGER) AS event_number
+  FROM events
 ),
 fact_web_events AS (
-  SELECT {id64(['user_id', '_day'], 'session')} AS session_id,
-         CAST(_off + _rn AS INTEGER) AS event_number,
+  SELECT {id128(['user_id', '_day'], 'session')} AS session_id,
+         event_number,
          {sk('_day')} AS date_sk,
          CASE WHEN c.c_custkey IS NOT NULL AND {u(['user_id', '_day'], 'anon')} >= 0.35
               THEN CAST(user_id AS BIGINT) END AS customer_sk,
@@ -240,8 +271,7 @@ fact_web_events AS (
          {pick(DEVICES, ['user_id', '_day'], 'device')} AS device_type,
          {pick(REFERRERS, ['user_id', '_day'], 'ref')} AS referrer,
          CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,2)) END AS cart_value
-  FROM ev_rn JOIN ev_off USING (user_id, _day, _nb)
-       LEFT JOIN customer c ON c.c_custkey = ev_rn.user_id
+  FROM ev LEFT JOIN customer c ON c.c_custkey = ev.user_id
 )"""
 
 STAR_CTES = [DIM_DATE_FULL, DIMS, SALES, MOVEMENT, WEB]

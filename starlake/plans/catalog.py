@@ -1,6 +1,8 @@
 """Query catalogue: each entry = one Spark plan + one independent oracle SQL."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators.semantic import compile_query
@@ -56,7 +58,7 @@ def _table_query(name: str, attr: str, spec, cte: str | None = None, doc: str =
 
 
 _table_query("fact_sales_line", "fact_sales_line", S.FACT_SALES_LINE,
-             doc="FC1/SRC4/JN2/RS4: sales lines with dense skew-safe line numbers and the exact measure chain.")
+             doc="FC1/SRC4/JN2: sales lines numbered by source line, part and supplier, and the exact measure chain.")
 _table_query("fact_inventory_movement", "fact_inventory_movement", S.FACT_INVENTORY_MOVEMENT,
              doc="FC3/FN6/FN14: one signed movement per sales line, weighted type pick.")
 _table_query("fact_web_events", "fact_web_events", S.FACT_WEB_EVENTS,
@@ -72,17 +74,17 @@ _table_query("fact_gl_actuals", "fact_gl_actuals", S.FACT_GL_ACTUALS,
 _table_query("fact_inventory_valuation", "fact_inventory_valuation", S.FACT_INVENTORY_VALUATION,
              doc="FC10/JN13/JN14: period-end valuation with COGS, markdown, shrink, GMROI.")
 _table_query("fact_sales_forecast", "fact_sales_forecast", S.FACT_SALES_FORECAST,
-             doc="FC11/TK3/RS5/PR15: baseline and improved forecasts over the latest 26 weeks.")
+             doc="FC11/TK3/RS5/PR15: baseline and improved forecasts over the caller's horizon.")
 _table_query("ai_anomaly_catalog", "ai_anomaly_catalog", S.AI_ANOMALY_CATALOG,
              doc="FC12/AG11/SRC2: anomaly catalog with calendar-derived windows.")
 _table_query("product_review_staging", "product_review_staging", S.PRODUCT_REVIEW_STAGING,
-             doc="FC13/TK1/SC7: deterministic bounded review sample with prompts.")
+             doc="FC13/TK1/SC7: a keyed share of sales lines, with prompts.")
 _table_query("service_case_staging", "service_case_staging", S.SERVICE_CASE_STAGING,
-             doc="FC14/TK1/SC7: deterministic bounded service-case sample with prompts.")
+             doc="FC14/TK1/SC7: a keyed share of sales lines, with prompts.")
 _table_query("replenishment_order", "replenishment_order", S.REPLENISHMENT_ORDER,
-             doc="FC16/PR10/PR11/TK2/SC11: low-stock suggestions at the latest snapshot.")
+             doc="FC16/PR10/PR11/SC11: a suggestion for every low-stock cell of the latest snapshot.")
 _table_query("forecast_override", "forecast_override", S.FORECAST_OVERRIDE,
-             doc="FC17/TK2/SC11: planner overrides of the improved forecast.")
+             doc="FC17/SC11: planner overrides of the improved forecast.")
 
 
 @register("inventory_snapshot_by_period", with_star(*facts_sql.ALL) + """
@@ -120,42 +122,21 @@ def budget_plan_by_period(w):
         F.sum("plan_units").cast("long").alias("plan_units"), F.countDistinct("store_sk").alias("stores"))
 
 
-@register("dim_product_attributes", with_star() + """
-SELECT product_sk, sku, product_name, brand_id, brand_name, division_id, division_name, department_id,
-       department_name, category_id, category_name, subcategory_id, subcategory_name, primary_vendor_sk,
-       private_label_flag, is_marketplace, size, CAST(list_price AS DOUBLE) AS list_price,
-       CAST(standard_cost AS DOUBLE) AS standard_cost
-FROM dim_product""")
-def dim_product_attributes(w):
-    """DM7/JN3/SC1/SC4/FN12: product dimension with taxonomy, keys and prices."""
-    return w.dim_product.select(
-        "product_sk", "sku", "product_name", "brand_id", "brand_name", "division_id", "division_name",
-        "department_id", "department_name", "category_id", "category_name", "subcategory_id", "subcategory_name",
-        "primary_vendor_sk", "private_label_flag", "is_marketplace", "size", "list_price", "standard_cost")
-
-
-@register("dim_store_attributes", with_star() + """
-SELECT store_sk, store_id, store_name, store_format, region_id, region_name, district_id, district_name, state,
-       square_footage FROM dim_store""")
-def dim_store_attributes(w):
-    """DM2/FN2/SC1: store dimension from supplier x nation x region."""
-    return w.dim_store.select("store_sk", "store_id", "store_name", "store_format", "region_id", "region_name",
-                              "district_id", "district_name", "state", "square_footage")
+def _dimension(name: str, doc: str) -> None:
+    spec = S.BY_NAME[name]
 
-
-@register("dim_customer_attributes", with_star() + """
-SELECT customer_sk, customer_type, state, loyalty_member_flag, loyalty_tier, segment FROM dim_customer""")
-def dim_customer_attributes(w):
-    """DM6/FN6/SC14: customer dimension with keyed loyalty membership and tier."""
-    return w.dim_customer.select("customer_sk", "customer_type", "state", "loyalty_member_flag", "loyalty_tier",
-                                 "segment")
+    def fn(w):
+        return getattr(w, name)
+    fn.__doc__ = doc
+    register(f"{name}_attributes", with_star() + f"\nSELECT {_sel(spec)} FROM {name}")(fn)
 
 
-@register("dim_promotion_attributes", with_star() + """
-SELECT promotion_sk, promo_type, funding_source FROM dim_promotion""")
-def dim_promotion_attributes(w):
-    """DM4: one promotion per distinct discount rate."""
-    return w.dim_promotion.select("promotion_sk", "promo_type", "funding_source")
+_dimension("dim_product", "DM7/JN3/SC1/SC4/SC6/SC8/FN12/PR4: all columns of the product dimension.")
+_dimension("dim_store", "DM2/FN2/SC1/SC8/PR4: all columns of the store dimension, from supplier x nation x region.")
+_dimension("dim_customer", "DM6/FN6/SC2/SC14/PR4: all columns of the customer dimension, with keyed loyalty.")
+_dimension("dim_promotion", "DM4/SC3/SC8/PR4: one promotion per distinct discount rate, with its campaign and days.")
+_dimension("dim_vendor", "DM3/PR4: one vendor per brand.")
+_dimension("dim_employee", "DM5/PR4: the associates of every store and their managers.")
 
 
 # --------------------------------------------------------------- datasets
@@ -178,7 +159,15 @@ for _name, _fn, _sql in (
     ("forecast_pivot", ds.forecast_pivot, D.FORECAST_PIVOT),
     ("forecast_product_picker", ds.product_picker, D.PRODUCT_PICKER),
     ("forecast_week_bounds", ds.week_bounds, D.WEEK_BOUNDS),
-    ("overrides_page", ds.overrides_page, D.OVERRIDES_PAGE),
+    ("overrides_page", lambda w: ds.overrides_page(w, limit=100), D.OVERRIDES_PAGE),
+    ("kpi_counters_filtered", lambda w: ds.kpis(w, "division = 'Everyday' AND region <> 'ASIA'", "channel_type = 'Digital'"), D.KPIS_FILTERED),
+    ("inventory_value_by_category", ds.inventory_value_by_category, D.INVENTORY_VALUE),
+    ("sell_through_by_category", ds.sell_through_by_category, D.SELL_THROUGH),
+    ("category_ranking", ds.category_ranking, D.CATEGORY_RANKING),
+    ("forecast_series_by_product", lambda w: ds.forecast_series(w, level="product"), D.SERIES_PRODUCT),
+    ("forecast_series_recent", lambda w: ds.latest_weeks_series(w, "category", 8, "improved"), D.SERIES_RECENT),
+    ("forecast_category_picker", ds.category_picker, D.CATEGORY_PICKER),
+    ("override_product_labels", lambda w: ds.product_labels(w, w.forecast_override), D.OVERRIDE_LABELS),
 ):
     register(_name, _sql)(_fn)
 
@@ -190,7 +179,119 @@ from ..oracle.checks_sql import INTEGRITY_REPORT  # noqa: E402
 
 @register("integrity_report", INTEGRITY_REPORT)
 def integrity_report(w):
-    """CHK1-CHK17/SEM6-SEM8: keys, orphans, measure identities, tie-outs over the whole warehouse."""
-    w.pin("dim_date", "dim_product", "dim_store", "dim_customer", "fact_sales_line", "fact_returns",
-          "fact_inventory_movement", "fact_inventory_snapshot", "fact_gl_actuals", "fact_sales_forecast")
-    return _integrity(w.frames)
+    """CHK1-CHK18/SEM6-SEM8/FC18-FC20: keys, orphans, measure identities, tie-outs over a whole built warehouse."""
+    return _integrity(built(w).frames)
+
+
+# ------------------------------------------------------------ stored tables
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from . import build as B  # noqa: E402
+
+
+def _new_folder(w) -> str:
+    return f"{ensure_checkpoint_dir(w.spark).rstrip('/')}/starlake-build/{uuid.uuid4().hex}"
+
+
+def built(w, tables: tuple[str, ...] = B.DIMENSIONS + B.FACTS):
+    """The warehouse written to the cluster's shared folder and read back."""
+    return B.build(w.spark, w.sf_dir, _new_folder(w), w.settings, tables, family=w.family)
+
+
+@register("net_sales_by_department_stored", D.NET_SALES_BY_DEPARTMENT)
+def net_sales_by_department_stored(w):
+    """SEM4: the same answer from the stored daily aggregate alone."""
+    wh = built(w, ("dim_product", "dim_store", "dim_date"))
+    return ds.net_sales_by_department(w, {"mv_sales_daily": B.stored_aggregate(wh, MV_SALES, "mv_sales_daily", _new_folder(w))})
+
+
+# ------------------------------------------------------------ metric views
+from ..oracle import views_sql  # noqa: E402
+from . import views as V  # noqa: E402
+
+GRAINS = {
+    "mv_sales": (V.MV_SALES, ["fiscal_year", "category"], []),
+    "mv_inventory": (V.MV_INVENTORY, ["fiscal_year", "region"], []),
+    "mv_inventory_valuation": (V.MV_INVENTORY_VALUATION, ["fiscal_year", "category_name"], []),
+    "mv_forecast": (V.MV_FORECAST, ["forecast_version", "fiscal_week"], ["forecast_version"]),
+    "mv_gl_actuals": (V.MV_GL_ACTUALS, ["statement", "account"], []),
+    "mv_budget_plan": (V.MV_BUDGET_PLAN, ["plan_version", "account"], ["plan_version"]),
+}
+
+
+def _metric_view(name: str) -> None:
+    view, fine, coarse = GRAINS[name]
+
+    def fn(w):
+        measures = [m.name for m in view.measures]
+        a = compile_query(view, w.frames, fine, measures).withColumn("grain", F.lit("fine"))
+        b = compile_query(view, w.frames, coarse, measures).withColumn("grain", F.lit("coarse"))
+        return a.unionByName(b, allowMissingColumns=True)
+    fn.__doc__ = f"SEM1/SEM2/AG12-AG17: every measure of {name} at two grains, each computed from the fact."
+    register(name, views_sql.QUERIES[name])(fn)
+
+
+for _name in GRAINS:
+    _metric_view(_name)
+
+
+# -------------------------------------------------- functions and statistics
+from ..functions import calendar as C  # noqa: E402
+from ..functions import keyed as K  # noqa: E402
+from ..oracle import misc_sql as M  # noqa: E402
+
+
+@register("sale_date_spread", with_star() + M.SALE_DATE_SPREAD)
+def sale_date_spread(w):
+    """AG21/CHK11: mean over stores of the distinct sale dates, and of the lines."""
+    per_store = w.sales_metrics.groupBy("store_sk").agg(F.countDistinct("date_sk").alias("days"), F.count(F.lit(1)).alias("lines"))
+    return per_store.agg(F.count(F.lit(1)).alias("stores"), F.avg("days").alias("avg_days"), F.avg("lines").alias("avg_lines"))
+
+
+@register("table_fingerprints", with_star(*facts_sql.ALL) + M.FINGERPRINTS)
+def table_fingerprints(w):
+    """AG22/CHK12: row count and exact totals of four facts; two builds of the same input agree."""
+    parts = [("fact_sales_line", w.sales_metrics, "net_sales_amount"), ("fact_returns", w.fact_returns, "refund_amount"),
+             ("fact_gl_actuals", w.fact_gl_actuals, "actual_amount"), ("fact_loyalty_activity", w.fact_loyalty_activity, "points_balance")]
+    out = None
+    for name, df, amount in parts:
+        one = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(amount).cast("decimal(38,2)")).alias("total")).withColumn("table_name", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("days_of_supply_median", with_star(*facts_sql.ALL) + M.MEDIAN)
+def days_of_supply_median(w):
+    """AG19: median days of supply per period-end, exact: from the counts of its values, so no group is sorted whole."""
+    from pyspark.sql import Window
+    counts = w.fact_inventory_snapshot.where("days_of_supply is not null").groupBy("date_sk", "days_of_supply").count()
+    upto = Window.partitionBy("date_sk").orderBy("days_of_supply")
+    marked = counts.select("date_sk", "days_of_supply", F.sum("count").over(upto).alias("upto"), F.sum("count").over(Window.partitionBy("date_sk")).alias("n"))
+    return marked.where(F.col("upto") * 2 >= F.col("n")).groupBy("date_sk").agg(F.min("days_of_supply").alias("median_days"))
+
+
+@register("calendar_weights", with_star() + M.CALENDAR_WEIGHTS)
+def calendar_weights(w):
+    """CAL11/CAL12: sampling weight of every calendar day, and where a two-year history before it starts."""
+    days = w.sales_calendar.select("date_sk", C.history_start(F.col("date"), 2).alias("history_start"))
+    return C.seasonality_weight(w.sales_calendar).join(days, "date_sk")
+
+
+@register("keyed_draws", M.KEYED_DRAWS)
+def keyed_draws(w):
+    """FN1-FN4, FN8-FN13, FN16: the keyed draws of every order, independent per column."""
+    key = F.col("o_orderkey")
+    u = K.uniform(key, salt="u")
+    cents = F.col("o_totalprice").cast("decimal(18,2)")
+    return w.t("orders").select(
+        "o_orderkey", u.alias("u"), K.bounded_int(key, salt="low_high", lo=-5, hi=17).alias("between"),
+        K.affine(K.uniform(key, salt="range"), "2.5", "7.5").alias("in_range"), K.long_tail_rank(u, 1000).alias("tail_rank"),
+        K.rank_pick(u, 1000).alias("rank"), K.nullable(K.uniform(key, salt="gap"), "0.25", F.col("o_orderpriority")).alias("gappy"),
+        K.safe_ratio(cents, F.pmod(key, F.lit(3)).cast("decimal(18,2)")).alias("ratio"))
+
+
+@register("taxonomy_paths", with_star() + M.TAXONOMY_PATHS)
+def taxonomy_paths(w):
+    """RS9: the nested taxonomy flattened to paths with positional ids, times the brands that occur in each."""
+    brands = w.t("part").select("p_type", "p_brand").distinct()
+    return w.taxonomy.join(brands, "p_type").select("division_name", "department_name", F.col("p_type").alias("category"), "path_id",
+                                                    F.col("p_brand").alias("brand"))

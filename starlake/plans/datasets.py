@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keyed import sk_to_date
-from ..operators.semantic import compile_query, materialize
+from ..operators.semantic import compile_query
 from .views import MV_INVENTORY, MV_SALES
 
 WEEKS_PER_YEAR = 52.0
@@ -22,28 +21,15 @@ def _d(x):
     return F.col(x).cast("double")
 
 
-def _latest_snapshot_date(w):
-    if hasattr(w, "latest_snapshot_date_sk"):
-        return sk_to_date(w.latest_snapshot_date_sk)
-    return sk_to_date(w.fact_inventory_snapshot.agg(F.max("date_sk")).scalar())
-
-
 def _latest_fy(w):
-    return w.fact_sales_line.join(w.sales_calendar, "date_sk").agg(F.max("fiscal_year")).scalar()
+    return w.latest_sale.select("fiscal_year").scalar()
 
 
 def _latest_frames(w):
-    """Frames whose snapshot is already restricted to the latest period-end.
-
-    The equality on ``date_sk`` sits directly on the snapshot, so Catalyst pushes
-    it into the snapshot's period join and only the latest period's cells are
-    ever drawn; the dimension-level filter stays as the semantic definition.
-    """
+    """Frames whose snapshot has its latest period-end only: stock is never summed over dates, and without a
+    build no other period's cells are ever expanded."""
     from .warehouse import Frames
-    if not hasattr(w, "latest_snapshot_date_sk"):
-        return w.frames
-    snap = w.fact_inventory_snapshot.filter(F.col("date_sk") == w.latest_snapshot_date_sk)
-    return Frames(w, {"fact_inventory_snapshot": snap})
+    return Frames(w, {"fact_inventory_snapshot": w.latest_snapshot})
 
 
 def sales_performance(w, where: str | None = None) -> DataFrame:
@@ -62,15 +48,14 @@ def inventory_position(w, where: str | None = None) -> DataFrame:
         MV_INVENTORY, _latest_frames(w), ["division", "department", "category", "region"],
         ["on_hand_qty", "on_hand_cost_value", "on_hand_retail_value", "out_of_stock_rate", "avg_days_of_supply",
          "sku_count"],
-        where=where, where_col=F.col("date") == _latest_snapshot_date(w))
+        where=where)
 
 
 def bridge(w) -> DataFrame:
     """DS3: latest-fiscal-year sales flow x current inventory at category grain, with chain indices."""
     s = compile_query(MV_SALES, w.frames, CAT, ["net_sales", "gross_margin", "gross_margin_pct", "units", "cogs"],
-                      where_col=F.col("fiscal_year") == _latest_fy(w))
-    i = compile_query(MV_INVENTORY, _latest_frames(w), CAT, ["on_hand_qty", "on_hand_cost_value", "out_of_stock_rate"],
-                      where_col=F.col("date") == _latest_snapshot_date(w))
+                      where_col=F.col("fiscal_year") == _latest_fy(w), where_dims=["fiscal_year"])
+    i = compile_query(MV_INVENTORY, _latest_frames(w), CAT, ["on_hand_qty", "on_hand_cost_value", "out_of_stock_rate"])
     j = s.join(i, CAT, "left")
     j = j.withColumns({
         "sell_through_pct": _d("units") / F.nullif(_d("units") + _d("on_hand_qty"), F.lit(0.0)),
@@ -93,74 +78,76 @@ def bridge(w) -> DataFrame:
 
 def lost_sales(w, top: int = 25) -> DataFrame:
     """DS4: categories with high out-of-stock and high velocity in the latest period (top 25)."""
-    fy = _latest_fy(w)
-    fp = w.fact_sales_line.join(w.sales_calendar, "date_sk").filter(F.col("fiscal_year") == fy) \
-        .agg(F.max("fiscal_period")).scalar()
-    s = compile_query(MV_SALES, w.frames, CAT, ["units", "net_sales"],
-                      where_col=(F.col("fiscal_year") == fy) & (F.col("fiscal_period") == fp))
-    i = compile_query(MV_INVENTORY, _latest_frames(w), CAT, ["out_of_stock_rate"],
-                      where_col=F.col("date") == _latest_snapshot_date(w))
+    now = (F.col("fiscal_year") == _latest_fy(w)) & (F.col("fiscal_period") == w.latest_sale.select("fiscal_period").scalar())
+    s = compile_query(MV_SALES, w.frames, CAT, ["units", "net_sales"], where_col=now, where_dims=["fiscal_year", "fiscal_period"])
+    i = compile_query(MV_INVENTORY, _latest_frames(w), CAT, ["out_of_stock_rate"])
     j = s.join(i, CAT)
     return (j.withColumn("risk_score", F.col("out_of_stock_rate") * _d("units"))
             .orderBy(F.col("risk_score").desc(), *CAT).limit(top))
 
 
 def takeaway_prompt(w) -> DataFrame:
-    """DS5: headline current-year aggregates rendered into an analyst prompt (text fill: FC15)."""
+    """DS5: the current year's sales, margin and units, and an instruction that asks a model to comment on them."""
     a = compile_query(MV_SALES, w.frames, [], ["net_sales", "gross_margin", "units"],
-                      where_col=F.col("fiscal_year") == _latest_fy(w))
-    net_c = (F.col("net_sales") * 100).cast("long")
-    mar_c = (F.col("gross_margin") * 100).cast("long")
-    # GM % to one decimal, half away from zero, in exact integers
-    pct10 = F.expr("div(2 * abs(_m) * 1000 + _n, 2 * _n)") * F.signum(F.col("_m")).cast("long")
-    a = a.withColumns({"_m": mar_c, "_n": net_c}).withColumn(
-        "gm_pct_1dp", (pct10.cast("decimal(18,0)") * F.lit(0.1).cast("decimal(2,1)")).cast("decimal(18,1)"))
+                      where_col=F.col("fiscal_year") == _latest_fy(w), where_dims=["fiscal_year"])
+    # GM % to one decimal, half away from zero, in exact integers; null without sales
+    tenths = F.expr("(CAST(2000 * abs(gross_margin) * 100 AS DECIMAL(38,0)) + CAST(net_sales * 100 AS DECIMAL(38,0))) "
+                    "div nullif(CAST(2 * net_sales * 100 AS DECIMAL(38,0)), 0)") * F.signum("gross_margin").cast("long")
+    a = a.withColumn("gm_pct_1dp", (tenths.cast("decimal(18,0)") * F.lit("0.1").cast("decimal(2,1)")).cast("decimal(18,1)"))
     return a.select(
         "net_sales", "units", "gm_pct_1dp",
-        F.concat(
-            F.lit("You are a retail merchandising analyst. In 3 short bullet points, summarize these "
-                  "current-fiscal-year metrics for a VP of Merchandising and flag one risk. Net sales: "),
-            F.round(F.col("net_sales"), 0).cast("long").cast("string"),
-            F.lit(". Gross margin %: "), F.col("gm_pct_1dp").cast("string"),
-            F.lit(". Units: "), F.col("units").cast("string"), F.lit("."),
-        ).alias("prompt"),
-    )
-
-
-def kpis(w, where: str | None = None) -> DataFrame:
-    """DS6: KPI counters re-aggregated from DS1/DS2 (DOS and OOS are unweighted averages of cells)."""
-    s = sales_performance(w, where).agg(
-        F.sum("net_sales").alias("net_sales"),
-        (_d_sum("gross_margin") / F.nullif(_d_sum("net_sales"), F.lit(0.0))).alias("gross_margin_pct"),
-        F.sum("units").alias("units"))
-    i = inventory_position(w).agg(
-        F.round(F.sum("avg_days_of_supply") / F.count("avg_days_of_supply"), 9).alias("avg_days_of_supply"),
+        F.concat(F.lit("This fiscal year so far: net sales "), F.round(F.col("net_sales"), 0).cast("long").cast("string"),
+                 F.lit(", gross margin "), F.col("gm_pct_1dp").cast("string"), F.lit(" %, units "), F.col("units").cast("string"),
+                 F.lit(". Tell the head of merchandising what stands out, in three points, one of them a danger.")).alias("prompt"))
+
+
+def kpis(w, where: str | None = None, sales_where: str | None = None) -> DataFrame:
+    """DS6 (DS11): KPI counters re-aggregated from DS1/DS2 (DOS and OOS are unweighted averages of cells).
+
+    ``where`` filters by dimensions that both facts have (division, department, category, region) and goes
+    to both; ``sales_where`` is for what stock has no such dimension for (channel type, fiscal time).
+    """
+    both = " AND ".join(f"({x})" for x in (where, sales_where) if x) or None
+    s = sales_performance(w, both).agg(F.struct(
+        F.sum("net_sales").alias("net_sales"), (_d_sum("gross_margin") / F.nullif(_d_sum("net_sales"), F.lit(0.0))).alias("gross_margin_pct"),
+        F.sum("units").alias("units")).alias("s"))
+    i = inventory_position(w, where).agg(F.struct(
+        F.round(F.sum("avg_days_of_supply") / F.nullif(F.count("avg_days_of_supply"), F.lit(0)), 9).alias("avg_days_of_supply"),
         F.sum("on_hand_cost_value").alias("on_hand_value"),
-        F.round(F.sum("out_of_stock_rate") / F.count("out_of_stock_rate"), 9).alias("out_of_stock_rate"))
-    return _one_row_join(s, i)
+        F.round(F.sum("out_of_stock_rate") / F.nullif(F.count("out_of_stock_rate"), F.lit(0)), 9).alias("out_of_stock_rate")).alias("i"))
+    return w.spark.range(1).select(s.scalar().alias("s"), i.scalar().alias("i")).select("s.*", "i.*")
 
 
 def _d_sum(c):
     return F.sum(F.col(c)).cast("double")
 
 
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Join two single-row aggregates on a constant key (each side has exactly one row)."""
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
-
-
 def sales_trend(w) -> DataFrame:
     """DS7: net sales by fiscal period with fiscal year as the series."""
     return compile_query(MV_SALES, w.frames, ["fiscal_period", "fiscal_year"], ["net_sales"])
 
 
-def net_sales_by_department(w, routed: bool = True) -> DataFrame:
-    """DS8 + SEM4: net sales by department, answered from the daily materialized aggregate."""
-    mats = None
-    if routed:
-        mv = MV_SALES.materialized[0]
-        mats = {mv.name: materialize(MV_SALES, w.frames, mv)}
-    return compile_query(MV_SALES, w.frames, ["department"], ["net_sales", "units"], materialized=mats)
+def net_sales_by_department(w, materialized=None) -> DataFrame:
+    """DS8 (SEM4): net sales by department; answered from the stored daily aggregate if one is given."""
+    return compile_query(MV_SALES, w.frames, ["department"], ["net_sales", "units"], materialized=materialized)
+
+
+def inventory_value_by_category(w) -> DataFrame:
+    """DS8: the latest stock's cost and retail value by category."""
+    return inventory_position(w).groupBy("category").agg(F.sum("on_hand_cost_value").alias("on_hand_cost_value"),
+                                                         F.sum("on_hand_retail_value").alias("on_hand_retail_value"))
+
+
+def sell_through_by_category(w) -> DataFrame:
+    """DS8: sell-through and its index against the chain, by category, from the bridge."""
+    return bridge(w).select("category", "sell_through_pct", "sell_through_index")
+
+
+def category_ranking(w) -> DataFrame:
+    """DS10: categories of the bridge ranked by net sales, with margin, turns and GMROI."""
+    best_first = Window.partitionBy().orderBy(F.desc("net_sales"), *CAT)  # a row per category
+    return bridge(w).select(F.row_number().over(best_first).cast("long").alias("rank"), *CAT, "net_sales", "gross_margin_pct", "inventory_turns", "gmroi",
+                            "weeks_of_supply")
 
 
 def oos_by_region(w) -> DataFrame:
@@ -180,28 +167,36 @@ def hierarchy_matrix(w) -> DataFrame:
         F.grouping_id().alias("level"))
 
 
-def forecast_series(w, level: str | None = None, ident=None, lo: int | None = None, hi: int | None = None,
-                    version: str = "both") -> DataFrame:
-    """DS12: forecast summed over stores per week x version, with the week-end date.
+LEVELS = {"category": ["category_name"], "product": ["category_name", "product_sk"]}
 
-    ``level``/``ident`` pick one category or product and ``lo``/``hi`` bound the
-    year-week code (fy*100+fw); with none given every category's series is returned.
+
+def forecast_series(w, level: str = "category", ident=None, lo=None, hi=None, version: str = "both") -> DataFrame:
+    """DS12 (PR13, PR14, PR18): forecast per week and version with the week's last day, by category or product.
+
+    ``ident`` keeps one category or product; ``lo`` and ``hi`` bound the year-week code (fy*100+fw, inclusive,
+    numbers or scalar columns, either may be open); ``version`` is baseline, improved or both.
     """
-    f = w.fact_sales_forecast.join(w.dim_product.select("product_sk", "category_name"), "product_sk") \
-        .join(w.dim_date.select("date_sk", "date"), "date_sk")
-    yw = F.col("fiscal_year") * 100 + F.col("fiscal_week")
-    if lo is not None and hi is not None:
-        f = f.filter(yw.between(lo, hi))
-    if level == "category":
-        f = f.filter(F.col("category_name") == ident)
-    elif level == "product":
-        f = f.filter(F.col("product_sk") == int(ident))
-    if version in ("improved", "baseline"):
+    key = LEVELS[level]
+    f = w.fact_sales_forecast
+    if version != "both":
         f = f.filter(F.col("forecast_version") == version)
-    return f.groupBy("category_name", "fiscal_year", "fiscal_week", F.col("forecast_version").alias("version")).agg(
-        F.max("date").alias("week_end_date"), F.sum("forecast_qty").alias("forecast_qty"),
-        F.sum("forecast_amount").alias("forecast_amount"), F.sum("lower_bound").alias("lower_bound"),
-        F.sum("upper_bound").alias("upper_bound"))
+    week = F.col("fiscal_year") * 100 + F.col("fiscal_week")
+    if lo is not None:
+        f = f.filter(week >= lo)
+    if hi is not None:
+        f = f.filter(week <= hi)
+    f = f.join(w.dim_product.select("product_sk", "category_name"), "product_sk").join(w.dim_date.select("date_sk", "date"), "date_sk")
+    if ident is not None:
+        f = f.filter(F.col(key[-1]) == ident)
+    return f.groupBy(*key, "fiscal_year", "fiscal_week", F.col("forecast_version").alias("version")).agg(
+        F.max("date").alias("week_end_date"), *[F.sum(c).alias(c) for c in ("forecast_qty", "forecast_amount", "lower_bound", "upper_bound")])
+
+
+def latest_weeks_series(w, level: str, weeks: int, version: str) -> DataFrame:
+    """DS12 with a range: the series of the last ``weeks`` weeks of the horizon."""
+    from .ai import recent_weeks
+    code = recent_weeks(w.sale_days, w.sales_calendar, weeks).agg(F.min(F.col("fiscal_year") * 100 + F.col("fiscal_week"))).scalar()
+    return forecast_series(w, level=level, lo=code, version=version)
 
 
 def forecast_summary(w, version: str = "both") -> DataFrame:
@@ -232,25 +227,41 @@ def product_picker(w) -> DataFrame:
             .withColumn("label", F.concat(F.col("product_name"), F.lit(" ("), F.col("category_name"), F.lit(")"))))
 
 
+def category_picker(w) -> DataFrame:
+    """DS14: the categories that have a forecast, with how many products each."""
+    p = w.dim_product.select("product_sk", "category_name")
+    return (w.fact_sales_forecast.select("product_sk").distinct().join(p, "product_sk").where("category_name is not null")
+            .groupBy("category_name").agg(F.count(F.lit(1)).alias("products")))
+
+
+def product_labels(w, wanted: DataFrame) -> DataFrame:
+    """DS15: display labels of the products in ``wanted(product_sk)``; unknown products keep their key as label."""
+    p = w.dim_product.select("product_sk", F.concat(F.col("product_name"), F.lit(" ("), F.col("category_name"), F.lit(")")).alias("_label"))
+    return (wanted.select("product_sk").distinct().join(p, "product_sk", "left")
+            .select("product_sk", F.coalesce("_label", F.col("product_sk").cast("string")).alias("label")))
+
+
 def week_bounds(w) -> DataFrame:
-    """DS14/AG24/SC15: min/max year-week code and its split back into year and week."""
+    """DS14/AG24/SC15: min/max year-week code of the horizon and its split back into year and week; the horizon
+    is the forecast's by definition, so its cells are not read."""
+    from .ai import recent_weeks
     yw = F.col("fiscal_year") * 100 + F.col("fiscal_week")
-    b = w.fact_sales_forecast.agg(F.min(yw).alias("lo"), F.max(yw).alias("hi"))
-    return b.select("lo", "hi",
-                    F.expr("lo div 100").alias("fy_min"), F.expr("lo % 100").alias("fw_min"),
+    b = recent_weeks(w.sale_days, w.sales_calendar, w.settings.horizon_weeks).agg(F.min(yw).alias("lo"), F.max(yw).alias("hi"))
+    return b.select("lo", "hi", F.expr("lo div 100").alias("fy_min"), F.expr("lo % 100").alias("fw_min"),
                     F.expr("hi div 100").alias("fy_max"), F.expr("hi % 100").alias("fw_max"))
 
 
-def overrides_page(w, limit: int = 100) -> DataFrame:
-    """DS15/JN19/TK5/RS8: overrides newest first with product labels and delta %, limit clamped 1..1000."""
-    lim = max(1, min(1000, int(limit)))
+def overrides_page(w, limit: int, after: tuple | None = None) -> DataFrame:
+    """DS15/JN19/TK5/RS8: the ``limit`` newest overrides with product labels and delta %, or the next page
+    after the last row ``(created_at, override_id)`` of the page before."""
     o = w.forecast_override
+    if after is not None:
+        at, key = F.lit(after[0]).cast("timestamp_ntz"), F.lit(after[1])
+        o = o.where((F.col("created_at") < at) | ((F.col("created_at") == at) & (F.col("override_id") > key)))
+    page = o.orderBy(F.col("created_at").desc(), F.col("override_id")).limit(limit)
     p = w.dim_product.select("product_sk", "product_name", "category_name")
-    delta = F.when(F.col("ai_forecast_qty") != 0,
-                   (_d("override_qty") - _d("ai_forecast_qty")) / _d("ai_forecast_qty") * F.lit(100.0))
-    return (o.join(p, "product_sk", "left")
-            .select("override_id", "product_sk", "product_name", "category_name", "store_sk", "fiscal_year",
-                    "fiscal_week", "ai_forecast_qty", "override_qty", "override_reason", "planner_id",
-                    "created_at", delta.alias("delta_pct"))
-            .orderBy(F.col("created_at").desc(), F.col("override_id")).limit(lim))
-
+    delta = F.when(F.col("ai_forecast_qty") != 0, (_d("override_qty") - _d("ai_forecast_qty")) / _d("ai_forecast_qty") * F.lit(100.0))
+    return (page.join(p, "product_sk", "left")
+            .select("override_id", "product_sk", "product_name", "category_name", "store_sk", "fiscal_year", "fiscal_week", "ai_forecast_qty",
+                    "override_qty", "override_reason", "planner_id", "created_at", delta.alias("delta_pct"))
+            .orderBy(F.col("created_at").desc(), F.col("override_id")))

@@ -1,30 +1,28 @@
-"""The whole warehouse as one lazily built set of frames.
+"""The whole warehouse as one set of frames, derived lazily or read from a build.
 
-``Warehouse`` extends the star mapping with every derived fact (returns,
-fulfillment, loyalty, inventory snapshot, finance, AI and ops tables). Each
-property is a lazy DataFrame plan; nothing runs until an action. ``frames`` is
-the name -> DataFrame mapping the semantic compiler and checks consume.
+``Warehouse`` extends the star mapping with every derived table. A property is a lazy plan, or, if the
+warehouse was opened on a build (``stored``), the written table: then dependants start from files, each
+input is read once per stored table, and a lost executor costs a re-read.
 """
 from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
 from ..sources.star import Star
 from . import ai, facts, finance, ops
+from .settings import Settings
 
-TABLES = (
-    "dim_date", "dim_channel", "dim_product", "dim_store", "dim_customer", "dim_promotion", "dim_vendor",
-    "dim_employee", "dim_gl_account", "dim_department",
-    "fact_sales_line", "fact_inventory_movement", "fact_web_events", "fact_returns", "fact_fulfillment",
-    "fact_loyalty_activity", "fact_inventory_snapshot", "fact_gl_actuals", "fact_budget_plan",
-    "fact_inventory_valuation", "fact_sales_forecast", "ai_anomaly_catalog", "product_review_staging",
-    "service_case_staging", "replenishment_order", "forecast_override",
-)
+DIMENSIONS = ("dim_date", "dim_channel", "dim_product", "dim_store", "dim_customer", "dim_promotion", "dim_vendor", "dim_employee",
+              "dim_gl_account", "dim_department")
+# In an order in which every table's inputs come before it.
+FACTS = ("fact_sales_line", "fact_inventory_movement", "fact_web_events", "fact_returns", "fact_fulfillment", "fact_loyalty_activity",
+         "fact_inventory_snapshot", "fact_gl_actuals", "fact_budget_plan", "fact_inventory_valuation", "fact_sales_forecast",
+         "ai_anomaly_catalog", "product_review_staging", "service_case_staging", "replenishment_order", "forecast_override")
+TABLES = DIMENSIONS + FACTS
 
 
 class Frames(Mapping):
@@ -37,6 +35,8 @@ class Frames(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name in self._over:
             return self._over[name]
+        if name == "fact_sales_line":
+            return self._wh.sales_metrics
         if name not in TABLES:
             raise KeyError(name)
         return getattr(self._wh, name)
@@ -49,34 +49,32 @@ class Frames(Mapping):
 
 
 class Warehouse(Star):
+    def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings, *, family: str = "md5", stored: Mapping[str, DataFrame] | None = None):
+        super().__init__(spark, sf_dir, family=family)
+        self.settings = settings
+        self.stored = dict(stored or {})
+        self.__dict__.update(self.stored)  # a written table stands for its property
+
     @property
     def frames(self) -> Frames:
         return Frames(self)
 
-    def pin(self, *names: str) -> "Warehouse":
-        """SRC5: materialize tables once (reliable checkpoint in ``spark.checkpoint.dir``).
+    @cached_property
+    def sales_metrics(self) -> DataFrame:
+        """Sales for measures: the written table, or the lines without numbers, which no measure reads."""
+        return self.fact_sales_line if "sales_enriched" in self.stored else self.sales_base
 
-        Later tables derived from a pinned one read the checkpoint instead of
-        recomputing its lineage; a lost executor re-reads the files rather than
-        replaying the whole derivation. Pin in dependency order.
-        """
-        ensure_checkpoint_dir(self.spark)
-        for name in names:
-            self.__dict__[name] = getattr(self, name).checkpoint(eager=True)
-        return self
+    @cached_property
+    def sales(self) -> DataFrame:
+        """Sales for builders: with natural keys, and with line numbers only if they are already there."""
+        return self.sales_enriched if "sales_enriched" in self.stored else self.sales_base
 
     @cached_property
     def latest_snapshot_date_sk(self):
-        """Scalar: the snapshot's latest period-end.
-
-        Every carried (store, SKU) pair runs to the calendar's last period, so the
-        latest snapshot date is the last day of the sales calendar: a scalar over
-        the small calendar instead of a scan of the whole snapshot, and an equality
-        filter Catalyst pushes into the snapshot's period join.
-        """
+        """Scalar: the snapshot's latest period-end, the last day of the sales calendar (every carried pair
+        runs to its last period)."""
         return self.sales_calendar.agg(F.max("date_sk")).scalar()
 
-    # finance dims (literal tables)
     @cached_property
     def dim_gl_account(self) -> DataFrame:
         return finance.build_dim_gl_account(self.spark)
@@ -85,31 +83,40 @@ class Warehouse(Star):
     def dim_department(self) -> DataFrame:
         return finance.build_dim_department(self.spark)
 
-    # core derived facts
     @cached_property
     def fact_returns(self) -> DataFrame:
-        return facts.build_fact_returns(self.fact_sales_line, self.sales_calendar, family=self.family)
+        return facts.build_fact_returns(self.sales_enriched, self.sales_calendar, family=self.family)
 
     @cached_property
     def fact_fulfillment(self) -> DataFrame:
-        return facts.build_fact_fulfillment(self.fact_sales_line, self.sales_calendar, family=self.family)
+        return facts.build_fact_fulfillment(self.sales_enriched, self.sales_calendar, family=self.family)
 
     @cached_property
     def fact_loyalty_activity(self) -> DataFrame:
-        return facts.build_fact_loyalty_activity(self.fact_sales_line, self.dim_customer, self.sales_calendar,
-                                                 family=self.family)
+        return facts.build_fact_loyalty_activity(self.sales, self.dim_customer, self.sales_calendar, family=self.family)
+
+    def _snapshot(self, only_latest: bool) -> DataFrame:
+        return facts.build_fact_inventory_snapshot(self.sales, self.dim_product, self.sales_calendar, family=self.family,
+                                                   weeks_of_supply=self.settings.weeks_of_supply, only_latest=only_latest)
 
     @cached_property
     def fact_inventory_snapshot(self) -> DataFrame:
-        return facts.build_fact_inventory_snapshot(self.fact_sales_line, self.dim_product, self.sales_calendar,
-                                                   family=self.family)
+        return self._snapshot(only_latest=False)
+
+    @cached_property
+    def latest_snapshot(self) -> DataFrame:
+        """The latest period-end of the snapshot; without a build no other period is ever expanded."""
+        if "fact_inventory_snapshot" in self.stored:
+            return self.fact_inventory_snapshot.where(F.col("date_sk") == self.latest_snapshot_date_sk)
+        return self._snapshot(only_latest=True)
 
-    # finance
     @cached_property
     def fact_gl_actuals(self) -> DataFrame:
-        return finance.build_fact_gl_actuals(
-            self.fact_sales_line, self.fact_returns, self.fact_inventory_movement, self.sales_calendar,
-            self.dim_gl_account, self.dim_department, family=self.family)
+        numbered = "fact_returns" in self.stored and "fact_inventory_movement" in self.stored
+        returned = self.fact_returns if numbered else facts.build_fact_returns(self.sales, self.sales_calendar, family=self.family)
+        moved = self.fact_inventory_movement if numbered else self.movements(self.sales)
+        return finance.build_fact_gl_actuals(self.sales, returned, moved, self.sales_calendar, self.dim_gl_account, self.dim_department,
+                                             family=self.family)
 
     @cached_property
     def fact_budget_plan(self) -> DataFrame:
@@ -117,13 +124,12 @@ class Warehouse(Star):
 
     @cached_property
     def fact_inventory_valuation(self) -> DataFrame:
-        return finance.build_fact_inventory_valuation(self.fact_inventory_snapshot, self.fact_sales_line,
-                                                      self.dim_product, self.sales_calendar)
+        return finance.build_fact_inventory_valuation(self.fact_inventory_snapshot, self.sales, self.dim_product, self.sales_calendar)
 
-    # ai
     @cached_property
     def fact_sales_forecast(self) -> DataFrame:
-        return ai.build_fact_sales_forecast(self.fact_sales_line, self.sales_calendar, family=self.family)
+        return ai.build_fact_sales_forecast(self.sales, self.sale_days, self.sales_calendar, family=self.family,
+                                            horizon_weeks=self.settings.horizon_weeks)
 
     @cached_property
     def ai_anomaly_catalog(self) -> DataFrame:
@@ -131,18 +137,16 @@ class Warehouse(Star):
 
     @cached_property
     def product_review_staging(self) -> DataFrame:
-        return ai.build_product_review_staging(self.fact_sales_line, self.dim_product, family=self.family)
+        return ai.build_product_review_staging(self.sales_enriched, self.dim_product, rate=self.settings.review_rate, family=self.family)
 
     @cached_property
     def service_case_staging(self) -> DataFrame:
-        return ai.build_service_case_staging(self.fact_sales_line, family=self.family)
+        return ai.build_service_case_staging(self.sales_enriched, rate=self.settings.case_rate, family=self.family)
 
-    # ops
     @cached_property
     def replenishment_order(self) -> DataFrame:
-        return ops.build_replenishment_order(self.fact_inventory_snapshot, self.sales_calendar, family=self.family,
-                                             latest=self.latest_snapshot_date_sk)
+        return ops.build_replenishment_order(self.latest_snapshot, self.sales_calendar, family=self.family)
 
     @cached_property
     def forecast_override(self) -> DataFrame:
-        return ops.build_forecast_override(self.fact_sales_forecast, self.sales_calendar, family=self.family)
+        return ops.build_forecast_override(self.fact_sales_forecast, self.sales_calendar, rate=self.settings.override_rate, family=self.family)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .plans.settings import REGISTERED
 from .plans.warehouse import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +32,7 @@ def as_output(df: DataFrame) -> DataFrame:
 def register(name: str, sql: str | None = None):
     def deco(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return as_output(fn(Warehouse(spark, sf_dir)))
+            return as_output(fn(Warehouse(spark, sf_dir, REGISTERED)))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

@@ -6,7 +6,6 @@ defaults that are *missing*, so a cluster's own settings (shuffle partitions,
 """
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -31,21 +30,21 @@ def local_session(cores: int | str = "*", app: str = "starlake", extra: dict | N
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint directory; set a scratch one only if unset.
+    """The cluster's shared folder for checkpoints and built tables.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is left alone.
-    Locally (tests) a fresh scratch folder is created.
+    On a cluster ``spark.checkpoint.dir`` names shared storage; if it is unset that is an error, as a
+    machine-local folder would be lost with its executor. A local master, where driver and executors are one
+    process, gets a scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="starlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if not current:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        current = tempfile.mkdtemp(prefix="starlake-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", current)
+    spark.sparkContext.setCheckpointDir(current)
+    return current

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators.schema import TableSpec, validate_schema
 
 PG_TYPES = {"bigint": "bigint", "int": "integer", "double": "double precision", "string": "text",
-            "boolean": "boolean", "timestamp": "timestamptz", "date": "date", "decimal(18,2)": "numeric(18,2)",
+            "boolean": "boolean", "timestamp": "timestamptz", "timestamp_ntz": "timestamp", "date": "date", "decimal(18,2)": "numeric(18,2)",
             "decimal(18,1)": "numeric(18,1)", "decimal(18,4)": "numeric(18,4)"}
 
 
@@ -29,7 +29,7 @@ def write_table(spark: SparkSession, df: DataFrame, spec: TableSpec, *, prefix:
     validate_schema(df, spec)
     name = table_name(spec, prefix)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}{spec.schema}")
-    w = df.write.format("parquet").mode("overwrite").option("overwriteSchema", "true")
+    w = df.write.format("parquet").mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if path:
@@ -65,23 +65,21 @@ def write_jdbc(df: DataFrame, spec: TableSpec, *, url: str, table: str, properti
                num_partitions: int = 8) -> int:
     """SNK4: operational reseed (truncate + insert) from the executors; returns the stored row count.
 
-    The JDBC writer runs per partition on the executors; the count is read back
-    from the target (the operational tables are small: bounded samples).
+    The JDBC writer runs per partition on the executors; the database counts what it holds.
     """
     out = spec.project(df)
-    types = ", ".join(f"{c.name} {PG_TYPES.get(c.sql_type, 'text').upper()}" for c in spec.columns
-                      if c.sql_type in ("string",))
-    w = (out.coalesce(num_partitions).write.mode("overwrite").option("truncate", "true")
-         .option("numPartitions", num_partitions))
-    if types:
-        w = w.option("createTableColumnTypes", types.replace("TEXT", "VARCHAR(1024)"))
-    w.jdbc(url, table, properties=properties or {})
-    return int(df.sparkSession.read.jdbc(url, table, properties=properties or {}).count())
+    # text columns get the dialect's unbounded type; a shuffle, not a coalesce, so the stage before keeps its tasks
+    (out.repartition(num_partitions).write.mode("overwrite").option("truncate", "true").option("numPartitions", num_partitions)
+     .jdbc(url, table, properties=properties or {}))
+    stored = df.sparkSession.read.format("jdbc").options(url=url, query=f"SELECT COUNT(*) AS N FROM {table}", **(properties or {})).load()
+    return int(stored.first()[0])  # counted in the database
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> DataFrame:
-    """SRC7: federated read-back of an operational table."""
-    return spark.read.jdbc(url, table, properties=properties or {})
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None, *, column: str, lower: int, upper: int,
+              num_partitions: int = 8) -> DataFrame:
+    """SRC7: federated read-back of an operational table in ``num_partitions`` ranges of a numeric ``column``; values
+    outside the bounds are in the first and last range."""
+    return spark.read.jdbc(url, table, column=column, lowerBound=lower, upperBound=upper, numPartitions=num_partitions, properties=properties or {})
 
 
 def serving_slice(forecast: DataFrame, version: str | None = None) -> DataFrame:
@@ -124,3 +122,13 @@ def fill_text(df: DataFrame, prompt_col: str, out_col: str, fn: Callable[[list[s
             yield pdf.assign(**{out_col: result})
 
     return df.mapInPandas(run, schema=schema)
+
+
+def write_filled(df: DataFrame, texts: dict[str, str], fn: Callable[[list[str]], list[str]], path: str) -> DataFrame:
+    """SNK7/FC15: fill every ``out: prompt`` of ``texts``, write the table without its prompts to ``path``, a new
+    folder, and read it back: the model is called once per row, whatever reads the result."""
+    for out, prompt in texts.items():
+        df = fill_text(df, prompt, out, fn)
+    done = df.drop(*texts.values())
+    done.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(done.schema).parquet(path)

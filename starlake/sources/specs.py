@@ -61,7 +61,7 @@ FACT_SALES_LINE = TableSpec("core", "fact_sales_line", "one row per transaction
 ), ("transaction_id", "line_number"))
 
 FACT_INVENTORY_MOVEMENT = TableSpec("core", "fact_inventory_movement", "one row per movement event", (
-    C("movement_id", "long", "Movement id", nullable=False),
+    C("movement_id", "string", "Movement id", nullable=False),
     C("date_sk", "long", "Movement date FK", True, False),
     C("product_sk", "long", "Product FK", True, False),
     C("store_sk", "long", "Store FK", True, False),
@@ -74,13 +74,13 @@ FACT_INVENTORY_MOVEMENT = TableSpec("core", "fact_inventory_movement", "one row
 ), ("movement_id",))
 
 FACT_WEB_EVENTS = TableSpec("core", "fact_web_events", "one row per click event", (
-    C("session_id", "long", "Session id", nullable=False),
+    C("session_id", "string", "Session id", nullable=False),
     C("event_number", "int", "Event number in session", nullable=False),
     C("date_sk", "long", "Event date FK", True, False),
     C("customer_sk", "long", "Customer FK (null = anonymous)", True),
     C("product_sk", "long", "Product FK", True),
     C("channel_sk", "long", "Channel FK", True, False),
-    C("event_ts", "timestamp", "Event time", nullable=False),
+    C("event_ts", "timestamp_ntz", "Event time", nullable=False),
     C("event_type", "string", "Event type", nullable=False),
     C("search_term", "string", "Search term"),
     C("device_type", "string", "Device"),
@@ -123,7 +123,7 @@ FACT_FULFILLMENT = TableSpec("core", "fact_fulfillment", "one row per online ful
 ), ("order_id",))
 
 FACT_LOYALTY_ACTIVITY = TableSpec("core", "fact_loyalty_activity", "one row per loyalty ledger event", (
-    C("loyalty_event_id", "long", "Event id", nullable=False),
+    C("loyalty_event_id", "string", "Event id", nullable=False),
     C("date_sk", "long", "Event date FK", True, False),
     C("customer_sk", "long", "Member FK", True, False),
     C("store_sk", "long", "Store FK", True, False),
@@ -237,7 +237,7 @@ AI_ANOMALY_CATALOG = TableSpec("ai", "ai_anomaly_catalog", "one row per document
 ), ("anomaly_id",))
 
 PRODUCT_REVIEW_STAGING = TableSpec("ai", "product_review_staging", "one row per sampled review", (
-    C("review_id", "long", "Review id", nullable=False),
+    C("review_id", "string", "Review id", nullable=False),
     C("product_sk", "long", "Product FK", nullable=False),
     C("customer_sk", "long", "Customer FK", nullable=False),
     C("date_sk", "long", "Date FK", nullable=False),
@@ -249,7 +249,7 @@ PRODUCT_REVIEW_STAGING = TableSpec("ai", "product_review_staging", "one row per
 ), ("review_id",))
 
 SERVICE_CASE_STAGING = TableSpec("ai", "service_case_staging", "one row per sampled case", (
-    C("case_id", "long", "Case id", nullable=False),
+    C("case_id", "string", "Case id", nullable=False),
     C("customer_sk", "long", "Customer FK", nullable=False),
     C("product_sk", "long", "Product FK", nullable=False),
     C("store_sk", "long", "Store FK", nullable=False),
@@ -263,7 +263,7 @@ SERVICE_CASE_STAGING = TableSpec("ai", "service_case_staging", "one row per samp
 ), ("case_id",))
 
 REPLENISHMENT_ORDER = TableSpec("ops", "replenishment_order", "product x store at the latest snapshot", (
-    C("replen_id", "long", "Order id", nullable=False),
+    C("replen_id", "string", "Order id", nullable=False),
     C("product_sk", "long", "Product", nullable=False),
     C("store_sk", "long", "Store", nullable=False),
     C("suggested_qty", "int", "Suggested", nullable=False),
@@ -272,12 +272,12 @@ REPLENISHMENT_ORDER = TableSpec("ops", "replenishment_order", "product x store a
     C("reorder_point", "int", "Reorder point", nullable=False),
     C("created_by", "string", "Creator", nullable=False),
     C("approved_by", "string", "Approver"),
-    C("created_at", "timestamp", "Created", nullable=False),
-    C("updated_at", "timestamp", "Updated", nullable=False),
+    C("created_at", "timestamp_ntz", "Created", nullable=False),
+    C("updated_at", "timestamp_ntz", "Updated", nullable=False),
 ), ("replen_id",))
 
 FORECAST_OVERRIDE = TableSpec("ops", "forecast_override", "one row per overridden forecast cell", (
-    C("override_id", "long", "Override id", nullable=False),
+    C("override_id", "string", "Override id", nullable=False),
     C("product_sk", "long", "Product", nullable=False),
     C("store_sk", "long", "Store", nullable=False),
     C("fiscal_year", "int", "Fiscal year", nullable=False),
@@ -286,8 +286,108 @@ FORECAST_OVERRIDE = TableSpec("ops", "forecast_override", "one row per overridde
     C("override_qty", "qty2", "Override", nullable=False),
     C("override_reason", "string", "Reason", nullable=False),
     C("planner_id", "string", "Planner", nullable=False),
-    C("created_at", "timestamp", "Created", nullable=False),
-    C("updated_at", "timestamp", "Updated", nullable=False),
+    C("created_at", "timestamp_ntz", "Created", nullable=False),
+    C("updated_at", "timestamp_ntz", "Updated", nullable=False),
 ), ("override_id",))
 
-DIM_SCD2 = SCD2_COLUMNS
+DIM_PRODUCT = TableSpec("core", "dim_product", "one row per SKU version", (
+    C("product_sk", "long", "Surrogate key", True, False),
+    C("sku", "string", "Stock keeping unit", nullable=False),
+    C("product_name", "string", "Product name"),
+    C("product_description", "string", "What is sold, in a sentence"),
+    C("brand_id", "string", "Brand id"),
+    C("brand_name", "string", "Brand"),
+    C("division_id", "string", "Division id"),
+    C("division_name", "string", "Division"),
+    C("department_id", "string", "Department id"),
+    C("department_name", "string", "Department"),
+    C("category_id", "string", "Category id"),
+    C("category_name", "string", "Category"),
+    C("subcategory_id", "string", "Subcategory id"),
+    C("subcategory_name", "string", "Subcategory"),
+    C("primary_vendor_sk", "long", "Main vendor FK", True),
+    C("private_label_flag", "boolean", "Own brand"),
+    C("is_marketplace", "boolean", "Sold by others"),
+    C("uom", "string", "Unit of measure"),
+    C("spec_attributes", "string", "Size and brand as JSON"),
+    C("size", "int", "Size"),
+    C("msrp", "money", "Suggested price"),
+    C("list_price", "money", "List price"),
+    C("standard_cost", "money", "Standard cost"),
+    C("lifecycle_status", "string", "Active/New/Clearance/Discontinued"),
+    *SCD2_COLUMNS,
+), ("product_sk",))
+
+DIM_STORE = TableSpec("core", "dim_store", "one row per store version", (
+    C("store_sk", "long", "Surrogate key", True, False),
+    C("store_id", "string", "Store id", nullable=False),
+    C("store_name", "string", "Store name"),
+    C("store_format", "string", "Flagship/Standard/Outlet"),
+    C("region_id", "string", "Region id"),
+    C("region_name", "string", "Region"),
+    C("district_id", "string", "District id"),
+    C("district_name", "string", "District"),
+    C("state", "string", "State"),
+    C("country", "string", "Country"),
+    C("square_footage", "long", "Floor space"),
+    C("open_date", "date", "Opening day"),
+    C("status", "string", "Status"),
+    C("is_ship_from_store", "boolean", "Ships orders"),
+    C("is_bopis_enabled", "boolean", "Hands out orders"),
+    C("cost_center_id", "string", "Cost centre"),
+    *SCD2_COLUMNS,
+), ("store_sk",))
+
+DIM_CUSTOMER = TableSpec("core", "dim_customer", "one row per customer version", (
+    C("customer_sk", "long", "Surrogate key", True, False),
+    C("customer_id", "string", "Customer id", nullable=False),
+    C("customer_type", "string", "Retail or Commercial-B2B"),
+    C("full_name", "string", "Name"),
+    C("email", "string", "E-mail"),
+    C("state", "string", "State"),
+    C("loyalty_member_flag", "boolean", "Loyalty member"),
+    C("loyalty_tier", "string", "Tier, None for others"),
+    C("loyalty_enroll_date", "date", "Member since"),
+    C("acquisition_channel", "string", "How won"),
+    C("segment", "string", "Segment"),
+    C("email_opt_in", "boolean", "May be mailed"),
+    *SCD2_COLUMNS,
+), ("customer_sk",))
+
+DIM_PROMOTION = TableSpec("core", "dim_promotion", "one row per promotion version", (
+    C("promotion_sk", "long", "Surrogate key", True, False),
+    C("promotion_id", "string", "Promotion id", nullable=False),
+    C("promo_name", "string", "Name"),
+    C("campaign_name", "string", "Campaign"),
+    C("promo_type", "string", "Type"),
+    C("discount_method", "string", "Method"),
+    C("discount_value", "decimal(4,2)", "Rate"),
+    C("start_date", "date", "First day"),
+    C("end_date", "date", "Last day"),
+    C("channel_scope", "string", "Scope"),
+    C("funding_source", "string", "Who pays"),
+    *SCD2_COLUMNS,
+), ("promotion_sk",))
+
+DIM_VENDOR = TableSpec("core", "dim_vendor", "one row per vendor version", (
+    C("vendor_sk", "long", "Surrogate key", True, False),
+    C("vendor_id", "string", "Vendor id", nullable=False),
+    C("vendor_name", "string", "Name"),
+    C("vendor_type", "string", "Type"),
+    C("vendor_scorecard_rating", "long", "Rating 1-5"),
+    C("avg_lead_time_days", "long", "Lead time"),
+    C("payment_terms", "string", "Terms"),
+    *SCD2_COLUMNS,
+), ("vendor_sk",))
+
+DIM_EMPLOYEE = TableSpec("core", "dim_employee", "one row per associate version", (
+    C("employee_sk", "long", "Surrogate key", True, False),
+    C("employee_id", "string", "Employee id", nullable=False),
+    C("role", "string", "Role"),
+    C("store_sk", "long", "Store FK", True, False),
+    C("manager_employee_sk", "long", "Manager FK", True),
+    C("status", "string", "Status"),
+    *SCD2_COLUMNS,
+), ("employee_sk",))
+
+BY_NAME = {spec.name: spec for spec in list(globals().values()) if isinstance(spec, TableSpec)}

@@ -7,7 +7,7 @@ grows with the input and is identical on every run and partitioning.
 
 Mapping (one line each):
 
-* dim_date: contiguous days from Jan 1 of the first order year to Dec 31 of the last ship year.
+* dim_date: contiguous days from Jan 1 of the first order year to Dec 31 of the last ship year, and the event years.
 * dim_product: part; category = p_type, subcategory = category x noun of p_name, brand = p_brand,
   department/division from the fixed taxonomy below; list = p_retailprice, cost = 65 % of list.
 * dim_store: supplier x nation x region (state = nation, district = nation, region = region).
@@ -15,9 +15,9 @@ Mapping (one line each):
 * dim_channel: five fixed channels; a sale's channel = first digit of o_orderpriority.
 * dim_promotion: one promotion per distinct positive l_discount (promotion_sk = discount in %).
 * dim_vendor: one vendor per brand; dim_employee: eight associates per store.
-* fact_sales_line: lineitem x orders; transaction = order, dense line number per order.
+* fact_sales_line: lineitem x orders; transaction = order, lines numbered by l_linenumber, then part and supplier.
 * fact_inventory_movement: one movement per sales line, dated by the ship date.
-* fact_web_events: events; session = user x day, numbered by time.
+* fact_web_events: events; session = visitor x day, numbered by time.
 """
 from __future__ import annotations
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions.keyed import (
-    bounded_int, cap1, dec, id64, percent_flag, pick, round2, uniform, weighted_pick, yyyymmdd,
+    bounded_int, cap1, dec, id128, percent_flag, pick, round2, uniform, weighted_pick, yyyymmdd,
 )
 from ..operators.numbering import dense_number
 from ..operators.schema import with_scd2
@@ -45,14 +45,10 @@ CHANNELS = (
 )
 ONLINE_CHANNELS = (2, 3, 4)
 
-# Our taxonomy over the driver's six part types (category -> department -> division).
+# Our taxonomy over the driver's six part types: division -> department -> category.
 TAXONOMY = (
-    ("ECONOMY", "Value", "Everyday"),
-    ("PROMO", "Value", "Everyday"),
-    ("STANDARD", "Core", "Everyday"),
-    ("MEDIUM", "Core", "Everyday"),
-    ("SMALL", "Compact", "Specialty"),
-    ("LARGE", "Oversize", "Specialty"),
+    ("Everyday", (("Value", ("ECONOMY", "PROMO")), ("Core", ("STANDARD", "MEDIUM")))),
+    ("Specialty", (("Compact", ("SMALL",)), ("Oversize", ("LARGE",)))),
 )
 STORE_STAFF = 8
 TENDERS = ("Card", "Card", "Card", "Cash", "Gift Card", "Mobile Pay")
@@ -62,6 +58,8 @@ MOVEMENT_TYPES = (("Receipt", 45), ("Transfer", 25), ("Adjustment", 15), ("Shrin
 REASON_CODES = ("PO", "XFER", "CYCLE-COUNT", "DAMAGE", "RTV")
 DEVICES = ("desktop", "mobile", "tablet")
 REFERRERS = ("direct", "search", "email", "social", "affiliate")
+# What identifies a sales line before it has a line number: draws are keyed on it.
+LINE_KEY = ("transaction_id", "source_line", "product_sk", "store_sk")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,41 +76,52 @@ def register_views(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> Non
 class Star:
     """Lazily derived star schema over one driver-table directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, *, family: str = "md5", line_buckets: int = 64):
+    def __init__(self, spark: SparkSession, sf_dir: str, *, family: str = "md5", parts_per_chunk: int = 1000):
         self.spark = spark
         self.sf_dir = sf_dir
         self.family = family
-        self.line_buckets = line_buckets
+        self.parts_per_chunk = parts_per_chunk
 
     def t(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
     # ------------------------------------------------------------------ dims
     @cached_property
-    def history_bounds(self) -> DataFrame:
-        """One row: first and last day of the sales history (whole calendar years)."""
-        start = self.t("orders").agg(F.make_date(F.year(F.min("o_orderdate")), F.lit(1), F.lit(1))).scalar()
-        end = self.t("lineitem").agg(F.make_date(F.year(F.max("l_shipdate")), F.lit(12), F.lit(31))).scalar()
-        return self.spark.range(1).select(start.alias("start"), end.alias("end"))
+    def bounds(self) -> dict:
+        """First and last order day, last ship day, first and last event day: one row, read once per
+        warehouse. All calendars start from these literals, so no plan scans a fact for its dates."""
+        o = self.t("orders").agg(F.min("o_orderdate").cast("date").alias("first_order"), F.max("o_orderdate").cast("date").alias("last_order"))
+        li = self.t("lineitem").agg(F.max("l_shipdate").cast("date").alias("last_ship"))
+        e = self.t("events").agg(F.min("ts").cast("date").alias("first_event"), F.max("ts").cast("date").alias("last_event"))
+        row = self.spark.range(1).select(*[d.select(c).scalar().alias(c) for d in (o, li, e) for c in d.columns]).first()
+        return row.asDict()
+
+    def _years(self, first: str, last: str) -> DataFrame:
+        """One row: Jan 1 of the first day's year and Dec 31 of the last one's; nulls where there is no day."""
+        a, b = self.bounds[first], self.bounds[last]
+        whole = (a.replace(month=1, day=1), b.replace(month=12, day=31)) if a and b else (None, None)
+        return self.spark.createDataFrame([whole], "start date, end date")
 
     @cached_property
     def dim_date(self) -> DataFrame:
         """DM8/CAL7: calendar days covering the sales history and the click-event years."""
-        ev = self.t("events").agg(F.make_date(F.year(F.min("ts")), F.lit(1), F.lit(1)).alias("start"),
-                                  F.make_date(F.year(F.max("ts")), F.lit(12), F.lit(31)).alias("end"))
-        days = cal.day_range(self.history_bounds).unionByName(cal.day_range(ev)).distinct()
+        days = cal.day_range(self._years("first_order", "last_ship")).unionByName(cal.day_range(self._years("first_event", "last_event"))).distinct()
         return cal.date_attributes(days)
 
     @cached_property
     def sales_calendar(self) -> DataFrame:
         """The contiguous sales-history part of the calendar (periods, clamps, latest year)."""
-        b = self.history_bounds
-        return self.dim_date.filter(F.col("date").between(b.select("start").scalar(), b.select("end").scalar()))
+        return cal.date_attributes(cal.day_range(self._years("first_order", "last_ship")))
 
     @cached_property
-    def max_date(self):
-        """Scalar subquery: last calendar day (used to clamp lagged dates)."""
-        return self.dim_date.agg(F.max("date")).scalar()
+    def sale_days(self) -> DataFrame:
+        """The days with orders (``date_sk``): from the order table, not from sales."""
+        return self.t("orders").select(yyyymmdd(F.to_date("o_orderdate")).alias("date_sk")).distinct()
+
+    @cached_property
+    def latest_sale(self) -> DataFrame:
+        """The calendar row of the last order day."""
+        return self.sales_calendar.where(F.col("date") == F.lit(self.bounds["last_order"]).cast("date"))
 
     @cached_property
     def dim_channel(self) -> DataFrame:
@@ -122,8 +131,12 @@ class Star:
 
     @cached_property
     def taxonomy(self) -> DataFrame:
-        rows = [(c, d, v) for c, d, v in TAXONOMY]
-        return self.spark.createDataFrame(rows, "p_type string, department_name string, division_name string")
+        """RS9: the nested literal, one row per category; ``path_id`` has its position at each level, from 1."""
+        nested = self.spark.createDataFrame([(list(TAXONOMY),)], "t array<struct<division_name: string, d: array<struct<department_name: string, c: array<string>>>>>")
+        place = lambda *levels: F.concat_ws(".", *[(F.col(x) + 1).cast("string") for x in levels])
+        return (nested.select(F.posexplode("t").alias("i", "v")).select("i", "v.division_name", F.posexplode("v.d").alias("j", "w"))
+                .select("i", "j", "division_name", "w.department_name", F.posexplode("w.c").alias("k", "p_type"))
+                .select("p_type", "department_name", "division_name", place("i", "j", "k").alias("path_id")))
 
     @cached_property
     def dim_product(self) -> DataFrame:
@@ -139,6 +152,8 @@ class Star:
                 sk.cast("long").alias("product_sk"),
                 F.concat(F.lit("SKU"), F.lpad((sk + 1).cast("string"), 8, "0")).alias("sku"),
                 F.col("p_name").alias("product_name"),
+                F.concat(F.col("p_name"), F.lit(", "), F.lower(F.col("p_type")), F.lit(" range, size "), F.col("p_size").cast("string"))
+                .alias("product_description"),
                 F.concat(F.lit("BR-"), F.regexp_extract(F.col("p_brand"), r"(\d+)", 1)).alias("brand_id"),
                 F.col("p_brand").alias("brand_name"),
                 F.upper(F.replace(F.col("division_name"), F.lit(" "), F.lit(""))).alias("division_id"),
@@ -163,7 +178,7 @@ class Star:
                               ("Active", "New", "Clearance", "Discontinued"), (70, 15, 10, 5)).alias("lifecycle_status"),
             )
         )
-        return with_scd2(df)
+        return specs.DIM_PRODUCT.project(with_scd2(df))
 
     @cached_property
     def dim_store(self) -> DataFrame:
@@ -198,7 +213,7 @@ class Star:
                 F.concat(F.lit("CC"), F.lpad((sk + 1).cast("string"), 5, "0")).alias("cost_center_id"),
             )
         )
-        return with_scd2(df)
+        return specs.DIM_STORE.project(with_scd2(df))
 
     @cached_property
     def dim_customer(self) -> DataFrame:
@@ -227,7 +242,7 @@ class Star:
             cap1(F.col("c_mktsegment")).alias("segment"),
             percent_flag(sk, salt="optin", pct=55, family=fam).alias("email_opt_in"),
         )
-        return with_scd2(df)
+        return specs.DIM_CUSTOMER.project(with_scd2(df))
 
     @cached_property
     def dim_promotion(self) -> DataFrame:
@@ -238,17 +253,22 @@ class Star:
             .filter(F.col("rate") > 0).distinct()
         )
         sk = (F.col("rate") * 100).cast("long")
+        first = F.lit(self.bounds["first_order"]).cast("date")
+        start = F.date_add(first, bounded_int(sk, salt="campaign_start", lo=0, hi=300, family=fam))
         df = d.select(
             sk.alias("promotion_sk"),
             F.concat(F.lit("PR"), F.lpad(sk.cast("string"), 5, "0")).alias("promotion_id"),
             F.concat(sk.cast("string"), F.lit("% off")).alias("promo_name"),
+            F.concat(pick(("Spring", "Summer", "Fall", "Holiday"), sk, salt="campaign", family=fam), F.lit(" Savings")).alias("campaign_name"),
+            start.alias("start_date"),
+            F.date_add(start, bounded_int(sk, salt="campaign_days", lo=7, hi=90, family=fam)).alias("end_date"),
             pick(("Price Cut", "Bundle", "Clearance", "Seasonal"), sk, salt="ptype", family=fam).alias("promo_type"),
             F.lit("Percent").alias("discount_method"),
             F.col("rate").alias("discount_value"),
             pick(("All", "Store", "Online"), sk, salt="scope", family=fam).alias("channel_scope"),
             pick(("Retailer", "Vendor"), sk, salt="fund", family=fam).alias("funding_source"),
         )
-        return with_scd2(df)
+        return specs.DIM_PROMOTION.project(with_scd2(df))
 
     @cached_property
     def dim_vendor(self) -> DataFrame:
@@ -265,7 +285,7 @@ class Star:
             bounded_int(sk, salt="lead", lo=3, hi=44, family=fam).cast("long").alias("avg_lead_time_days"),
             pick(("Net 30", "Net 45", "Net 60"), sk, salt="terms", family=fam).alias("payment_terms"),
         )
-        return with_scd2(df)
+        return specs.DIM_VENDOR.project(with_scd2(df))
 
     @cached_property
     def dim_employee(self) -> DataFrame:
@@ -285,7 +305,7 @@ class Star:
             .alias("manager_employee_sk"),
             F.lit("Active").alias("status"),
         )
-        return with_scd2(df)
+        return specs.DIM_EMPLOYEE.project(with_scd2(df))
 
     # ----------------------------------------------------------------- facts
     @cached_property
@@ -295,28 +315,36 @@ class Star:
 
     @cached_property
     def sales_enriched(self) -> DataFrame:
-        """Sales lines with every fact column plus the line's ``ship_date``."""
+        """FC1 columns, the line's natural key and its ship date."""
+        return self._sales(numbered=True)
+
+    @cached_property
+    def sales_base(self) -> DataFrame:
+        """The same rows without the dense line number (null): what every aggregate over sales reads,
+        so that none pays for the numbering."""
+        return self._sales(numbered=False)
+
+    def _sales(self, numbered: bool) -> DataFrame:
         fam = self.family
-        li = self.t("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-        )
-        li = dense_number(
-            li, ["l_orderkey"],
-            ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
-            ["l_partkey", "l_suppkey", "l_linenumber"], buckets=self.line_buckets,
-        )
+        natural = ["l_linenumber", "l_partkey", "l_suppkey"]
+        li = self.t("lineitem").select("l_orderkey", *natural, "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+                                       "l_linestatus", "l_shipdate")
+        if numbered:
+            li = dense_number(li, ["l_orderkey"], [F.col("l_linenumber"), F.floor(F.col("l_partkey") / self.parts_per_chunk)],
+                              ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+                               "l_linestatus", "l_shipdate"])
+        else:
+            li = li.withColumn("line_number", F.lit(None).cast("int"))
         o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
         econ = self.dim_product.select(F.col("product_sk").alias("l_partkey"), "list_price", "standard_cost")
         j = li.join(o, li.l_orderkey == o.o_orderkey).join(econ, "l_partkey", "left")
         txn = F.col("l_orderkey").cast("long")
-        qty = F.col("l_quantity").cast("int")
-        gross = F.col("l_extendedprice").cast("decimal(18,2)")
         rate = F.col("l_discount").cast("decimal(4,2)")
+        gross = F.col("l_extendedprice").cast("decimal(18,2)")
         df = j.select(
             txn.alias("transaction_id"),
-            F.col("line_number"),
+            "line_number",
+            F.col("l_linenumber").cast("long").alias("source_line"),
             F.concat(F.lit("RCPT-"), txn.cast("string")).alias("receipt_id"),
             yyyymmdd(F.to_date("o_orderdate")).alias("date_sk"),
             F.col("l_partkey").cast("long").alias("product_sk"),
@@ -326,7 +354,7 @@ class Star:
                                                     family=fam)).cast("long").alias("employee_sk"),
             F.when(rate > 0, (rate * 100).cast("long")).alias("promotion_sk"),
             F.substring(F.col("o_orderpriority"), 1, 1).cast("long").alias("channel_sk"),
-            qty.alias("quantity"),
+            F.col("l_quantity").cast("int").alias("quantity"),
             F.col("list_price").alias("unit_price"),
             F.col("standard_cost").alias("unit_cost"),
             gross.alias("gross_sales_amount"),
@@ -335,77 +363,65 @@ class Star:
             F.to_date("l_shipdate").alias("ship_date"),
             pick(TENDERS, txn, salt="tender", family=fam).alias("tender_type"),
         )
-        net = (F.col("gross_sales_amount") - F.col("discount_amount")).cast("decimal(18,2)")
-        cogs = (F.col("quantity") * F.col("unit_cost")).cast("decimal(18,2)")
-        df = df.withColumns({
-            "net_sales_amount": net,
-            "tax_amount": round2(net * F.col("_tax_rate")),
-            "cogs_amount": cogs,
+        return df.withColumns({
+            "net_sales_amount": (F.col("gross_sales_amount") - F.col("discount_amount")).cast("decimal(18,2)"),
+            "cogs_amount": (F.col("quantity") * F.col("unit_cost")).cast("decimal(18,2)"),
         }).withColumns({
+            "tax_amount": round2(F.col("net_sales_amount") * F.col("_tax_rate")),
             "gross_margin_amount": (F.col("net_sales_amount") - F.col("cogs_amount")).cast("decimal(18,2)"),
             "loyalty_points_earned": F.floor(F.col("net_sales_amount")).cast("long"),
             "is_return": F.lit(False),
             "is_marketplace": F.col("channel_sk") == 4,
         })
-        return df
+
+    def movements(self, sales: DataFrame) -> DataFrame:
+        """FC3 over a sales frame: one stock movement per line, dated by its ship date. The draws are keyed
+        on the line's natural key, so they are the same with and without line numbers."""
+        fam = self.family
+        keys = [F.col(k) for k in LINE_KEY]
+        kind = weighted_pick(uniform(*keys, salt="mtype", family=fam), [t for t, _ in MOVEMENT_TYPES], [w for _, w in MOVEMENT_TYPES])
+        vendor = self.dim_product.select("product_sk", "primary_vendor_sk")
+        outbound = F.col("movement_type").isin("Shrink", "Return-to-Vendor")
+        with_vendor = F.col("movement_type").isin("Receipt", "Return-to-Vendor")
+        return specs.FACT_INVENTORY_MOVEMENT.project(
+            sales.withColumn("movement_type", kind).join(vendor, "product_sk", "left").select(
+                id128("transaction_id", "line_number", tag="mov").alias("movement_id"),
+                yyyymmdd(F.col("ship_date")).alias("date_sk"), "product_sk", "store_sk",
+                F.when(with_vendor, F.col("primary_vendor_sk")).alias("vendor_sk"), "movement_type",
+                F.when(outbound, -F.col("quantity")).otherwise(F.col("quantity")).cast("int").alias("quantity"), "unit_cost",
+                F.concat(F.lit("MOV-"), F.col("transaction_id").cast("string"), F.lit("-"), F.col("line_number").cast("string"))
+                .alias("reference_doc_id"),
+                pick(REASON_CODES, *keys, salt="reason", family=fam).alias("reason_code"),
+            ))
 
     @cached_property
     def fact_inventory_movement(self) -> DataFrame:
-        """FC3: one stock movement per sales line, dated by its ship date."""
-        fam = self.family
-        s = self.sales_enriched
-        keys = (F.col("transaction_id"), F.col("line_number"))
-        mtype = weighted_pick(uniform(*keys, salt="mtype", family=fam),
-                              [t for t, _ in MOVEMENT_TYPES], [w for _, w in MOVEMENT_TYPES])
-        df = s.select(
-            id64(*keys, tag="mov", family=fam).alias("movement_id"),
-            yyyymmdd(F.col("ship_date")).alias("date_sk"),
-            "product_sk", "store_sk", "quantity", "unit_cost",
-            mtype.alias("movement_type"),
-            F.col("transaction_id"), F.col("line_number"),
-            F.col("product_sk").alias("_p"),
-        ).join(self.dim_product.select(F.col("product_sk").alias("_p"), "primary_vendor_sk"), "_p", "left")
-        signed = F.when(F.col("movement_type").isin("Shrink", "Return-to-Vendor"), -F.col("quantity")) \
-            .otherwise(F.col("quantity"))
-        df = df.select(
-            "movement_id", "date_sk", "product_sk", "store_sk",
-            F.when(F.col("movement_type").isin("Receipt", "Return-to-Vendor"), F.col("primary_vendor_sk"))
-            .alias("vendor_sk"),
-            "movement_type",
-            signed.cast("int").alias("quantity"),
-            "unit_cost",
-            F.concat(F.lit("MOV-"), F.col("transaction_id").cast("string"), F.lit("-"),
-                     F.col("line_number").cast("string")).alias("reference_doc_id"),
-            pick(REASON_CODES, *keys, salt="reason", family=fam).alias("reason_code"),
-        )
-        return specs.FACT_INVENTORY_MOVEMENT.project(df)
+        """FC3: one stock movement per sales line."""
+        return self.movements(self.sales_enriched)
 
     @cached_property
     def fact_web_events(self) -> DataFrame:
-        """FC7: click events; session = user x day, events numbered by time."""
+        """FC7: click events; session = visitor x day, numbered by time. A null user is the anonymous visitor."""
         fam = self.family
         ev = self.t("events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-        day = F.to_date("ts")
-        ev = ev.withColumn("_day", day).withColumn("_ts_us", F.unix_micros(F.col("ts").cast("timestamp")))
-        ev = dense_number(ev, ["user_id", "_day"], ["_ts_us", "event_id"], ["event_id"],
-                          out="event_number", buckets=self.line_buckets)
+        ev = ev.withColumn("_day", F.to_date("ts"))
+        ev = dense_number(ev, ["user_id", "_day"], [F.hour("ts"), F.minute("ts")], ["ts", "event_id"], out="event_number")
         cust = self.t("customer").select(F.col("c_custkey").alias("user_id"), F.lit(True).alias("_known"))
-        sess = id64(F.col("user_id"), F.col("_day"), tag="session", family=fam)
-        has_product = F.col("event_type").isin("view", "click", "purchase")
+        visit = (F.col("user_id"), F.col("_day"))
         df = ev.join(cust, "user_id", "left").select(
-            sess.alias("session_id"),
-            F.col("event_number"),
+            id128(*visit, tag="session").alias("session_id"),
+            "event_number",
             yyyymmdd(F.col("_day")).alias("date_sk"),
-            F.when(F.col("_known") & (uniform(F.col("user_id"), F.col("_day"), salt="anon", family=fam)
-                                      >= dec("0.35", 4, 2)), F.col("user_id").cast("long")).alias("customer_sk"),
-            F.when(has_product, F.get_json_object("props", "$.k").cast("long")).alias("product_sk"),
-            F.when(uniform(F.col("user_id"), F.col("_day"), salt="chan", family=fam) < dec("0.6", 4, 2),
-                   F.lit(2)).otherwise(F.lit(3)).cast("long").alias("channel_sk"),
-            F.col("ts").cast("timestamp").alias("event_ts"),
-            F.col("event_type"),
+            F.when(F.col("_known") & (uniform(*visit, salt="anon", family=fam) >= dec("0.35", 4, 2)), F.col("user_id").cast("long"))
+            .alias("customer_sk"),
+            F.when(F.col("event_type").isin("view", "click", "purchase"), F.get_json_object("props", "$.k").cast("long"))
+            .alias("product_sk"),
+            F.when(uniform(*visit, salt="chan", family=fam) < dec("0.6", 4, 2), F.lit(2)).otherwise(F.lit(3)).cast("long").alias("channel_sk"),
+            F.col("ts").alias("event_ts"),
+            "event_type",
             F.lit(None).cast("string").alias("search_term"),
-            pick(DEVICES, F.col("user_id"), F.col("_day"), salt="device", family=fam).alias("device_type"),
-            pick(REFERRERS, F.col("user_id"), F.col("_day"), salt="ref", family=fam).alias("referrer"),
+            pick(DEVICES, *visit, salt="device", family=fam).alias("device_type"),
+            pick(REFERRERS, *visit, salt="ref", family=fam).alias("referrer"),
             F.when(F.col("event_type") == "purchase", F.col("value").cast("decimal(18,2)")).alias("cart_value"),
         )
         return specs.FACT_WEB_EVENTS.project(df)

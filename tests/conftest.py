@@ -21,5 +21,13 @@ def spark():
 
 @pytest.fixture(scope="session")
 def wh(spark):
+    from starlake.plans.settings import REGISTERED
     from starlake.plans.warehouse import Warehouse
-    return Warehouse(spark, SF)
+    return Warehouse(spark, SF, REGISTERED)
+
+
+@pytest.fixture(scope="session")
+def built(spark, tmp_path_factory):
+    from starlake.plans.build import build
+    from starlake.plans.settings import REGISTERED
+    return build(spark, SF, str(tmp_path_factory.mktemp("build") / "wh"), REGISTERED)

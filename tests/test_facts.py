@@ -38,18 +38,92 @@ def test_forecast_interval_and_versions(wh):
 
 
 def test_partition_count_invariance(spark):
+    from starlake.plans.settings import REGISTERED
     from starlake.plans.warehouse import Warehouse
     from tests.conftest import SF
     fp = []
     for parts in ("1", "4", "16"):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
-        w = Warehouse(spark, SF)
+        w = Warehouse(spark, SF, REGISTERED)
         fp.append(w.fact_returns.agg(F.count("*"), F.sum("refund_amount"), F.sum("quantity")).first())
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert fp[0] == fp[1] == fp[2]
 
 
-def test_bounded_samples_sizes(wh):
-    assert wh.product_review_staging.count() == min(200, wh.fact_sales_line.count())
-    assert wh.service_case_staging.count() == min(100, wh.fact_sales_line.count())
-    assert wh.forecast_override.count() <= 30
+def test_rates_and_horizon_are_the_callers(spark, wh):
+    from dataclasses import replace
+    from starlake.plans.settings import REGISTERED
+    from starlake.plans.warehouse import Warehouse
+    from tests.conftest import SF
+    more = Warehouse(spark, SF, replace(REGISTERED, horizon_weeks=3, review_rate="1", case_rate="0.5", override_rate="1"))
+    lines = wh.fact_sales_line.count()
+    assert more.product_review_staging.count() == lines
+    assert 0.4 * lines < more.service_case_staging.count() < 0.6 * lines
+    assert more.fact_sales_forecast.select("fiscal_year", "fiscal_week").distinct().count() == 3
+    assert more.forecast_override.count() == more.fact_sales_forecast.count() / 2
+
+
+def test_every_low_stock_cell_is_ordered(wh):
+    low = wh.latest_snapshot.where("available_qty <= reorder_point")
+    assert wh.replenishment_order.count() == low.count() > 50
+
+
+def test_latest_snapshot_equals_the_whole_ones_last_period(wh):
+    last = wh.fact_inventory_snapshot.agg(F.max("date_sk")).first()[0]
+    whole = wh.fact_inventory_snapshot.where(F.col("date_sk") == last)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, wh.latest_snapshot.collect()))
+
+
+def test_lines_are_numbered_in_the_stated_order(wh):
+    from pyspark.sql import Window
+    w = Window.partitionBy("transaction_id").orderBy("source_line", "product_sk", "store_sk")
+    assert wh.sales_enriched.withColumn("n", F.row_number().over(w)).where("n <> line_number").count() == 0
+
+
+def test_rows_with_null_keys_stay(spark, tmp_path):
+    """A line without part, supplier or number, and events of the anonymous visitor, are rows like others."""
+    from starlake.plans.settings import REGISTERED
+    from starlake.plans.warehouse import Warehouse
+    from tests.conftest import SF
+    for t in ("region", "nation", "customer", "supplier", "part", "orders"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    li = spark.read.parquet(f"{SF}/lineitem.parquet").limit(40)
+    hole = lambda c: li.withColumn(c, F.lit(None).cast(li.schema[c].dataType))
+    li.unionByName(hole("l_partkey")).unionByName(hole("l_suppkey")).unionByName(hole("l_linenumber")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    ev = spark.read.parquet(f"{SF}/events.parquet").limit(30)
+    ev.unionByName(ev.withColumn("user_id", F.lit(None).cast("long"))).unionByName(ev.withColumn("event_id", F.lit(None).cast("long"))) \
+        .write.parquet(f"{tmp_path}/events.parquet")
+    w = Warehouse(spark, str(tmp_path), REGISTERED)
+    assert w.fact_sales_line.count() == 160 and w.fact_inventory_movement.count() == 160 and w.sales_base.count() == 160
+    assert w.fact_web_events.count() == 90
+    assert w.fact_web_events.where("customer_sk is null").count() >= 30
+
+
+def test_no_scan_for_dates_and_no_line_numbering_in_aggregates(wh):
+    plan = wh.fact_gl_actuals._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "row_number" not in plan
+    assert "lineitem" not in wh.dim_date._jdf.queryExecution().toString()
+
+
+def test_same_rows_in_another_time_zone(spark):
+    from starlake.plans.settings import REGISTERED
+    from starlake.plans.warehouse import Warehouse
+    from tests.conftest import SF
+    seen = []
+    for zone in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        w = Warehouse(spark, SF, REGISTERED)
+        seen.append([sorted(map(str, t.collect())) for t in (w.fact_web_events, w.replenishment_order, w.dim_customer)])
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert seen[0] == seen[1]
+
+
+def test_large_amounts_and_zero_quantity(spark, wh):
+    """A week of 1e9 sales at 1e6 units, and lines of no quantity, give numbers, not errors."""
+    from starlake.plans.ai import build_fact_sales_forecast
+    from starlake.plans.facts import build_fact_returns
+    sales = wh.sales_base.withColumn("net_sales_amount", F.lit("900000000.00").cast("decimal(18,2)")).withColumn("quantity", F.lit(1_000_000))
+    f = build_fact_sales_forecast(sales, wh.sale_days, wh.sales_calendar, horizon_weeks=4)
+    assert f.agg(F.max("forecast_amount")).first()[0] > 8 * 10**8
+    none = build_fact_returns(wh.sales_base.withColumn("quantity", F.lit(0)), wh.sales_calendar, rate="1")
+    assert none.count() == wh.sales_base.count() and none.agg(F.min("quantity")).first()[0] == 1

@@ -52,6 +52,39 @@ def test_measure_math_on_hand_rows(spark):
 
 def test_filter_pushed_to_scan(wh):
     df = compile_query(MV_SALES, wh.frames, ["category"], ["units"], where="fiscal_year = 1998")
-    txt = df._jdf.queryExecution().executedPlan().toString()
-    assert "fiscal_year" in txt
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    at = next(i for i, x in enumerate(lines) if "Filter" in x and "= 1998" in x)
+    assert "Generate explode" in lines[at + 1]  # right above the calendar's days, below every join
     assert df.count() > 0
+
+
+def test_stored_aggregate_answers_alone(spark, built, tmp_path):
+    from starlake.plans.build import stored_aggregate
+    from starlake.plans.datasets import net_sales_by_department
+    mats = {"mv_sales_daily": stored_aggregate(built, MV_SALES, "mv_sales_daily", str(tmp_path / "mv"))}
+    routed = net_sales_by_department(built, mats)
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    assert "mv" in plan and "fact_sales_line" not in plan and "sales_enriched" not in plan
+    assert sorted(routed.collect()) == sorted(net_sales_by_department(built).collect())
+
+
+def test_count_over_no_rows_is_zero(spark):
+    from starlake.operators.semantic import MaterializedView, MetricField, MetricView
+    view = MetricView("v", "f", "", (MetricField("k", "source.k"),), (MetricField("n", "COUNT(1)"), MetricField("s", "SUM(source.x)")),
+                      materialized=(MaterializedView("m", ("k",), ("n", "s")),))
+    rows = spark.createDataFrame([(1, 5)], "k int, x int")
+    stored = materialize(view, {"f": rows}, view.materialized[0])
+    r = compile_query(view, {"f": rows}, [], ["n", "s"], where="k = 9", materialized={"m": stored}).first()
+    assert (r.n, r.s) == (0, None)
+
+
+def test_filter_text_is_no_dimension(wh):
+    df = compile_query(MV_SALES, wh.frames, ["category"], ["units"], where_col=F.col("fiscal_year") == F.lit(1998), where_dims=["fiscal_year"])
+    assert "dim_store" not in df._jdf.queryExecution().analyzed().toString() and df.count() > 0
+
+
+def test_filters_reach_both_sides_of_the_kpis(wh):
+    from starlake.plans.datasets import inventory_position, kpis
+    one = kpis(wh, "division = 'Everyday'", "channel_type = 'Digital'").first()
+    stock = inventory_position(wh, "division = 'Everyday'").agg(F.sum("on_hand_cost_value")).first()[0]
+    assert one.on_hand_value == stock and one.net_sales < kpis(wh, "division = 'Everyday'").first().net_sales

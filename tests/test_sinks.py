@@ -27,7 +27,11 @@ def test_jdbc_reseed_derby(spark, wh):
         import pytest
         pytest.skip(f"embedded Derby unavailable: {type(exc).__name__}")
     assert n1 == n2 == 5
-    assert spark.read.jdbc(url, "DIM_CHANNEL", properties=props).count() == 5
+    from starlake.sources.sinks import read_jdbc
+    assert read_jdbc(spark, url, "DIM_CHANNEL", props, column="channel_sk", lower=1, upper=5, num_partitions=2).count() == 5
+    long = wh.dim_channel.withColumn("channel_name", F.repeat(F.lit("x"), 5000))
+    write_jdbc(long, specs.DIM_CHANNEL, url=url, table="DIM_LONG", properties=props)
+    assert spark.read.jdbc(url, "DIM_LONG", properties=props).select(F.max(F.length("channel_name"))).first()[0] == 5000
 
 
 def test_pg_ddl_has_pk():
@@ -57,5 +61,36 @@ def test_validate_overrides(spark):
                                      "ai_forecast_qty string, override_qty string, override_reason string, "
                                      "planner_id string")
     errs = [r.error for r in validate_overrides(df).collect()]
-    assert errs == [None, "fiscal_week must be 1-53", "override_qty must be >= 0", "invalid override_reason",
-                    "missing field: product_sk"]
+    assert errs == [None, "fiscal_week is not in 1-53", "override_qty is negative", "override_reason is unknown", "product_sk is missing"]
+
+
+def test_text_fields_are_validated_and_accepted(spark, wh):
+    from starlake.plans.ops import accept_overrides, submitted_from
+    good = dict(product_sk="5", store_sk=" 2", fiscal_year="2001", fiscal_week="10", ai_forecast_qty="5.0", override_qty="6.25",
+                override_reason="Weather event", planner_id="planner_chen")
+    bad = [{**good, "product_sk": "1.5"}, {**good, "fiscal_week": "10.5"}, {**good, "store_sk": "x"}, {**good, "override_qty": "abc"},
+           {k: v for k, v in good.items() if k != "planner_id"}]
+    got = [r.error for r in validate_overrides(submitted_from(spark, [good, *bad])).collect()]
+    assert got == [None, "product_sk is no number", "fiscal_week is no number", "store_sk is no number", "override_qty is no number",
+                   "planner_id is missing"]
+    stored = wh.forecast_override
+    now = F.lit("2030-01-01 00:00:00").cast("timestamp_ntz")
+    page = accept_overrides(submitted_from(spark, [good, *bad]), stored, now).collect()
+    assert len(page) == stored.count() + 1 and page[0].product_sk == 5 and str(page[0].override_qty) == "6.25"
+    assert [r.created_at for r in page] == sorted((r.created_at for r in page), reverse=True)
+
+
+def test_pages_follow_each_other(wh):
+    from starlake.plans.datasets import overrides_page
+    whole = overrides_page(wh, 10**6).collect()
+    first = overrides_page(wh, 2).collect()
+    rest = overrides_page(wh, 10**6, after=(first[-1].created_at, first[-1].override_id)).collect()
+    assert first + rest == whole
+
+
+def test_filled_table_is_written_once(spark, wh, tmp_path):
+    from starlake.sources.sinks import write_filled
+    staged = wh.service_case_staging
+    out = write_filled(staged, {"notes": "notes_prompt", "resolution": "resolution_prompt"}, lambda ps: [p.upper() for p in ps], str(tmp_path / "t"))
+    assert out.count() == staged.count() and "notes_prompt" not in out.columns
+    assert out.where("notes is null").count() == 0  # CHK18
