@@ -16,6 +16,8 @@ _INNER = np.ones(256, dtype=bool)  # what is not a space or a line feed
 _INNER[[10, 32]] = False
 _ASCII_LETTER = np.zeros(256, dtype=bool)
 _ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
+_MARK = np.zeros(256, dtype=bool)  # ASCII marks; an apostrophe may belong to a word
+_MARK[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = True
 
 
 def _letters(data: np.ndarray) -> np.ndarray:
@@ -28,21 +30,40 @@ def _letters(data: np.ndarray) -> np.ndarray:
     return out
 
 
+class _SlotMap:
+    """A map from 64-bit keys to slots as two sorted arrays."""
+
+    def __init__(self) -> None:
+        self.keys, self.slots = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, -1 where there is none."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.slots[at], -1).astype(np.int64)
+
+    def add(self, keys: np.ndarray, slots: np.ndarray) -> None:
+        """New keys, sorted, with their slots."""
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.slots = np.insert(self.keys, at, keys), np.insert(self.slots, at, slots)
+
+
 class WordEncoder:
     """Ids of a ``tokenizers`` file whose model sees each white-space word by itself.
 
     Texts are split at spaces and line feeds only (any other white space stays inside a word and is
     the tokenizer's business), each distinct word is encoded once, and a text's ids are its words' ids
     in order. That equals encoding the whole text as long as the tokenizer lower-cases, drops white
-    space, never joins across it and keeps letters apart from what follows them. A plain word (letters,
-    and perhaps a comma or full stop after them) is looked up in lower case and its tail by itself;
-    new plain words are encoded as one line and told apart by the tokens that end a word. Words are
-    known by a 64-bit hash; the store is emptied when it holds ``limit`` words.
+    space, never joins across it and keeps letters apart from marks. A plain word (letters, and perhaps
+    marks after them) is looked up in lower case, its marks by themselves; new plain words are encoded as
+    one line and told apart by the tokens that end a word. Words are known by a 64-bit hash; the store is
+    emptied when it holds ``limit`` words.
     """
 
     END = "</w>"
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 2_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -51,67 +72,72 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(self.END)]] = True
         self.limit = limit
-        self.tails = self._any([",", "."])
         self._reset()
 
     def _reset(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.pool = np.concatenate(self.tails)
-        self.first = np.array([0, *np.cumsum([len(t) for t in self.tails])], dtype=np.int64)  # slots 0, 1: the tails
+        self.known = [_SlotMap(), _SlotMap()]  # most words, and those learnt lately
+        self.pool = np.zeros(0, dtype=self.dtype)
+        self.first = np.zeros(1, dtype=np.int64)  # slot s has the ids pool[first[s]:first[s + 1]]
 
-    def _any(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _any(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words, one after the other, and how many each has)."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for x in ids for i in x], dtype=self.dtype), np.array([len(x) for x in ids], dtype=np.int64)
 
-    def _plain(self, cores: list[str]) -> list[np.ndarray]:
+    def _plain(self, cores: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words that are letters only."""
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, dtype=self.dtype)
         last = np.flatnonzero(self.ends[ids]) + 1
         if len(last) != len(cores) or last[-1] != len(ids):
             return self._any(cores)
-        return np.split(ids, last[:-1])
-
-    def _learn(self, keys: list[int], parts: list[np.ndarray]) -> None:
-        at = len(self.first) - 1
-        self.slots.update(zip(keys, range(at, at + len(keys))))
-        size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(size)))
-        self.pool = np.concatenate((self.pool, *parts))
+        return ids, np.diff(last, prepend=0)
+
+    def _learn(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The slots of new words; ``keys`` is sorted."""
+        slots = np.arange(len(self.first) - 1, len(self.first) - 1 + len(keys))
+        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(sizes)))
+        self.pool = np.concatenate((self.pool, ids))
+        main, late = self.known
+        late.add(keys, slots)
+        if len(late.keys) > 1 << 16:
+            main.add(late.keys, late.slots)
+            self.known[1] = _SlotMap()
+        return slots
 
     def _elements(self, data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, slot) of each word and tail of a segment, in order."""
+        """(start, slot) of each element of a segment, in order."""
         start, end = spans(_INNER[data], breaks)
         if not len(start):
             return start, start
-        last = data[end - 1]
-        tail = ((last == 44) | (last == 46)) & (end - start > 1)
-        stop = end - tail
+        inside = np.where(_MARK[data], -1, np.arange(len(data), dtype=np.int32))
+        stop = np.maximum(np.maximum.accumulate(inside)[end - 1] + 1, start)  # where the marks at the end begin
         letters = np.concatenate(([0], np.cumsum(_letters(data), dtype=np.int32)))
-        plain = letters[stop] - letters[start] == stop - start
-        tail &= plain
+        plain = (letters[stop] - letters[start] == stop - start) & (stop > start)
         stop = np.where(plain, stop, end)
+        tail = np.flatnonzero(stop < end)
+        # a plain word and the marks after it are two elements, any other word is one
+        place = np.arange(len(start)) + np.cumsum(stop < end) - (stop < end)
+        n = len(start) + len(tail)
+        first, to, letter = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64), np.zeros(n, dtype=bool)
+        first[place], to[place], letter[place] = start, stop, plain
+        first[place[tail] + 1], to[place[tail] + 1] = stop[tail], end[tail]
         low = lower(data)
-        key = span_hashes(low, start, stop)
-        other = np.flatnonzero(~plain)
+        key = span_hashes(low, first, to)
+        other = np.flatnonzero(~letter)
         if len(other):
-            key[other] = ~span_hashes(data, start, end)[other]
+            key[other] = ~span_hashes(data, first[other], to[other])
         distinct, at, inverse = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.slots) + len(distinct) > self.limit:
+        if len(self.first) + len(distinct) > self.limit:
             self._reset()
-        keys = distinct.tolist()
-        slot = np.array([self.slots.get(k, -1) for k in keys], dtype=np.int64)
+        slot = np.maximum(*(m.find(distinct) for m in self.known))
         new = np.flatnonzero(slot < 0)
-        if len(new):
-            known = plain[at[new]]
-            for group, raw, encode in ((new[known], low, self._plain), (new[~known], data, self._any)):
-                if len(group):
-                    text = raw.tobytes()
-                    self._learn([keys[i] for i in group.tolist()],
-                                encode([text[i:j].decode() for i, j in zip(start[at[group]].tolist(), stop[at[group]].tolist())]))
-            slot[new] = [self.slots[keys[i]] for i in new.tolist()]
-        place = np.arange(len(start)) + np.cumsum(tail) - tail
-        out_start, out_slot = (np.empty(len(start) + int(tail.sum()), dtype=np.int64) for _ in range(2))
-        out_start[place], out_slot[place] = start, slot[inverse]
-        out_start[place[tail] + 1], out_slot[place[tail] + 1] = start[tail], np.where(last[tail] == 44, 0, 1)
-        return out_start, out_slot
+        known = letter[at[new]]
+        for group, raw, encode in ((new[known], low, self._plain), (new[~known], data, self._any)):
+            if len(group):
+                text = raw.tobytes()
+                words = [text[i:j].decode() for i, j in zip(first[at[group]].tolist(), to[at[group]].tolist())]
+                slot[group] = self._learn(distinct[group], *encode(words))
+        return first, slot[inverse]
 
     def column(self, column: pa.Array) -> list[np.ndarray]:
         """Ids of each row of a string column; null rows have none."""
