@@ -22,6 +22,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ class Features:
     With ``wanted``, only those features are returned.
     """
 
-    def __init__(self, bits: int, wanted: set[int] | None = None, limit: int = 400_000):
+    def __init__(self, bits: int, wanted: set[int] | None = None, limit: int = 100_000):
         self.mask, self.wanted, self.limit = (1 << bits) - 1, wanted, limit
         self.words: dict[bytes, tuple[tuple[int, int] | None, int]] = {}
 
@@ -128,15 +129,15 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
               .agg(F.min("grade").cast("int").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.max_labelled))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rated = texts.join(F.broadcast(sample), "doc_id").groupBy("text").agg(F.min("grade").alias("grade"))  # copies are one case
-    rows = _sparse(rated, s.bits).toPandas()  # at most max_labelled documents
+    rows = _sparse(rated, s.bits).toArrow().combine_chunks()  # at most max_labelled documents
     kinds = s.grade + 1
-    if not len(rows):
+    if not rows.num_rows:
         return Model(np.zeros(0, dtype=np.int64), np.zeros(0), np.arange(1, kinds, dtype=float) - kinds, s)
-    y = rows["grade"].to_numpy().clip(0, kinds - 1)
-    size = rows["f"].map(len).to_numpy()
-    names, feature = np.unique(np.concatenate(rows["f"].to_list()).astype(np.int64), return_inverse=True)
-    value = np.log1p(np.concatenate(rows["c"].to_list()).astype(float))
-    doc = np.repeat(np.arange(len(rows)), size)
+    y = rows.column("grade").to_numpy().clip(0, kinds - 1)
+    size = pa.compute.list_value_length(rows.column("f")).to_numpy()
+    names, feature = np.unique(pa.compute.list_flatten(rows.column("f")).to_numpy(), return_inverse=True)
+    value = np.log1p(pa.compute.list_flatten(rows.column("c")).to_numpy().astype(float))
+    doc = np.repeat(np.arange(len(y)), size)
     seen = np.bincount(feature, minlength=len(names))
     telling = np.zeros(len(names), dtype=bool)
     for k in range(1, kinds):
