@@ -159,7 +159,8 @@ dim_customer AS (
 ),
 dim_promotion AS (
   SELECT k AS promotion_sk, 'PR' || lpad(CAST(k AS VARCHAR), 5, '0') AS promotion_id, CAST(k AS VARCHAR) || '% off' AS promo_name,
-         {pick(("Spring", "Summer", "Fall", "Holiday"), ['k'], 'campaign')} || ' Savings' AS campaign_name,
+         {pick(("Spring", "Summer", "Fall", "Holiday"), ['k'], 'campaign')} || ' ' || {pick(("Savings", "Days", "Event"), ['k'], 'campaign_kind')}
+           AS campaign_name,
          {pick(("Price Cut", "Bundle", "Clearance", "Seasonal"), ['k'], 'ptype')} AS promo_type, 'Percent' AS discount_method,
          rate AS discount_value, first + {bnd(['k'], 'campaign_start', 0, 300)} AS start_date,
          first + {bnd(['k'], 'campaign_start', 0, 300)} + {bnd(['k'], 'campaign_days', 7, 90)} AS end_date,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.semantic import compile_query
 from ..oracle.star_sql import with_star
 from ..registry import register
-from .views import MV_SALES
+from .views import MV_INVENTORY, MV_SALES
 
 
 @register("sales_by_year_category", with_star() + """
@@ -166,6 +166,7 @@ for _name, _fn, _sql in (
     ("category_ranking", ds.category_ranking, D.CATEGORY_RANKING),
     ("forecast_series_by_product", lambda w: ds.forecast_series(w, level="product"), D.SERIES_PRODUCT),
     ("forecast_series_recent", lambda w: ds.latest_weeks_series(w, "category", 8, "improved"), D.SERIES_RECENT),
+    ("forecast_series_preset", lambda w: ds.preset_weeks_series(w, "category", 13, "baseline"), D.SERIES_PRESET),
     ("forecast_category_picker", ds.category_picker, D.CATEGORY_PICKER),
     ("override_product_labels", lambda w: ds.product_labels(w, w.forecast_override), D.OVERRIDE_LABELS),
 ):
@@ -204,6 +205,14 @@ def net_sales_by_department_stored(w):
     return ds.net_sales_by_department(w, {"mv_sales_daily": B.stored_aggregate(wh, MV_SALES, "mv_sales_daily", _new_folder(w))})
 
 
+@register("inventory_by_region_stored", D.INVENTORY_BY_REGION)
+def inventory_by_region_stored(w):
+    """SEM4: stock by period-end and region, from the stored daily aggregate by date, region and department."""
+    wh = built(w, ("dim_product", "dim_store", "dim_date"))
+    mats = {"mv_inventory_daily": B.stored_aggregate(wh, MV_INVENTORY, "mv_inventory_daily", _new_folder(w))}
+    return compile_query(MV_INVENTORY, wh.frames, ["date", "region"], ["on_hand_qty", "on_hand_cost_value"], materialized=mats)
+
+
 # ------------------------------------------------------------ metric views
 from ..oracle import views_sql  # noqa: E402
 from . import views as V  # noqa: E402

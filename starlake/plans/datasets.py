@@ -199,6 +199,14 @@ def latest_weeks_series(w, level: str, weeks: int, version: str) -> DataFrame:
     return forecast_series(w, level=level, lo=code, version=version)
 
 
+def preset_weeks_series(w, level: str, weeks: int, version: str) -> DataFrame:
+    """DS12 (PR18) with a preset window: the horizon's first ``weeks`` weeks, or all if it has fewer."""
+    from .ai import recent_weeks
+    horizon = recent_weeks(w.sale_days, w.sales_calendar, w.settings.horizon_weeks)
+    first = horizon.orderBy("fiscal_year", "fiscal_week").limit(weeks)
+    return forecast_series(w, level=level, hi=first.agg(F.max(F.col("fiscal_year") * 100 + F.col("fiscal_week"))).scalar(), version=version)
+
+
 def forecast_summary(w, version: str = "both") -> DataFrame:
     """DS13/AG23: totals for the preferred version (improved unless baseline asked), per category."""
     s = forecast_series(w, version=version)

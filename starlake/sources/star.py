@@ -58,6 +58,8 @@ MOVEMENT_TYPES = (("Receipt", 45), ("Transfer", 25), ("Adjustment", 15), ("Shrin
 REASON_CODES = ("PO", "XFER", "CYCLE-COUNT", "DAMAGE", "RTV")
 DEVICES = ("desktop", "mobile", "tablet")
 REFERRERS = ("direct", "search", "email", "social", "affiliate")
+CAMPAIGN_SEASONS = ("Spring", "Summer", "Fall", "Holiday")
+CAMPAIGN_KINDS = ("Savings", "Days", "Event")
 # What identifies a sales line before it has a line number: draws are keyed on it.
 LINE_KEY = ("transaction_id", "source_line", "product_sk", "store_sk")
 
@@ -259,7 +261,8 @@ class Star:
             sk.alias("promotion_sk"),
             F.concat(F.lit("PR"), F.lpad(sk.cast("string"), 5, "0")).alias("promotion_id"),
             F.concat(sk.cast("string"), F.lit("% off")).alias("promo_name"),
-            F.concat(pick(("Spring", "Summer", "Fall", "Holiday"), sk, salt="campaign", family=fam), F.lit(" Savings")).alias("campaign_name"),
+            F.concat_ws(" ", pick(CAMPAIGN_SEASONS, sk, salt="campaign", family=fam), pick(CAMPAIGN_KINDS, sk, salt="campaign_kind", family=fam))
+            .alias("campaign_name"),
             start.alias("start_date"),
             F.date_add(start, bounded_int(sk, salt="campaign_days", lo=7, hi=90, family=fam)).alias("end_date"),
             pick(("Price Cut", "Bundle", "Clearance", "Seasonal"), sk, salt="ptype", family=fam).alias("promo_type"),
