@@ -1,5 +1,8 @@
 """The six metric views over the star schema (SEM1).
 
+View, dimension and measure names and what a measure computes are fixed values that must equal the
+reference's for right results; the notes are this library's.
+
 Measure expressions keep money exact (decimal sums) and compute every ratio
 and average in double from exact sums, so any engine returns the same bits.
 """
@@ -7,7 +10,91 @@ from __future__ import annotations
 
 from ..operators.semantic import MaterializedView, MetricField, MetricJoin, MetricView
 
-F_ = MetricField
+# What a user reads about a dimension or measure, by its name.
+NOTES = {
+    "date": "Day of the calendar",
+    "fiscal_year": "4-5-4 year",
+    "fiscal_period": "4-5-4 month, 1 to 12",
+    "fiscal_quarter": "Three fiscal periods",
+    "selling_season": "Season of the shop, by month",
+    "is_weekend": "Saturday or Sunday",
+    "is_holiday": "Public holiday of the calendar",
+    "division": "Top of the taxonomy",
+    "department": "Second level (of products) or cost centre (of the ledger)",
+    "category": "Third level of the taxonomy",
+    "subcategory": "Category and noun of the name",
+    "brand": "Brand of the part",
+    "product": "Name of the part",
+    "region": "Region of the supplier's nation",
+    "district": "Nation of the supplier",
+    "store_format": "By floor space",
+    "store": "Name of the supplier",
+    "state": "Nation, as there are no states",
+    "channel": "How the order came in",
+    "channel_type": "In person or online",
+    "customer_segment": "Market segment",
+    "loyalty_tier": "Tier of members, None for others",
+    "customer_type": "Household or business",
+    "promo_type": "Kind of promotion",
+    "funding_source": "Who pays for the promotion",
+    "gross_sales": "Before promotions",
+    "net_sales": "After promotions, before tax",
+    "discount": "Taken off by promotions",
+    "discount_rate": "Taken off, as a share of gross",
+    "cogs": "What the sold goods cost",
+    "gross_margin": "Net sales less their cost",
+    "gross_margin_pct": "Margin as a share of net sales",
+    "units": "Pieces sold",
+    "line_count": "Receipt lines",
+    "transaction_count": "Receipts",
+    "avg_order_value": "Net sales a receipt",
+    "avg_basket_units": "Pieces a receipt",
+    "avg_unit_price": "Gross a piece",
+    "on_hand_qty": "Pieces in stock",
+    "available_qty": "In stock and not reserved",
+    "on_order_qty": "Ordered from vendors",
+    "reserved_qty": "Promised to customers",
+    "on_hand_cost_value": "Stock at standard cost",
+    "on_hand_retail_value": "Stock at list price",
+    "avg_days_of_supply": "Mean over cells, not weighted",
+    "out_of_stock_rate": "Share of cells with no stock",
+    "sku_count": "Different products",
+    "stocked_store_count": "Different stores",
+    "category_id": "Key of the category",
+    "category_name": "Third level of the taxonomy",
+    "markdown": "Share of gross written down",
+    "shrink": "Share of stock lost",
+    "avg_gmroi": "Mean margin per cost of stock, not weighted",
+    "forecast_version": "baseline or improved",
+    "model_name": "Model behind the version",
+    "fiscal_week": "4-5-4 week, 1 to 53",
+    "forecast_qty": "Pieces expected",
+    "forecast_amount": "Pieces expected, at the week's price",
+    "lower_bound": "Lower end of the band",
+    "upper_bound": "Upper end of the band",
+    "interval_width": "Width of the band",
+    "account_type": "Kind of account",
+    "statement": "Statement the account is in",
+    "account": "Name of the account",
+    "account_category": "Group of accounts",
+    "department_group": "Whether the cost centre carries goods",
+    "actual_amount": "Posted",
+    "plan_version": "Which plan",
+    "scenario": "Case the plan is for",
+    "plan_amount": "Planned",
+    "plan_units": "Planned pieces",
+}
+
+
+# Other words users search by.
+SYNONYMS = {"net_sales": ("turnover",), "gross_margin_pct": ("margin rate",), "transaction_count": ("receipts",), "avg_order_value": ("basket value",),
+            "avg_days_of_supply": ("stock reach",), "out_of_stock_rate": ("gaps",), "avg_gmroi": ("return on stock",)}
+
+
+def F_(name: str, expr: str, format: str | None = None) -> MetricField:
+    return MetricField(name, expr, NOTES[name], name.replace("_", " ").capitalize(), SYNONYMS.get(name, ()), format)
+
+
 J_DATE = MetricJoin("dim_date", "dim_date", "date_sk", "date_sk")
 J_PRODUCT = MetricJoin("dim_product", "dim_product", "product_sk", "product_sk")
 J_STORE = MetricJoin("dim_store", "dim_store", "store_sk", "store_sk")
@@ -27,65 +114,59 @@ def mean(col: str) -> str:
 
 
 DATE_DIMS = (
-    F_("date", "dim_date.date", "Calendar date", "Date"),
-    F_("fiscal_year", "dim_date.fiscal_year", "Retail fiscal year", "Fiscal Year", ("FY",)),
-    F_("fiscal_period", "dim_date.fiscal_period", "Fiscal period (1-12)", "Fiscal Period"),
-    F_("fiscal_quarter", "dim_date.fiscal_quarter", "Fiscal quarter", "Fiscal Quarter"),
-    F_("selling_season", "dim_date.selling_season", "Selling season", "Selling Season"),
+    F_("date", "dim_date.date"),
+    F_("fiscal_year", "dim_date.fiscal_year"),
+    F_("fiscal_period", "dim_date.fiscal_period"),
+    F_("fiscal_quarter", "dim_date.fiscal_quarter"),
+    F_("selling_season", "dim_date.selling_season"),
 )
 PRODUCT_DIMS = (
-    F_("division", "dim_product.division_name", "Product division", "Division"),
-    F_("department", "dim_product.department_name", "Product department", "Department"),
-    F_("category", "dim_product.category_name", "Product category", "Category"),
-    F_("subcategory", "dim_product.subcategory_name", "Product subcategory", "Subcategory"),
-    F_("brand", "dim_product.brand_name", "Product brand", "Brand"),
-    F_("product", "dim_product.product_name", "Product name", "Product"),
+    F_("division", "dim_product.division_name"),
+    F_("department", "dim_product.department_name"),
+    F_("category", "dim_product.category_name"),
+    F_("subcategory", "dim_product.subcategory_name"),
+    F_("brand", "dim_product.brand_name"),
+    F_("product", "dim_product.product_name"),
 )
 STORE_DIMS = (
-    F_("region", "dim_store.region_name", "Store region", "Region"),
-    F_("district", "dim_store.district_name", "Store district", "District"),
-    F_("store_format", "dim_store.store_format", "Store format", "Store Format"),
-    F_("store", "dim_store.store_name", "Store name", "Store"),
-    F_("state", "dim_store.state", "Store state", "State"),
+    F_("region", "dim_store.region_name"),
+    F_("district", "dim_store.district_name"),
+    F_("store_format", "dim_store.store_format"),
+    F_("store", "dim_store.store_name"),
+    F_("state", "dim_store.state"),
 )
 
 MV_SALES = MetricView(
     name="mv_sales", source="fact_sales_line",
-    comment="Sales performance metrics at transaction-line grain.",
+    comment="One row of the source is a receipt line.",
     joins=(J_DATE, J_PRODUCT, J_STORE, J_CUSTOMER, J_CHANNEL, J_PROMO),
     dimensions=(
         *DATE_DIMS,
-        F_("is_weekend", "dim_date.is_weekend", "Weekend day flag"),
-        F_("is_holiday", "dim_date.is_holiday", "Holiday flag"),
+        F_("is_weekend", "dim_date.is_weekend"),
+        F_("is_holiday", "dim_date.is_holiday"),
         *PRODUCT_DIMS, *STORE_DIMS,
-        F_("channel", "dim_channel.channel_name", "Sales channel"),
-        F_("channel_type", "dim_channel.channel_type", "Physical/Digital"),
-        F_("customer_segment", "dim_customer.segment", "Customer segment"),
-        F_("loyalty_tier", "dim_customer.loyalty_tier", "Loyalty tier"),
-        F_("customer_type", "dim_customer.customer_type", "Retail or Commercial-B2B"),
-        F_("promo_type", "dim_promotion.promo_type", "Promotion type"),
-        F_("funding_source", "dim_promotion.funding_source", "Promotion funding source"),
+        F_("channel", "dim_channel.channel_name"),
+        F_("channel_type", "dim_channel.channel_type"),
+        F_("customer_segment", "dim_customer.segment"),
+        F_("loyalty_tier", "dim_customer.loyalty_tier"),
+        F_("customer_type", "dim_customer.customer_type"),
+        F_("promo_type", "dim_promotion.promo_type"),
+        F_("funding_source", "dim_promotion.funding_source"),
     ),
     measures=(
-        F_("gross_sales", "SUM(source.gross_sales_amount)", "Gross sales", "Gross Sales", ("revenue",), "currency"),
-        F_("net_sales", "SUM(source.net_sales_amount)", "Net sales", "Net Sales", ("sales",), "currency"),
-        F_("discount", "SUM(source.discount_amount)", "Promotional discount", "Discount", (), "currency"),
-        F_("discount_rate", ratio("SUM(source.discount_amount)", "SUM(source.gross_sales_amount)"),
-           "Discount / gross", "Discount Rate", (), "percentage"),
-        F_("cogs", "SUM(source.cogs_amount)", "Cost of goods sold", "COGS", (), "currency"),
-        F_("gross_margin", "SUM(source.gross_margin_amount)", "Net sales - COGS", "Gross Margin", ("margin",), "currency"),
-        F_("gross_margin_pct", ratio("SUM(source.gross_margin_amount)", "SUM(source.net_sales_amount)"),
-           "Margin / net sales", "Gross Margin %", ("GM%",), "percentage"),
-        F_("units", "SUM(source.quantity)", "Units sold", "Units"),
-        F_("line_count", "COUNT(1)", "Sales line count", "Line Count"),
-        F_("transaction_count", "COUNT(DISTINCT source.transaction_id)", "Distinct transactions", "Transactions",
-           ("orders",)),
-        F_("avg_order_value", ratio("SUM(source.net_sales_amount)", "COUNT(DISTINCT source.transaction_id)"),
-           "Net sales per transaction", "Avg Order Value", ("AOV",), "currency"),
-        F_("avg_basket_units", ratio("SUM(source.quantity)", "COUNT(DISTINCT source.transaction_id)"),
-           "Units per transaction", "Avg Basket Units"),
-        F_("avg_unit_price", ratio("SUM(source.gross_sales_amount)", "SUM(source.quantity)"),
-           "Gross per unit", "Avg Unit Price", (), "currency"),
+        F_("gross_sales", "SUM(source.gross_sales_amount)", "currency"),
+        F_("net_sales", "SUM(source.net_sales_amount)", "currency"),
+        F_("discount", "SUM(source.discount_amount)", "currency"),
+        F_("discount_rate", ratio("SUM(source.discount_amount)", "SUM(source.gross_sales_amount)"), "percentage"),
+        F_("cogs", "SUM(source.cogs_amount)", "currency"),
+        F_("gross_margin", "SUM(source.gross_margin_amount)", "currency"),
+        F_("gross_margin_pct", ratio("SUM(source.gross_margin_amount)", "SUM(source.net_sales_amount)"), "percentage"),
+        F_("units", "SUM(source.quantity)"),
+        F_("line_count", "COUNT(1)"),
+        F_("transaction_count", "COUNT(DISTINCT source.transaction_id)"),
+        F_("avg_order_value", ratio("SUM(source.net_sales_amount)", "COUNT(DISTINCT source.transaction_id)"), "currency"),
+        F_("avg_basket_units", ratio("SUM(source.quantity)", "COUNT(DISTINCT source.transaction_id)")),
+        F_("avg_unit_price", ratio("SUM(source.gross_sales_amount)", "SUM(source.quantity)"), "currency"),
     ),
     materialized=(
         MaterializedView("mv_sales_daily", ("date", "region", "department"),
@@ -95,21 +176,20 @@ MV_SALES = MetricView(
 
 MV_INVENTORY = MetricView(
     name="mv_inventory", source="fact_inventory_snapshot",
-    comment="Stock position at store x SKU x fiscal period-end.",
+    comment="Stock at the end of fiscal periods; don't add it up over dates.",
     joins=(J_DATE, J_PRODUCT, J_STORE),
     dimensions=(*DATE_DIMS, *PRODUCT_DIMS, *STORE_DIMS),
     measures=(
-        F_("on_hand_qty", "SUM(source.on_hand_qty)", "Units on hand"),
-        F_("available_qty", "SUM(source.available_qty)", "Available units"),
-        F_("on_order_qty", "SUM(source.on_order_qty)", "Units on order"),
-        F_("reserved_qty", "SUM(source.reserved_qty)", "Reserved units"),
-        F_("on_hand_cost_value", "SUM(source.on_hand_cost_value)", "Inventory at cost", format="currency"),
-        F_("on_hand_retail_value", "SUM(source.on_hand_retail_value)", "Inventory at retail", format="currency"),
-        F_("avg_days_of_supply", mean("source.days_of_supply"), "Average days of supply", synonyms=("DOS",)),
-        F_("out_of_stock_rate", "AVG(CASE WHEN source.is_out_of_stock THEN 1 ELSE 0 END)",
-           "Share of cells out of stock", synonyms=("OOS rate",), format="percentage"),
-        F_("sku_count", "COUNT(DISTINCT source.product_sk)", "Distinct SKUs"),
-        F_("stocked_store_count", "COUNT(DISTINCT source.store_sk)", "Distinct stores"),
+        F_("on_hand_qty", "SUM(source.on_hand_qty)"),
+        F_("available_qty", "SUM(source.available_qty)"),
+        F_("on_order_qty", "SUM(source.on_order_qty)"),
+        F_("reserved_qty", "SUM(source.reserved_qty)"),
+        F_("on_hand_cost_value", "SUM(source.on_hand_cost_value)", "currency"),
+        F_("on_hand_retail_value", "SUM(source.on_hand_retail_value)", "currency"),
+        F_("avg_days_of_supply", mean("source.days_of_supply")),
+        F_("out_of_stock_rate", "AVG(CASE WHEN source.is_out_of_stock THEN 1 ELSE 0 END)", "percentage"),
+        F_("sku_count", "COUNT(DISTINCT source.product_sk)"),
+        F_("stocked_store_count", "COUNT(DISTINCT source.store_sk)"),
     ),
     materialized=(
         MaterializedView("mv_inventory_daily", ("date", "region", "department"),
@@ -119,73 +199,73 @@ MV_INVENTORY = MetricView(
 
 MV_INVENTORY_VALUATION = MetricView(
     name="mv_inventory_valuation", source="fact_inventory_valuation",
-    comment="Inventory value at store x category x fiscal period.",
+    comment="Stock value and what the category sold meanwhile.",
     joins=(J_DATE, J_STORE),
     dimensions=(
         *DATE_DIMS, *STORE_DIMS,
-        F_("category_id", "source.category_id", "Category id"),
-        F_("category_name", "source.category_name", "Category"),
+        F_("category_id", "source.category_id"),
+        F_("category_name", "source.category_name"),
     ),
     measures=(
-        F_("on_hand_cost_value", "SUM(source.on_hand_cost_value)", "Period-end cost", format="currency"),
-        F_("on_hand_retail_value", "SUM(source.on_hand_retail_value)", "Period-end retail", format="currency"),
-        F_("cogs", "SUM(source.cogs_amount)", "Category COGS", format="currency"),
-        F_("markdown", "SUM(source.markdown_amount)", "Markdown", format="currency"),
-        F_("shrink", "SUM(source.shrink_amount)", "Shrink", format="currency"),
-        F_("avg_gmroi", mean("source.gmroi"), "Average GMROI", synonyms=("GMROI",)),
+        F_("on_hand_cost_value", "SUM(source.on_hand_cost_value)", "currency"),
+        F_("on_hand_retail_value", "SUM(source.on_hand_retail_value)", "currency"),
+        F_("cogs", "SUM(source.cogs_amount)", "currency"),
+        F_("markdown", "SUM(source.markdown_amount)", "currency"),
+        F_("shrink", "SUM(source.shrink_amount)", "currency"),
+        F_("avg_gmroi", mean("source.gmroi")),
     ),
 )
 
 MV_FORECAST = MetricView(
     name="mv_forecast", source="fact_sales_forecast",
-    comment="Demand forecast at product x store x fiscal week x version.",
+    comment="Both models' forecasts by week.",
     joins=(J_DATE, J_PRODUCT, J_STORE),
     dimensions=(
         *DATE_DIMS, *PRODUCT_DIMS, *STORE_DIMS,
-        F_("forecast_version", "source.forecast_version", "baseline/improved"),
-        F_("model_name", "source.model_name", "Model"),
-        F_("fiscal_week", "source.fiscal_week", "Fiscal week"),
+        F_("forecast_version", "source.forecast_version"),
+        F_("model_name", "source.model_name"),
+        F_("fiscal_week", "source.fiscal_week"),
     ),
     measures=(
-        F_("forecast_qty", "SUM(source.forecast_qty)", "Forecast units"),
-        F_("forecast_amount", "SUM(source.forecast_amount)", "Forecast amount", format="currency"),
-        F_("lower_bound", "SUM(source.lower_bound)", "Lower bound"),
-        F_("upper_bound", "SUM(source.upper_bound)", "Upper bound"),
-        F_("interval_width", "SUM(source.upper_bound - source.lower_bound)", "Interval width"),
+        F_("forecast_qty", "SUM(source.forecast_qty)"),
+        F_("forecast_amount", "SUM(source.forecast_amount)", "currency"),
+        F_("lower_bound", "SUM(source.lower_bound)"),
+        F_("upper_bound", "SUM(source.upper_bound)"),
+        F_("interval_width", "SUM(source.upper_bound - source.lower_bound)"),
     ),
 )
 
 MV_GL_ACTUALS = MetricView(
     name="mv_gl_actuals", source="fact_gl_actuals",
-    comment="GL actuals at account x store x department x fiscal period.",
+    comment="The ledger by period-end.",
     joins=(J_DATE, J_STORE, J_GL, J_DEPT),
     dimensions=(
         *DATE_DIMS, *STORE_DIMS,
-        F_("account_type", "dim_gl_account.account_type", "Revenue/COGS/Opex/Asset"),
-        F_("statement", "dim_gl_account.statement", "P&L or Balance-Sheet"),
-        F_("account", "dim_gl_account.account_name", "GL account"),
-        F_("account_category", "dim_gl_account.account_category", "Rollup category"),
-        F_("department", "dim_department.department_name", "Department"),
-        F_("department_group", "dim_department.department_group", "Department group"),
+        F_("account_type", "dim_gl_account.account_type"),
+        F_("statement", "dim_gl_account.statement"),
+        F_("account", "dim_gl_account.account_name"),
+        F_("account_category", "dim_gl_account.account_category"),
+        F_("department", "dim_department.department_name"),
+        F_("department_group", "dim_department.department_group"),
     ),
-    measures=(F_("actual_amount", "SUM(source.actual_amount)", "Actual amount", format="currency"),),
+    measures=(F_("actual_amount", "SUM(source.actual_amount)", "currency"),),
 )
 
 MV_BUDGET_PLAN = MetricView(
     name="mv_budget_plan", source="fact_budget_plan",
-    comment="Plan amounts at GL grain x plan version.",
+    comment="Plans beside the ledger.",
     joins=(J_DATE, J_STORE, J_GL, J_DEPT),
     dimensions=(
         *DATE_DIMS, *STORE_DIMS,
-        F_("plan_version", "source.plan_version", "Plan version"),
-        F_("scenario", "source.scenario", "Scenario"),
-        F_("account_type", "dim_gl_account.account_type", "Account type"),
-        F_("account", "dim_gl_account.account_name", "GL account"),
-        F_("department", "dim_department.department_name", "Department"),
+        F_("plan_version", "source.plan_version"),
+        F_("scenario", "source.scenario"),
+        F_("account_type", "dim_gl_account.account_type"),
+        F_("account", "dim_gl_account.account_name"),
+        F_("department", "dim_department.department_name"),
     ),
     measures=(
-        F_("plan_amount", "SUM(source.plan_amount)", "Planned amount", format="currency"),
-        F_("plan_units", "SUM(source.plan_units)", "Planned units"),
+        F_("plan_amount", "SUM(source.plan_amount)", "currency"),
+        F_("plan_units", "SUM(source.plan_units)"),
     ),
 )
 
