@@ -63,6 +63,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], col: int, limit: int = 4 << 2
             to = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(at, to - at)
             at = to
+        pa.default_memory_pool().release_unused()  # a worker waits for its next task without it
 
 
 def column_bytes(col: pa.Array) -> list[bytes]:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
