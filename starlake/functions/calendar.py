@@ -151,6 +151,11 @@ def pidx(fiscal_year_col: Column, fiscal_period_col: Column) -> Column:
     return (fiscal_year_col * 12 + fiscal_period_col - 1).cast("int")
 
 
+def days(dim_date: DataFrame, *columns: str) -> DataFrame:
+    """``date_sk`` and the given columns of the calendar, to be broadcast: a calendar has a row per day of the history."""
+    return F.broadcast(dim_date.select("date_sk", *columns))
+
+
 def date_periods(dim_date: DataFrame) -> DataFrame:
     """CAL8: date_sk -> fiscal year/period/week and ``pidx``."""
     return dim_date.select(

@@ -52,6 +52,14 @@ def hash_bits(*keys, salt: str, family: Family = "md5") -> Column:
     raise ValueError(f"unknown hash family {family!r}")
 
 
+def uniform_slice(*keys, salt: str, part: int) -> Column:
+    """FN1 from one digest: draw ``part`` (0 to 3) of the four that 128 bits hold. Draws of the same keys and salt share
+    the digest, so a row of many draws hashes once."""
+    digest = F.md5(F.concat_ws(_SEP, *[_col(k).cast("string") for k in keys], F.lit(str(salt))))
+    b = F.pmod(F.conv(F.substring(digest, 8 * part + 1, 8), 16, 10).cast("long"), F.lit(UNIFORM_BUCKETS).cast("long"))
+    return (b.cast("decimal(7,0)") * dec("0.000001")).cast("decimal(7,6)")
+
+
 def bucket(*keys, salt: str, n: int, family: Family = "md5") -> Column:
     """Integer in [0, n)."""
     return F.pmod(hash_bits(*keys, salt=salt, family=family), F.lit(int(n)).cast("long"))

@@ -25,6 +25,9 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Dimensions with a row per day, or literal rows: broadcast, so a fact is not shuffled to meet them.
+BOUNDED = ("dim_date", "dim_channel", "dim_gl_account", "dim_department")
+
 _QUALIFIED = re.compile(r"\b([A-Za-z_][A-Za-z0-9_]*)\.([A-Za-z_][A-Za-z0-9_]*)\b")
 _ADDITIVE = re.compile(r"^\s*(SUM|COUNT)\s*\(\s*(1|source\.[A-Za-z0-9_]+)\s*\)\s*$", re.IGNORECASE)
 
@@ -110,7 +113,8 @@ def joined_frame(view: MetricView, frames: Mapping[str, DataFrame], aliases: set
     for j in view.joins:
         if j.name not in aliases:
             continue
-        dim = frames[j.table].alias(j.name)
+        dim = F.broadcast(frames[j.table]) if j.table in BOUNDED else frames[j.table]
+        dim = dim.alias(j.name)
         df = df.join(dim, F.col(f"source.{j.fk}") == F.col(f"{j.name}.{j.pk}"), "left")
     return df
 

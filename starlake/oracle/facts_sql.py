@@ -10,7 +10,7 @@ from ..plans.finance import DEPARTMENTS, GL_ACCOUNTS, PLAN_VERSIONS
 from ..plans.ops import OVERRIDE_REASONS, PLANNERS, REPLEN_STATUSES
 from ..plans.settings import REGISTERED
 from ..sources.star import LINE_KEY
-from .sqlfn import bnd, bounded_by, id128, pct, pick, sk, u, weighted
+from .sqlfn import bnd, bounded_by, id128, pct, pick, sk, u, u_part, weighted
 
 K = list(LINE_KEY)
 MAXD = "(SELECT max(date) FROM sales_cal)"
@@ -118,11 +118,11 @@ grid AS (
 ),
 snap0 AS (
   SELECT *,
-    CASE WHEN {u(_CELL, 'stock_out')} < 0.04 THEN 0
+    CASE WHEN {u_part(_CELL, 'stock', 0)} < 0.04 THEN 0
          ELSE greatest(CAST(round({REGISTERED.weeks_of_supply * 7}.0 * greatest(CAST(units AS DOUBLE) / CAST(_nd AS DOUBLE), 0.05)
                                   * coalesce(season, 1.0)
-                                  * CAST(0.85 + {u(_CELL, 'stock_noise')} * 0.30 AS DOUBLE)) AS INTEGER), 0) END AS on_hand_qty,
-    CAST(floor({u(_CELL, 'stock_reserved')} * 5) AS INTEGER) AS reserved_qty,
+                                  * CAST(0.85 + {u_part(_CELL, 'stock', 1)} * 0.30 AS DOUBLE)) AS INTEGER), 0) END AS on_hand_qty,
+    CAST(floor({u_part(_CELL, 'stock', 2)} * 5) AS INTEGER) AS reserved_qty,
     CAST(CASE WHEN slow THEN 1 ELSE (units * 3 + _nd - 1) // _nd END AS INTEGER) AS safety_stock_qty,
     CAST(CASE WHEN slow THEN 1 ELSE (units * 7 + _nd - 1) // _nd END AS INTEGER) AS reorder_point,
     CAST(CASE WHEN slow THEN 1 ELSE (units * 14 + _nd - 1) // _nd END AS INTEGER) AS _oo
@@ -133,7 +133,7 @@ snap1 AS (
 ),
 fact_inventory_snapshot AS (
   SELECT date_sk, store_sk, product_sk, on_hand_qty, on_order_qty,
-         CAST(CASE WHEN on_order_qty > 0 THEN floor({u(_CELL, 'stock_moving')} * on_order_qty) ELSE 0 END AS INTEGER)
+         CAST(CASE WHEN on_order_qty > 0 THEN floor({u_part(_CELL, 'stock', 3)} * on_order_qty) ELSE 0 END AS INTEGER)
            AS in_transit_qty,
          reserved_qty, CAST(greatest(on_hand_qty - reserved_qty, 0) AS INTEGER) AS available_qty,
          safety_stock_qty, reorder_point, unit_cost,

@@ -27,6 +27,11 @@ def u(keys: Sequence[str], salt: str) -> str:
     return f"CAST({bucket(keys, salt, 1_000_000)} * 0.000001 AS DECIMAL(7,6))"
 
 
+def u_part(keys: Sequence[str], salt: str, part: int) -> str:
+    bits_ = f"CAST('0x' || substr(md5({_keys(keys, salt)}), {8 * part + 1}, 8) AS BIGINT)"
+    return f"CAST(({bits_} % 1000000) * 0.000001 AS DECIMAL(7,6))"
+
+
 def bnd(keys: Sequence[str], salt: str, lo: int, hi: int) -> str:
     return f"CAST({bucket(keys, salt, hi - lo + 1)} + {int(lo)} AS INTEGER)"
 

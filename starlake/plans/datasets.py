@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import calendar as cal
 from ..operators.semantic import compile_query
 from .views import MV_INVENTORY, MV_SALES
 
@@ -185,7 +186,7 @@ def forecast_series(w, level: str = "category", ident=None, lo=None, hi=None, ve
         f = f.filter(week >= lo)
     if hi is not None:
         f = f.filter(week <= hi)
-    f = f.join(w.dim_product.select("product_sk", "category_name"), "product_sk").join(w.dim_date.select("date_sk", "date"), "date_sk")
+    f = f.join(w.dim_product.select("product_sk", "category_name"), "product_sk").join(cal.days(w.dim_date, "date"), "date_sk")
     if ident is not None:
         f = f.filter(F.col(key[-1]) == ident)
     return f.groupBy(*key, "fiscal_year", "fiscal_week", F.col("forecast_version").alias("version")).agg(

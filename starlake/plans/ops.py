@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import calendar as cal
 from ..functions.keyed import dec, id128, round2, weighted_pick
 from ..sources import specs
 from .facts import Draws
@@ -22,7 +23,7 @@ def build_replenishment_order(latest: DataFrame, dim_date: DataFrame, *, family:
     """
     draw = Draws(["product_sk", "store_sk"], family)
     stages, weights = zip(*REPLEN_STATUSES)
-    low = (latest.where("available_qty <= reorder_point").join(dim_date.select("date_sk", "date"), "date_sk")
+    low = (latest.where("available_qty <= reorder_point").join(cal.days(dim_date, "date"), "date_sk")
            .withColumns({"status": weighted_pick(draw.share("order_stage"), stages, weights), "created_at": F.col("date").cast("timestamp_ntz"),
                          "suggested_qty": F.expr("greatest(reorder_point + safety_stock_qty - available_qty, 0)").cast("int")}))
 
@@ -40,7 +41,7 @@ def build_forecast_override(forecast: DataFrame, dim_date: DataFrame, *, rate: s
     """FC17 (SC11): a keyed share of the improved forecasts is changed by a planner, by 30 % at most and not below 0."""
     cell = ["product_sk", "store_sk", "date_sk"]
     draw = Draws(cell, family)
-    changed = forecast.where((F.col("forecast_version") == "improved") & draw.chance("override", rate)).join(dim_date.select("date_sk", "date"), "date_sk")
+    changed = forecast.where((F.col("forecast_version") == "improved") & draw.chance("override", rate)).join(cal.days(dim_date, "date"), "date_sk")
     factor = dec("0.7", 2, 1) + draw.share("override_by") * dec("0.6", 2, 1)
     return specs.FORECAST_OVERRIDE.project(changed.withColumns({
         "override_id": id128(*cell, tag="override"), "ai_forecast_qty": F.col("forecast_qty"),

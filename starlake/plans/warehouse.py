@@ -96,7 +96,7 @@ class Warehouse(Star):
         return facts.build_fact_loyalty_activity(self.sales, self.dim_customer, self.sales_calendar, family=self.family)
 
     def _snapshot(self, only_latest: bool) -> DataFrame:
-        return facts.build_fact_inventory_snapshot(self.sales, self.dim_product, self.sales_calendar, family=self.family,
+        return facts.build_fact_inventory_snapshot(self.sales, self.dim_product, self.sales_calendar,
                                                    weeks_of_supply=self.settings.weeks_of_supply, only_latest=only_latest)
 
     @cached_property
