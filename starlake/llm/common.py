@@ -42,6 +42,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as it takes to differ from ``columns`` (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def small(written: DataFrame, rows: int, weight: Column | None = None) -> DataFrame:
     """``written`` (a table that ``cut`` returned) with a broadcast hint if its rows, or the sum of
     ``weight`` over them, are ``rows`` at most; beyond that Spark joins it by shuffle."""

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, text_slices
+from .common import cut, fresh, text_slices
 from .tokens import word_encoder
 
 CAPACITY = 2048
@@ -153,23 +153,22 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     lengths are told apart by the order in which the rows were first written, so the plan holds when a
     task is run again. An empty table gives an empty result.
     """
-    items = cut(items.withColumn("_row", F.monotonically_increasing_id()))
-    chunk = F.shiftright("_row", 16).alias("_chunk")  # at most 65,536 rows of a writing task
-    per = cut(items.groupBy("length", chunk).count())
+    own, chunk, first, inside, place = fresh(items.columns, "_row", "_chunk", "_first", "_in", "_rank")
+    names = items.columns
+    items = cut(items.withColumn(own, F.monotonically_increasing_id()))
+    dealt = items.withColumn(chunk, F.shiftright(own, 16))  # at most 65,536 rows of a writing task
+    per = cut(dealt.groupBy("length", chunk).agg(F.count(F.lit(1)).alias(inside)))
     counts = np.zeros(capacity + 1, dtype=np.int64)
-    for length, n in per.groupBy("length").agg(F.sum("count")).collect():  # at most capacity rows
+    for length, n in per.groupBy("length").agg(F.sum(inside)).collect():  # at most capacity rows
         counts[length] = n
     slots = plan(counts, capacity)
-    first = per.select("length", "_chunk", (F.sum("count").over(Window.partitionBy("length").orderBy("_chunk")) - F.col("count")).alias("_first"))
-    inside = F.row_number().over(Window.partitionBy("length", "_chunk").orderBy("_row"))
-    ranked = (items.withColumn("_chunk", chunk).withColumn("_in", inside).join(first, ["length", "_chunk"])
-              .withColumn("_rank", F.col("_first") + F.col("_in") - 1))
-
-    names = [c for c in items.columns if c != "_row"]
+    before = F.sum(inside).over(Window.partitionBy("length").orderBy(chunk)) - F.col(inside)
+    within = F.row_number().over(Window.partitionBy("length", chunk).orderBy(own))
+    ranked = dealt.withColumn(inside, within).join(per.select("length", chunk, before.alias(first)), ["length", chunk])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            length, rank = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("length", "_rank"))
+            length, rank = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("length", place))
             s = slots[np.searchsorted(keys, length * big + rank, side="right") - 1]
             q = rank - s[:, 1]
             yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(c)) for c in names], pa.array(s[:, 3] + q // s[:, 5]),
@@ -177,8 +176,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     big = int(counts.max()) + 1
     keys = slots[:, 0] * big + slots[:, 1]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema if f.name != "_row")
-    return ranked.select(*names, "_rank").mapInArrow(run, f"{fields}, sequence_id long, offset long")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema if f.name != own)
+    return ranked.select(*names, (F.col(first) + F.col(inside) - 1).alias(place)).mapInArrow(run, f"{fields}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,

@@ -6,7 +6,8 @@ and what was found. A scan reads the ledger, scans only blobs that lack some rul
 the rules they lack, appends one ledger row per blob, and joins findings back to all paths. Copies of a
 text are scanned once; a new rule or a raised rule version rescans old blobs with that rule alone.
 
-Spans are code points, end exclusive, leftmost and non-overlapping per rule. Regular expressions give
+Spans are code points, end exclusive, leftmost and non-overlapping per rule; letters in either case are
+ASCII letters. Regular expressions give
 a text's matches and the pieces between them; a match starts at the running sum of the lengths before
 it. Matches whose checked group is too short are dropped after they have taken their place.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, scratch_dir, small
+from .common import cut, fresh, scratch_dir, small
 
 
 @dataclass(frozen=True)
@@ -142,12 +143,13 @@ def redact(docs: DataFrame, text_col: str = "text", ledger: str | None = None, r
                      F.slice(done, F.lit(1), F.size(done) - 1),
                      F.array(F.struct(F.element_at(done, -1)["s"].alias("s"), F.greatest(F.element_at(done, -1)["e"], x["e"]).alias("e")))))
                  .otherwise(F.concat(done, F.array(x))))))
-    known = small(cut(known.select(F.col("blob").alias("_blob"), F.col("f").alias("_found"))), 500_000, F.size("_found"))
+    blob, found = fresh(docs.columns, "_blob", "_found")
+    known = small(cut(known.select(F.col("blob").alias(blob), F.col("f").alias(found))), 500_000, F.size(found))
     text = F.col(text_col)
     clean = F.concat(
-        F.array_join(F.transform(F.sequence(F.lit(0), F.size("_found") - 1), lambda i: F.concat(
-            F.substring(text, F.when(i == 0, 1).otherwise(F.get("_found", i - 1)["e"] + 1),
-                        F.get("_found", i)["s"] - F.when(i == 0, 0).otherwise(F.get("_found", i - 1)["e"])), F.lit(mark))), ""),
-        F.substring(text, F.element_at("_found", -1)["e"] + 1, F.length(text)))
-    joined = docs.withColumn("_blob", _content(F.coalesce(text, F.lit("")))).join(known, "_blob", "left")
-    return joined.select(*[F.when(F.col("_found").isNull(), text).otherwise(clean).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+        F.array_join(F.transform(F.sequence(F.lit(0), F.size(found) - 1), lambda i: F.concat(
+            F.substring(text, F.when(i == 0, 1).otherwise(F.get(found, i - 1)["e"] + 1),
+                        F.get(found, i)["s"] - F.when(i == 0, 0).otherwise(F.get(found, i - 1)["e"])), F.lit(mark))), ""),
+        F.substring(text, F.element_at(found, -1)["e"] + 1, F.length(text)))
+    joined = docs.withColumn(blob, _content(F.coalesce(text, F.lit("")))).join(known, blob, "left")
+    return joined.select(*[F.when(F.col(found).isNull(), text).otherwise(clean).alias(c) if c == text_col else F.col(c) for c in docs.columns])

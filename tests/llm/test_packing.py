@@ -101,6 +101,8 @@ def test_plan_is_whole_and_tight(seed):
 
 
 def test_hot_length_is_ranked_in_chunks(spark):
-    rows = packing.pack(spark.range(3000, numPartitions=7).selectExpr("id", "cast(if(id % 3 = 0, 1000, 1048) as long) as length"), 2048).collect()
+    items = spark.range(3000, numPartitions=7).selectExpr("id", "cast(if(id % 3 = 0, 1000, 1048) as long) as length", "id as _row", "-id as _Chunk")
+    rows = packing.pack(items, 2048).collect()
+    assert all(r._row == r.id == -r._Chunk for r in rows)  # columns of clashing names are kept
     assert sorted(r.id for r in rows) == list(range(3000))
     assert check(rows, 2048) == 2000  # 1000 full pairs, 1000 pieces of 1048 alone
