@@ -179,9 +179,11 @@ def tree(convs: DataFrame, tokenizer: str, pattern: str) -> DataFrame:
     rest = "node binary, parent binary, depth int, chars long, loss_from int, loss_to int, ids array<int>"
     placed = walked.where("at >= 0").select("part", "local", "up", "up_len", *[c.split(" ")[0] for c in rest.split(", ")]).mapInArrow(
         run, f"start long, position long, ancestors array<long>, intervals array<struct<start: long, `end`: long>>, {rest}")
-    return placed.where("start is not null").select(
-        "node", "parent", "depth", "start", F.size("ids").alias("length"), "position", "ids",
-        F.sequence("position", F.col("position") + F.size("ids") - 1).alias("position_ids"), "loss_from", "loss_to", "chars", "ancestors", "intervals")
+    # position ids follow from position and length, so they aren't stored
+    kept = cut(placed.where("start is not null").withColumn("length", F.size("ids")))
+    return kept.select("node", "parent", "depth", "start", "length", "position", "ids",
+                       F.sequence("position", F.col("position") + F.col("length") - 1).alias("position_ids"), "loss_from", "loss_to", "chars",
+                       "ancestors", "intervals")
 
 
 def read_back(convs: DataFrame, nodes: DataFrame, tokenizer: str, pattern: str) -> DataFrame:
@@ -219,6 +221,6 @@ def format_chats(rows: DataFrame, tokenizer: str, pattern: str, conv_col: str =
     Columns other than the four named are ignored; an empty table gives empty results.
     """
     convs = cut(conversations(rows, conv_col, turn_col, role_col, text_col))
-    return convs, cut(tree(convs, tokenizer, pattern))
+    return convs, tree(convs, tokenizer, pattern)
 
 
