@@ -50,6 +50,20 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
 
 
+ORACLE["op3_embedding_near_dedup"] = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND NOT list_contains([x IS NULL OR NOT isfinite(x) for x in embedding], true)),
+pairs AS (
+  SELECT a.vec_id AS x, b.vec_id AS y, list_cosine_similarity(a.e, b.e) AS c FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id),
+links AS (SELECT x, y FROM pairs WHERE NOT isnan(c) AND c >= 0.95),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT vec_id, (SELECT COUNT(*) FROM links WHERE x = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON x = vec_id
+"""
+
+
 def _spans_sha(spans: Column) -> Column:
     return F.sha2(F.array_join(spans, ","), 256)
 
