@@ -164,7 +164,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slots = plan(counts, capacity)
     before = F.sum(inside).over(Window.partitionBy("length").orderBy(chunk)) - F.col(inside)
     within = F.row_number().over(Window.partitionBy("length", chunk).orderBy(own))
-    ranked = dealt.withColumn(inside, within).join(per.select("length", chunk, before.alias(first)), ["length", chunk])
+    # ranked rows already lie by length and chunk: a merge join moves the offsets only, and nothing that grows is broadcast
+    ranked = dealt.withColumn(inside, within).join(per.select("length", chunk, before.alias(first)).hint("merge"), ["length", chunk])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
