@@ -1,14 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare word-pair seeds, then Smith-Waterman alignment.
 
 The test items are the query set and go through in blocks of at most ``block_words`` words, each block a
 small array in every task; the corpus is read twice per block and never shuffled.
 
-1. How many documents hold each of the block's word n-grams is counted over the whole corpus.
-2. An item's seeds are the rarer half of its n-grams (up to the median document count, ties included, so
-   every item keeps seeds however common it is). A document's seed hits are joined to item positions,
-   grouped by diagonal into passages, and each passage, with a margin, is aligned to the item word by
-   word (match 2, other word -1, gap -1). A passage whose score reaches ``least`` of a full match's is a
-   leak; edited copies lose only what the edits cost.
+1. How many documents hold each of the block's word pairs is counted over the whole corpus. A pair is two
+   words in order with at most one word between.
+2. An alignment (match 2, other word -1, gap -1) of an item of L words that scores ``least`` of a full
+   match has m matches and costs of at most 2 m - 2 least L; so at least least L - 1 of its m - 1 steps
+   from match to match cost one at most, and each of them is a pair of both sides. Of the item's places
+   all but the least L - 2 with the most frequent pairs are seeds: whatever the counts, every such
+   alignment has one.
+3. A document's seed hits are joined to item positions, and the words around them, as far as such an
+   alignment can reach, are aligned to the item. Every passage that reaches ``least`` is a leak.
 """
 from __future__ import annotations
 
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import text_slices
-from .words import grams, words
+from .words import pairs, words
 
 MATCH, OTHER, GAP = 2, -1, 1
 MAP_BITS = 20
@@ -38,17 +41,17 @@ class Settings:
 
 @dataclass
 class Items:
-    """A block of test items: ids, words (flat, ``first`` has each item's place) and n-grams."""
+    """A block of test items: ids, words (flat, ``first`` has each item's place) and word pairs."""
 
     ids: list
     first: np.ndarray
     word: np.ndarray
     gram: np.ndarray  # distinct, sorted
-    at: np.ndarray  # of each n-gram occurrence, its first word
+    at: np.ndarray  # of each pair's occurrence, its first word
     slots: np.ndarray  # and its index in ``gram``
 
     def slot(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(positions in ``g`` that are n-grams of the block, their index in ``gram``)."""
+        """(positions in ``g`` that are pairs of the block, their index in ``gram``)."""
         at = np.flatnonzero(self.map[g >> np.uint64(64 - MAP_BITS)])
         k = np.minimum(np.searchsorted(self.gram, g[at]), len(self.gram) - 1)
         same = self.gram[k] == g[at]
@@ -61,27 +64,29 @@ class Items:
 
 def _items(ids: list, texts: list[str | None], n: int) -> Items:
     w = words(pa.array(texts, pa.string()))
-    at, g = grams(w, n)
-    gram, inverse = np.unique(g, return_inverse=True)
     first = np.searchsorted(w.row, np.arange(len(ids) + 1))
+    at, g = pairs(w)
+    long = np.diff(first)[w.row[at]] >= n
+    at = at[long]
+    gram, inverse = np.unique(g[long], return_inverse=True)
     return Items(ids, first, w.hash, gram, at, inverse)
 
 
-def _document_counts(docs: DataFrame, block: Items, n: int) -> np.ndarray:
+def _document_counts(docs: DataFrame, block: Items) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(block.gram), dtype=np.int64)
         for b in text_slices(batches, 0):
             w = words(b.column(0))
-            at, g = grams(w, n)
+            at, g = pairs(w)
             hit, k = block.slot(g)
             if len(hit):
-                pairs = np.unique(w.row[at[hit]] * len(block.gram) + k)
-                total += np.bincount(pairs % len(block.gram), minlength=len(block.gram))
+                held = np.unique(w.row[at[hit]] * len(block.gram) + k)
+                total += np.bincount(held % len(block.gram), minlength=len(block.gram))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], names=["k", "n"])
 
     out = np.zeros(len(block.gram), dtype=np.int64)
-    got = docs.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()  # at most the block's n-grams
+    got = docs.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()  # at most the block's pairs
     out[got["k"].to_numpy(dtype=np.int64)] = got["n"].to_numpy(dtype=np.int64)
     return out
 
@@ -135,10 +140,10 @@ def align(items: list[np.ndarray], texts: list[np.ndarray], batch: int) -> tuple
     return score, start, end
 
 
-def _passages(row: np.ndarray, item: np.ndarray, diagonal: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _passages(row: np.ndarray, item: np.ndarray, diagonal: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first hit, last hit + 1) of each group of sorted hits whose diagonals stay near each other."""
     new = np.ones(len(row), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > size[1:] // 2 + 8)
+    new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] >= reach[1:])
     first = np.flatnonzero(new)
     return first, np.append(first[1:], len(row))
 
@@ -215,24 +220,30 @@ class Passages:
 
 
 def _passages_of(docs: DataFrame, text_col: str, block: Items, s: Settings) -> Callable[[pa.Array], Passages]:
-    """Count the block's n-grams over ``docs`` and choose the seeds; a function that finds a text column's leaks."""
-    counts = _document_counts(docs.select(text_col), block, s.n)
+    """Count the block's pairs over ``docs`` and choose the seeds; a function that finds a text column's leaks."""
+    counts = _document_counts(docs.select(text_col), block)
     at, slot = block.at, block.slots
     owner = np.searchsorted(block.first, at, side="right") - 1
-    seed = np.zeros(len(at), dtype=bool)
-    edges = np.searchsorted(owner, np.arange(len(block.ids) + 1))
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        if b > a:
-            seed[a:b] = counts[slot[a:b]] <= np.median(counts[np.unique(slot[a:b])])
+    sizes = np.diff(block.first)
+    load = np.bincount(at, weights=counts[slot], minlength=len(block.word))  # of each place, the documents of its pairs
+    places = np.unique(at)
+    item = np.searchsorted(block.first, places, side="right") - 1
+    o = np.lexsort((load[places], item))
+    places, item = places[o], item[o]
+    rank = np.arange(len(places)) - np.searchsorted(item, item)
+    steps = np.maximum(1, np.ceil(s.least * sizes - 1 - 1e-9)).astype(np.int64)
+    chosen = np.zeros(len(block.word), dtype=bool)
+    chosen[places[rank <= sizes[item] - 1 - steps[item]]] = True
+    seed = chosen[at]
     order = np.argsort(slot[seed], kind="stable")
     seed_slot, seed_item, seed_pos = slot[seed][order], owner[seed][order], (at - block.first[owner])[seed][order]
     bounds = np.searchsorted(seed_slot, np.arange(len(block.gram) + 1))
-    sizes = np.diff(block.first)
+    margins = (2 * (1 - s.least) * sizes + 1e-9).astype(np.int64)  # words of an alignment beyond the item's
     none = np.zeros(0, dtype=np.int64)
 
     def find(column: pa.Array) -> Passages:
         w = words(column)
-        where, g = grams(w, s.n)
+        where, g = pairs(w)
         hit, k = block.slot(g)
         n = bounds[k + 1] - bounds[k]
         which = np.repeat(bounds[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -244,10 +255,10 @@ def _passages_of(docs: DataFrame, text_col: str, block: Items, s: Settings) -> C
         o = np.lexsort((word, diagonal, item, w.row[word]))
         word, item, diagonal = word[o], item[o], diagonal[o]
         row = w.row[word]
-        first, last = _passages(row, item, diagonal, sizes[item])
+        first, last = _passages(row, item, diagonal, sizes[item] + 2 * margins[item])
         row_from, row_to = np.searchsorted(w.row, row[first]), np.searchsorted(w.row, row[first], side="right")
         length, whose = sizes[item[first]], item[first]
-        margin = length // 4 + 2
+        margin = margins[whose]
         lo = np.maximum(row_from, diagonal[first] - margin)
         hi = np.minimum(row_to, diagonal[last - 1] + length + margin)
         score, a, e = align([block.word[block.first[i]:block.first[i + 1]] for i in whose], [w.hash[x:y] for x, y in zip(lo, hi)], s.batch)

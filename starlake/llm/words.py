@@ -131,3 +131,14 @@ def grams(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     g ^= g >> np.uint64(32)
     at = np.flatnonzero(w.row[:m] == w.row[n - 1:])
     return at, g[at]
+
+
+def pairs(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the first word, hash) of every two words of a row, in order, with at most one word between."""
+    at, g = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for far in (1, 2):
+        first = np.flatnonzero(w.row[:-far] == w.row[far:])
+        h = w.hash[first] * np.uint64(0xD6E8FEB86659FD93) + w.hash[first + far]
+        at.append(first)
+        g.append(h ^ (h >> np.uint64(32)))
+    return np.concatenate(at), np.concatenate(g)

@@ -77,3 +77,28 @@ def test_repeated_passages_in_a_long_document(docs_of, spark):
     text = " ".join([f"filler{i} " * 40 + item for i in range(50)])
     rows = decontam.find_leaks(docs_of({1: text}), spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
     assert sorted(text[r.start:r.end] for r in rows) == [item] * 50
+
+
+@pytest.mark.parametrize("copies", [0, 1, 10])
+def test_edited_copies_alone_and_beside_exact_ones(docs_of, spark, copies):
+    rnd = random.Random(3)
+    items = {n: [f"i{n}x{k}" for k in range(n)] for n in (20, 40, 60)}
+    noise = lambda: [f"n{rnd.randint(0, 500)}" for _ in range(30)]
+    docs, leaks = {}, {}
+    for n, item in items.items():
+        for s in (3, 4, 5, 6):  # every s-th word replaced
+            docs[len(docs)] = [w if k % s else f"e{rnd.randint(0, 500)}" for k, w in enumerate(item)]
+            leaks[len(docs) - 1] = n
+        docs[len(docs)] = [x for k, w in enumerate(item) for x in ([w, "more"] if k % 2 else [w])]  # a word added after every second
+        leaks[len(docs) - 1] = n
+        for _ in range(copies):
+            docs[len(docs)] = item
+            leaks[len(docs) - 1] = n
+    docs = {d: " ".join([*noise(), *w, *noise()]) for d, w in docs.items()} | {-1: " ".join(noise())}
+    texts = {n: " ".join(w) for n, w in items.items()}
+    leaks = {(d, n) for d, n in leaks.items() if slow_similarity(texts[n], docs[d]) >= 0.5}
+    assert len(leaks) >= 12
+    rows = decontam.find_leaks(docs_of(docs), spark.createDataFrame(list(texts.items()), "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == leaks
+    for r in rows:
+        assert r.similarity == pytest.approx(slow_similarity(texts[r.item_id], docs[r.doc_id]))
