@@ -15,6 +15,7 @@ small array in every task; the corpus is read twice per block and never shuffled
 """
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -28,6 +29,7 @@ from .common import text_slices
 from .words import pairs, words
 
 MATCH, OTHER, GAP = 2, -1, 1
+ONE = 1 << 32
 MAP_BITS = 20
 
 
@@ -91,53 +93,74 @@ def _document_counts(docs: DataFrame, block: Items) -> np.ndarray:
     return out
 
 
-def _score(item: np.ndarray, text: np.ndarray, item_len: np.ndarray, text_len: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best local score of each padded pair, and the item and text positions where it ends."""
+def _score(item: np.ndarray, text: np.ndarray, item_len: np.ndarray, text_len: np.ndarray) -> np.ndarray:
+    """Of each word of the padded texts, the best local alignment that ends there: score * ONE + its first word."""
     b, width = text.shape
-    step = np.arange(width, dtype=np.int32) * GAP
-    inside = np.arange(width) < text_len[:, None]
-    h = np.zeros((b, width + 1), dtype=np.int32)
-    best, end_i, end_j = (np.zeros(b, dtype=np.int64) for _ in range(3))
+    place = np.arange(width, dtype=np.int64)
+    step = place * (GAP * ONE)
+    inside = place < text_len[:, None]
+    h = np.zeros((b, width + 1), dtype=np.int64)
+    best = np.zeros((b, width), dtype=np.int64)
     for i in range(item.shape[1]):
-        here = h[:, :-1] + np.where(text == item[:, i: i + 1], MATCH, OTHER).astype(np.int32)
-        here = np.maximum(np.maximum(here, h[:, 1:] - GAP), 0)
+        here = np.where(h[:, :-1] >= ONE, h[:, :-1], place) + np.where(text == item[:, i: i + 1], MATCH * ONE, OTHER * ONE)
+        here = np.maximum(here, h[:, 1:] - GAP * ONE)
         here = np.maximum.accumulate(here + step, axis=1) - step
-        here[~inside | (i >= item_len)[:, None]] = 0
+        here[~inside | (i >= item_len)[:, None] | (here < ONE)] = 0
         h[:, 1:] = here
-        j = here.argmax(axis=1)
-        top = here[np.arange(b), j]
-        more = top > best
-        best[more], end_i[more], end_j[more] = top[more], i, j[more]
-    return best, end_i, end_j
-
-
-def align(items: list[np.ndarray], texts: list[np.ndarray], batch: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Score of each pair's best local alignment and the words [start, end) of the text it covers."""
-    n = len(items)
-    score, start, end = (np.zeros(n, dtype=np.int64) for _ in range(3))
-    order = sorted(range(n), key=lambda k: (len(texts[k]), len(items[k])))
-    at = 0
-    while at < n:
-        part = order[at:at + batch]
-        while len(part) > 1 and len(part) * len(texts[part[-1]]) > 1 << 20:
-            part = part[: len(part) // 2]
-        at += len(part)
-
-        def pad(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-            size = np.array([len(r) for r in rows])
-            out = np.zeros((len(rows), max(1, int(size.max()))), dtype=np.uint64)
-            for k, r in enumerate(rows):
-                out[k, : len(r)] = r
-            return out, size
-
-        a, la = pad([items[k] for k in part])
-        t, lt = pad([texts[k] for k in part])
-        best, ei, ej = _score(a, t, la, lt)
-        back_a, la = pad([items[k][: i + 1][::-1] for k, i in zip(part, ei)])
-        back_t, lt = pad([texts[k][: j + 1][::-1] for k, j in zip(part, ej)])
-        _, _, back = _score(back_a, back_t, la, lt)
-        score[part], start[part], end[part] = best, ej - back, ej + 1
-    return score, start, end
+        np.maximum(best, here, out=best)
+    return best
+
+
+def _choose(best: np.ndarray, least: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
+    """(score, start, end) of alignments of ``least`` or more that don't overlap, best first, and the parts
+    between them that may hold more: those with an end whose best alignment reaches into a chosen one."""
+    ends = np.flatnonzero(best >= least * ONE)
+    score, start = best[ends] // ONE, best[ends] % ONE
+    o = np.lexsort((ends, -score))
+    out, begin, finish, again = [], [], [0], set()
+    for n, a, j in zip(score[o].tolist(), start[o].tolist(), ends[o].tolist()):
+        k = bisect_right(begin, j)
+        if j < finish[k] or finish[k] in again:
+            continue
+        if a < finish[k]:
+            again.add(finish[k])
+            continue
+        begin.insert(k, a)
+        finish.insert(k + 1, j + 1)
+        out.append((n, a, j + 1))
+    return out, [(a, e) for a, e in zip(finish, [*begin, len(best)]) if a in again]
+
+
+def align(items: list[np.ndarray], texts: list[np.ndarray], least: np.ndarray, batch: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, score, start, end): the local alignments of each pair that score ``least`` or more and don't
+    overlap, with the words [start, end) of the text; what is left of a text is aligned until none does."""
+    found: list[tuple[int, int, int, int]] = []
+    todo = [(k, 0, len(t)) for k, t in enumerate(texts)]
+    while todo:
+        todo.sort(key=lambda x: (x[2] - x[1], len(items[x[0]])))
+        rest, at = [], 0
+        while at < len(todo):
+            part = todo[at:at + batch]
+            while len(part) > 1 and len(part) * (part[-1][2] - part[-1][1]) > 1 << 20:
+                part = part[: len(part) // 2]
+            at += len(part)
+
+            def pad(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+                size = np.array([len(r) for r in rows])
+                out = np.zeros((len(rows), max(1, int(size.max()))), dtype=np.uint64)
+                for k, r in enumerate(rows):
+                    out[k, : len(r)] = r
+                return out, size
+
+            a, la = pad([items[k] for k, _, _ in part])
+            t, lt = pad([texts[k][x:y] for k, x, y in part])
+            for (k, x, y), best in zip(part, _score(a, t, la, lt)):
+                chosen, more = _choose(best[: y - x], int(least[k]))
+                found += [(k, n, x + s, x + e) for n, s, e in chosen]
+                rest += [(k, x + s, x + e) for s, e in more if MATCH * (e - s) >= least[k]]
+        todo = rest
+    pair, score, start, end = np.array(sorted(found), dtype=np.int64).reshape(-1, 4).T
+    return pair, score, start, end
 
 
 def _passages(row: np.ndarray, item: np.ndarray, diagonal: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +176,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """``(doc_id, item_id, similarity, start, end, seeds)``: one row per leaked passage.
 
     start and end are code points of the document (end exclusive); similarity is the alignment score
-    over that of a full match; passages of one document and item do not share a start. A document
+    over that of a full match; passages of one document and item do not overlap. A document
     without a leak has no row. Null and empty texts hold nothing; items of fewer than ``n`` words cannot
     be told from chance and match nothing; repeated rows repeat; null ids are kept as null. Columns other
     than those named are ignored; an empty table on either side gives an empty result.
@@ -261,14 +284,13 @@ def _passages_of(docs: DataFrame, text_col: str, block: Items, s: Settings) -> C
         margin = margins[whose]
         lo = np.maximum(row_from, diagonal[first] - margin)
         hi = np.minimum(row_to, diagonal[last - 1] + length + margin)
-        score, a, e = align([block.word[block.first[i]:block.first[i + 1]] for i in whose], [w.hash[x:y] for x, y in zip(lo, hi)], s.batch)
-        share = score / (MATCH * length)
-        ok = np.flatnonzero(share >= s.least)
-        start, end = w.start[lo[ok] + a[ok]], w.end[lo[ok] + e[ok] - 1]
-        if len(ok):  # passages that met in the margin are one
-            _, one = np.unique(np.stack([row[first][ok], whose[ok], start]), axis=1, return_index=True)
-            ok, start, end = ok[one], start[one], end[one]
-        r = row[first][ok]
-        return Passages(r, whose[ok], share[ok], w.points(start, r), w.points(end, r), (last - first)[ok].astype(np.int64))
+        enough = np.ceil(MATCH * s.least * length - 1e-9).astype(np.int64)
+        k, score, a, e = align([block.word[block.first[i]:block.first[i + 1]] for i in whose], [w.hash[x:y] for x, y in zip(lo, hi)], enough, s.batch)
+        a, e = lo[k] + a, lo[k] + e
+        group = np.repeat(np.arange(len(first)), last - first)
+        word = word[np.lexsort((word, group))]
+        seeds = np.array([np.diff(np.searchsorted(word[first[x]:last[x]], (y, z)))[0] for x, y, z in zip(k, a, e)], dtype=np.int64)
+        r = row[first][k]
+        return Passages(r, whose[k], score / (MATCH * length[k]), w.points(w.start[a], r), w.points(w.end[e - 1], r), seeds)
 
     return find

@@ -102,3 +102,13 @@ def test_edited_copies_alone_and_beside_exact_ones(docs_of, spark, copies):
     assert {(r.doc_id, r.item_id) for r in rows} == leaks
     for r in rows:
         assert r.similarity == pytest.approx(slow_similarity(texts[r.item_id], docs[r.doc_id]))
+
+
+@pytest.mark.parametrize("length, between", [(5, 0), (5, 5), (10, 0), (10, 1), (10, 3), (16, 0), (24, 0)])
+def test_copies_that_follow_each_other(docs_of, spark, length, between):
+    item = " ".join(f"w{k % 7}x{k // 2}" for k in range(length))
+    text = " ".join(item + "".join(f" f{i}y{k}" for k in range(between)) for i in range(1000))
+    short = " ".join(f"{item} {item.rsplit(None, 1)[0]} changed" for _ in range(3))  # whole and edited ones in turn
+    rows = decontam.find_leaks(docs_of({1: text, 2: short}), spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert [text[r.start:r.end] for r in sorted(rows, key=lambda r: r.start) if r.doc_id == 1] == [item] * 1000
+    assert [short[r.start:r.end] for r in sorted(rows, key=lambda r: r.start) if r.doc_id == 2] == [item, item.rsplit(None, 1)[0]] * 3
