@@ -4,8 +4,8 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writ
 as Parquet to the shared folder and hands the reread table to the next stage. All stages but the last
 return the columns of ``documents``; a stage keeps whole rows, texts are changed by the secret scan only.
 
-The quality and decontamination stages decide row by row. The near-duplicate stage names documents by
-doc_id: rows without one stay, and rows that repeat the doc_id of the group's smallest stay together.
+The quality and decontamination stages decide row by row. The near-duplicate stage names rows by a row id
+of its own: one row of each group stays, also where doc_ids repeat or are null.
 """
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlake.llm import decontam, packing, quality, secrets, simhash
-from starlake.llm.common import cut, ship_package, small, table
+from starlake.llm.common import cut, fresh, ship_package, small, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,10 +24,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest doc_id."""
-    found = simhash.near_duplicates(docs, k=3, max_bits=3)
-    others = cut(found.where("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(small(others, 1_000_000), "doc_id", "left_anti").select(docs.columns)
+    """One row of each group stays, the first by doc_id (null last); of rows with the same doc_id, any one."""
+    row, key = fresh(docs.columns, "_row", "_key")
+    rows = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    keyed = rows.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row")).alias(key), "text")
+    found = simhash.near_duplicates(keyed, key, k=3, max_bits=3)
+    others = cut(found.where("doc_id.row <> component_id.row").select(F.col("doc_id.row").alias(row)))
+    return rows.join(small(others, 1_000_000), row, "left_anti").select(docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,13 @@ def test_empty_tables(spark, tmp_path):
                          ("labels", "doc_id long, quality int, toxic int")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_duplicates_by_row(spark):
+    rnd = random.Random(5)
+    a, b, c, d = (" ".join(f"w{rnd.randint(0, 4000)}" for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, c), (4, c), (None, c), (None, d), (None, d), (5, None), (5, None)]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, _row int")
+    out = corpus_pipeline.simhash_near_dedup(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(1, a), (2, b), (4, c), (None, d), (5, None)], key=str)
