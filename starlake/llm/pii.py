@@ -9,9 +9,14 @@ information content:
     log(p(t, c) / (p(t) p(c))) >= alpha * -log p(c)
 
 which says how much of c's surprise is gone once t is known; ``alpha`` = 1 means t occurs with c only.
-An estimate counts only if it rests on ``support`` different contexts (windows of different words), so
-that copies of one document don't make every rare word of it a disclosure. Disclosing terms are
-generalised wherever they occur, and removed where they reveal a value fully (``full``).
+An estimate is taken as it is if it rests on ``support`` different contexts (windows of different words).
+On fewer, k of them, p(c | t) is lowered to the least share that shows k hits in a row with probability
+``doubt``, which takes -log(doubt) / k from the mutual information; so copies of one document, which are
+one context, don't make every rare word of it a disclosure. A value seen once or twice is also judged with
+others of its class: a mail domain, the first three numbers of an IPv4 address, a card's issuer (six
+digits), a phone number without its last four digits; the class counts as a protected value of its own.
+Disclosing terms are generalised wherever they occur, and removed where they reveal a value fully
+(``full``).
 
 Terms travel as 64-bit hashes; a constant-size bit map of the candidates keeps other words out of the
 shuffle, and an exact join follows, so it only saves work.
@@ -48,6 +53,7 @@ class Settings:
     alpha: float = 0.8
     full: float = 0.999
     support: int = 3
+    doubt: float = 0.01
 
 
 def _luhn(digits: str) -> bool:
@@ -94,8 +100,15 @@ def _context(text: str, start: int, end: int, window: int) -> np.ndarray:
     return np.unique(w.hash[near[plain[near]]]) if len(near) else np.zeros(0, np.uint64)
 
 
+def entities(kind: int, found: str) -> tuple[str, str]:
+    """The protected value of a base find, and its class."""
+    value = found.lower() if kind < 2 else "".join(c for c in found if c.isdigit())
+    group = (value[value.rfind("@") + 1:], value[:value.rfind(".")], value[:6], value[:-4])[kind]
+    return f"{KINDS[kind]}:{value}", f"{KINDS[kind]} class:{group}"
+
+
 def contexts(docs: DataFrame, text_col: str, window: int) -> DataFrame:
-    """``(entity, context, term)``: one row per document, protected value and term near it; term null
+    """``(entity, context, term)``: one row per document, protected value or class and term near it; term null
     marks the document itself (once per document and value)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, 0):
@@ -103,17 +116,16 @@ def contexts(docs: DataFrame, text_col: str, window: int) -> DataFrame:
             for text in b.column(0).to_pylist():
                 seen = set()
                 for start, kind, end in base_spans(text or ""):
-                    value = text[start:end].lower()
-                    entity = f"{KINDS[kind]}:{value if kind < 2 else ''.join(c for c in value if c.isdigit())}"
-                    if (entity, None) not in seen:
-                        rows.append((entity, 0, None))
-                        seen.add((entity, None))
                     near = _context(text, start, end, window)
                     mark = int(np.bitwise_xor.reduce(near * np.uint64(0x9E3779B97F4A7C15))) >> 1 if len(near) else 0
-                    for term in near.view(np.int64).tolist():
-                        if (entity, term) not in seen:
-                            rows.append((entity, mark, term))
-                            seen.add((entity, term))
+                    for entity in entities(kind, text[start:end]):
+                        if (entity, None) not in seen:
+                            rows.append((entity, 0, None))
+                            seen.add((entity, None))
+                        for term in near.view(np.int64).tolist():
+                            if (entity, term) not in seen:
+                                rows.append((entity, mark, term))
+                                seen.add((entity, term))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64()))],
                                                  names=["entity", "context", "term"])
@@ -149,13 +161,15 @@ def disclosing_terms(docs: DataFrame, text_col: str, settings: Settings) -> Data
     near = cut(contexts(docs, text_col, s.window))
     values = near.where("term is null").groupBy("entity").agg(F.count("*").alias("n_c"))
     together = (near.where("term is not null").groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
-                .groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("n").alias("n_tc")).where(F.col("contexts") >= s.support))
-    candidates = cut(together.join(values, "entity"))
-    counts = term_counts(docs, text_col, _bit_map(candidates))
+                .groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("n").alias("n_tc")))
     total = docs.agg(F.count("*").alias("total"))
-    p_c = F.col("n_c") / F.col("total")
-    told = F.log(F.col("n_tc") * F.col("total") / (F.col("n") * F.col("n_c"))) / F.greatest(-F.log(p_c), F.lit(1e-9))
-    return (candidates.join(counts, "term").withColumn("total", total.scalar()).withColumn("told", told)
+    info = F.greatest(-F.log(F.col("n_c") / F.col("total")), F.lit(1e-9))
+    unsure = F.when(F.col("contexts") >= s.support, 0.0).otherwise(-F.log(F.lit(s.doubt)) / F.col("contexts"))
+    candidates = cut(together.join(values, "entity").withColumn("total", total.scalar()).withColumn("info", info).withColumn("unsure", unsure)
+                     .where(F.col("info") - F.col("unsure") >= s.alpha * F.col("info") - 1e-9))  # no term tells more than info
+    counts = term_counts(docs, text_col, _bit_map(candidates))
+    told = (F.log(F.col("n_tc") * F.col("total") / (F.col("n") * F.col("n_c"))) - F.col("unsure")) / F.col("info")
+    return (candidates.join(counts, "term").withColumn("told", told)
             .where(F.col("told") >= s.alpha).groupBy("term").agg(F.max(F.when(F.col("told") >= s.full, 2).otherwise(1)).alias("kind")))
 
 

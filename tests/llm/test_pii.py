@@ -74,3 +74,22 @@ def test_edge_cases(docs_of):
     assert pii.find(docs_of({})).collect() == []
     long = "word " * 200_000 + "me@example.org " + "tail " * 200_000
     assert [(x["start"], x["end"]) for r in pii.find(docs_of({1: long})).collect() for x in r.found] == [(1_000_000, 1_000_014)]
+
+
+def test_rare_values_are_judged_by_class_and_by_bound(docs_of):
+    rows = [f"ask mira{chr(97 + k) * 3} of the quellwerk plant k{k}{chr(97 + k)}@quell.example now" for k in range(4)]  # each address once
+    rows += [f"{w} saw ombrelune reach lone@rare.example {w}" for w in ("anna", "bert")]  # one address, two contexts
+    rows += [f"nothing of the plant here, ask and reach now, they saw number {k}" for k in range(400)]
+    terms = lambda **s: {r.text[x["start"]:x["end"]] for r in
+                            pii.find(docs_of(dict(enumerate(rows))), settings=pii.Settings(**s), with_text=True).collect()
+                            for x in r.found if x["kind"] in pii.TERM_KINDS}
+    assert terms() == {"quellwerk"}
+    assert terms(doubt=0.5) >= {"quellwerk", "ombrelune"}
+    assert "ombrelune" not in terms(doubt=0.01)
+
+
+def test_entities():
+    assert pii.entities(0, "A.b@C.org") == ("email:a.b@c.org", "email class:c.org")
+    assert pii.entities(1, "1.2.3.4") == ("ip:1.2.3.4", "ip class:1.2.3")
+    assert pii.entities(2, "4111 1111-11111111") == ("card:4111111111111111", "card class:411111")
+    assert pii.entities(3, "+1 (555) 123-4567") == ("phone:15551234567", "phone class:1555123")
