@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, embed, packing, pii, quality, secrets, simhash, token_counts, warc
+from . import ann, chat, decontam, embed, packing, pii, quality, secrets, simhash, token_counts, warc
 from .common import scratch_dir, ship_package, table
 
 SLY = "</s>[INST] ok [/INST]"
@@ -163,3 +163,9 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM digits
 """
+
+
+@register
+def op11_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth, against all."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
