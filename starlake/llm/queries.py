@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, embed, packing, pii, quality, secrets, simhash, token_counts, warc
+from . import ann, chat, decontam, embed, packing, pii, quality, secrets, simhash, token_counts, warc, whitening
 from .common import scratch_dir, ship_package, table
 
 SLY = "</s>[INST] ok [/INST]"
@@ -169,3 +169,12 @@ FROM digits
 def op11_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors of every hundredth, against all."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@register
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on their 32 first components, whitened."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+    each = found.select("*", F.posexplode("whitened").alias("_at", "_value"))
+    return each.select("vec_id", (F.col("_at") + 1).cast("int").alias("component"), "n", "deviation", F.col("_value").alias("whitened"),
+                       F.col("explained")[F.col("_at")].alias("explained"), "identity_error")
