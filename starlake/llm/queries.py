@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, embed, packing, pii, quality, secrets, simhash, token_counts, warc, whitening
+from . import ann, chat, collocations, decontam, embed, packing, pii, quality, secrets, simhash, token_counts, warc, whitening
 from .common import scratch_dir, ship_package, table
 
 SLY = "</s>[INST] ok [/INST]"
@@ -178,3 +178,38 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = found.select("*", F.posexplode("whitened").alias("_at", "_value"))
     return each.select("vec_id", (F.col("_at") + 1).cast("int").alias("component"), "n", "deviation", F.col("_value").alias("whitened"),
                        F.col("explained")[F.col("_at")].alias("explained"), "identity_error")
+
+
+@register
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of two or three words of every language, by association score."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), threshold=10, longest=3, top=2000)
+
+
+ORACLE["op13_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, unnest(w) AS phrase, 1 AS size FROM split
+  UNION ALL SELECT lang, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]), 2 FROM split
+  UNION ALL SELECT lang, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]), 3 FROM split),
+f AS (SELECT lang, phrase, size, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+inside AS (
+  SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, a FROM candidates WHERE size = 3),
+kept AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND i.a * 100 >= c.a * 50)),
+cuts AS (
+  SELECT lang, phrase, a, 1 AS k, w[1] AS x, CASE WHEN size = 2 THEN w[2] ELSE w[2] || ' ' || w[3] END AS y FROM kept
+  UNION ALL SELECT lang, phrase, a, 2, w[1] || ' ' || w[2], w[3] FROM kept WHERE size = 3),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, p.f AS l, q.f AS r, CAST((1000000::HUGEINT * c.a * c.a) // (p.f::HUGEINT * q.f) AS BIGINT) AS score
+  FROM cuts c JOIN f p ON p.lang = c.lang AND p.phrase = c.x JOIN f q ON q.lang = c.lang AND q.phrase = c.y),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT ranked.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+"""
