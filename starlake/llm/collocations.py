@@ -86,15 +86,15 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _segments(data: np.ndarray, offsets: np.ndarray, longest: int) -> Iterator[tuple[int, int, int]]:
-    """(from, to, seen) about SEGMENT bytes each: n-grams that start in [from, to) are counted, and ``seen`` is far enough
+def _segments(data: np.ndarray, offsets: np.ndarray, longest: int, segment: int) -> Iterator[tuple[int, int, int]]:
+    """(from, to, seen) about ``segment`` bytes each: n-grams that start in [from, to) are counted, and ``seen`` is far enough
     for their other words. No word is cut."""
     at = 0
     while at < len(data):
-        to = min(len(data), at + SEGMENT)
+        to = min(len(data), at + segment)
         row_end = int(offsets[np.searchsorted(offsets, to)])  # to itself, if a row ends there
         while to < row_end and _KIND[data[to]] == WORD:
-            window = _KIND[data[to:min(row_end, to + SEGMENT)]] != WORD
+            window = _KIND[data[to:min(row_end, to + segment)]] != WORD
             to += int(window.argmax()) if window.any() else len(window)
         seen, size = to, 1 << 12
         while seen < row_end:  # until longest - 1 words have ended or a piece does
@@ -110,11 +110,11 @@ def _segments(data: np.ndarray, offsets: np.ndarray, longest: int) -> Iterator[t
         at = to
 
 
-def grams(texts: pa.Array, langs: pa.Array, longest: int) -> Iterator[Grams]:
+def grams(texts: pa.Array, langs: pa.Array, longest: int, segment: int) -> Iterator[Grams]:
     """The n-grams of up to ``longest`` words of a batch of texts, a segment at a time."""
     data, offsets = column_data(texts)
     coded = langs.fill_null("und").dictionary_encode() if len(langs) else None
-    for at, to, seen in _segments(data, offsets, longest):
+    for at, to, seen in _segments(data, offsets, longest, segment):
         part = data[at:seen]
         kind = _KIND[part]
         inside = kind == WORD
@@ -148,10 +148,12 @@ def grams(texts: pa.Array, langs: pa.Array, longest: int) -> Iterator[Grams]:
 # ------------------------------------------------------------------ summaries
 @dataclass(frozen=True)
 class Layout:
-    """``parts`` hash partitions, keys of ``bits`` bits in each."""
+    """``parts`` hash partitions, keys of ``bits`` bits in each; tasks count ``segment`` bytes at once and hold ``held`` n-grams."""
 
     parts: int
     bits: int
+    segment: int = SEGMENT
+    held: int = HELD
 
     def split(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         part = ((h >> np.uint64(32)) * np.uint64(self.parts)) >> np.uint64(32)
@@ -167,7 +169,7 @@ def encode(keys: np.ndarray) -> bytes:
 
 
 def decode(data: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(-1, n)
+    planes = np.frombuffer(data, np.uint8).reshape(-1, n) if n else np.zeros((0, 0), np.uint8)
     wide = np.zeros((n, 8), np.uint8)
     wide[:, :len(planes)] = planes.T
     return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64)
@@ -232,14 +234,14 @@ def _summaries(batches: Iterator[pa.RecordBatch], layout: Layout, longest: int)
                 pa.array(part[[s for s, _ in some]], pa.int32()), pa.nulls(len(some), pa.string()), pa.array([int(count[s:e].sum()) for s, e in some]), pa.array([int(e - s) for s, e in some], pa.int32()),
                 pa.array([encode(key[s:e]) for s, e in some]), pa.array([small[s:e].tobytes() for s, e in some])], names=["p", "lang", "mass", "n", "keys", "counts"])
 
-    for batch in text_slices(batches, 0, SEGMENT):
-        for g in grams(batch.column(0), batch.column(1), longest):
+    for batch in text_slices(batches, 0, layout.segment):
+        for g in grams(batch.column(0), batch.column(1), longest, layout.segment):
             for lang, n in zip(g.langs, np.bincount(g.lang, weights=g.count[0], minlength=len(g.langs)).astype(np.int64).tolist()):
                 n_words[lang] = n_words.get(lang, 0) + n
             h, count = np.concatenate(g.hashes()), np.concatenate(g.count)
             some = count > 0
             held.append((h[some], count[some].astype(np.int64)))
-            if sum(len(k) for k, _ in held) > HELD:
+            if sum(len(k) for k, _ in held) > layout.held:
                 yield from out()
     if held:
         yield from out()
@@ -303,8 +305,8 @@ class Filter:
 def _second(batches: Iterator[pa.RecordBatch], layout: Layout, longest: int, shared: Broadcast | None) -> Iterator[pa.RecordBatch]:
     """(p, key, lang, size, phrase, f): a segment's n-grams that pass the filter (without one: all), under their words."""
     known = shared.value if shared else None
-    for batch in text_slices(batches, 0, SEGMENT):
-        for g in grams(batch.column(0), batch.column(1), longest):
+    for batch in text_slices(batches, 0, layout.segment):
+        for g in grams(batch.column(0), batch.column(1), longest, layout.segment):
             hashes = g.hashes()
             chosen = [np.flatnonzero(c) if known is None else (ok := known.passes(h))[c[ok] > 0] for h, c in zip(hashes, g.count)]
             langs = pa.array(g.langs)
@@ -337,7 +339,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = 10, longest: int = 3, tex
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     mass = max(1, longest * (size + 1) // 2)  # occurrences at most
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-mass // PARTITION_MASS))
-    layout = Layout(parts, min(60, max(16, (mass // parts).bit_length() + 8)))  # keys: 8 bits more than it takes to number them
+    layout = Layout(parts, min(60, max(16, (mass // parts).bit_length() + 8)), SEGMENT, HELD)  # keys: 8 bits more than it takes to number them
     first = cut(texts.mapInArrow(partial(_summaries, layout=layout, longest=longest), "p int, lang string, mass long, n int, keys binary, counts binary"))
     words = first.where("p < 0").groupBy("lang").agg(F.sum("mass").alias("n"))
     own = first.where("p >= 0")

@@ -9,13 +9,16 @@ COLUMNS = {
     "op6_": ["doc_id", "fingerprint", "component_id"],
     "op7_": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     "op8_": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
+    "op11_": ["query_id", "rank", "vec_id", "score"],
+    "op12_": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op13_": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
     "op9_": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
 }
 
 
 def test_names():
     names = list(E.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(E.oracle_sql()) <= set(names)
 
