@@ -11,8 +11,9 @@ over the aliases ``source`` and each join name). ``compile_query`` turns
 * the filter is applied on dimension names before aggregation, so Catalyst
   pushes it below the joins and, for source columns, into the parquet scan;
 * when a materialized aggregate covers the request, the query is answered from
-  it (re-aggregating additive measures, or reading it directly when the
-  grain is identical).
+  its stored states alone: each measure is a formula over parts that merge
+  (``measures.py``), so ratios, means and distinct counts roll up, too, and a
+  dimension that a stored one determines (the fiscal year of a day) is looked up.
 
 No DDL and no text parser: expressions are handed to Catalyst via ``F.expr``.
 """
@@ -25,22 +26,29 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .measures import Measure, Part, measured_by, set_sizes, set_words
+
 # Dimensions with a row per day, or literal rows: broadcast, so a fact is not shuffled to meet them.
 BOUNDED = ("dim_date", "dim_channel", "dim_gl_account", "dim_department")
 
 _QUALIFIED = re.compile(r"\b([A-Za-z_][A-Za-z0-9_]*)\.([A-Za-z_][A-Za-z0-9_]*)\b")
-_ADDITIVE = re.compile(r"^\s*(SUM|COUNT)\s*\(\s*(1|source\.[A-Za-z0-9_]+)\s*\)\s*$", re.IGNORECASE)
 
 
 @dataclass(frozen=True)
 class MetricField:
-    """SEM1: a named dimension or measure expression with its metadata."""
+    """SEM1: a named dimension or measure expression with its metadata. A measure that is to be stored has its parts."""
     name: str
     expr: str
     comment: str = ""
     display_name: str | None = None
     synonyms: tuple[str, ...] = ()
     format: str | None = None
+    measure: Measure | None = None
+
+    @property
+    def states(self) -> Measure | None:
+        """The measure's parts; a plain sum or count needs no declaration."""
+        return self.measure or measured_by(self.expr)
 
 
 @dataclass(frozen=True)
@@ -55,10 +63,19 @@ class MetricJoin:
 
 @dataclass(frozen=True)
 class MaterializedView:
-    """SEM4: a stored aggregate of the view at a reduced grain."""
+    """SEM4: a stored aggregate of the view at a reduced grain. ``per`` is the source column whose values are its
+    partitions: one of them is computed anew as a whole when its source rows change."""
     name: str
     dimensions: tuple[str, ...]
     measures: tuple[str, ...]
+    per: str | None = None
+
+
+@dataclass(frozen=True)
+class States:
+    """SEM4: what a stored aggregate holds: a row of additive parts per cell, and for each distinct count its sets."""
+    cells: DataFrame
+    sets: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -70,6 +87,8 @@ class MetricView:
     measures: tuple[MetricField, ...]
     joins: tuple[MetricJoin, ...] = ()
     materialized: tuple[MaterializedView, ...] = field(default_factory=tuple)
+    #: Dimension -> dimensions of the same joined table that it determines.
+    determines: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
     def dim(self, name: str) -> MetricField:
         for d in self.dimensions:
@@ -94,11 +113,6 @@ def referenced_aliases(expr: str) -> set[str]:
     return {m.group(1) for m in _QUALIFIED.finditer(expr)}
 
 
-def is_additive(measure: MetricField) -> bool:
-    """SUM(col) and COUNT(1) re-aggregate by SUM; ratios, AVG and DISTINCT do not."""
-    return bool(_ADDITIVE.match(measure.expr))
-
-
 def _filter_dims(view: MetricView, where: str | None) -> list[str]:
     if not where:
         return []
@@ -126,7 +140,7 @@ def compile_query(
     measures: Sequence[str],
     where: str | None = None,
     where_col: Column | None = None,
-    materialized: Mapping[str, DataFrame] | None = None,
+    materialized: Mapping[str, States] | None = None,
     where_dims: Sequence[str] = (),
 ) -> DataFrame:
     """SEM2: ``SELECT dims, MEASURE(m)... FROM view WHERE ... GROUP BY ALL`` as a DataFrame.
@@ -139,19 +153,10 @@ def compile_query(
     fdims = _filter_dims(view, where)
     fdims = sorted({*fdims, *where_dims})
     if materialized:
-        routed = route(view, materialized, dims, [m.name for m in meas], fdims, where, where_col)
+        routed = route(view, frames, materialized, dims, [m.name for m in meas], fdims, where, where_col)
         if routed is not None:
             return routed
-    need = list(dict.fromkeys(dims + fdims))
-    aliases: set[str] = set()
-    for name in need:
-        aliases |= referenced_aliases(view.dim(name).expr)
-    for m in meas:
-        aliases |= referenced_aliases(m.expr)
-    df = joined_frame(view, frames, aliases)
-    # each side becomes a struct, so a dimension may have the name of a column of the fact or of a joined table
-    sides = [F.struct(F.col(f"{a}.*")).alias(a) for a in ["source", *[j.name for j in view.joins if j.name in aliases]]]
-    df = df.select(*sides, *[F.expr(view.dim(name).expr).alias(name) for name in need])
+    df = dimensioned(view, frames, list(dict.fromkeys(dims + fdims)), [m.expr for m in meas])
     if where:
         df = df.filter(F.expr(where))
     if where_col is not None:
@@ -160,45 +165,121 @@ def compile_query(
     return df.groupBy(*dims).agg(*aggs) if dims else df.agg(*aggs)
 
 
-def materialize(view: MetricView, frames: Mapping[str, DataFrame], mv: MaterializedView) -> DataFrame:
-    """SEM4: the aggregate a materialized view stores (write it with the sinks module)."""
-    return compile_query(view, frames, mv.dimensions, mv.measures)
+def dimensioned(view: MetricView, frames: Mapping[str, DataFrame], dims: Sequence[str], exprs: Sequence[str]) -> DataFrame:
+    """The source with the joins that ``dims`` and ``exprs`` need: a struct per side and a column per dimension.
+
+    As each side is a struct, a dimension may have the name of a column of the fact or of a joined table.
+    """
+    aliases: set[str] = set()
+    for e in [*[view.dim(d).expr for d in dims], *exprs]:
+        aliases |= referenced_aliases(e)
+    df = joined_frame(view, frames, aliases)
+    sides = [F.struct(F.col(f"{a}.*")).alias(a) for a in ["source", *[j.name for j in view.joins if j.name in aliases]]]
+    return df.select(*sides, *[F.expr(view.dim(d).expr).alias(d) for d in dims])
+
+
+def parts_of(view: MetricView, measures: Sequence[str]) -> list[Part]:
+    """The different parts of the measures, in order."""
+    out: dict[Part, None] = {}
+    for name in measures:
+        states = view.measure(name).states
+        if states is None:
+            raise ValueError(f"{view.name}.{name} has no mergeable parts: {view.measure(name).expr}")
+        out.update(dict.fromkeys(states.parts))
+    return list(out)
+
+
+def members(view: MetricView, frames: Mapping[str, DataFrame], dims: Sequence[str], part: Part, per: str | None = None) -> DataFrame:
+    """``(per, dims, member)``: the different members of each group's set."""
+    own = [F.expr(f"source.{per}").alias("_per")] if per else []
+    df = dimensioned(view, frames, dims, [part.expr]).select(*own, *dims, F.expr(part.expr).alias("member"))
+    return df.where("member is not null").distinct()
+
+
+def additive(view: MetricView, frames: Mapping[str, DataFrame], dims: Sequence[str], parts: Sequence[Part], per: str | None = None) -> DataFrame:
+    """``(per, dims, part, ...)``: the additive states of each group."""
+    own = [F.expr(f"source.{per}").alias("_per")] if per else []
+    df = dimensioned(view, frames, dims, [p.expr for p in parts])
+    return df.groupBy(*own, *dims).agg(*[F.expr(p.sql).alias(p.name) for p in parts])
+
+
+def materialize(view: MetricView, frames: Mapping[str, DataFrame], mv: MaterializedView) -> States:
+    """SEM4: the states of a materialized view, as lazy frames; sets are over the members' own numbers."""
+    parts = parts_of(view, mv.measures)
+    sets = {p.name: set_words(members(view, frames, mv.dimensions, p).withColumn("member", F.col("member").cast("long")), mv.dimensions, "member")
+            for p in parts if p.kind == "distinct"}
+    return States(additive(view, frames, mv.dimensions, [p for p in parts if p.kind != "distinct"] or [Part("count", "1")]), sets)
+
+
+def lookup(view: MetricView, frames: Mapping[str, DataFrame], dim: str, names: Sequence[str]) -> DataFrame:
+    """``(dim, names)``: for each value of a dimension the values that it determines, from their table alone."""
+    alias = referenced_aliases(view.dim(dim).expr).pop()
+    table = frames[view.join(alias).table].alias(alias)
+    found = table.select(*[F.expr(view.dim(d).expr).alias(d) for d in (dim, *names)]).distinct()
+    return F.broadcast(found) if view.join(alias).table in BOUNDED else found
+
+
+def _covered(view: MetricView, mv: MaterializedView, dims: Sequence[str]) -> dict[str, list[str]] | None:
+    """Stored dimension -> those of ``dims`` that have to be looked up from it; None if one is out of reach."""
+    found: dict[str, list[str]] = {}
+    for d in dims:
+        if d in mv.dimensions:
+            continue
+        by = next((s for s in mv.dimensions if d in view.determines.get(s, ())), None)
+        if by is None:
+            return None
+        found.setdefault(by, []).append(d)
+    return found
 
 
 def route(
     view: MetricView,
-    materialized: Mapping[str, DataFrame],
+    frames: Mapping[str, DataFrame],
+    materialized: Mapping[str, States],
     dims: Sequence[str],
     measures: Sequence[str],
     filter_dims: Sequence[str],
     where: str | None,
     where_col: Column | None,
 ) -> DataFrame | None:
-    """SEM4 router: answer from a stored aggregate when it provably gives the same result.
+    """SEM4 router: answer from stored states when they provably give the same result.
 
-    Covered when requested and filtered dimensions are a subset of the stored
-    dimensions and every measure is stored. If the grain is coarser than the
-    stored one, every measure must be additive (re-aggregated by SUM).
+    Covered when every requested and filtered dimension is stored or determined by a stored one and every measure is
+    stored. Its parts are merged: sums and counts add up, sets are united and counted.
     """
+    need = list(dict.fromkeys([*dims, *filter_dims]))
     for mv in view.materialized:
-        if mv.name not in materialized:
-            continue
-        stored = set(mv.dimensions)
-        if not (set(dims) | set(filter_dims)) <= stored or not set(measures) <= set(mv.measures):
+        if mv.name not in materialized or not set(measures) <= set(mv.measures):
             continue
-        same_grain = set(dims) == stored
-        if not same_grain and not all(is_additive(view.measure(m)) for m in measures):
+        found = _covered(view, mv, need)
+        if found is None or any(view.measure(m).states is None for m in measures):
             continue
-        df = materialized[mv.name]
-        if where:
-            df = df.filter(F.expr(where))
-        if where_col is not None:
-            df = df.filter(where_col)
-        if same_grain:
-            return df.select(*dims, *measures)
-        counts = {m for m in measures if view.measure(m).expr.strip().upper().startswith("COUNT")}
-        aggs = [(F.coalesce(F.sum(m), F.lit(0)) if m in counts else F.sum(m)).alias(m) for m in measures]  # COUNT of no rows is 0
-        return df.groupBy(*dims).agg(*aggs) if dims else df.agg(*aggs)
+        states, parts = materialized[mv.name], parts_of(view, measures)
+
+        def at_dims(df: DataFrame) -> DataFrame:
+            for stored, names in found.items():
+                known = lookup(view, frames, stored, names).withColumnRenamed(stored, "_known")
+                df = df.join(known, F.col(stored).eqNullSafe(F.col("_known")), "left").drop("_known")
+            if where:
+                df = df.filter(F.expr(where))
+            return df.filter(where_col) if where_col is not None else df
+
+        sums = [p for p in parts if p.kind != "distinct"]
+        answers = []
+        if sums:
+            aggs = [p.merged(p.name).alias(p.name) for p in sums]
+            cells = at_dims(states.cells)
+            answers.append(cells.groupBy(*dims).agg(*aggs) if dims else cells.agg(*aggs))
+        answers += [set_sizes(at_dims(states.sets[p.name]), dims, p.name) for p in parts if p.kind == "distinct"]
+        if not sums and dims:  # groups without members have no words
+            answers.append(at_dims(states.cells).select(*dims).distinct())
+        if len(answers) > 1:
+            every = answers[0]
+            for other in answers[1:]:
+                every = every.unionByName(other, allowMissingColumns=True)
+            aggs = [(F.max(p.name) if p.kind != "distinct" else F.coalesce(F.max(p.name), F.lit(0))).alias(p.name) for p in parts]
+            answers = [every.groupBy(*dims).agg(*aggs) if dims else every.agg(*aggs)]
+        return answers[0].select(*dims, *[view.measure(m).states.of({p: p.name for p in parts}).alias(m) for m in measures])
     return None
 
 
@@ -225,4 +306,10 @@ def lint(view: MetricView, frames: Mapping[str, DataFrame]) -> list[str]:
         for m in mv.measures:
             if m not in mnames:
                 errors.append(f"{view.name}/{mv.name}: unknown measure {m}")
+            elif view.measure(m).states is None:
+                errors.append(f"{view.name}/{mv.name}: {m} has no parts that merge")
+    for d, others in view.determines.items():
+        sides = [referenced_aliases(view.dim(x).expr) for x in (d, *others) if x in dnames]
+        if len(sides) <= len(others) or any(x != sides[0] for x in sides):
+            errors.append(f"{view.name}: {d} can't be looked up with {others}")
     return errors

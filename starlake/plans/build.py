@@ -4,8 +4,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.schema import validate_schema
-from ..operators.semantic import MetricView, materialize
+from ..operators.semantic import MetricView, States
+from ..session import written
 from ..sources import specs
+from ..sources.versions import Store
+from .aggregates import refresh, states
 from .settings import Settings
 from .warehouse import DIMENSIONS, FACTS, Warehouse
 
@@ -53,7 +56,9 @@ def open_build(spark: SparkSession, sf_dir: str, path: str, settings: Settings,
     return Warehouse(spark, sf_dir, settings, family=family, stored={t: spark.read.parquet(f"{path}/{t}") for t in (*STAGED, *tables)})
 
 
-def stored_aggregate(wh: Warehouse, view: MetricView, name: str, path: str) -> DataFrame:
-    """SEM4: write the materialized aggregate ``name`` of ``view`` to ``path``, a new folder, and read it back."""
+def stored_aggregate(wh: Warehouse, view: MetricView, name: str, path: str) -> States:
+    """SEM4: bring the materialized aggregate ``name`` of ``view`` in the store at ``path`` up to date and open it."""
     mv = next(m for m in view.materialized if m.name == name)
-    return _keep(wh.spark, materialize(view, wh.frames, mv), path)
+    store = Store(wh.spark, path)
+    refresh(store, view, mv, wh.frames, written)
+    return states(store, view, mv)

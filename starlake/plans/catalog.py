@@ -1,8 +1,6 @@
 """Query catalogue: each entry = one Spark plan + one independent oracle SQL."""
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators.semantic import compile_query
@@ -185,31 +183,30 @@ def integrity_report(w):
 
 
 # ------------------------------------------------------------ stored tables
-from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..session import new_folder, written  # noqa: E402
+from ..sources.versions import Store  # noqa: E402
 from . import build as B  # noqa: E402
-
-
-def _new_folder(w) -> str:
-    return f"{ensure_checkpoint_dir(w.spark).rstrip('/')}/starlake-build/{uuid.uuid4().hex}"
+from .aggregates import refresh, states  # noqa: E402
+from .warehouse import Frames  # noqa: E402
 
 
 def built(w, tables: tuple[str, ...] = B.DIMENSIONS + B.FACTS):
     """The warehouse written to the cluster's shared folder and read back."""
-    return B.build(w.spark, w.sf_dir, _new_folder(w), w.settings, tables, family=w.family)
+    return B.build(w.spark, w.sf_dir, new_folder(w.spark, "build"), w.settings, tables, family=w.family)
 
 
 @register("net_sales_by_department_stored", D.NET_SALES_BY_DEPARTMENT)
 def net_sales_by_department_stored(w):
     """SEM4: the same answer from the stored daily aggregate alone."""
     wh = built(w, ("dim_product", "dim_store", "dim_date"))
-    return ds.net_sales_by_department(w, {"mv_sales_daily": B.stored_aggregate(wh, MV_SALES, "mv_sales_daily", _new_folder(w))})
+    return ds.net_sales_by_department(w, {"mv_sales_daily": B.stored_aggregate(wh, MV_SALES, "mv_sales_daily", new_folder(w.spark, "aggregate"))})
 
 
 @register("inventory_by_region_stored", D.INVENTORY_BY_REGION)
 def inventory_by_region_stored(w):
     """SEM4: stock by period-end and region, from the stored daily aggregate by date, region and department."""
     wh = built(w, ("dim_product", "dim_store", "dim_date"))
-    mats = {"mv_inventory_daily": B.stored_aggregate(wh, MV_INVENTORY, "mv_inventory_daily", _new_folder(w))}
+    mats = {"mv_inventory_daily": B.stored_aggregate(wh, MV_INVENTORY, "mv_inventory_daily", new_folder(w.spark, "aggregate"))}
     return compile_query(MV_INVENTORY, wh.frames, ["date", "region"], ["on_hand_qty", "on_hand_cost_value"], materialized=mats)
 
 
@@ -242,6 +239,46 @@ def _metric_view(name: str) -> None:
 for _name in GRAINS:
     _metric_view(_name)
 
+# The tables besides the dimensions that a view's stored aggregate starts from.
+_STORED = {
+    "mv_sales": (), "mv_inventory": ("fact_inventory_snapshot",), "mv_inventory_valuation": ("fact_inventory_snapshot", "fact_inventory_valuation"),
+    "mv_forecast": ("fact_sales_forecast",), "mv_gl_actuals": ("fact_gl_actuals",), "mv_budget_plan": ("fact_gl_actuals", "fact_budget_plan"),
+}
+
+
+def _two_grains(view, frames, fine, coarse, mats):
+    measures = [m.name for m in view.measures]
+    a = compile_query(view, frames, fine, measures, materialized=mats).withColumn("grain", F.lit("fine"))
+    b = compile_query(view, frames, coarse, measures, materialized=mats).withColumn("grain", F.lit("coarse"))
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+def _stored_view(name: str) -> None:
+    view, fine, coarse = GRAINS[name]
+    fine = ["fiscal_year", "department"] if name == "mv_sales" else fine
+
+    def fn(w):
+        wh = built(w, B.DIMENSIONS + _STORED[name])
+        mv = view.materialized[0]
+        return _two_grains(view, wh.frames, fine, coarse, {mv.name: B.stored_aggregate(wh, view, mv.name, new_folder(w.spark, "aggregate"))})
+    fn.__doc__ = f"SEM4/AG12-AG16: every measure of {name} at two coarser grains, from the stored daily states alone."
+    register(f"{name}_stored", views_sql.STORED[name])(fn)
+
+
+for _name in _STORED:
+    _stored_view(_name)
+
+
+@register("mv_sales_refreshed", views_sql.STORED["mv_sales"])
+def mv_sales_refreshed(w):
+    """SEM4: the stored aggregate made before the last days of sales arrived, and refreshed when they had."""
+    wh = built(w, B.DIMENSIONS)
+    store, mv, last = Store(w.spark, new_folder(w.spark, "aggregate")), MV_SALES.materialized[0], int(w.bounds["last_order"].strftime("%Y%m%d")) - 1
+    early = Frames(wh, {"fact_sales_line": wh.sales_metrics.where(F.col("date_sk") < last)})
+    for frames in (early, wh.frames):
+        refresh(store, MV_SALES, mv, frames, written)
+    return _two_grains(MV_SALES, wh.frames, ["fiscal_year", "department"], [], {mv.name: states(store, MV_SALES, mv)})
+
 
 # -------------------------------------------------- functions and statistics
 from ..functions import calendar as C  # noqa: E402

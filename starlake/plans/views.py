@@ -8,6 +8,9 @@ and average in double from exact sums, so any engine returns the same bits.
 """
 from __future__ import annotations
 
+from dataclasses import replace
+
+from ..operators.measures import Measure, difference, distinct, mean, ratio, rows, share, total
 from ..operators.semantic import MaterializedView, MetricField, MetricJoin, MetricView
 
 # What a user reads about a dimension or measure, by its name.
@@ -91,8 +94,9 @@ SYNONYMS = {"net_sales": ("turnover",), "gross_margin_pct": ("margin rate",), "t
             "avg_days_of_supply": ("stock reach",), "out_of_stock_rate": ("gaps",), "avg_gmroi": ("return on stock",)}
 
 
-def F_(name: str, expr: str, format: str | None = None) -> MetricField:
-    return MetricField(name, expr, NOTES[name], name.replace("_", " ").capitalize(), SYNONYMS.get(name, ()), format)
+def F_(name: str, what: str | Measure, format: str | None = None) -> MetricField:
+    expr, measure = (what.sql, what) if isinstance(what, Measure) else (what, None)
+    return MetricField(name, expr, NOTES[name], name.replace("_", " ").capitalize(), SYNONYMS.get(name, ()), format, measure)
 
 
 J_DATE = MetricJoin("dim_date", "dim_date", "date_sk", "date_sk")
@@ -105,12 +109,9 @@ J_GL = MetricJoin("dim_gl_account", "dim_gl_account", "gl_account_sk", "gl_accou
 J_DEPT = MetricJoin("dim_department", "dim_department", "department_sk", "department_sk")
 
 
-def ratio(num: str, den: str) -> str:
-    return f"CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0)"
-
-
-def mean(col: str) -> str:
-    return f"CAST(SUM({col}) AS DOUBLE) / NULLIF(COUNT({col}), 0)"
+def daily(view: MetricView, name: str, *dims: str) -> MetricView:
+    """The view with a stored aggregate of all its measures by day and ``dims``."""
+    return replace(view, materialized=(MaterializedView(name, ("date", *dims), tuple(m.name for m in view.measures), "date_sk"),))
 
 
 DATE_DIMS = (
@@ -120,6 +121,7 @@ DATE_DIMS = (
     F_("fiscal_quarter", "dim_date.fiscal_quarter"),
     F_("selling_season", "dim_date.selling_season"),
 )
+DATE_PARTS = tuple(d.name for d in DATE_DIMS if d.name != "date")
 PRODUCT_DIMS = (
     F_("division", "dim_product.division_name"),
     F_("department", "dim_product.department_name"),
@@ -136,7 +138,7 @@ STORE_DIMS = (
     F_("state", "dim_store.state"),
 )
 
-MV_SALES = MetricView(
+MV_SALES = daily(MetricView(
     name="mv_sales", source="fact_sales_line",
     comment="One row of the source is a receipt line.",
     joins=(J_DATE, J_PRODUCT, J_STORE, J_CUSTOMER, J_CHANNEL, J_PROMO),
@@ -154,50 +156,44 @@ MV_SALES = MetricView(
         F_("funding_source", "dim_promotion.funding_source"),
     ),
     measures=(
-        F_("gross_sales", "SUM(source.gross_sales_amount)", "currency"),
-        F_("net_sales", "SUM(source.net_sales_amount)", "currency"),
-        F_("discount", "SUM(source.discount_amount)", "currency"),
-        F_("discount_rate", ratio("SUM(source.discount_amount)", "SUM(source.gross_sales_amount)"), "percentage"),
-        F_("cogs", "SUM(source.cogs_amount)", "currency"),
-        F_("gross_margin", "SUM(source.gross_margin_amount)", "currency"),
-        F_("gross_margin_pct", ratio("SUM(source.gross_margin_amount)", "SUM(source.net_sales_amount)"), "percentage"),
-        F_("units", "SUM(source.quantity)"),
-        F_("line_count", "COUNT(1)"),
-        F_("transaction_count", "COUNT(DISTINCT source.transaction_id)"),
-        F_("avg_order_value", ratio("SUM(source.net_sales_amount)", "COUNT(DISTINCT source.transaction_id)"), "currency"),
-        F_("avg_basket_units", ratio("SUM(source.quantity)", "COUNT(DISTINCT source.transaction_id)")),
-        F_("avg_unit_price", ratio("SUM(source.gross_sales_amount)", "SUM(source.quantity)"), "currency"),
+        F_("gross_sales", total("gross_sales_amount"), "currency"),
+        F_("net_sales", total("net_sales_amount"), "currency"),
+        F_("discount", total("discount_amount"), "currency"),
+        F_("discount_rate", ratio(total("discount_amount"), total("gross_sales_amount")), "percentage"),
+        F_("cogs", total("cogs_amount"), "currency"),
+        F_("gross_margin", total("gross_margin_amount"), "currency"),
+        F_("gross_margin_pct", ratio(total("gross_margin_amount"), total("net_sales_amount")), "percentage"),
+        F_("units", total("quantity")),
+        F_("line_count", rows()),
+        F_("transaction_count", distinct("transaction_id")),
+        F_("avg_order_value", ratio(total("net_sales_amount"), distinct("transaction_id")), "currency"),
+        F_("avg_basket_units", ratio(total("quantity"), distinct("transaction_id"))),
+        F_("avg_unit_price", ratio(total("gross_sales_amount"), total("quantity")), "currency"),
     ),
-    materialized=(
-        MaterializedView("mv_sales_daily", ("date", "region", "department"),
-                         ("net_sales", "gross_margin", "units", "transaction_count")),
-    ),
-)
+    determines={"date": (*DATE_PARTS, "is_weekend", "is_holiday"), "department": ("division",)},
+), "mv_sales_daily", "region", "department")
 
-MV_INVENTORY = MetricView(
+MV_INVENTORY = daily(MetricView(
     name="mv_inventory", source="fact_inventory_snapshot",
     comment="Stock at the end of fiscal periods; don't add it up over dates.",
     joins=(J_DATE, J_PRODUCT, J_STORE),
     dimensions=(*DATE_DIMS, *PRODUCT_DIMS, *STORE_DIMS),
     measures=(
-        F_("on_hand_qty", "SUM(source.on_hand_qty)"),
-        F_("available_qty", "SUM(source.available_qty)"),
-        F_("on_order_qty", "SUM(source.on_order_qty)"),
-        F_("reserved_qty", "SUM(source.reserved_qty)"),
-        F_("on_hand_cost_value", "SUM(source.on_hand_cost_value)", "currency"),
-        F_("on_hand_retail_value", "SUM(source.on_hand_retail_value)", "currency"),
-        F_("avg_days_of_supply", mean("source.days_of_supply")),
-        F_("out_of_stock_rate", "AVG(CASE WHEN source.is_out_of_stock THEN 1 ELSE 0 END)", "percentage"),
-        F_("sku_count", "COUNT(DISTINCT source.product_sk)"),
-        F_("stocked_store_count", "COUNT(DISTINCT source.store_sk)"),
-    ),
-    materialized=(
-        MaterializedView("mv_inventory_daily", ("date", "region", "department"),
-                         ("on_hand_qty", "on_hand_cost_value", "out_of_stock_rate")),
+        F_("on_hand_qty", total("on_hand_qty")),
+        F_("available_qty", total("available_qty")),
+        F_("on_order_qty", total("on_order_qty")),
+        F_("reserved_qty", total("reserved_qty")),
+        F_("on_hand_cost_value", total("on_hand_cost_value"), "currency"),
+        F_("on_hand_retail_value", total("on_hand_retail_value"), "currency"),
+        F_("avg_days_of_supply", mean("days_of_supply")),
+        F_("out_of_stock_rate", share("source.is_out_of_stock"), "percentage"),
+        F_("sku_count", distinct("product_sk")),
+        F_("stocked_store_count", distinct("store_sk")),
     ),
-)
+    determines={"date": DATE_PARTS, "department": ("division",)},
+), "mv_inventory_daily", "region", "department")
 
-MV_INVENTORY_VALUATION = MetricView(
+MV_INVENTORY_VALUATION = daily(MetricView(
     name="mv_inventory_valuation", source="fact_inventory_valuation",
     comment="Stock value and what the category sold meanwhile.",
     joins=(J_DATE, J_STORE),
@@ -207,16 +203,17 @@ MV_INVENTORY_VALUATION = MetricView(
         F_("category_name", "source.category_name"),
     ),
     measures=(
-        F_("on_hand_cost_value", "SUM(source.on_hand_cost_value)", "currency"),
-        F_("on_hand_retail_value", "SUM(source.on_hand_retail_value)", "currency"),
-        F_("cogs", "SUM(source.cogs_amount)", "currency"),
-        F_("markdown", "SUM(source.markdown_amount)", "currency"),
-        F_("shrink", "SUM(source.shrink_amount)", "currency"),
-        F_("avg_gmroi", mean("source.gmroi")),
+        F_("on_hand_cost_value", total("on_hand_cost_value"), "currency"),
+        F_("on_hand_retail_value", total("on_hand_retail_value"), "currency"),
+        F_("cogs", total("cogs_amount"), "currency"),
+        F_("markdown", total("markdown_amount"), "currency"),
+        F_("shrink", total("shrink_amount"), "currency"),
+        F_("avg_gmroi", mean("gmroi")),
     ),
-)
+    determines={"date": DATE_PARTS},
+), "mv_inventory_valuation_daily", "region", "category_name")
 
-MV_FORECAST = MetricView(
+MV_FORECAST = daily(MetricView(
     name="mv_forecast", source="fact_sales_forecast",
     comment="Both models' forecasts by week.",
     joins=(J_DATE, J_PRODUCT, J_STORE),
@@ -227,15 +224,16 @@ MV_FORECAST = MetricView(
         F_("fiscal_week", "source.fiscal_week"),
     ),
     measures=(
-        F_("forecast_qty", "SUM(source.forecast_qty)"),
-        F_("forecast_amount", "SUM(source.forecast_amount)", "currency"),
-        F_("lower_bound", "SUM(source.lower_bound)"),
-        F_("upper_bound", "SUM(source.upper_bound)"),
-        F_("interval_width", "SUM(source.upper_bound - source.lower_bound)"),
+        F_("forecast_qty", total("forecast_qty")),
+        F_("forecast_amount", total("forecast_amount"), "currency"),
+        F_("lower_bound", total("lower_bound")),
+        F_("upper_bound", total("upper_bound")),
+        F_("interval_width", difference("upper_bound", "lower_bound")),
     ),
-)
+    determines={"date": DATE_PARTS, "department": ("division",)},
+), "mv_forecast_daily", "region", "department", "forecast_version", "fiscal_week")
 
-MV_GL_ACTUALS = MetricView(
+MV_GL_ACTUALS = daily(MetricView(
     name="mv_gl_actuals", source="fact_gl_actuals",
     comment="The ledger by period-end.",
     joins=(J_DATE, J_STORE, J_GL, J_DEPT),
@@ -248,10 +246,11 @@ MV_GL_ACTUALS = MetricView(
         F_("department", "dim_department.department_name"),
         F_("department_group", "dim_department.department_group"),
     ),
-    measures=(F_("actual_amount", "SUM(source.actual_amount)", "currency"),),
-)
+    measures=(F_("actual_amount", total("actual_amount"), "currency"),),
+    determines={"date": DATE_PARTS, "account": ("account_type", "statement", "account_category"), "department": ("department_group",)},
+), "mv_gl_actuals_daily", "region", "account", "department")
 
-MV_BUDGET_PLAN = MetricView(
+MV_BUDGET_PLAN = daily(MetricView(
     name="mv_budget_plan", source="fact_budget_plan",
     comment="Plans beside the ledger.",
     joins=(J_DATE, J_STORE, J_GL, J_DEPT),
@@ -264,9 +263,10 @@ MV_BUDGET_PLAN = MetricView(
         F_("department", "dim_department.department_name"),
     ),
     measures=(
-        F_("plan_amount", "SUM(source.plan_amount)", "currency"),
-        F_("plan_units", "SUM(source.plan_units)"),
+        F_("plan_amount", total("plan_amount"), "currency"),
+        F_("plan_units", total("plan_units")),
     ),
-)
+    determines={"date": DATE_PARTS, "account": ("account_type",)},
+), "mv_budget_plan_daily", "region", "plan_version", "account")
 
 METRIC_VIEWS = (MV_SALES, MV_INVENTORY, MV_INVENTORY_VALUATION, MV_FORECAST, MV_GL_ACTUALS, MV_BUDGET_PLAN)

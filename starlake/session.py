@@ -7,8 +7,9 @@ defaults that are *missing*, so a cluster's own settings (shuffle partitions,
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
@@ -48,3 +49,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """A new path in the cluster's shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/starlake-{kind}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: its lineage ends there."""
+    path = new_folder(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
