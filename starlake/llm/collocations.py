@@ -2,7 +2,7 @@
 
 First pass. Every task counts the n-grams (single words included) of its texts by a 64-bit hash, split by hash partition, and
 hands on a summary per partition: sorted keys as differences, and counts. A partition's summaries are merged under a capacity
-above mass / threshold, where the mass is all its occurrences; if more keys are left, the count of the first one too many is
+of twice mass / threshold, where the mass is all its occurrences; if more keys are left, the count of the first one too many is
 taken off all. What is taken off in total stays below the threshold, so every n-gram with ``threshold`` occurrences or more
 survives: its count, with what was taken off, reaches the threshold.
 
@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, text_slices
-from .words import column_data, spans
+from .words import column_data, span_hashes, spans
 
-SEGMENT = 1 << 22       # bytes of text that are counted at once
-HELD = 1 << 21          # n-grams that a task holds before it hands on summaries
+SEGMENT = 1 << 20       # bytes of text that are counted at once
+HELD = 1 << 19          # n-grams that a task holds before it hands on summaries
 ROW_KEYS = 1 << 12      # keys in a row of a summary
 PARTITION_MASS = 1 << 24  # occurrences that a hash partition should have
 FILTER_BYTES = 1 << 26
@@ -61,7 +61,8 @@ class Grams:
 
     def hashes(self) -> list[np.ndarray]:
         """A 64-bit number per n-gram and level, the same in every task."""
-        of_words = np.array([xxhash.xxh64_intdigest(w) for w in self.words.to_pylist()], np.uint64)
+        data, offsets = column_data(self.words)
+        of_words = span_hashes(data, offsets[:-1], offsets[1:])
         of_langs = np.array([xxhash.xxh64_intdigest(x) for x in self.langs], np.uint64)
         single = _mixed(of_words[self.word] ^ (of_langs[self.lang] * np.uint64(0x9E3779B97F4A7C15)))
         out = [single]
@@ -123,7 +124,7 @@ def grams(texts: pa.Array, langs: pa.Array, longest: int, segment: int) -> Itera
         if not len(start):
             continue
         row = np.searchsorted(offsets, start + at, side="right") - 1
-        piece = np.cumsum(kind == BREAK, dtype=np.int64)[start] + row
+        piece = np.searchsorted(np.flatnonzero(kind == BREAK), start) + row
         ends = np.concatenate([[0], np.cumsum(end - start)])
         spelled = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(_LOWER[part[inside]])]).dictionary_encode()
         code = coded.indices.to_numpy()[row].astype(np.int64) * len(spelled.dictionary) + spelled.indices.to_numpy()
@@ -156,8 +157,11 @@ class Layout:
     held: int = HELD
 
     def split(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        part = ((h >> np.uint64(32)) * np.uint64(self.parts)) >> np.uint64(32)
-        return part.astype(np.int64), h & np.uint64((1 << self.bits) - 1)
+        """Whole and fractional part of h * parts / 2^64: neither ever falls as h rises."""
+        low = (h & np.uint64(2**32 - 1)) * np.uint64(self.parts)
+        high = (h >> np.uint64(32)) * np.uint64(self.parts) + (low >> np.uint64(32))
+        key = (high << np.uint64(32)) | (low & np.uint64(2**32 - 1))
+        return (high >> np.uint64(32)).astype(np.int64), key >> np.uint64(64 - self.bits)
 
 
 def encode(keys: np.ndarray) -> bytes:
@@ -175,8 +179,13 @@ def decode(data: bytes, n: int) -> np.ndarray:
     return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64)
 
 
+def narrow(counts: np.ndarray) -> bytes:
+    """Counts in 1, 2, 4 or 8 bytes each, as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max())).newbyteorder("<")).tobytes()
+
+
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
@@ -222,17 +231,14 @@ def _summaries(batches: Iterator[pa.RecordBatch], layout: Layout, longest: int)
     def out() -> Iterator[pa.RecordBatch]:
         h, count = _summed(*(np.concatenate(z) for z in zip(*held)))
         held.clear()
-        part, key = layout.split(h)
-        order = np.lexsort((key, part))
-        part, key, count = part[order], key[order], count[order]
+        part, key = layout.split(h)  # in order, as h is
         edges = np.flatnonzero(np.diff(part, prepend=-1, append=layout.parts))
         rows = [(s, min(s + ROW_KEYS, e)) for a, e in zip(edges[:-1], edges[1:]) for s in range(a, e, ROW_KEYS)]
-        small = count.astype("<i4") if int(count.max()) < 2**31 else count.astype("<i8")
         for at in range(0, len(rows), 256):
             some = rows[at:at + 256]
             yield pa.RecordBatch.from_arrays([
                 pa.array(part[[s for s, _ in some]], pa.int32()), pa.nulls(len(some), pa.string()), pa.array([int(count[s:e].sum()) for s, e in some]), pa.array([int(e - s) for s, e in some], pa.int32()),
-                pa.array([encode(key[s:e]) for s, e in some]), pa.array([small[s:e].tobytes() for s, e in some])], names=["p", "lang", "mass", "n", "keys", "counts"])
+                pa.array([encode(key[s:e]) for s, e in some]), pa.array([narrow(count[s:e]) for s, e in some])], names=["p", "lang", "mass", "n", "keys", "counts"])
 
     for batch in text_slices(batches, 0, layout.segment):
         for g in grams(batch.column(0), batch.column(1), longest, layout.segment):
@@ -264,8 +270,8 @@ def _merged(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.Re
             if p != at:
                 if at is not None:
                     yield out()
-                at, summary = p, Summary(total // threshold + 1)
-            summary.add(decode(keys, n), np.frombuffer(counts, "<i4" if len(counts) == 4 * n else "<i8").astype(np.int64))
+                at, summary = p, Summary(2 * total // threshold + 1)
+            summary.add(decode(keys, n), np.frombuffer(counts, f"<u{len(counts) // n}").astype(np.int64))
     if at is not None:
         yield out()
 
@@ -303,7 +309,8 @@ class Filter:
 
 
 def _second(batches: Iterator[pa.RecordBatch], layout: Layout, longest: int, shared: Broadcast | None) -> Iterator[pa.RecordBatch]:
-    """(p, key, lang, size, phrase, f): a segment's n-grams that pass the filter (without one: all), under their words."""
+    """(lang, size, phrase, f) of a segment's n-grams that pass the filter, under their words; without a filter of all of
+    them, with their (p, key)."""
     known = shared.value if shared else None
     for batch in text_slices(batches, 0, layout.segment):
         for g in grams(batch.column(0), batch.column(1), longest, layout.segment):
@@ -311,12 +318,14 @@ def _second(batches: Iterator[pa.RecordBatch], layout: Layout, longest: int, sha
             chosen = [np.flatnonzero(c) if known is None else (ok := known.passes(h))[c[ok] > 0] for h, c in zip(hashes, g.count)]
             langs = pa.array(g.langs)
             for (size, phrase, lang), at, h, count in zip(g.texts(chosen), chosen, hashes, g.count):
-                part, key = layout.split(h[at])
                 for s in range(0, len(at), 1 << 16):
                     cutout = slice(s, s + (1 << 16))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(part[cutout], pa.int32()), pa.array(key[cutout].view(np.int64)), langs.take(pa.array(lang[cutout])), pa.array(np.full(len(at[cutout]), size, np.int32)),
-                         phrase[s:s + (1 << 16)], pa.array(count[at][cutout].astype(np.int64))], names=["p", "key", "lang", "size", "phrase", "f"])
+                    columns = [langs.take(pa.array(lang[cutout])), pa.array(np.full(len(at[cutout]), size, np.int32)), phrase[s:s + (1 << 16)], pa.array(count[at][cutout].astype(np.int64))]
+                    names = ["lang", "size", "phrase", "f"]
+                    if known is None:
+                        part, key = layout.split(h[at][cutout])
+                        columns, names = [pa.array(part, pa.int32()), pa.array(key.view(np.int64)), *columns], ["p", "key", *names]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,15 +348,15 @@ def frequent_phrases(docs: DataFrame, threshold: int = 10, longest: int = 3, tex
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     mass = max(1, longest * (size + 1) // 2)  # occurrences at most
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-mass // PARTITION_MASS))
-    layout = Layout(parts, min(60, max(16, (mass // parts).bit_length() + 8)), SEGMENT, HELD)  # keys: 8 bits more than it takes to number them
+    layout = Layout(parts, min(60, max(16, (mass // parts).bit_length() + 2)), SEGMENT, HELD)  # keys: 2 bits more than it takes to number them
     first = cut(texts.mapInArrow(partial(_summaries, layout=layout, longest=longest), "p int, lang string, mass long, n int, keys binary, counts binary"))
     words = first.where("p < 0").groupBy("lang").agg(F.sum("mass").alias("n"))
     own = first.where("p >= 0")
-    totals = own.groupBy("p").agg(F.sum("mass").alias("total"))
+    totals = F.broadcast(own.groupBy("p").agg(F.sum("mass").alias("total")))  # a row per hash partition
     dealt = own.join(totals, "p").repartition(parts, "p").sortWithinPartitions("p").select("p", "n", "keys", "counts", "total")
     merged = cut(dealt.mapInArrow(partial(_merged, threshold=threshold), "p int, n long, keys binary, filter binary")).where("n > 0")
     second = partial(_second, layout=layout, longest=longest)
-    schema = "p int, key long, lang string, size int, phrase string, f long"
+    schema = "lang string, size int, phrase string, f long"
     if merged.agg(F.coalesce(F.sum(F.octet_length("filter").cast("long")), F.lit(0))).first()[0] <= FILTER_BYTES:
         rows = merged.select("p", "filter").toArrow().sort_by("p")
         sizes = np.zeros(parts + 1, np.int64)
@@ -357,7 +366,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = 10, longest: int = 3, tex
         passed = texts.mapInArrow(partial(second, shared=shared), schema)
     else:
         keys = merged.select("p", "n", "keys").mapInArrow(_listed, "p int, key long")
-        passed = texts.mapInArrow(partial(second, shared=None), schema).groupBy("p", "key", "lang", "size", "phrase").agg(F.sum("f").alias("f")).join(keys, ["p", "key"], "left_semi")
+        passed = texts.mapInArrow(partial(second, shared=None), f"p int, key long, {schema}").groupBy("p", "key", "lang", "size", "phrase").agg(F.sum("f").alias("f")).join(keys, ["p", "key"], "left_semi")
     phrases = passed.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= threshold)
     return cut(phrases), cut(words)
 
@@ -397,5 +406,7 @@ def collocations(docs: DataFrame, threshold: int = 10, longest: int = 3, top: in
     exact = counted.select("lang", "phrase", "a", "k", "l", "r", (wide["a"] * wide["a"] * F.lit(1000000).cast("decimal(7,0)")).alias("up"), (wide["l"] * wide["r"]).alias("down"))
     scored = exact.groupBy("lang", "phrase", "a").agg(F.min(F.struct(F.expr("up div down").alias("score"), "k", "l", "r")).alias("s")).select("lang", "phrase", "a", "s.score", "s.l", "s.r")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    spread = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(64))).orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    first = scored.withColumn("rank", F.row_number().over(spread)).where(F.col("rank") <= top)  # a language's last task gets 64 lists
+    ranked = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
