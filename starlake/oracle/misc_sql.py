@@ -39,3 +39,15 @@ SELECT DISTINCT division_name, department_name, p_type AS category, p_brand AS b
        CASE p_type WHEN 'ECONOMY' THEN '1.1.1' WHEN 'PROMO' THEN '1.1.2' WHEN 'STANDARD' THEN '1.2.1' WHEN 'MEDIUM' THEN '1.2.2'
                    WHEN 'SMALL' THEN '2.1.1' WHEN 'LARGE' THEN '2.2.1' END AS path_id
 FROM part JOIN taxonomy USING (p_type)"""
+
+_DIMS = ("dim_date", "dim_channel", "dim_product", "dim_store", "dim_customer", "dim_promotion", "dim_vendor", "dim_employee", "dim_gl_account", "dim_department")
+_FACTS = {"fact_sales_line": "fact_sales_line", "fact_inventory_movement": "fact_inventory_movement", "fact_web_events": "fact_web_events",
+          "fact_returns": "fact_returns_f", "fact_fulfillment": "fact_fulfillment_f", "fact_loyalty_activity": "fact_loyalty_activity"}
+BUILD_RESUMED = " UNION ALL ".join(
+    [f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, true AS reused FROM {t}" for t in _DIMS]
+    + [f"SELECT '{t}', COUNT(*), false FROM {cte}" for t, cte in _FACTS.items()])
+
+ORDERS_VERSIONED = """
+WITH cut AS (SELECT date_trunc('year', MAX(CAST(o_orderdate AS DATE))) AS first_day FROM orders)
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day, CASE WHEN CAST(o_orderdate AS DATE) >= first_day THEN o_orderpriority END AS urgency FROM orders, cut
+"""

@@ -1,14 +1,27 @@
-"""The build job (FC18-FC20): write each table once, in order, and read it back for its dependants."""
+"""The build job (FC18-FC20): every table written once, in order, from the tables written before it, able to go on.
+
+The build is a ``Store``. Each table is committed by itself, with a record of what it was made from (``input``: the
+digests of its inputs, the settings, the bounds of the calendar), its rows and a digest of them. A build that starts on a
+folder of an earlier one walks the tables in order and skips each whose record still holds: after a stop nothing that was
+committed is written again, and after a change of the data only what depends on it. As inputs count by what they hold, a table
+that comes out as it was leaves its dependants valid.
+"""
 from __future__ import annotations
 
+import hashlib
+import json
+from collections.abc import Callable
+from dataclasses import asdict, dataclass, replace
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.schema import validate_schema
 from ..operators.semantic import MetricView, States
 from ..session import written
 from ..sources import specs
-from ..sources.versions import Store
-from .aggregates import refresh, states
+from ..sources.versions import Store, Table, Version
+from .aggregates import digest, refresh, states
 from .settings import Settings
 from .warehouse import DIMENSIONS, FACTS, Warehouse
 
@@ -16,44 +29,100 @@ from .warehouse import DIMENSIONS, FACTS, Warehouse
 STAGED = ("sales_calendar", "sales_enriched")
 
 
-def _keep(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+class Recording(Warehouse):
+    """A warehouse that notes which driver tables, stored tables and bounds a plan was made from."""
 
+    def __init__(self, *args, **kwargs):
+        self.seen: set[str] = set()
+        super().__init__(*args, **kwargs)
 
-def build(spark: SparkSession, sf_dir: str, path: str, settings: Settings, tables: tuple[str, ...] = DIMENSIONS + FACTS,
-          family: str = "md5") -> Warehouse:
-    """Write the calendar, the dimensions, the sales lines and then ``tables`` (in dependency order) as
-    Parquet below ``path``, a new folder in shared storage, each from the tables written before it.
+    def __getattribute__(self, name: str):
+        own = object.__getattribute__(self, "__dict__")
+        if name == "bounds" or name in own.get("stored", ()):
+            own["seen"].add(name)
+        return super().__getattribute__(name)
 
-    Returns the warehouse over what was written. Every table is validated against its declared spec.
-    """
-    stored: dict[str, DataFrame] = {}
+    def t(self, name: str) -> DataFrame:
+        self.seen.add(f"driver.{name}")
+        return super().t(name)
+
+
+def files_digest(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of a table's files: what the file system lists, nothing is read."""
+    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", F.unix_micros("modificationTime").alias("time"))
+    return hashlib.sha256(json.dumps(sorted(tuple(r) for r in files.collect())).encode()).hexdigest()
+
+
+@dataclass(frozen=True)
+class Built:
+    """A table of a build: its rows, and whether this run found it valid."""
+
+    name: str
+    rows: int
+    digest: str
+    reused: bool
 
-    def opened() -> Warehouse:
-        return Warehouse(spark, sf_dir, settings, family=family, stored=stored)
 
-    first = opened()
-    bounds = first.bounds
-    order = [t for t in DIMENSIONS if t in tables] + list(STAGED) + [t for t in FACTS if t in tables]
-    for name in order:
-        wh = opened()
-        wh.__dict__["bounds"] = bounds  # read once for the whole build
+def _input(name: str, seen: set[str], found: dict[str, str], bounds: dict, settings: Settings, family: str, revision: str) -> str:
+    own = {k: found[k] for k in seen if k != "bounds"}
+    days = {k: str(v) for k, v in bounds.items()} if "bounds" in seen else {}
+    return hashlib.sha256(json.dumps([name, own, days, asdict(settings), family, revision], sort_keys=True).encode()).hexdigest()
+
+
+def _recorded(store: Store, table: Table, made_from: str) -> Table:
+    """``table`` with its record: rows and digest come from what was written."""
+    df = store.read("new", Version(0, {"new": table}))
+    row = df.agg(F.count(F.lit(1)).alias("n"), digest(df.columns).alias("d")).first()
+    return replace(table, notes={"input": made_from, "rows": str(row["n"]), "digest": row["d"] or ""})
+
+
+def run_build(spark: SparkSession, sf_dir: str, path: str, settings: Settings, tables: tuple[str, ...] = DIMENSIONS + FACTS, family: str = "md5",
+              revision: str = "", after: Callable[[str], None] | None = None) -> tuple[Warehouse, list[Built]]:
+    """Make the build at ``path`` hold the calendar, the dimensions, the sales lines and then ``tables``, each of them
+    validated against its declared spec; the warehouse over it, and what happened to each table.
+
+    ``revision`` names the code: another one makes every table due. ``after`` is called with each committed table's name.
+    """
+    store, stored, found, report = Store(spark, path), {}, {}, []
+    bounds = Warehouse(spark, sf_dir, settings, family=family).bounds  # read once for the whole build
+    head = store.head()
+    for name in [t for t in DIMENSIONS if t in tables] + list(STAGED) + [t for t in FACTS if t in tables]:
+        wh = Recording(spark, sf_dir, settings, family=family, stored=stored)
+        wh.__dict__["bounds"] = bounds
+        wh.seen.clear()
         df = getattr(wh, name)
         if name not in STAGED:
-            spec = specs.BY_NAME[name]
-            df = spec.project(df)
-            validate_schema(df, spec)
-        stored[name] = _keep(spark, df, f"{path}/{name}")
-    done = opened()
+            df = specs.BY_NAME[name].project(df)
+            validate_schema(df, specs.BY_NAME[name])
+        for x in wh.seen - found.keys() - {"bounds"}:
+            found[x] = files_digest(spark, f"{sf_dir.rstrip('/')}/{x.removeprefix('driver.')}.parquet")
+        made_from = _input(name, wh.seen, found, bounds, settings, family, revision)
+        old = head.tables.get(name) if head else None
+        reused = old is not None and old.notes.get("input") == made_from
+        if not reused:
+            head = store.commit(head, {name: _recorded(store, store.table(df, old), made_from)})
+            if after:
+                after(name)
+        notes = head.tables[name].notes
+        stored[name], found[name] = store.read(name, head), f"{notes['rows']}/{notes['digest']}"
+        report.append(Built(name, int(notes["rows"]), notes["digest"], reused))
+    done = Warehouse(spark, sf_dir, settings, family=family, stored=stored)
     done.__dict__["bounds"] = bounds
-    return done
+    return done, report
+
+
+def build(spark: SparkSession, sf_dir: str, path: str, settings: Settings, tables: tuple[str, ...] = DIMENSIONS + FACTS,
+          family: str = "md5") -> Warehouse:
+    """The warehouse over a build at ``path``, a folder in shared storage; what is there and valid is kept."""
+    return run_build(spark, sf_dir, path, settings, tables, family)[0]
 
 
 def open_build(spark: SparkSession, sf_dir: str, path: str, settings: Settings, tables: tuple[str, ...] = DIMENSIONS + FACTS,
                family: str = "md5") -> Warehouse:
     """The warehouse over a finished build, in a later job."""
-    return Warehouse(spark, sf_dir, settings, family=family, stored={t: spark.read.parquet(f"{path}/{t}") for t in (*STAGED, *tables)})
+    store = Store(spark, path)
+    head = store.head()
+    return Warehouse(spark, sf_dir, settings, family=family, stored={t: store.read(t, head) for t in (*STAGED, *tables)})
 
 
 def stored_aggregate(wh: Warehouse, view: MetricView, name: str, path: str) -> States:

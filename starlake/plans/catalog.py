@@ -183,6 +183,7 @@ def integrity_report(w):
 
 
 # ------------------------------------------------------------ stored tables
+from ..oracle import misc_sql as M  # noqa: E402
 from ..session import new_folder, written  # noqa: E402
 from ..sources.versions import Store  # noqa: E402
 from . import build as B  # noqa: E402
@@ -210,6 +211,30 @@ def inventory_by_region_stored(w):
     return compile_query(MV_INVENTORY, wh.frames, ["date", "region"], ["on_hand_qty", "on_hand_cost_value"], materialized=mats)
 
 
+_CORE = ("fact_sales_line", "fact_inventory_movement", "fact_web_events", "fact_returns", "fact_fulfillment", "fact_loyalty_activity")
+
+
+@register("build_resumed", with_star(*facts_sql.ALL) + M.BUILD_RESUMED)
+def build_resumed(w):
+    """FC18-FC20/SRC5: a build that ended early goes on: rows of every table, and whether the second run found it valid."""
+    path = new_folder(w.spark, "build")
+    B.run_build(w.spark, w.sf_dir, path, w.settings, B.DIMENSIONS, family=w.family)
+    _, report = B.run_build(w.spark, w.sf_dir, path, w.settings, B.DIMENSIONS + _CORE, family=w.family)
+    return w.spark.createDataFrame([(b.name, b.rows, b.reused) for b in report if b.name not in B.STAGED], "table_name string, row_count long, reused boolean")
+
+
+@register("orders_versioned", M.ORDERS_VERSIONED)
+def orders_versioned(w):
+    """SNK1: orders in two deliveries, the second with a new column, which is then renamed: older rows read null there."""
+    store, orders = Store(w.spark, new_folder(w.spark, "table")), w.t("orders")
+    cut = F.lit(w.bounds["last_order"].replace(month=1, day=1)).cast("date")
+    day = F.to_date("o_orderdate").alias("order_day")
+    store.overwrite("orders", orders.where(F.to_date("o_orderdate") < cut).select("o_orderkey", day))
+    store.append("orders", orders.where(F.to_date("o_orderdate") >= cut).select("o_orderkey", day, F.col("o_orderpriority").alias("priority")))
+    store.alter("orders", rename={"priority": "urgency"})
+    return store.read("orders")
+
+
 # ------------------------------------------------------------ metric views
 from ..oracle import views_sql  # noqa: E402
 from . import views as V  # noqa: E402
@@ -283,7 +308,6 @@ def mv_sales_refreshed(w):
 # -------------------------------------------------- functions and statistics
 from ..functions import calendar as C  # noqa: E402
 from ..functions import keyed as K  # noqa: E402
-from ..oracle import misc_sql as M  # noqa: E402
 
 
 @register("sale_date_spread", with_star() + M.SALE_DATE_SPREAD)

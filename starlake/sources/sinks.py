@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.schema import TableSpec, validate_schema
+from .versions import Store, Version
 
 PG_TYPES = {"bigint": "bigint", "int": "integer", "double": "double precision", "string": "text",
             "boolean": "boolean", "timestamp": "timestamptz", "timestamp_ntz": "timestamp", "date": "date", "decimal(18,2)": "numeric(18,2)",
@@ -40,6 +41,14 @@ def write_table(spark: SparkSession, df: DataFrame, spec: TableSpec, *, prefix:
     return name
 
 
+def write_versioned(store: Store, df: DataFrame, spec: TableSpec, mode: str = "overwrite") -> Version:
+    """SNK1: validated write as a new version of a table: readers see the old rows or the new ones, a failed write leaves the
+    old ones, and columns that a later spec adds, renames (``store.alter``) or drops follow their identity."""
+    df = spec.project(df)
+    validate_schema(df, spec)
+    return store.append(spec.qualified, df) if mode == "append" else store.overwrite(spec.qualified, df)
+
+
 def read_back(spark: SparkSession, name: str) -> DataFrame:
     """SRC5: read a just-written table so dependants start from files, not lineage."""
     return spark.read.table(name)
