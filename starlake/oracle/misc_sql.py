@@ -1,6 +1,8 @@
 """Statistics, calendar weights, keyed draws and taxonomy paths in DuckDB SQL."""
 from __future__ import annotations
 
+from decimal import Decimal
+
 from .sqlfn import bnd, u
 
 SALE_DATE_SPREAD = """
@@ -51,3 +53,57 @@ ORDERS_VERSIONED = """
 WITH cut AS (SELECT date_trunc('year', MAX(CAST(o_orderdate AS DATE))) AS first_day FROM orders)
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day, CASE WHEN CAST(o_orderdate AS DATE) >= first_day THEN o_orderpriority END AS urgency FROM orders, cut
 """
+
+
+def _hash(keys: tuple[str, ...], salt: str) -> str:
+    texts = ", ".join(f"coalesce('=' || CAST({k} AS VARCHAR), 'null')" for k in keys)
+    return f"md5(concat_ws('|', {texts}, '{salt}'))"
+
+
+_LINE = ("transaction_id", "source_line", "product_sk", "store_sk")
+REVIEW_SAMPLE = f"""
+SELECT {', '.join(_LINE)}, customer_sk FROM (
+  SELECT CAST(l_orderkey AS BIGINT) AS transaction_id, CAST(l_linenumber AS BIGINT) AS source_line, CAST(l_partkey AS BIGINT) AS product_sk,
+         CAST(l_suppkey AS BIGINT) AS store_sk, CAST(o_custkey AS BIGINT) AS customer_sk
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+ORDER BY {_hash(_LINE, 'review_sample')} LIMIT 500
+"""
+REPLENISHMENT_SAMPLE = f"""
+SELECT store_sk, product_sk FROM replenishment_order ORDER BY {_hash(('store_sk', 'product_sk'), 'replenishment_sample')} LIMIT 200
+"""
+
+# popularity class: (from and to percent of the ranks, share that a store carries)
+_CLASSES = {"A": (0, 10, "0.60"), "B": (10, 40, "0.25"), "C": (40, 100, "0.08")}
+
+
+def _law(rate: str) -> str:
+    """Chance of a gap of at most g, for every g whose chance rounds below 1, and the first that doesn't."""
+    out = []
+    while not out or out[-1] < 1:
+        out.append((1 - (1 - Decimal(rate)) ** (len(out) + 1)).quantize(Decimal("0.000001")))
+    return "[" + ", ".join(f"CAST({x} AS DECIMAL(7,6))" for x in out) + "]"
+
+
+# every step of every group is drawn here, and what passes the class's size is dropped
+ASSORTMENT = f""",
+popular AS (
+  SELECT p.product_sk, row_number() OVER (ORDER BY coalesce(s.sold, 0) DESC, p.product_sk) AS popularity_rank
+  FROM dim_product p LEFT JOIN (SELECT product_sk, SUM(quantity) AS sold FROM fact_sales_line GROUP BY product_sk) s ON s.product_sk = p.product_sk),
+kinds AS ({' UNION ALL '.join(f"SELECT '{c}' AS popularity_class, count(*) * {a} // 100 AS lo, count(*) * {b} // 100 AS hi, {_law(r)} AS law FROM dim_product" for c, (a, b, r) in _CLASSES.items())}),
+steps AS (SELECT store_sk, popularity_class, lo, hi, law, unnest(generate_series(1, CAST(hi - lo AS BIGINT))) AS step FROM dim_store, kinds),
+places AS (
+  SELECT store_sk, popularity_class, lo, hi,
+         SUM(len(list_filter(law, lambda x: x <= {u(('store_sk', 'popularity_class', 'step'), 'assortment')})) + 1) OVER (PARTITION BY store_sk, popularity_class ORDER BY step) AS place
+  FROM steps),
+assortment AS (
+  SELECT c.store_sk, p.product_sk, c.popularity_class, CAST(p.popularity_rank AS BIGINT) AS popularity_rank, CAST(coalesce(s.units, 0) AS BIGINT) AS units
+  FROM places c JOIN popular p ON p.popularity_rank = c.lo + c.place
+  LEFT JOIN (SELECT store_sk, product_sk, SUM(quantity) AS units FROM fact_sales_line GROUP BY ALL) s ON s.store_sk = c.store_sk AND s.product_sk = p.product_sk
+  WHERE c.place <= c.hi - c.lo)
+"""
+ASSORTMENT_BY_PERIOD = """
+SELECT e.date_sk, a.popularity_class, COUNT(*) AS carried_pairs, COUNT(*) FILTER (WHERE a.units = 0) AS unsold_pairs,
+       CAST(SUM(greatest((a.units * 3 + n.days - 1) // n.days, 1)) AS BIGINT) AS safety_stock_qty
+FROM assortment a, (SELECT max(date_sk) AS date_sk FROM sales_cal GROUP BY fiscal_year, fiscal_period) e, (SELECT COUNT(*) AS days FROM sales_cal) n
+GROUP BY ALL
+"""

@@ -365,3 +365,33 @@ def taxonomy_paths(w):
     brands = w.t("part").select("p_type", "p_brand").distinct()
     return w.taxonomy.join(brands, "p_type").select("division_name", "department_name", F.col("p_type").alias("category"), "path_id",
                                                     F.col("p_brand").alias("brand"))
+
+
+# ----------------------------------------------------- samples and assortment
+from ..operators.sampling import bottom_k  # noqa: E402
+from ..sources.star import LINE_KEY  # noqa: E402
+from . import assortment as A  # noqa: E402
+
+
+@register("product_review_sample", with_star() + M.REVIEW_SAMPLE)
+def product_review_sample(w):
+    """TK1: exactly 500 sales lines to be reviewed, the same ones under any partitioning."""
+    return bottom_k(w.sales_base.select(*LINE_KEY, "customer_sk"), 500, LINE_KEY, "review_sample")
+
+
+@register("replenishment_sample", with_star(*facts_sql.ALL) + M.REPLENISHMENT_SAMPLE)
+def replenishment_sample(w):
+    """TK2: exactly 200 replenishment orders."""
+    return bottom_k(w.replenishment_order.select("store_sk", "product_sk"), 200, ["store_sk", "product_sk"], "replenishment_sample")
+
+
+@register("store_assortment", with_star() + M.ASSORTMENT + "SELECT * FROM assortment")
+def store_assortment(w):
+    """JN6/JN8: the products that each store carries, by keyed skip sampling, with what it sold of them (0 if nothing)."""
+    return A.store_assortment(w.sales_base, w.dim_product, w.dim_store, family=w.family)
+
+
+@register("assortment_by_period", with_star() + M.ASSORTMENT + M.ASSORTMENT_BY_PERIOD)
+def assortment_by_period(w):
+    """JN7/JN8: the planned assortment at every period-end, by popularity class."""
+    return A.assortment_by_period(A.store_assortment(w.sales_base, w.dim_product, w.dim_store, family=w.family), w.sales_calendar)
