@@ -107,3 +107,49 @@ SELECT e.date_sk, a.popularity_class, COUNT(*) AS carried_pairs, COUNT(*) FILTER
 FROM assortment a, (SELECT max(date_sk) AS date_sk FROM sales_cal GROUP BY fiscal_year, fiscal_period) e, (SELECT COUNT(*) AS days FROM sales_cal) n
 GROUP BY ALL
 """
+
+
+def fingerprints(tables: dict) -> str:
+    """Row counts and sums of row hashes of each table (its CTE's name and its declared columns), by year where it has days."""
+    decimals = {"money": 2, "qty2": 2, "dec1": 1, "dec4": 4}
+
+    def text(c) -> str:
+        if c.dtype in decimals:
+            x = f"CAST(CAST({c.name} AS DECIMAL(18,{decimals[c.dtype]})) AS VARCHAR)"
+        elif c.dtype.startswith("timestamp"):
+            x = f"strftime({c.name}, '%Y-%m-%d %H:%M:%S.%f')"
+        else:
+            x = f"CAST({c.name} AS VARCHAR)"
+        return f"coalesce(CAST(length({x}) AS VARCHAR) || ':' || {x}, 'null')"
+
+    def one(cte: str, spec) -> str:
+        part = "coalesce(CAST(date_sk // 10000 AS VARCHAR), 'none')" if any(c.name == "date_sk" for c in spec.columns) else "'all'"
+        row = f"md5(concat_ws('|', {', '.join(text(c) for c in spec.columns)}))"
+        sums = " || ':' || ".join(f"CAST(SUM(CAST('0x' || substr(h, {at}, 15) AS HUGEINT)) AS VARCHAR)" for at in (1, 17))
+        return f"SELECT '{spec.name}' AS table_name, part, COUNT(*) AS row_count, {sums} AS digest FROM (SELECT {part} AS part, {row} AS h FROM {cte}) GROUP BY part"
+
+    return "\n" + "\nUNION ALL ".join(one(cte, spec) for cte, spec in tables.items())
+
+
+_PAIRS = {
+    ("dim_product", "dim_product"): ("private_label_flag,is_marketplace", "uom,lifecycle_status", "private_label_flag,lifecycle_status", "uom,is_marketplace"),
+    ("dim_store", "dim_store"): ("is_ship_from_store,is_bopis_enabled",),
+    ("dim_customer", "dim_customer"): ("acquisition_channel,email_opt_in", "loyalty_member_flag,email_opt_in", "loyalty_member_flag,acquisition_channel"),
+    ("fact_returns", "fact_returns_f"): ("return_reason,disposition", "return_reason,is_fraud_suspected"),
+    ("fact_inventory_movement", "fact_inventory_movement"): ("movement_type,reason_code",),
+}
+
+
+def _independent(name: str, cte: str, a: str, b: str) -> str:
+    return f"""
+SELECT '{name}' AS table_name, '{a}' AS attribute_a, '{b}' AS attribute_b, CAST(SUM(n) AS BIGINT) AS row_count, f AS freedom,
+       round(2 * SUM(n * ln((ra.t * 1.0::DOUBLE) * n / (ra.n_a * 1.0::DOUBLE * n_b))), 3) AS g, round(f + 5 * sqrt(2.0 * f) + 10, 3) AS bound,
+       round(2 * SUM(n * ln((ra.t * 1.0::DOUBLE) * n / (ra.n_a * 1.0::DOUBLE * n_b))), 3) > round(f + 5 * sqrt(2.0 * f) + 10, 3) AS dependent
+FROM (SELECT {a} AS a, {b} AS b, COUNT(*) AS n FROM {cte} GROUP BY ALL) c
+JOIN (SELECT {a} AS a, COUNT(*) AS n_a, (SELECT COUNT(*) FROM {cte}) AS t FROM {cte} GROUP BY ALL) ra ON ra.a = c.a
+JOIN (SELECT {b} AS b, COUNT(*) AS n_b FROM {cte} GROUP BY ALL) rb ON rb.b = c.b,
+(SELECT CAST((COUNT(DISTINCT {a}) - 1) * (COUNT(DISTINCT {b}) - 1) AS BIGINT) AS f FROM {cte}) fr
+GROUP BY f"""
+
+
+INDEPENDENCE = " UNION ALL ".join(_independent(name, cte, *pair.split(",")) for (name, cte), pairs in _PAIRS.items() for pair in pairs)

@@ -395,3 +395,31 @@ def store_assortment(w):
 def assortment_by_period(w):
     """JN7/JN8: the planned assortment at every period-end, by popularity class."""
     return A.assortment_by_period(A.store_assortment(w.sales_base, w.dim_product, w.dim_store, family=w.family), w.sales_calendar)
+
+
+# ------------------------------------------------------------- fingerprints
+from functools import reduce  # noqa: E402
+
+from ..operators.fingerprints import fingerprint  # noqa: E402
+
+
+def _fingerprint_sql() -> str:
+    named = {"fact_returns": "fact_returns_f", "fact_fulfillment": "fact_fulfillment_f"}
+    return with_star(*facts_sql.ALL) + M.fingerprints({named.get(t, t): S.BY_NAME[t] for t in B.DIMENSIONS + B.FACTS})
+
+
+@register("warehouse_fingerprints", _fingerprint_sql())
+def warehouse_fingerprints(w):
+    """AG22/CHK12: order-free fingerprints over all columns of all 26 tables of a build, by year."""
+    wh = built(w)
+    return reduce(lambda a, b: a.unionByName(b), [fingerprint(getattr(wh, t), S.BY_NAME[t]) for t in B.DIMENSIONS + B.FACTS])
+
+
+from ..operators import independence as I  # noqa: E402
+
+
+@register("attribute_independence", with_star(*facts_sql.ALL) + M.INDEPENDENCE)
+def attribute_independence(w):
+    """CHK11: mutual information of every two drawn attributes of a row, against what chance allows."""
+    wh = built(w, B.DIMENSIONS + ("fact_returns", "fact_inventory_movement"))
+    return reduce(lambda a, b: a.unionByName(b), [I.independence(getattr(wh, p.table), p) for p in I.DRAWN])
