@@ -10,7 +10,9 @@ Two hash families:
 * ``"md5"`` (default): ``md5(concat_ws('|', keys..., salt))``. Portable: any SQL
   engine with ``md5`` reproduces the same draws, which is what lets the DuckDB
   oracle check every derived fact value by value.
-* ``"murmur3"``: Spark's ``xxhash64``; cheaper per row, Spark-only.
+* ``"murmur3"``: the name that callers know for Spark's ``xxhash64``; cheaper per row, Spark-only.
+
+Nulls are keys like any other: they have a text of their own, so (null, 5) and (5, null) differ.
 
 Draws are exact decimals (``u`` has 6 decimal places, 1e6 buckets), so every
 comparison and affine transform is exact in any engine.
@@ -18,7 +20,7 @@ comparison and affine transform is exact in any engine.
 from __future__ import annotations
 
 from decimal import Decimal
-from typing import Iterable, Sequence
+from typing import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,6 +35,16 @@ def _col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
 
 
+def _texts(keys) -> list[Column]:
+    """The keys' texts; a null's is ``(null)``."""
+    return [F.coalesce(_col(k).cast("string"), F.lit("(null)")) for k in keys]
+
+
+def _marked(keys) -> list[Column]:
+    """The keys and whether each is null, for a hash that passes over nulls."""
+    return [x for k in keys for x in (_col(k), _col(k).isNull())]
+
+
 def dec(value, precision: int = 18, scale: int | None = None) -> Column:
     """Decimal literal (never a double)."""
     d = Decimal(str(value))
@@ -43,19 +55,18 @@ def dec(value, precision: int = 18, scale: int | None = None) -> Column:
 
 def hash_bits(*keys, salt: str, family: Family = "md5") -> Column:
     """Non-negative 32-bit (md5) or signed 64-bit (murmur3) hash of keys + salt."""
-    cols = [_col(k) for k in keys]
     if family == "md5":
-        text = F.concat_ws(_SEP, *[c.cast("string") for c in cols], F.lit(str(salt)))
+        text = F.concat_ws(_SEP, *_texts(keys), F.lit(str(salt)))
         return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
     if family == "murmur3":
-        return F.xxhash64(*cols, F.lit(str(salt)))
+        return F.xxhash64(*_marked(keys), F.lit(str(salt)))
     raise ValueError(f"unknown hash family {family!r}")
 
 
 def uniform_slice(*keys, salt: str, part: int) -> Column:
     """FN1 from one digest: draw ``part`` (0 to 3) of the four that 128 bits hold. Draws of the same keys and salt share
     the digest, so a row of many draws hashes once."""
-    digest = F.md5(F.concat_ws(_SEP, *[_col(k).cast("string") for k in keys], F.lit(str(salt))))
+    digest = F.md5(F.concat_ws(_SEP, *_texts(keys), F.lit(str(salt))))
     b = F.pmod(F.conv(F.substring(digest, 8 * part + 1, 8), 16, 10).cast("long"), F.lit(UNIFORM_BUCKETS).cast("long"))
     return (b.cast("decimal(7,0)") * dec("0.000001")).cast("decimal(7,6)")
 
@@ -150,16 +161,18 @@ def percent_flag(*keys, salt: str, pct: int, family: Family = "md5") -> Column:
 
 def id64(*keys, tag: str, family: Family = "md5") -> Column:
     """FN14: non-negative 60-bit (md5) or 64-bit (murmur3) id from keys + tag."""
-    cols = [_col(k) for k in keys]
     if family == "md5":
-        text = F.concat_ws(_SEP, *[c.cast("string") for c in cols], F.lit(str(tag)))
+        text = F.concat_ws(_SEP, *_texts(keys), F.lit(str(tag)))
         return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
-    return F.xxhash64(*cols, F.lit(str(tag)))
+    return F.xxhash64(*_marked(keys), F.lit(str(tag)))
 
 
 def id128(*keys, tag: str) -> Column:
-    """FN14: the full 128-bit digest of keys + tag as 32 hexadecimal digits (safe as a primary key)."""
-    return F.md5(F.concat_ws(_SEP, *[_col(k).cast("string") for k in keys], F.lit(str(tag))))
+    """FN14: the full 128-bit digest of keys + tag as 32 hexadecimal digits (safe as a primary key).
+
+    Each key stands in it with its length, or as ``null``: keys that differ in any place have different texts."""
+    texts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("null")) for t in (_col(k).cast("string") for k in keys)]
+    return F.md5(F.concat_ws(_SEP, *texts, F.lit(str(tag))))
 
 
 def yyyymmdd(d: Column) -> Column:
@@ -185,7 +198,3 @@ def safe_ratio(num: Column, den: Column) -> Column:
 def round2(x: Column) -> Column:
     """FN15: money rounding on exact decimals (half away from zero in any engine)."""
     return F.round(x, 2).cast("decimal(18,2)")
-
-
-def keys_of(names: Iterable[str]) -> tuple[Column, ...]:
-    return tuple(F.col(n) for n in names)

@@ -11,7 +11,7 @@ from ..functions.keyed import threshold
 
 
 def _keys(keys: Sequence[str], salt: str) -> str:
-    parts = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    parts = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '(null)')" for k in keys)
     return f"concat_ws('|', {parts}, '{salt}')"
 
 
@@ -64,7 +64,8 @@ def id64(keys: Sequence[str], tag: str) -> str:
 
 
 def id128(keys: Sequence[str], tag: str) -> str:
-    return f"md5({_keys(keys, tag)})"
+    parts = ", ".join(f"coalesce(length(CAST({k} AS VARCHAR)) || ':' || CAST({k} AS VARCHAR), 'null')" for k in keys)
+    return f"md5(concat_ws('|', {parts}, '{tag}'))"
 
 
 def sk(d: str) -> str:

@@ -110,3 +110,12 @@ def test_running_total_equals_plain_window(spark):
     ref = df.withColumn("rt2", F.sum("x").over(w))
     diff = ours.join(ref, ["g", "day", "k", "x"]).filter(F.col("rt") != F.col("rt2")).count()
     assert diff == 0 and ours.count() == 4000
+
+
+def test_nulls_in_different_places_are_different_keys(spark):
+    from starlake.functions.keyed import hash_bits, id128, uniform_slice
+    keys = spark.createDataFrame([(None, "5"), ("5", None), (None, None), ("", None), ("1:", "5"), ("1", ":5"), ("a|b", "c"), ("a", "b|c")], "a string, b string")
+    assert keys.select(id128("a", "b", tag="t").alias("x")).distinct().count() == 8
+    first = keys.limit(4)
+    for column in (hash_bits("a", "b", salt="s"), hash_bits("a", "b", salt="s", family="murmur3"), uniform_slice("a", "b", salt="s", part=1)):
+        assert first.select(column.alias("x")).distinct().count() == 4
