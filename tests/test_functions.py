@@ -119,3 +119,19 @@ def test_nulls_in_different_places_are_different_keys(spark):
     first = keys.limit(4)
     for column in (hash_bits("a", "b", salt="s"), hash_bits("a", "b", salt="s", family="murmur3"), uniform_slice("a", "b", salt="s", part=1)):
         assert first.select(column.alias("x")).distinct().count() == 4
+
+
+def test_a_key_of_nearly_all_rows_is_numbered_in_many_tasks(spark):
+    rows = spark.range(6000).select(F.when(F.col("id") % 10 > 0, F.lit(None).cast("int")).otherwise((F.col("id") % 50).cast("int")).alias("g"),
+                                    F.when(F.col("id") % 97 > 0, F.col("id") * 7919 % 6000).alias("v"), "id")
+    want = sorted(dense_number(rows, ["g"], [F.floor(F.col("v") / 10)], ["v", "id"], out="n").collect(), key=str)
+    ours = dense_number(rows.repartition(5), ["g"], [F.floor(F.col("v") / 10)], ["v", "id"], out="n", in_task=1000)
+    assert sorted(ours.collect(), key=str) == want and len(want) == 6000
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan  # rows never meet themselves
+    assert max(r.n for r in want if r.g is None) == 5400
+
+
+def test_line_numbers_need_no_join_of_lines_with_lines(wh):
+    plan = wh.fact_sales_line._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_linenumber") and plan.count("lineitem") <= 1 and plan.count("Relation [l_orderkey") == 1
