@@ -153,3 +153,37 @@ GROUP BY f"""
 
 
 INDEPENDENCE = " UNION ALL ".join(_independent(name, cte, *pair.split(",")) for (name, cte), pairs in _PAIRS.items() for pair in pairs)
+
+
+def _median(grain: str, part: str) -> str:
+    return f"""
+SELECT '{grain}' AS grain, part, CAST(any_value(n) AS BIGINT) AS cells, CAST(min(days_of_supply) AS DOUBLE) AS exact_median, true AS within_bound
+FROM (SELECT *, SUM(c) OVER (PARTITION BY part ORDER BY days_of_supply) AS upto, SUM(c) OVER (PARTITION BY part) AS n
+      FROM (SELECT {part} AS part, days_of_supply, COUNT(*) AS c FROM fact_inventory_snapshot WHERE days_of_supply IS NOT NULL GROUP BY ALL))
+WHERE upto * 2 >= n GROUP BY part"""
+
+
+SKETCHED = _median("date_sk", "date_sk") + " UNION ALL " + _median("year", "date_sk // 10000")
+
+SUBMISSIONS = """
+WITH sent AS (
+  SELECT CAST(o_custkey AS BIGINT) AS cell, substr(o_orderpriority, 1, 1) AS planner, 's' || CAST(o_orderkey AS VARCHAR) AS id, CAST(o_orderdate AS DATE) AS day,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS qty, o_orderkey % 2 AS seen, CAST(o_orderdate AS DATE) >= (SELECT date_trunc('year', MAX(CAST(o_orderdate AS DATE))) FROM orders) AS late
+  FROM orders),
+one AS (SELECT *, row_number() OVER (PARTITION BY cell, planner ORDER BY seen DESC, day DESC, id DESC) AS r FROM sent WHERE NOT late AND qty >= 1000),
+state AS (SELECT cell, planner, qty, id FROM one WHERE r = 1),
+two AS (SELECT s.*, t.id IS NOT NULL AS known FROM sent s LEFT JOIN state t ON t.cell = s.cell AND t.planner = s.planner WHERE late AND s.qty >= 1000),
+fresh AS (SELECT *, row_number() OVER (PARTITION BY cell, planner ORDER BY seen DESC, day DESC, id DESC) AS r FROM two WHERE NOT (known AND seen = 0)),
+final AS (
+  SELECT coalesce(f.cell, t.cell) AS cell, coalesce(f.planner, t.planner) AS planner, coalesce(f.qty, t.qty) AS qty,
+         CASE WHEN f.id IS NOT NULL AND t.id IS NOT NULL THEN 2 ELSE 1 END AS revision, coalesce(f.id, t.id) AS submission_id
+  FROM state t FULL JOIN (SELECT * FROM fresh WHERE r = 1) f ON f.cell = t.cell AND f.planner = t.planner),
+outcomes AS (
+  SELECT 'invalid' AS outcome, COUNT(*) + COUNT(*) FILTER (WHERE NOT late AND qty < 50000) AS n FROM sent WHERE qty < 1000
+  UNION ALL SELECT 'duplicate', COUNT(*) FROM one WHERE qty < 50000
+  UNION ALL SELECT 'accepted', (SELECT COUNT(*) FROM one WHERE r = 1) + (SELECT COUNT(*) FROM fresh WHERE r = 1)
+  UNION ALL SELECT 'superseded', (SELECT COUNT(*) FROM one WHERE r > 1) + (SELECT COUNT(*) FROM fresh WHERE r > 1)
+  UNION ALL SELECT 'stale', COUNT(*) FROM two WHERE known AND seen = 0)
+SELECT cell, planner, CAST(qty AS DOUBLE) AS qty, CAST(revision AS BIGINT) AS revision, submission_id FROM final
+UNION ALL SELECT NULL, NULL, NULL, n, outcome FROM outcomes WHERE n > 0
+"""

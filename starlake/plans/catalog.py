@@ -423,3 +423,45 @@ def attribute_independence(w):
     """CHK11: mutual information of every two drawn attributes of a row, against what chance allows."""
     wh = built(w, B.DIMENSIONS + ("fact_returns", "fact_inventory_movement"))
     return reduce(lambda a, b: a.unionByName(b), [I.independence(getattr(wh, p.table), p) for p in I.DRAWN])
+
+
+# ------------------------------------------------- stored quantiles and upserts
+from ..operators import quantiles as Q  # noqa: E402
+from ..operators.upsert import upsert  # noqa: E402
+
+
+@register("days_of_supply_sketched", with_star(*facts_sql.ALL) + M.SKETCHED)
+def days_of_supply_sketched(w):
+    """AG19: median days of supply by period-end and by year from stored daily sketches, held against the exact median."""
+    cells = built(w, ("dim_product", "fact_inventory_snapshot")).fact_inventory_snapshot.select("date_sk", "days_of_supply", F.expr("date_sk div 10000").alias("year"))
+    k, out = 400, None
+    states_ = written(Q.sketches(cells, ["year", "date_sk"], "days_of_supply", k))
+    for grain in ("date_sk", "year"):
+        found = Q.rank_range(cells, [grain], "days_of_supply", Q.quantile(states_, [grain], 0.5, "estimate"), "estimate")
+        exact = Q.exact_quantile(cells, [grain], "days_of_supply", F.lit(0.5), "exact_median")
+        off = 2 * Q.rank_error(k)
+        one = found.join(exact, grain).select(F.lit(grain).alias("grain"), F.col(grain).alias("part"), F.col("n").alias("cells"), "exact_median",
+                                              ((F.col("below") <= 0.5 + off) & (F.col("upto") >= 0.5 - off)).alias("within_bound"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("override_submissions", M.SUBMISSIONS)
+def override_submissions(w):
+    """DS16/PR17/RS3: planners' submissions (derived from orders) in two batches; the second starts from what each planner saw."""
+    orders = w.t("orders")
+    sent = orders.select(
+        F.col("o_custkey").cast("long").alias("cell"), F.substring("o_orderpriority", 1, 1).alias("planner"),
+        F.concat(F.lit("s"), F.col("o_orderkey")).alias("submission_id"), F.to_date("o_orderdate").alias("submitted_at"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("qty"), (F.col("o_orderkey") % 2).cast("long").alias("revision"))
+    half = F.lit(w.bounds["last_order"].replace(month=1, day=1)).cast("date")
+    keys, values = ["cell", "planner"], ["qty"]
+    none = sent.limit(0).select(*keys, *values, "revision", "submission_id", "submitted_at")
+    first = sent.where(F.col("submitted_at") < half)
+    state, one = upsert(none, first.unionByName(first.where(F.col("qty") < 50000)), keys, values, F.col("qty") >= 1000)  # some are sent twice
+    state = written(state)
+    last, two = upsert(state, sent.where(F.col("submitted_at") >= half), keys, values, F.col("qty") >= 1000)
+    outcomes = one.select("outcome").unionByName(two.select("outcome")).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    cells = last.select("cell", "planner", "qty", "revision", "submission_id")
+    return cells.unionByName(outcomes.select(F.lit(None).cast("long").alias("cell"), F.lit(None).cast("string").alias("planner"), F.lit(None).cast("decimal(18,2)").alias("qty"),
+                                             F.col("n").alias("revision"), F.col("outcome").alias("submission_id")))
