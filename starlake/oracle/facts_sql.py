@@ -56,34 +56,31 @@ fact_fulfillment AS (
 ),
 fact_fulfillment_f AS (SELECT *, delivery_date_sk <= promised_date_sk AS sla_met_flag FROM fact_fulfillment)"""
 
-_LK = ["_src", "store_sk"]
+_LK = ["transaction_id", "store_sk"]
+# A receipt's entries are a list: it earns, and a share of receipts has one event more. 500 points, a quarter, +-50.
 LOYALTY = f"""
-receipts AS (
-  SELECT transaction_id AS _src, store_sk, customer_sk, date_sk, channel_sk, c.loyalty_tier AS tier_at_event,
-         SUM(loyalty_points_earned) AS points
-  FROM fact_sales_line s JOIN dim_customer c USING (customer_sk) WHERE c.loyalty_member_flag
-  GROUP BY ALL HAVING SUM(loyalty_points_earned) > 0
-),
-loy_events AS (
-  SELECT customer_sk, date_sk, store_sk, channel_sk, tier_at_event, _src, 'Earn' AS activity_type, CAST(points AS BIGINT) AS points
-  FROM receipts
-  UNION ALL
-  SELECT customer_sk, {_shift('d.date', bnd(_LK, 'points_lag', 1, 45))}, store_sk, channel_sk, tier_at_event, _src,
-         CASE {bnd(_LK, 'points_kind', 1, 3)} WHEN 1 THEN 'Redeem' WHEN 2 THEN 'Expire' ELSE 'Adjust' END,
-         CAST(CASE {bnd(_LK, 'points_kind', 1, 3)} WHEN 1 THEN -least(points, 500) WHEN 2 THEN -(points // 4)
-              ELSE {bnd(_LK, 'points_adjust', -50, 50)} END AS BIGINT)
-  FROM receipts JOIN sales_cal d USING (date_sk)
-  WHERE {u(_LK, 'points_event')} < 0.15
-),
-loy_ids AS (
-  SELECT *, {id128(['customer_sk', 'activity_type', '_src', 'store_sk'], 'points')} AS loyalty_event_id FROM loy_events
+earned AS (
+  SELECT transaction_id, store_sk, s.customer_sk, date_sk, channel_sk, any_value(c.loyalty_tier) AS tier, CAST(SUM(loyalty_points_earned) AS BIGINT) AS n
+  FROM fact_sales_line s SEMI JOIN (SELECT * FROM dim_customer WHERE loyalty_member_flag) m ON m.customer_sk = s.customer_sk
+       JOIN dim_customer c ON c.customer_sk = s.customer_sk
+  GROUP BY transaction_id, store_sk, s.customer_sk, date_sk, channel_sk
+),
+entries AS (
+  SELECT e.*, day.date, unnest(list_filter([
+    {{'kind': 'Earn', 'lag': 0, 'points': n}},
+    CASE WHEN {u(_LK, 'points_event')} < 0.15 THEN {{
+      'kind': ['Redeem', 'Expire', 'Adjust'][{bnd(_LK, 'points_kind', 1, 3)}], 'lag': {bnd(_LK, 'points_lag', 1, 45)},
+      'points': [-least(n, 500), -(n // 4), CAST({bnd(_LK, 'points_adjust', -50, 50)} AS BIGINT)][{bnd(_LK, 'points_kind', 1, 3)}]}} END
+  ], lambda x: x IS NOT NULL)) AS entry
+  FROM (SELECT * FROM earned WHERE n > 0) e JOIN sales_cal day USING (date_sk)
+),
+named AS (
+  SELECT *, entry.kind AS kind, {_shift('date', 'entry.lag')} AS on_day, {id128(['customer_sk', 'entry.kind', 'transaction_id', 'store_sk'], 'points')} AS id FROM entries
 ),
 fact_loyalty_activity AS (
-  SELECT loyalty_event_id, date_sk, customer_sk, store_sk, channel_sk, activity_type, points,
-         CAST(SUM(points) OVER (PARTITION BY customer_sk ORDER BY date_sk, loyalty_event_id
-                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS points_balance,
-         tier_at_event, CASE WHEN activity_type = 'Earn' THEN _src END AS related_transaction_id
-  FROM loy_ids
+  SELECT id AS loyalty_event_id, on_day AS date_sk, customer_sk, store_sk, channel_sk, kind AS activity_type, entry.points AS points,
+         CAST(SUM(entry.points) OVER upto AS BIGINT) AS points_balance, tier AS tier_at_event, CASE kind WHEN 'Earn' THEN transaction_id END AS related_transaction_id
+  FROM named WINDOW upto AS (PARTITION BY customer_sk ORDER BY on_day, id)
 )"""
 
 _CELL = ["store_sk", "product_sk", "date_sk"]
@@ -158,26 +155,19 @@ _DEPT_ROWS = " UNION ALL ".join(
 )
 
 
-def _j(acct: str) -> str:
-    return f"CAST(0.95 + {u(['store_sk', repr(acct)], 'opex')} * 0.10 AS DECIMAL(8,6))"
-
-
-# account, department, amount: written out here independently of the library's table of postings
-_LINES = (
-    ("4100", "Merchandising", "-returns_amt"),
-    ("4200", "Merchandising", "-(0.010 * g)"),
-    ("5200", "Merchandising", "0.015 * g"),
-    ("5300", "Supply Chain", "shrink_cost"),
-    ("6000", "Store Operations", f"(8000 + 0.11 * g) * {_j('6000')}"),
-    ("6100", "Store Operations", f"6000 * {_j('6100')}"),
-    ("6200", "Marketing", f"0.04 * g * {_j('6200')}"),
-    ("6300", "Supply Chain", f"0.03 * g * {_j('6300')}"),
-    ("6400", "G&A", f"(4000 + 0.02 * g) * {_j('6400')}"),
-    ("6500", "G&A", f"3500 * {_j('6500')}"),
-)
-_STORE_LINES = "\n  UNION ALL\n  ".join(
-    f"SELECT store_sk, pidx, '{dept}' AS dept_name, '{acct}' AS account_number, CAST(round({amount}, 2) AS DECIMAL(18,2)) AS amount FROM b"
-    for acct, dept, amount in _LINES)
+# Fixed values of the postings: account, department, what it is a share of, the share (of a month: an amount of money),
+# and whether it varies by store. A share of nothing per month gives every store and period the account.
+_POSTINGS = """(VALUES
+    ('4100', 'Merchandising', 'returned', -1.000, false), ('4100', 'Merchandising', 'month', 0, false),
+    ('4200', 'Merchandising', 'recognized', -0.010, false), ('4200', 'Merchandising', 'month', 0, false),
+    ('5200', 'Merchandising', 'recognized', 0.015, false), ('5200', 'Merchandising', 'month', 0, false),
+    ('5300', 'Supply Chain', 'shrunk', 1.000, false), ('5300', 'Supply Chain', 'month', 0, false),
+    ('6000', 'Store Operations', 'month', 8000, true), ('6000', 'Store Operations', 'recognized', 0.110, true),
+    ('6100', 'Store Operations', 'month', 6000, true),
+    ('6200', 'Marketing', 'month', 0, true), ('6200', 'Marketing', 'recognized', 0.040, true),
+    ('6300', 'Supply Chain', 'month', 0, true), ('6300', 'Supply Chain', 'recognized', 0.030, true),
+    ('6400', 'G&A', 'month', 4000, true), ('6400', 'G&A', 'recognized', 0.020, true),
+    ('6500', 'G&A', 'month', 3500, true)) AS postings(account_number, dept_name, basis, share, varies)"""
 
 GL = f"""
 dim_gl_account AS ({_GL_ROWS}),
@@ -201,26 +191,26 @@ ga AS (
          CASE WHEN is_online THEN 'E-commerce' ELSE 'Merchandising' END AS dept_name
   FROM ga1
 ),
-store_g AS (SELECT store_sk, pidx, CAST(SUM(recognized_gross) AS DECIMAL(18,2)) AS g FROM ga GROUP BY store_sk, pidx),
-ret AS (
-  SELECT store_sk, pidx, CAST(SUM(refund_amount) AS DECIMAL(18,2)) AS returns_amt
-  FROM fact_returns_f JOIN periods USING (date_sk) GROUP BY store_sk, pidx
+base_amounts AS (
+  SELECT store_sk, pidx, 'recognized' AS basis, recognized_gross AS amount FROM ga
+  UNION ALL SELECT store_sk, pidx, 'returned', refund_amount FROM fact_returns_f JOIN periods USING (date_sk)
+  UNION ALL SELECT store_sk, pidx, 'shrunk', abs(quantity) * unit_cost FROM fact_inventory_movement JOIN periods USING (date_sk) WHERE movement_type = 'Shrink'
 ),
-shr AS (
-  SELECT store_sk, pidx, CAST(SUM(abs(quantity) * unit_cost) AS DECIMAL(18,2)) AS shrink_cost
-  FROM fact_inventory_movement JOIN periods USING (date_sk) WHERE movement_type = 'Shrink' GROUP BY store_sk, pidx
+bases AS (
+  SELECT store_sk, pidx, basis, CAST(SUM(amount) AS DECIMAL(18,2)) AS amount FROM base_amounts GROUP BY ALL
+  UNION ALL SELECT DISTINCT store_sk, pidx, 'month', CAST(1 AS DECIMAL(18,2)) FROM base_amounts
 ),
-spine AS (SELECT store_sk, pidx FROM store_g UNION SELECT store_sk, pidx FROM ret UNION SELECT store_sk, pidx FROM shr),
-b AS (
-  SELECT store_sk, pidx, coalesce(g, 0) AS g, coalesce(returns_amt, 0) AS returns_amt,
-         coalesce(shrink_cost, 0) AS shrink_cost
-  FROM spine LEFT JOIN store_g USING (store_sk, pidx) LEFT JOIN ret USING (store_sk, pidx)
-       LEFT JOIN shr USING (store_sk, pidx)
+posted AS (
+  SELECT store_sk, pidx, dept_name, account_number, varies, CAST(SUM(CAST(share AS DECIMAL(9,3)) * amount) AS DECIMAL(24,5)) AS amount
+  FROM bases JOIN {_POSTINGS} USING (basis) GROUP BY ALL
 ),
 gl_lines AS (
   SELECT store_sk, pidx, dept_name, '4000' AS account_number, recognized_gross AS amount FROM ga
   UNION ALL SELECT store_sk, pidx, dept_name, '5000', cogs FROM ga
-  UNION ALL {_STORE_LINES}
+  UNION ALL
+  SELECT store_sk, pidx, dept_name, account_number, CAST(round(
+    amount * CASE WHEN varies THEN CAST(0.95 + {u(['store_sk', 'account_number'], 'opex')} * 0.10 AS DECIMAL(8,6)) ELSE CAST(1 AS DECIMAL(8,6)) END, 2) AS DECIMAL(18,2))
+  FROM posted
 ),
 fact_gl_actuals AS (
   SELECT pe.period_end_date_sk AS date_sk, a.gl_account_sk, l.store_sk, d.department_sk,
