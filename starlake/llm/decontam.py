@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare word-pair seeds, then Smith-Waterman alignment.
 
-The test items are the query set and go through in blocks of at most ``block_words`` words, each block a
-small array in every task; the corpus is read twice per block and never shuffled.
+The different texts of the test items are the query set and go through in blocks of about ``block_words``
+words, each block a small array in every task; the corpus is read twice per block and never shuffled.
 
 1. How many documents hold each of the block's word pairs is counted over the whole corpus. A pair is two
    words in order with at most one word between.
@@ -12,6 +12,10 @@ small array in every task; the corpus is read twice per block and never shuffled
    alignment has one.
 3. A document's seed hits are joined to item positions, and the words around them, as far as such an
    alignment can reach, are aligned to the item. Every passage that reaches ``least`` is a leak.
+
+Words follow ``scripts``: any Unicode space or mark separates, and each character of an unspaced script is
+a word. Hashes only find candidates; the words that are aligned are compared by their bytes. Items of
+fewer than ``n`` words say too little for a share of them: they match where all their words follow each other.
 """
 from __future__ import annotations
 
@@ -23,10 +27,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import text_slices
-from .words import pairs, words
+from .common import cut, small, text_slices
+from .scripts import Vocabulary, script_words
+from .words import Words, pairs
 
 MATCH, OTHER, GAP = 2, -1, 1
 ONE = 1 << 32
@@ -43,14 +47,21 @@ class Settings:
 
 @dataclass
 class Items:
-    """A block of test items: ids, words (flat, ``first`` has each item's place) and word pairs."""
+    """A block of test items: ids, words (flat, ``first`` has each item's place) and word pairs; an item of
+    one word counts as a pair of its own."""
 
     ids: list
     first: np.ndarray
-    word: np.ndarray
+    vocabulary: Vocabulary  # its ``number`` has the items' words
     gram: np.ndarray  # distinct, sorted
     at: np.ndarray  # of each pair's occurrence, its first word
     slots: np.ndarray  # and its index in ``gram``
+    single: bool  # whether an item has one word
+
+    def grams(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, hash) of all that can be a seed in ``w``."""
+        at, g = pairs(w)
+        return (np.concatenate((at, np.arange(len(w.hash)))), np.concatenate((g, _single(w.hash)))) if self.single else (at, g)
 
     def slot(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions in ``g`` that are pairs of the block, their index in ``gram``)."""
@@ -64,22 +75,27 @@ class Items:
         self.map[self.gram >> np.uint64(64 - MAP_BITS)] = True
 
 
-def _items(ids: list, texts: list[str | None], n: int) -> Items:
-    w = words(pa.array(texts, pa.string()))
+def _single(h: np.ndarray) -> np.ndarray:
+    g = h * np.uint64(0xA24BAED4963EE407) + np.uint64(1)
+    return g ^ (g >> np.uint64(31))
+
+
+def _items(ids: list, texts: list[str | None]) -> Items:
+    w = script_words(pa.array(texts, pa.string()))
     first = np.searchsorted(w.row, np.arange(len(ids) + 1))
     at, g = pairs(w)
-    long = np.diff(first)[w.row[at]] >= n
-    at = at[long]
-    gram, inverse = np.unique(g[long], return_inverse=True)
-    return Items(ids, first, w.hash, gram, at, inverse)
+    alone = first[:-1][np.diff(first) == 1]
+    at, g = np.concatenate((at, alone)), np.concatenate((g, _single(w.hash[alone])))
+    gram, inverse = np.unique(g, return_inverse=True)
+    return Items(ids, first, Vocabulary(w), gram, at, inverse, bool(len(alone)))
 
 
 def _document_counts(docs: DataFrame, block: Items) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(block.gram), dtype=np.int64)
         for b in text_slices(batches, 0):
-            w = words(b.column(0))
-            at, g = pairs(w)
+            w = script_words(b.column(0))
+            at, g = block.grams(w)
             hit, k = block.slot(g)
             if len(hit):
                 held = np.unique(w.row[at[hit]] * len(block.gram) + k)
@@ -147,7 +163,7 @@ def align(items: list[np.ndarray], texts: list[np.ndarray], least: np.ndarray, b
 
             def pad(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
                 size = np.array([len(r) for r in rows])
-                out = np.zeros((len(rows), max(1, int(size.max()))), dtype=np.uint64)
+                out = np.zeros((len(rows), max(1, int(size.max()))), dtype=np.int64)
                 for k, r in enumerate(rows):
                     out[k, : len(r)] = r
                 return out, size
@@ -177,16 +193,16 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
     start and end are code points of the document (end exclusive); similarity is the alignment score
     over that of a full match; passages of one document and item do not overlap. A document
-    without a leak has no row. Null and empty texts hold nothing; items of fewer than ``n`` words cannot
-    be told from chance and match nothing; repeated rows repeat; null ids are kept as null. Columns other
+    without a leak has no row. Items of fewer than ``n`` words are found wherever all their words follow each
+    other, so a one-word item is found in every text with that word. Null and empty texts, and items
+    without a letter or digit, hold nothing; repeated rows repeat; null ids are kept as null. Columns other
     than those named are ignored; an empty table on either side gives an empty result.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kinds = (docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString())
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, similarity double, start long, `end` long, seeds long"
+    tests = items.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
+    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, item string, similarity double, start long, `end` long, seeds long"
     out = docs.sparkSession.createDataFrame([], schema)
-    item_type = to_arrow_type(items.schema[item_col].dataType)
-    for block in _blocks(items, item_col, item_text, settings):
+    for block in _blocks(tests, settings):
         found = _passages_of(texts, "text", block, settings)
 
         def run(batches: Iterator[pa.RecordBatch], found=found, ids=block.ids) -> Iterator[pa.RecordBatch]:
@@ -194,18 +210,19 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                 x = found(b.column(1))
                 if len(x.row):
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(pa.array(x.row)), pa.array([ids[i] for i in x.item.tolist()], item_type), pa.array(x.share),
-                         pa.array(x.start), pa.array(x.end), pa.array(x.seeds)], names=["doc_id", "item_id", "similarity", "start", "end", "seeds"])
+                        [b.column(0).take(pa.array(x.row)), pa.array([ids[i] for i in x.item.tolist()], pa.string()), pa.array(x.share),
+                         pa.array(x.start), pa.array(x.end), pa.array(x.seeds)], names=["doc_id", "item", "similarity", "start", "end", "seeds"])
 
         out = out.unionByName(texts.mapInArrow(run, schema))
-    return out
+    named = small(cut(tests.select(F.sha2("text", 256).alias("item"), "item_id")), 1_000_000)
+    return out.join(named, "item").select("doc_id", "item_id", "similarity", "start", "end", "seeds")
 
 
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
           settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs``, all columns, without a leak; nothing is shuffled."""
-    at = docs.columns.index(text_col)
-    for block in _blocks(items, item_col, item_text, settings):
+    """The rows of ``docs``, all columns, without a leak; no document is shuffled."""
+    at, out = docs.columns.index(text_col), docs
+    for block in _blocks(items.select(F.col(item_text).alias("text")).where("text is not null"), settings):
         found = _passages_of(docs, text_col, block, settings)
 
         def run(batches: Iterator[pa.RecordBatch], found=found) -> Iterator[pa.RecordBatch]:
@@ -214,18 +231,26 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: s
                 stays[found(b.column(at)).row] = False
                 yield b.filter(pa.array(stays))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        out = out.mapInArrow(run, docs.schema)
+    return out
 
 
-def _blocks(items: DataFrame, item_col: str, item_text: str, s: Settings) -> Iterator[Items]:
-    """The test items, dealt by the hash of their text into blocks of about ``block_words`` words."""
-    tests = items.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
-    size = tests.agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).first()["n"] or 0
-    blocks = max(1, -(-size // s.block_words))
+def _blocks(tests: DataFrame, s: Settings) -> Iterator[Items]:
+    """The different texts of the test items, dealt by their hash into blocks of about ``block_words`` words, a
+    very long word counted as one per 8 bytes; ids are SHA-256 sums of the texts."""
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_slices(batches, 0):
+            w = script_words(b.column(0))
+            size = np.bincount(w.row, weights=np.maximum(1, (w.end - w.start) // 8), minlength=b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size.astype(np.int64))], names=["text", "size"])
+
+    texts = cut(tests.select("text").distinct().mapInArrow(weigh, "text string, size long").where("size > 0"))
+    total = texts.agg(F.sum("size").alias("n")).first()["n"] or 0
+    blocks = -(-total // s.block_words)
     for k in range(blocks):
-        got = tests.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect()  # about block_words words
-        block = _items([r.item_id for r in got], [r.text for r in got], s.n)
+        got = texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).select(F.sha2("text", 256).alias("item"), "text").collect()  # about block_words words
+        block = _items([r.item for r in got], [r.text for r in got])
         if len(block.gram):
             yield block
 
@@ -248,25 +273,27 @@ def _passages_of(docs: DataFrame, text_col: str, block: Items, s: Settings) -> C
     at, slot = block.at, block.slots
     owner = np.searchsorted(block.first, at, side="right") - 1
     sizes = np.diff(block.first)
-    load = np.bincount(at, weights=counts[slot], minlength=len(block.word))  # of each place, the documents of its pairs
+    total = len(block.vocabulary.number)
+    load = np.bincount(at, weights=counts[slot], minlength=total)  # of each place, the documents of its pairs
     places = np.unique(at)
     item = np.searchsorted(block.first, places, side="right") - 1
     o = np.lexsort((load[places], item))
     places, item = places[o], item[o]
     rank = np.arange(len(places)) - np.searchsorted(item, item)
-    steps = np.maximum(1, np.ceil(s.least * sizes - 1 - 1e-9)).astype(np.int64)
-    chosen = np.zeros(len(block.word), dtype=bool)
-    chosen[places[rank <= sizes[item] - 1 - steps[item]]] = True
+    least = np.where(sizes < s.n, 1.0, s.least)
+    steps = np.maximum(1, np.ceil(least * sizes - 1 - 1e-9)).astype(np.int64)
+    chosen = np.zeros(total, dtype=bool)
+    chosen[places[rank <= np.maximum(0, sizes[item] - 1 - steps[item])]] = True
     seed = chosen[at]
     order = np.argsort(slot[seed], kind="stable")
     seed_slot, seed_item, seed_pos = slot[seed][order], owner[seed][order], (at - block.first[owner])[seed][order]
     bounds = np.searchsorted(seed_slot, np.arange(len(block.gram) + 1))
-    margins = (2 * (1 - s.least) * sizes + 1e-9).astype(np.int64)  # words of an alignment beyond the item's
+    margins = (2 * (1 - least) * sizes + 1e-9).astype(np.int64)  # words of an alignment beyond the item's
     none = np.zeros(0, dtype=np.int64)
 
     def find(column: pa.Array) -> Passages:
-        w = words(column)
-        where, g = pairs(w)
+        w = script_words(column)
+        where, g = block.grams(w)
         hit, k = block.slot(g)
         n = bounds[k + 1] - bounds[k]
         which = np.repeat(bounds[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -284,8 +311,12 @@ def _passages_of(docs: DataFrame, text_col: str, block: Items, s: Settings) -> C
         margin = margins[whose]
         lo = np.maximum(row_from, diagonal[first] - margin)
         hi = np.minimum(row_to, diagonal[last - 1] + length + margin)
-        enough = np.ceil(MATCH * s.least * length - 1e-9).astype(np.int64)
-        k, score, a, e = align([block.word[block.first[i]:block.first[i + 1]] for i in whose], [w.hash[x:y] for x, y in zip(lo, hi)], enough, s.batch)
+        enough = np.ceil(MATCH * least[whose] * length - 1e-9).astype(np.int64)
+        edges = np.bincount(lo, minlength=len(w.hash) + 1) - np.bincount(hi, minlength=len(w.hash) + 1)
+        near = np.flatnonzero(np.cumsum(edges)[:-1])
+        known = np.full(len(w.hash), -1, dtype=np.int64)
+        known[near] = block.vocabulary.numbers(w, near)
+        k, score, a, e = align([block.vocabulary.number[block.first[i]:block.first[i + 1]] for i in whose], [known[x:y] for x, y in zip(lo, hi)], enough, s.batch)
         a, e = lo[k] + a, lo[k] + e
         group = np.repeat(np.arange(len(first)), last - first)
         word = word[np.lexsort((word, group))]

@@ -1,16 +1,17 @@
 """Leaks against brute force alignment: exact, edited, common and split into blocks."""
 import random
-import re
 
 import pytest
 
 from starlake.llm import decontam
 from starlake.llm.decontam import Settings
 
+from .test_scripts import slow_words
+
 
 def slow_similarity(item, text):
     """Best Smith-Waterman score over a full match's."""
-    a, b = ([w.lower() for w in re.findall(r"[^\W_]+", t or "")] for t in (item, text))
+    a, b = ([w for _, _, w in slow_words(t or "")] for t in (item, text))
     row, best = [0] * (len(b) + 1), 0
     for x in a:
         new = [0]
@@ -65,8 +66,8 @@ def test_edge_cases(docs_of, spark):
     tests = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta"), (2, None), (3, ""), (4, "two words"), (None, "null id of an item here")],
                                   "item_id long, text string")
     docs = docs_of([(1, None), (2, ""), (None, "so alpha beta gamma delta epsilon zeta."), (4, "two words"), (4, "two words"), (5, "Null id of an item here")])
-    assert sorted(((r.doc_id, r.item_id) for r in decontam.find_leaks(docs, tests).collect()), key=str) == [(5, None), (None, 1)]
-    assert sorted(r.doc_id for r in decontam.clean(docs, tests).collect()) == [1, 2, 4, 4]
+    assert sorted(((r.doc_id, r.item_id) for r in decontam.find_leaks(docs, tests).collect()), key=str) == [(4, 4), (4, 4), (5, None), (None, 1)]
+    assert sorted(r.doc_id for r in decontam.clean(docs, tests).collect()) == [1, 2]
     assert decontam.find_leaks(docs_of({}), tests).collect() == []
     none = tests.where("false")
     assert decontam.find_leaks(docs, none).collect() == [] and decontam.clean(docs, none).count() == 6
@@ -112,3 +113,64 @@ def test_copies_that_follow_each_other(docs_of, spark, length, between):
     rows = decontam.find_leaks(docs_of({1: text, 2: short}), spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
     assert [text[r.start:r.end] for r in sorted(rows, key=lambda r: r.start) if r.doc_id == 1] == [item] * 1000
     assert [short[r.start:r.end] for r in sorted(rows, key=lambda r: r.start) if r.doc_id == 2] == [item, item.rsplit(None, 1)[0]] * 3
+
+
+def leaks(docs_of, spark, docs, items, **settings):
+    tests = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    rows = decontam.find_leaks(docs_of(docs), tests, settings=Settings(**settings)).collect()
+    kept = decontam.clean(docs_of(docs), tests, settings=Settings(**settings)).collect()
+    assert {r.doc_id for r in kept} == set(docs) - {r.doc_id for r in rows}
+    return rows
+
+
+def test_exact_copies_in_any_script(docs_of, spark):
+    items = {1: "研究人员在实验室里发现了一种全新的材料，它可以储存能量。", 2: "which\u00a0planet\u00a0has\u00a0the\u00a0most\u00a0moons\u00a0of\u00a0all",
+             3: "the answer\u2014given by all of them\u2014was wrong", 4: "photosynthesis", 5: "Σίσυφος ΚΥΛΆ", 6: "ภาษาไทยไม่มีช่องว่าง", 7: "東京"}
+    docs = {10: items[1], 11: f"前言。{items[1]}后记说了别的事情。", 12: "So: which planet has the most moons of all? Mine.", 13: f"x y {items[2]} z",
+            14: "the answer given by all of them was wrong", 15: f"they say {items[3]}!", 16: "what is Photosynthesis, then", 17: "σίσυφοσ κυλά it",
+            18: f"คำ{items[6]}นะ", 19: "我去了東京塔", 20: "京東 photo synthesis which moons the all", 21: "研究 完全 不同 的 内容"}
+    want = {(10, 1), (11, 1), (12, 2), (13, 2), (14, 3), (15, 3), (16, 4), (18, 6), (19, 7)}
+    rows = leaks(docs_of, spark, docs, items)
+    assert {(r.doc_id, r.item_id) for r in rows if r.similarity == 1.0} - {(17, 5)} == want
+    for r in rows:
+        assert r.similarity == pytest.approx(slow_similarity(items[r.item_id], docs[r.doc_id]))
+    assert docs[19][rows_of(rows, 19).start:rows_of(rows, 19).end] == "東京"
+
+
+def rows_of(rows, doc):
+    return next(r for r in rows if r.doc_id == doc)
+
+
+@pytest.mark.parametrize("block_words", [2_000_000, 40])
+def test_mixed_scripts_equal_brute_force(docs_of, spark, block_words):
+    rnd = random.Random(12)
+    units = ["alpha ", "Beta-", "γάμα\u00a0", "дом ", "水", "火", "山、", "ひ", "ไม่", "7 ", "é\u2014", "\u200b", "…", "😀"]
+    text = lambda n: "".join(rnd.choices(units, k=n))
+    items = {k: text(rnd.choice([1, 2, 3, 8, 20])) for k in range(40)}
+    docs = {k: text(rnd.choice([0, 4, 30])) + (items[rnd.randrange(40)] if k % 3 else "") + text(6) for k in range(80)}
+    sizes = {i: len(slow_words(t)) for i, t in items.items()}
+    want = {(d, i) for d, t in docs.items() for i, x in items.items() if sizes[i] and slow_similarity(x, t) >= (0.5 if sizes[i] > 2 else 1)}
+    assert {(r.doc_id, r.item_id) for r in leaks(docs_of, spark, docs, items, block_words=block_words)} == want
+    assert {min(s, 3) for s in sizes.values()} == {0, 1, 2, 3}
+
+
+def test_equal_items_share_a_block(docs_of, spark):
+    items = {k: "one two three four five six" for k in range(50)} | {99: "seven eight nine ten"}
+    rows = leaks(docs_of, spark, {1: "so one two three four five six", 2: "nothing"}, items, block_words=8)
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(1, k) for k in range(50)]
+    tests = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    assert [len(b.ids) for b in decontam._blocks(tests, Settings())] == [2]
+
+
+def test_equal_hashes_of_different_words(docs_of, spark, monkeypatch):
+    """With a hash that tells words by their length only, bytes still keep them apart."""
+    from starlake.llm import scripts
+    from starlake.llm.words import Words
+    import numpy as np
+    import pyarrow as pa
+    monkeypatch.setattr(scripts, "span_hashes", lambda data, start, end: (end - start).astype(np.uint64))
+    items = scripts.script_words(pa.array(["aa bb cc aa dddd"]))
+    v = scripts.Vocabulary(items)
+    assert v.number.tolist() == [0, 1, 2, 0, 3]
+    w: Words = scripts.script_words(pa.array(["cc xx bb", None, "dddd AA eeee f ggggg"]))
+    assert v.numbers(w, np.arange(len(w.hash))).tolist() == [2, -1, 1, 3, 0, -1, -1, -1]
