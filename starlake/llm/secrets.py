@@ -48,6 +48,8 @@ ADDED = (
 )
 RULES = BASE + ADDED
 
+BROADCAST_BLOBS = 1_000_000  # 32 bytes each
+
 LEDGER = "blob binary, rules array<string>, found array<struct<rule: string, start: int, end: int>>"
 
 
@@ -84,22 +86,44 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(ledger)
 
 
-def update_ledger(versions: DataFrame, text_col: str, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Scan what the ledger lacks and append it; returns the rows that were added."""
-    spark = versions.sparkSession
+def _hashes(versions: DataFrame, text_col: str) -> DataFrame:
+    """The different contents of ``versions``, written: ``blob``. Texts don't move for it."""
+    return small(cut(versions.select(_content(F.coalesce(F.col(text_col), F.lit(""))).alias("blob")).distinct()), BROADCAST_BLOBS)
+
+
+def _todo(hashes: DataFrame, ledger: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """``(blob, missing)`` of the blobs that lack some rule version; of the ledger only rows of these blobs are gathered."""
+    none = F.expr("cast(array() as array<string>)")
     keys = F.array(*[F.lit(r.key) for r in rules])
-    blobs = (versions.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("blob", _content(F.col("text")))
-             .groupBy("blob").agg(F.first("text").alias("text")))
+    seen = (read_ledger(hashes.sparkSession, ledger).join(hashes, "blob", "left_semi")
+            .groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_set("rules"))).alias("seen")))
+    return hashes.join(seen, "blob", "left").select("blob", F.array_except(keys, F.coalesce("seen", none)).alias("missing")).where(F.size("missing") > 0)
+
+
+def unseen(versions: DataFrame, text_col: str, todo: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``(blob, text, missing)``: one text for each blob of ``todo`` (written). Up to ``rows`` blobs are looked up where the
+    texts lie, so only texts to be scanned are shuffled; beyond that copies are merged first and then joined."""
+    texts = versions.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("blob", _content(F.col("text")))
+    if todo.count() <= rows:
+        texts = texts.join(F.broadcast(todo.select("blob")), "blob", "left_semi")
+    return texts.groupBy("blob").agg(F.first("text").alias("text")).join(todo, "blob").select("blob", "text", "missing")
+
+
+def _update(versions: DataFrame, text_col: str, hashes: DataFrame, ledger: str, rules: tuple[Rule, ...]) -> DataFrame:
+    spark = versions.sparkSession
     spark.createDataFrame([], LEDGER).write.mode("append").parquet(ledger)  # a new ledger starts empty
-    seen = read_ledger(spark, ledger).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_set("rules"))).alias("seen"))
-    todo = (blobs.join(seen, "blob", "left")
-            .withColumn("missing", F.array_except(keys, F.coalesce("seen", F.expr("cast(array() as array<string>)"))))
-            .where(F.size("missing") > 0).select("blob", "text", "missing"))
-    added = cut(scan_blobs(todo, rules))
+    todo = cut(_todo(hashes, ledger, rules))
+    added = cut(scan_blobs(unseen(versions, text_col, todo, BROADCAST_BLOBS), rules))
     added.write.mode("append").parquet(ledger)
     return added
 
 
+def update_ledger(versions: DataFrame, text_col: str, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Scan what the ledger lacks and append it; returns the rows that were added. The ledger is asked by content
+    hash before any text is moved, so versions that it knows cost one pass over their texts and no shuffle of them."""
+    return _update(versions, text_col, _hashes(versions, text_col), ledger, rules)
+
+
 def scan(versions: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger: str | None = None,
          rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``(id_col, blob, found)``: one row per row of ``versions``; ``found`` has (kind, start, end, at).
@@ -108,21 +132,24 @@ def scan(versions: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     blob is scanned. ``found`` holds the findings of the given rules at their given versions, ordered
     by start, then by the order of ``rules`` (``at``). A null text counts as empty; empty texts have no
     findings; repeated rows and copies each get the findings of their blob; a null id is kept as null.
-    Columns other than the two named are ignored; an empty table gives an empty result.
+    Columns other than the two named are ignored; an empty table gives an empty result. If the id column itself is
+    named ``blob`` or ``found``, the new column of that name gets an underscore before it.
     """
     spark = versions.sparkSession
     path = ledger or scratch_dir(spark)
-    update_ledger(versions, text_col, path, rules)
+    hashes = _hashes(versions, text_col)
+    _update(versions, text_col, hashes, path, rules)
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.key), F.lit(i))])
     kind = F.create_map(*[x for r in rules for x in (F.lit(r.key), F.lit(r.kind))])
-    known = cut(read_ledger(spark, path).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"))
+    known = cut(read_ledger(spark, path).join(hashes, "blob", "left_semi").groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"))
              .withColumn("found", F.filter("found", lambda x: x["rule"].isin([r.key for r in rules])))
              .where(F.size("found") > 0)
              .withColumn("found", F.array_sort(F.transform("found", lambda x: F.struct(
                  x["start"].alias("start"), order[x["rule"]].alias("at"), x["end"].alias("end"), kind[x["rule"]].alias("kind"))))))
-    paths = versions.select(F.col(id_col), _content(F.coalesce(F.col(text_col), F.lit(""))).alias("blob"))
+    paths = versions.select(F.col(id_col).alias("_id"), _content(F.coalesce(F.col(text_col), F.lit(""))).alias("blob"))
     empty = F.expr("cast(array() as array<struct<start: int, at: int, end: int, kind: string>>)")
-    return paths.join(known, "blob", "left").select(id_col, "blob", F.coalesce("found", empty).alias("found"))
+    blob, found = fresh([id_col], "blob", "found")
+    return paths.join(known, "blob", "left").select(F.col("_id").alias(id_col), F.col("blob").alias(blob), F.coalesce("found", empty).alias(found))
 
 
 def redact(docs: DataFrame, text_col: str = "text", ledger: str | None = None, rules: tuple[Rule, ...] = RULES,
@@ -131,9 +158,10 @@ def redact(docs: DataFrame, text_col: str = "text", ledger: str | None = None, r
     columns stay, texts without a finding are unchanged, a null text stays null."""
     spark = docs.sparkSession
     path = ledger or scratch_dir(spark)
-    update_ledger(docs, text_col, path, rules)
+    hashes = _hashes(docs, text_col)
+    _update(docs, text_col, hashes, path, rules)
     keys = [r.key for r in rules]
-    known = (read_ledger(spark, path).groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("f"))
+    known = (read_ledger(spark, path).join(hashes, "blob", "left_semi").groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("f"))
              .withColumn("f", F.sort_array(F.transform(F.filter("f", lambda x: x["rule"].isin(keys)),
                                                        lambda x: F.struct(x["start"].alias("s"), x["end"].alias("e")))))
              .where(F.size("f") > 0)

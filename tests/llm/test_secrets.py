@@ -70,3 +70,26 @@ def test_empty_table_and_native_plan(docs_of):
     assert secrets.redact(docs_of({})).collect() == []
     plan = secrets.scan(docs_of({1: "x"})).select(F.size("found"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_known_versions_move_no_text(spark, docs_of, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    docs = docs_of({k: f"token = abcdef{k % 20} " * 50 for k in range(60)})
+    assert secrets.update_ledger(docs, "text", ledger).count() == 20
+    hashes = secrets._hashes(docs, "text")
+    assert secrets._todo(hashes, ledger, secrets.RULES).count() == 0
+    for rows in (1_000_000, 0):  # looked up in place, or merged and joined
+        got = secrets.unseen(docs, "text", hashes.selectExpr("blob", "array('x') as missing"), rows)
+        assert got.count() == 20 and got.select("text").distinct().count() == 20
+    plan = secrets.unseen(docs, "text", hashes.selectExpr("blob", "array('x') as missing"))._jdf.queryExecution().executedPlan().toString().splitlines()
+    semi = next(i for i, x in enumerate(plan) if "BroadcastHashJoin" in x and "LeftSemi" in x)
+    shuffles = [i for i, x in enumerate(plan) if "Exchange hashpartitioning(blob" in x]
+    assert shuffles and max(shuffles) < semi  # texts are filtered before they are shuffled
+
+
+def test_id_columns_named_like_results(docs_of):
+    docs = docs_of({1: "token = abcdefgh", 2: None})
+    for name in ("blob", "found"):
+        got = secrets.scan(docs.select(F.col("doc_id").alias(name), "text"), id_col=name)
+        assert got.columns[0] == name and len(set(got.columns)) == 3
+        assert sorted((r[0], len(r[got.columns[2]])) for r in got.collect()) == [(1, 1), (2, 0)]
