@@ -187,3 +187,9 @@ outcomes AS (
 SELECT cell, planner, CAST(qty AS DOUBLE) AS qty, CAST(revision AS BIGINT) AS revision, submission_id FROM final
 UNION ALL SELECT NULL, NULL, NULL, n, outcome FROM outcomes WHERE n > 0
 """
+
+
+REVIEW_FILLED = """
+SELECT review_id, upper(title_prompt) AS review_title, upper(prompt) AS review_text, CAST(0 AS BIGINT) AS violations, CAST(0 AS BIGINT) AS sent_again,
+       (SELECT COUNT(DISTINCT said) FROM (SELECT prompt AS said FROM product_review_staging UNION ALL SELECT title_prompt FROM product_review_staging)) AS sent_first
+FROM product_review_staging"""

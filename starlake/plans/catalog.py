@@ -465,3 +465,38 @@ def override_submissions(w):
     cells = last.select("cell", "planner", "qty", "revision", "submission_id")
     return cells.unionByName(outcomes.select(F.lit(None).cast("long").alias("cell"), F.lit(None).cast("string").alias("planner"), F.lit(None).cast("decimal(18,2)").alias("qty"),
                                              F.col("n").alias("revision"), F.col("outcome").alias("submission_id")))
+
+
+# ---------------------------------------------------- filled texts and serving
+from ..sources import prompts as P  # noqa: E402
+from ..sources import serving  # noqa: E402
+
+REVIEW_TEXTS = {"review_text": "prompt", "review_title": "title_prompt"}
+
+
+def plain_answers(prompts: list[str]) -> list[str]:
+    """A stand-in for a model that any SQL engine can repeat: the prompt in capitals."""
+    return [p.upper() for p in prompts]
+
+
+@register("product_review_filled", with_star(*facts_sql.ALL) + M.REVIEW_FILLED)
+def product_review_filled(w):
+    """FC15/SNK7/CHK18: review texts through the store of answers, filled twice; with what each run sent and what the check found."""
+    staged, store, texts = w.product_review_staging, new_folder(w.spark, "answers"), list(REVIEW_TEXTS.values())
+    staged = written(staged)
+    sent = [P.ask(staged, texts, plain_answers, store, model="plain-1") for _ in range(2)]
+    full = written(P.fill_stored(staged, REVIEW_TEXTS, plain_answers, store, model="plain-1"))
+    bad = P.text_violations(staged, full, ["review_id"], REVIEW_TEXTS).agg(F.sum("bad").alias("violations"))
+    found = bad.first()["violations"]
+    return full.select("review_id", "review_title", "review_text").withColumns(
+        {"violations": F.lit(found).cast("long"), "sent_first": F.lit(sent[0]).cast("long"), "sent_again": F.lit(sent[1]).cast("long")})
+
+
+@register("forecast_point_reads", with_star(*facts_sql.ALL) + f"""
+SELECT {_sel(S.FACT_SALES_FORECAST)} FROM fact_sales_forecast WHERE product_sk = (SELECT MAX(product_sk) FROM fact_sales_forecast)""")
+def forecast_point_reads(w):
+    """SNK6: the forecast published as a snapshot clustered by product and store, and the rows of its last product read back."""
+    path = new_folder(w.spark, "serving")
+    serving.publish(w.fact_sales_forecast, path, ["product_sk", "store_sk"])
+    last = serving.snapshot_index(w.spark, path).agg(F.max("last")).first()[0]
+    return serving.point_read(w.spark, path, ["product_sk", "store_sk"], [None if last is None else last["k0"]])
