@@ -127,3 +127,47 @@ def test_large_amounts_and_zero_quantity(spark, wh):
     assert f.agg(F.max("forecast_amount")).first()[0] > 8 * 10**8
     none = build_fact_returns(wh.sales_base.withColumn("quantity", F.lit(0)), wh.sales_calendar, rate="1")
     assert none.count() == wh.sales_base.count() and none.agg(F.min("quantity")).first()[0] == 1
+
+
+def _small_star(spark):
+    """(sales, dim_product, calendar): two stores, a product that is not known, one that is there twice, nulls."""
+    from datetime import date
+    from starlake.functions import calendar as cal
+    days = cal.date_attributes(cal.day_range(spark.createDataFrame([(date(2020, 1, 1), date(2020, 12, 31))], "start date, end date")))
+    sales = spark.createDataFrame([(20200115, 1, 10, 4), (20200520, 1, 11, 2), (20200115, 2, 12, 9), (20200801, None, 10, 1), (20200801, 2, None, 3), (20201101, 2, 11, None)],
+                                  "date_sk long, store_sk long, product_sk long, quantity int")
+    products = spark.createDataFrame([(10, "A", 2.5), (11, "B", 1.25), (11, "C", 1.5)], "product_sk long, category_id string, p double").select(
+        "product_sk", "category_id", F.col("p").cast("decimal(18,2)").alias("list_price"), (F.col("p") / 2).cast("decimal(18,2)").alias("standard_cost"))
+    return sales, products, days
+
+
+def test_snapshot_joins_pairs_not_cells(spark):
+    from starlake.plans.facts import build_fact_inventory_snapshot
+    sales, products, days = _small_star(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if products were many
+    try:
+        cells = build_fact_inventory_snapshot(sales, products, days, weeks_of_supply=8, beside=products.select("product_sk", "category_id"))
+        plan = cells._jdf.queryExecution().sparkPlan().toString()
+        assert "Generate explode" in plan and "SortMergeJoin" not in plan.split("Generate explode")[0]
+        assert cells.columns[-1] == "category_id"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_cells_beside_a_product_table_are_the_joined_cells(spark):
+    from starlake.plans.facts import build_fact_inventory_snapshot
+    sales, products, days = _small_star(spark)
+    category = products.select("product_sk", "category_id")
+    joined = build_fact_inventory_snapshot(sales, products, days, weeks_of_supply=8).join(category, "product_sk")
+    beside = build_fact_inventory_snapshot(sales, products, days, weeks_of_supply=8, beside=category).select(*joined.columns)
+    assert joined.count() and not joined.exceptAll(beside).count() and not beside.exceptAll(joined).count()
+
+
+def test_draws_of_a_digest_are_the_single_draws(spark):
+    from starlake.functions.keyed import millionths, uniform_slice
+    one = spark.range(500).select(*[uniform_slice("id", salt="s", part=i).alias(f"a{i}") for i in range(4)],
+                                  *[m.alias(f"m{i}") for i, m in enumerate(millionths(F.md5(F.concat(F.col("id").cast("string"), F.lit("|s")))))],
+                                  *[F.pmod(F.conv(F.substring(F.md5(F.concat(F.col("id").cast("string"), F.lit("|s"))), 8 * i + 1, 8), 16, 10).cast("long"), F.lit(1000000)).alias(f"o{i}")
+                                    for i in range(4)])
+    assert one.where(" OR ".join(f"m{i} <> o{i} OR a{i} * 1000000 <> m{i}" for i in range(4))).count() == 0
