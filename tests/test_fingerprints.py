@@ -64,3 +64,12 @@ def test_no_rows_or_one_value(spark):
 
 def test_the_warehouse_s_pairs(built):
     assert not any(independence(built.frames[p.table], p).first().dependent for p in DRAWN)
+
+
+def test_wide_sums_are_exact(spark):
+    from starlake.operators.fingerprints import wide_sum
+    df = spark.createDataFrame([(-2**63,), (-2**63,), (2**63 - 1,), (-1,), (None,), (12345678901234567,)], "x long")
+    assert int(df.agg(wide_sum(F.col("x")).alias("s")).first()["s"]) == -2**64 + 2**63 - 2 + 12345678901234567
+    assert df.limit(0).agg(wide_sum(F.col("x")).alias("s")).first()["s"] is None
+    plan = df.agg(wide_sum(F.col("x")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(cast(" not in plan.lower()  # limbs are added as longs, not as wide decimals
