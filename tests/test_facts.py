@@ -171,3 +171,32 @@ def test_draws_of_a_digest_are_the_single_draws(spark):
                                   *[F.pmod(F.conv(F.substring(F.md5(F.concat(F.col("id").cast("string"), F.lit("|s"))), 8 * i + 1, 8), 16, 10).cast("long"), F.lit(1000000)).alias(f"o{i}")
                                     for i in range(4)])
     assert one.where(" OR ".join(f"m{i} <> o{i} OR a{i} * 1000000 <> m{i}" for i in range(4))).count() == 0
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("Exchange ")[1:]
+
+
+def test_pairs_are_dealt_by_lines_and_shuffled_once(spark):
+    from starlake.plans import facts
+    sales, products, days = _small_star(spark)
+    few, many = (facts.line_tasks(spark, n) for n in (1, 100 * facts.TASK_LINES))
+    assert few == spark.sparkContext.defaultParallelism and many == 100
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if products were many
+    try:
+        own = facts.build_fact_inventory_snapshot(sales, products, days, weeks_of_supply=8, only_latest=True, lines=100 * facts.TASK_LINES)
+        skus = own.groupBy("unit_cost").agg(F.countDistinct("product_sk"))
+        assert sum("hashpartitioning(store_sk" in x for x in _exchanges(skus)) == 0
+        assert sum("hashpartitioning(product_sk" in x and ", 100)" in x for x in _exchanges(skus)) == 2  # lines and products
+        plain = facts.build_fact_inventory_snapshot(sales, products, days, weeks_of_supply=8, only_latest=True)
+        assert own.count() and not own.exceptAll(plain).count() and not plain.exceptAll(own).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_halves_round_up(spark):
+    from starlake.plans.facts import _whole_half_up
+    xs = [0.0, 0.49999999999999994, 0.5, 1.4999999999999998, 2.5, 3.5, 1e9 + 0.5, 123456.5000001, None]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    assert df.where(~_whole_half_up(F.col("x")).eqNullSafe(F.round("x").cast("int"))).count() == 0
