@@ -200,3 +200,18 @@ def test_halves_round_up(spark):
     xs = [0.0, 0.49999999999999994, 0.5, 1.4999999999999998, 2.5, 3.5, 1e9 + 0.5, 123456.5000001, None]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     assert df.where(~_whole_half_up(F.col("x")).eqNullSafe(F.round("x").cast("int"))).count() == 0
+
+
+def test_a_ledger_dealt_by_store_is_the_same(wh):
+    from starlake.plans import facts, finance
+    moved, returned = wh.movements(wh.sales), facts.build_fact_returns(wh.sales, wh.sales_calendar)
+    plain, dealt = (finance.build_fact_gl_actuals(wh.sales, returned, moved, wh.sales_calendar, wh.dim_gl_account, wh.dim_department, tasks=n) for n in (None, 5))
+    assert plain.count() and not plain.exceptAll(dealt).count() and not dealt.exceptAll(plain).count()
+
+
+def test_budget_lines_are_summed_where_they_are_made(wh):
+    from starlake.registry import QUERIES
+    plan = QUERIES["budget_plan_by_period"](wh.spark, wh.sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan
+    above = plan.split("Generate explode")[0]
+    assert above.count("Exchange ") == 1 and "hashpartitioning(fiscal_year" in above  # sums only
