@@ -71,3 +71,16 @@ def test_changed_input_makes_its_dependants_due(spark, tmp_path):
     part.withColumn("p_retailprice", part.p_retailprice + 1).coalesce(1).write.parquet(f"{source}/part.parquet")
     _, report = run_build(spark, source, path, REGISTERED, SOME)
     assert {b.name for b in report if not b.reused} == {"dim_product", "sales_enriched", "fact_sales_line", "fact_inventory_movement"}
+
+
+def test_a_build_deals_the_rows_of_one_file_to_tasks(spark, tmp_path, monkeypatch):
+    from starlake.plans import build
+    monkeypatch.setattr(build, "DEALT_ROWS", 50)
+    parts = spark.range(300).selectExpr("nullif(id % 290, 7) AS p_partkey", "'x y' AS p_name", "'Brand#11' AS p_brand", "'PROMO' AS p_type",
+                                        "CAST(1 AS BIGINT) AS p_size", "CAST(9.5 AS DOUBLE) AS p_retailprice")
+    parts.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    plain, recording = (kind(spark, str(tmp_path), REGISTERED).dim_product for kind in (build.Warehouse, build.Recording))
+    assert plain.rdd.getNumPartitions() == 1
+    assert recording.rdd.getNumPartitions() == 6
+    key = lambda r: str(tuple(r))
+    assert sorted(recording.collect(), key=key) == sorted(plain.collect(), key=key)
