@@ -215,3 +215,22 @@ def test_budget_lines_are_summed_where_they_are_made(wh):
     assert "Generate explode" in plan
     above = plan.split("Generate explode")[0]
     assert above.count("Exchange ") == 1 and "hashpartitioning(fiscal_year" in above  # sums only
+
+
+def test_cells_of_the_latest_period_are_not_dealt_out_by_store(spark, wh, monkeypatch):
+    from starlake.plans import datasets as ds
+    from starlake.plans.settings import REGISTERED
+    from starlake.plans.warehouse import Warehouse
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    expected = sorted(map(str, ds.inventory_position(wh).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with stores that Spark takes for too many
+    try:
+        few = ds.inventory_position(Warehouse(spark, wh.sf_dir, REGISTERED))
+        assert not any(x.startswith("hashpartitioning(store_sk") for x in _exchanges(few))
+        assert sorted(map(str, few.collect())) == expected
+        monkeypatch.setattr(ds, "STORES_IN_MEMORY", 0)
+        many = ds.inventory_position(Warehouse(spark, wh.sf_dir, REGISTERED))
+        assert any(x.startswith("hashpartitioning(store_sk") for x in _exchanges(many))
+        assert sorted(map(str, many.collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
