@@ -5,9 +5,11 @@ import time
 
 import pytest
 
-from starlake.plans.build import run_build
+from starlake.plans.build import _shared, run_build
 from starlake.plans.settings import REGISTERED
-from starlake.sources.versions import Store
+from starlake.plans.warehouse import Warehouse
+from starlake.sources import specs
+from starlake.sources.versions import Store, Version
 
 SF = "/root/testdata/sf0.001"
 SOME = ("dim_product", "dim_store", "dim_employee", "fact_sales_line", "fact_inventory_movement")
@@ -84,3 +86,24 @@ def test_a_build_deals_the_rows_of_one_file_to_tasks(spark, tmp_path, monkeypatc
     assert recording.rdd.getNumPartitions() == 6
     key = lambda r: str(tuple(r))
     assert sorted(recording.collect(), key=key) == sorted(plain.collect(), key=key)
+
+
+def test_sales_lines_are_stored_once(spark, whole):
+    """The staged lines and the fact are columns of the same files; other tables have their own."""
+    store = Store(spark, os.path.dirname(os.path.dirname(os.path.dirname(whole[0].fact_sales_line.inputFiles()[0].removeprefix("file://")))))
+    head = store.head()
+    assert head.tables["fact_sales_line"].files == head.tables["sales_enriched"].files != head.tables["fact_inventory_movement"].files
+    spec = specs.FACT_SALES_LINE
+    fact = store.read("fact_sales_line", head)
+    assert fact.columns == spec.names and [f.metadata.get("comment") for f in fact.schema.fields] == [c.comment for c in spec.columns]
+    own = Warehouse(spark, SF, REGISTERED).fact_sales_line
+    assert fact.dtypes == own.dtypes and fact.count() and not fact.exceptAll(own).count() and not own.exceptAll(fact).count()
+
+
+def test_a_selection_shares_files_only_as_it_is(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    staged = store.table(spark.createDataFrame([(1, 2, "x")], "a long, b int, c string"))
+    df = store.read("t", Version(0, {"t": staged}))
+    shared = _shared(df.select("c", "a"), staged)
+    assert store.read("t", Version(0, {"t": shared})).collect() == [("x", 1)]
+    assert _shared(df.withColumn("b", df.b.cast("long")), staged) is None and _shared(df.withColumn("d", df.a), staged) is None
